@@ -88,7 +88,7 @@ def signatures(features: np.ndarray, band: int, scheme: Scheme) -> np.ndarray:
         part = (place % np.uint64(parts)).astype(np.int64)
         sizes = np.bincount(part, minlength=parts)
         sums = np.bincount(part, low, parts).astype(np.uint64) * np.uint64(BASES[0]) + np.bincount(part, high, parts).astype(np.uint64) * np.uint64(BASES[1])
-        h = mix(sums + np.uint64(b) * np.uint64(BASES[2]) + mix(np.arange(parts, dtype=np.uint64) + np.uint64(parts << 20)))
+        h = mix(sums + np.uint64(b * BASES[2] & 0xFFFFFFFFFFFFFFFF) + mix(np.arange(parts, dtype=np.uint64) + np.uint64(parts << 20)))
         full = np.flatnonzero(sizes)
         out.append(h[full] if len(full) > k else h)
     return np.concatenate(out)
