@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.llm.kernels import ALNUM, Words, chunks, lists, run_hashes, signed, texts
-from corpusmill.llm.store import written
+from corpusmill.llm.store import fresh_name, written
 
 #: words of a shingle; windows of fewer words have shingles of their own length
 SHINGLE = 3
@@ -109,28 +109,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, doc_id: str =
     empty texts have no words and hit nothing; items without id or words are left out; rows with equal
     doc_id and text get equal rows; other columns are not carried; an empty table gives an empty table.
     """
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    windows = written(item_windows(items, n, item_id, text), "item-windows")
-    blocks = max(1, -(-windows.count() // block))
-    parts = []
-    for b in range(blocks):
-        rows = windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).collect()
-        wanted = defaultdict(set)
-        for r in rows:
-            wanted[min(SHINGLE, len(r.words.split(" ")))].update(r.shingles)
-        often = frequencies(source, {s: np.sort(np.array(list(v), np.int64).view(np.uint64)) for s, v in wanted.items()}) if wanted else {}
-        parts.append(_occurrences(source, _index(rows, often), every=b == 0))
-    if blocks == 1:
-        found = parts[0]
-    else:
-        base = written(parts[0], "occurrences")
-        others = [written(p, "occurrences") for p in parts[1:]]
-        hits = base.filter("size(items) > 0").dropDuplicates(["doc_id", "row"])
-        for p in others:
-            hits = hits.unionByName(p.dropDuplicates(["doc_id", "row"]))
-        hits = hits.groupBy("doc_id", "row").agg(F.flatten(F.collect_list("hits")).alias("all_hits"), F.flatten(F.collect_list("items")).alias("all_items"))
-        same = base["doc_id"].eqNullSafe(hits["doc_id"]) & (base["row"] == hits["row"])
-        found = base.join(hits, same, "left").select(base["doc_id"], "n_words", F.coalesce("all_hits", "hits").alias("hits"), F.coalesce("all_items", "items").alias("items"))
+    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    found = flagged(source, items, n, "text", item_id, block).select("doc_id", "found.*")
     # the length of the union of ranges, walked in order
     covered = F.aggregate(
         F.array_sort("hits"),
@@ -142,13 +122,48 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, doc_id: str =
     return found.select("doc_id", "n_words", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"), "hits", "items")
 
 
-def _occurrences(docs: DataFrame, index: list[tuple], every: bool) -> DataFrame:
-    """(doc_id, row, n_words, hits, items) of documents; only of those with a hit unless every."""
+def flagged(docs: DataFrame, items: DataFrame, n: int = 10, text: str = "text", item_id: str = "item_id", block: int = BLOCK, out: str = "found") -> DataFrame:
+    """docs with a struct `out` of n_words, hits and items; columns and rows are kept."""
+    source = docs.select(F.col(text).alias("text"))
+    windows = written(item_windows(items, n, item_id, text), "item-windows")
+    blocks = max(1, -(-windows.count() // block))
+    parts = []
+    for b in range(blocks):
+        rows = windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).collect()
+        wanted = defaultdict(set)
+        for r in rows:
+            wanted[min(SHINGLE, len(r.words.split(" ")))].update(r.shingles)
+        often = frequencies(source, {s: np.sort(np.array(list(v), np.int64).view(np.uint64)) for s, v in wanted.items()}) if wanted else {}
+        parts.append(_index(rows, often))
+    if blocks == 1:
+        return _occurrences(docs, text, parts[0], out)
+    # every block's hits of each distinct text, by its 128-bit hash, and then the rows again
+    key = fresh_name("text_key", docs.columns)
+    keyed = docs.withColumn(key, F.md5(F.coalesce(F.col(text), F.lit(""))))
+    first = written(_occurrences(keyed, text, parts[0], out), "occurrences")
+    hits = first.select(F.col(key).alias("k"), f"{out}.hits", f"{out}.items").filter("size(items) > 0").dropDuplicates(["k"])
+    for index in parts[1:]:
+        more = _occurrences(keyed.select(F.col(key).alias("k"), F.col(text).alias("text")), "text", index, "found").select("k", "found.hits", "found.items")
+        hits = hits.unionByName(written(more.filter("size(items) > 0"), "occurrences").dropDuplicates(["k"]))
+    hits = hits.groupBy("k").agg(F.flatten(F.collect_list("hits")).alias("all_hits"), F.flatten(F.collect_list("items")).alias("all_items"))
+    whole = F.struct(F.col(f"{out}.n_words").alias("n_words"), F.coalesce("all_hits", f"{out}.hits").alias("hits"), F.coalesce("all_items", f"{out}.items").alias("items"))
+    return first.join(hits, first[key] == hits["k"], "left").withColumn(out, whole).select(*docs.columns, out)
+
+
+def clean(docs: DataFrame, items: DataFrame, n: int = 10, text: str = "text", item_id: str = "item_id") -> DataFrame:
+    """The rows of docs in which no window of the items occurs, with their columns as they are."""
+    out = fresh_name("found", docs.columns)
+    return flagged(docs, items, n, text, item_id, out=out).filter(F.size(f"{out}.hits") == 0).drop(out)
+
+
+def _occurrences(docs: DataFrame, text: str, index: list[tuple], out: str) -> DataFrame:
+    """docs with the struct `out` (n_words, hits, items)."""
+    columns = docs.columns
 
     def search(batches):
         for batch in batches:
             sizes, hits, found = [], [], []
-            for first, last, data, offsets in chunks(texts(batch.column("text"))):
+            for first, last, data, offsets in chunks(texts(batch.column(columns.index(text)))):
                 w = Words(data, offsets, ALNUM, lower=True)
                 doc = _doc_of(w)
                 ranges, names = defaultdict(set), defaultdict(set)
@@ -177,10 +192,8 @@ def _occurrences(docs: DataFrame, index: list[tuple], every: bool) -> DataFrame:
                     sizes.append(int(w.bounds[d + 1] - w.bounds[d]))
                     hits.append([list(r) for r in sorted(ranges.get(d, ()))])
                     found.append(sorted(names.get(d, ())))
-            out = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(hits, pa.list_(pa.list_(pa.int64()))), pa.array(found, pa.list_(pa.string()))], ["doc_id", "row", "n_words", "hits", "items"])
-            yield out if every else out.filter(pa.array([bool(x) for x in found], pa.bool_()))
+            struct = pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(hits, pa.list_(pa.list_(pa.int64()))), pa.array(found, pa.list_(pa.string()))], ["n_words", "hits", "items"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, struct], [*columns, out])
 
-    keyed = docs.withColumn("row", F.xxhash64("text"))
-    strings = T.ArrayType(T.StringType())
-    schema = keyed.select("doc_id", "row").schema.add("n_words", "long").add("hits", T.ArrayType(T.ArrayType(T.LongType()))).add("items", strings)
-    return keyed.mapInArrow(search, schema)
+    kind = T.StructType().add("n_words", "long").add("hits", T.ArrayType(T.ArrayType(T.LongType()))).add("items", T.ArrayType(T.StringType()))
+    return docs.mapInArrow(search, T.StructType([*docs.schema.fields, T.StructField(out, kind)]))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.components import components
 from corpusmill.llm.kernels import BASES, NOT_SPACE, Words, chunks, mix, run_hashes, signed, texts
-from corpusmill.llm.store import partitions, written
+from corpusmill.llm.store import fresh_name, partitions, written
 
 #: signature rows that a worker holds before it puts them out
 BUFFER = 1_000_000
@@ -146,7 +146,7 @@ class _Buckets:
 
 
 def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a row of df: doc_id, n_shingles, set_id, component_id.
+    """One row a row of df: doc_id, row (xxhash64 of the text, null as empty), n_shingles, set_id, component_id.
 
     Words are runs of other than ASCII white space, A-Z taken as a-z.  A document's set holds its distinct n-word
     shingles; with fewer words it is the whole sequence, with none it is empty and linked with nothing.
@@ -155,13 +155,13 @@ def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100,
     results; null doc_ids are no smaller than any other; other columns are not carried; an empty table
     gives an empty table.
     """
-    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
     spark = df.sparkSession
 
     def describe(batches):
         for batch in batches:
             sets = shingle_sets(texts(batch.column("text")), n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())], ["doc_id", "n_shingles", "set_id"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())], ["doc_id", "row", "n_shingles", "set_id"])
 
     def sign(batches):
         scheme, sigs, owns, held, seen = Scheme(num, den), [], [], 0, set()
@@ -187,7 +187,7 @@ def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100,
             if len(batch):
                 yield from buckets.take(batch.column("a").to_numpy(False), batch.column("b").to_numpy(False))
 
-    base = written(docs.mapInArrow(describe, "doc_id long, n_shingles long, set_id long"), "sets")
+    base = written(docs.mapInArrow(describe, "doc_id long, row long, n_shingles long, set_id long"), "sets")
     spread = docs.select("text").mapInArrow(sign, "a long, b long").repartition(partitions(spark), "a").sortWithinPartitions("a", "b")
     rows = written(spread.mapInArrow(gather, _ROWS), "buckets")
     pairs = rows.filter("pair").select("a", "b").distinct()
@@ -214,7 +214,25 @@ def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100,
     least = base.filter("set_id <> 0").join(known, base["set_id"] == known["id"], "left").select("set_id", F.coalesce("component", "set_id").alias("component"), "doc_id")
     roots = least.groupBy("component").agg(F.min("doc_id").alias("root"))
     of_set = least.select("set_id", "component").distinct().join(roots, "component").select("set_id", "root")
-    return base.join(of_set, "set_id", "left").select("doc_id", "n_shingles", "set_id", F.coalesce(F.when(F.col("set_id") != 0, F.col("root")), "doc_id").alias("component_id"))
+    return base.join(of_set, "set_id", "left").select("doc_id", "row", "n_shingles", "set_id", F.coalesce(F.when(F.col("set_id") != 0, F.col("root")), "doc_id").alias("component_id"))
+
+
+def representatives(df: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of df that stay if of each group of linked documents the one with the smallest doc_id does; columns as they are.
+
+    Texts without words are linked with nothing and stay, repeated rows too.  Of rows with that doc_id and equal
+    texts one stays.  Rows without doc_id stay unless a row with one has an equal set.
+    """
+    found = jaccard_components(df, n, num, den, doc_id, text)
+    found = found.withColumn("empty", F.col("set_id") == 0)
+    stays = found.filter(F.col("empty") | F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stays = stays.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("empty").alias("_empty")).agg(F.count("*").alias("_n"))
+    key, mark = fresh_name("row", df.columns), fresh_name("single", df.columns)
+    rows = df.withColumn(key, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = rows[doc_id].cast("long").eqNullSafe(stays["_id"]) & (rows[key] == stays["_row"])
+    rows = rows.join(stays, same).withColumn(mark, F.col("_empty") | (F.col("_n") == 1)).drop("_id", "_row", "_empty", "_n")
+    rows = rows.filter(mark).unionByName(rows.filter(~F.col(mark)).dropDuplicates([doc_id, key]))
+    return rows.select(*df.columns)
 
 
 def _verified(pairs: DataFrame, bodies: DataFrame, n: int, num: int, den: int) -> DataFrame:

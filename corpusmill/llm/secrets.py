@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import forest
+from corpusmill.llm.store import fresh_name
 
 SHORTEST = 16
 #: labelled findings that the forest is fitted on, and the least score of a secret
@@ -107,7 +108,7 @@ def with_findings(df: DataFrame, trees: list, text: str = "text", out: str = "fi
     score = lambda c: forest.expression(trees, features(c["value"], c["before"]))
     none = F.array().cast("array<struct<word_no:bigint,value:string,before:string>>")
     words = F.when(F.col(text).rlike(_HAS), F.split(text, r"[\x20\x09-\x0D]+"))
-    held, cand = f"{out}_words", f"{out}_candidates"
+    held, cand = fresh_name(f"{out}_words", df.columns), fresh_name(f"{out}_candidates", df.columns)
     rows = df.withColumn(held, words)
     rows = rows.withColumn(cand, F.when(F.col(held).isNotNull(), _of_words(F.col(held))).otherwise(none)).drop(held)
     scored = F.transform(F.transform(cand, lambda c: F.struct(c["word_no"], c["value"], c["before"], score(c).alias("score"))), lambda c: F.struct(c["word_no"], c["value"], c["before"], c["score"], (c["score"] >= SECRET).alias("secret")))
@@ -127,11 +128,13 @@ def secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return rows.select("doc_id", F.col("finding").cast("long").alias("finding"), "f.word_no", F.length("f.value").cast("long").alias("length"), F.sha2("f.value", 256).alias("value_sha256"), "f.score", F.col("f.secret").alias("is_secret"))
 
 
-def redacted(df: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """df with every secret's value in the text replaced by mark, wherever it stands; all rows and columns stay."""
-    out = "findings"
-    while any(c.startswith(out) for c in df.columns):
-        out += "_"
+def redacted(df: DataFrame, text: str = "text", mark: str = "[secret]", length: str | None = None) -> DataFrame:
+    """df with every secret's value in the text replaced by mark, wherever it stands, and the column `length`, if it is there, set to the text's length where that changed; all rows and columns stay."""
+    out = fresh_name("findings", df.columns)
     rows = with_findings(df, fit(df.sparkSession), text, out)
-    hidden = F.aggregate(F.filter(out, lambda f: f["secret"]), F.col(text), lambda t, f: F.replace(t, f["value"], F.lit(mark)))
-    return rows.withColumn(text, hidden).select(*df.columns)
+    found = F.filter(out, lambda f: f["secret"])
+    hidden = F.when(F.size(found) > 0, F.aggregate(found, F.col(text), lambda t, f: F.replace(t, f["value"], F.lit(mark)))).otherwise(F.col(text))
+    rows = rows.withColumn(text, hidden)
+    if length in df.columns:
+        rows = rows.withColumn(length, F.when(F.size(found) > 0, F.length(text)).otherwise(F.col(length)).cast(df.schema[length].dataType))
+    return rows.select(*df.columns)

@@ -12,9 +12,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.llm.ftrl import Ftrl, sigmoid
 from corpusmill.llm.kernels import ALNUM, Words, chunks, texts
+from corpusmill.llm.store import fresh_name
 
 #: labelled rows that weights are fitted on, passes over them, and the weight of a score change
 TRAIN_ROWS, EPOCHS, FAIRNESS = 12_000, 3, 4.0
@@ -124,17 +126,22 @@ def learn(x: list[np.ndarray], other: list[np.ndarray], y: np.ndarray, fairness:
     return leader.weights()[:, 0]
 
 
-def score_texts(df: DataFrame, weights: np.ndarray, text: str = "text") -> DataFrame:
-    """df with a column score, from 0 to 1: higher, likelier toxic. Null and empty texts score by the bias alone."""
-    kept = [c for c in df.columns if c != "score"]
+def score_texts(df: DataFrame, weights: np.ndarray, text: str = "text", out: str = "score") -> DataFrame:
+    """df with a column `out`, from 0 to 1: higher, likelier toxic. Null and empty texts score by the bias alone."""
+    names = df.columns
 
     def run(batches):
         for batch in batches:
-            got = [float(sigmoid(weights[_buckets(h)].sum() + weights[WIDTH])) for h in _documents(texts(batch.column("_text")))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(got, pa.float64())], [*kept, "score"])
+            got = [float(sigmoid(weights[_buckets(h)].sum() + weights[WIDTH])) for h in _documents(texts(batch.column(names.index(text))))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.float64())], [*names, out])
 
-    source = df.select(*kept, F.col(text).alias("_text"))
-    return source.mapInArrow(run, df.select(*kept).schema.add("score", "double"))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())]))
+
+
+def clean(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs whose texts score below threshold, with their columns as they are."""
+    out = fresh_name("score", docs.columns)
+    return score_texts(docs, fit(docs, labels, doc_id, text), text, out).filter(F.col(out) < threshold).drop(out)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
