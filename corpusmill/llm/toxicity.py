@@ -19,7 +19,7 @@ from corpusmill.llm.kernels import ALNUM, Words, chunks, texts
 from corpusmill.llm.store import fresh_name
 
 #: labelled rows that weights are fitted on, passes over them, and the weight of a score change
-TRAIN_ROWS, EPOCHS, FAIRNESS = 12_000, 3, 4.0
+TRAIN_ROWS, EPOCHS, FAIRNESS = 12_000, 2, 4.0
 WIDTH = 1 << 18
 THRESHOLD = 0.3
 
@@ -109,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 def learn(x: list[np.ndarray], other: list[np.ndarray], y: np.ndarray, fairness: float = FAIRNESS) -> np.ndarray:
     """Weights and bias from distinct features of each text, of its counterfactual (none: empty), and the labels."""
-    leader = Ftrl(1, WIDTH + 1, alpha=0.3, beta=1.0, l1=1.0, l2=0.1)
+    leader = Ftrl(1, WIDTH + 1, alpha=0.5, beta=1.0, l1=5.0, l2=1.0)
     rng = np.random.default_rng(4)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(x)):
