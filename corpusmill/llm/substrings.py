@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from corpusmill.llm.kernels import NOT_SPACE, Words, chunks, lists, run_hashes, signed, sliding_min, texts
 from corpusmill.llm.store import written
 
-#: words of an anchor
-ANCHOR = 5
+#: words of an anchor: long enough that copies with scattered edits share few
+ANCHOR = 12
 #: stands for a null doc_id between the steps
 NO_ID = -(1 << 63)
 
