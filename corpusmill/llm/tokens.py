@@ -1,9 +1,9 @@
-"""Token ids by a public tokenizer, encoded unit by unit and remembered.
+"""Token ids by a public tokenizer, encoded part by part and remembered.
 
-A text is cut at boundaries that its pre-tokenizer never crosses; equal units have equal ids, so each
-unit is encoded once, in batches, and looked up afterwards.  Texts with special-token strings or
-with white space on which Python and the library differ go through the library whole, or, where they
-are long, in the library's own time; the result is the same by construction and by test.
+A text is cut at boundaries that its pre-tokenizer never crosses, so each part's ids do not depend on its
+neighbours.  Texts within Latin-1 are cut into the pre-tokenizer's own words; others at white space; texts
+with special-token strings or with white space on which Python and the library differ are encoded
+whole.  New parts are encoded in batches by the library and looked up afterwards.
 """
 
 from __future__ import annotations
@@ -14,12 +14,19 @@ from functools import lru_cache
 import numpy as np
 import tokenizers
 
-#: units remembered per worker before the memory is dropped and begun anew (about 120 bytes a unit)
-REMEMBERED = 400_000
-#: separators and controls that str.split() and the library's \s treat differently
+#: parts remembered per worker before the memory is dropped and begun anew (about 200 bytes each)
+REMEMBERED = 500_000
+#: separators and controls that Python's white space and the library's \s treat differently
 _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b-\u200f\u2028\u2029\ufeff]")
 _SPACED = re.compile(r"\s ")
 _UNITS = re.compile(r"\s*\S+|\s+\Z")
+_INNER = re.compile(r"\S\s|\s\s|\s\Z")
+
+#: The letters and numbers of Latin-1, and the two pre-tokenizers' patterns over them.
+_L, _N = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾"
+_CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+_WORDS = re.compile(rf"{_CONTRACTIONS}|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
+_PREFIXED = re.compile(rf"{_CONTRACTIONS}| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
 
 
 @lru_cache(maxsize=4)
@@ -29,7 +36,7 @@ def coder(path: str, prefixed: bool) -> Coder:
 
 
 class Coder:
-    """prefixed: units keep the white space before them (byte-level vocabularies); otherwise it is dropped."""
+    """prefixed: parts keep the white space before them (byte-level vocabularies); otherwise it is dropped, and letters are lower-cased."""
 
     def __init__(self, path: str, prefixed: bool):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
@@ -40,10 +47,18 @@ class Coder:
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}
 
-    def units(self, text: str) -> list[str] | None:
-        """Units at safe boundaries; None if this text must be encoded whole."""
+    def parts(self, text: str) -> list[str] | None:
+        """Parts between safe boundaries; None if this text must be encoded whole."""
         if _ODD.search(text) or (self.special and self.special.search(text)):
             return None
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.units(text)
+        return _PREFIXED.findall(text) if self.prefixed else _WORDS.findall(text.lower())
+
+    def units(self, text: str) -> list[str]:
+        """A text cut at white space only."""
         if not self.prefixed:
             return text.split()
         if _SPACED.search(text):
@@ -52,44 +67,47 @@ class Coder:
         return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
 
     def learn(self, wanted: set[str]) -> None:
-        missing = sorted(wanted.difference(self.known))
+        missing = wanted.difference(self.known)
         if len(self.known) + len(missing) > REMEMBERED:
             self.known.clear()
-            missing = sorted(wanted)
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
+            missing = wanted
+        order = sorted(missing)
+        for at in range(0, len(order), 4096):
+            part = order[at : at + 4096]
             self.known.update(zip(part, self._encoded(part), strict=True))
 
-    def _encoded(self, units: list[str]) -> list[bytes]:
-        """Ids of each unit. Units without inner white space are encoded as one text and cut by offsets: far fewer calls."""
-        plain = [u for u in units if not re.search(r"\S\s|\s\s|\s\Z", u) and (not self.prefixed or u.startswith(" "))]
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part. Parts without inner white space are encoded as one text and cut by offsets: far fewer calls."""
+        if self.prefixed:
+            plain = [u for u in parts if u[0] == " " and not _INNER.search(u)]
+            joined, gap = "".join(plain), 0
+        else:
+            plain, joined, gap = parts, " ".join(parts), 1
         out: dict[str, bytes] = {}
         if plain:
-            joined = "".join(plain) if self.prefixed else " ".join(plain)
-            starts = np.cumsum([0] + [len(u) + (not self.prefixed) for u in plain])
             got = self.tokenizer.encode(joined, add_special_tokens=False)
             ids = np.array(got.ids, "<u4")
-            at = np.fromiter((o[0] for o in got.offsets), np.int64, len(ids))
-            ends = np.searchsorted(at, starts[1:]).tolist()
+            at = np.array(got.offsets, np.int64).reshape(-1, 2)[:, 0]
             if (np.diff(at) >= 0).all():
+                ends = 4 * np.searchsorted(at, np.cumsum([len(u) + gap for u in plain]))
                 raw, begin = ids.tobytes(), 0
-                for u, end in zip(plain, ends, strict=True):
-                    out[u] = raw[4 * begin : 4 * end]
+                for u, end in zip(plain, ends.tolist(), strict=True):
+                    out[u] = raw[begin:end]
                     begin = end
-        rest = [u for u in units if u not in out]
+        rest = [u for u in parts if u not in out]
         for u, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False) if rest else [], strict=True):
             out[u] = np.array(e.ids, "<u4").tobytes()
-        return [out[u] for u in units]
+        return [out[u] for u in parts]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [self.units(t) for t in texts]
+        cut = [self.parts(t) for t in texts]
         wanted: set[str] = set()
-        for units in cut:
-            wanted.update(units or ())
+        for parts in cut:
+            wanted.update(parts or ())
         self.learn(wanted)
         known = self.known
-        return [b"".join([known[u] for u in units]) if units is not None else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for units, t in zip(cut, texts, strict=True)]
+        return [b"".join([known[u] for u in parts]) if parts is not None else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for parts, t in zip(cut, texts, strict=True)]
 
     def balanced(self, texts: list[str], size: int = 1 << 20):
         """ids() over groups of texts of about size characters."""
