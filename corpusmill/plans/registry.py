@@ -1,11 +1,549 @@
-"""Every query of the engine by name, with the SQL that checks it."""
+"""Every query of the engine by name, with the SQL that checks it.
+
+A query applies one operator to whole tables; its SQL restates the operator's definition, not its plan.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpusmill.functions import markup
+from corpusmill.functions import text as X
+from corpusmill.operators import collect, extract, freshness, index, master, packs, retrieval
+from corpusmill.plans.tables import MIRROR_SQL, manifest, mirror, table
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# the index
+
+_WS = X.RUN
+_NORM = f"lower(trim(regexp_replace(text, '{_WS}', ' ', 'g')))"
+
+
+def _index_sql(fmt: str, then: str) -> str:
+    return f"""
+WITH m AS ({MIRROR_SQL.format(fmt=fmt)}),
+k AS (SELECT *, {_NORM} AS norm, length(regexp_replace(text, '^{_WS}|{_WS}$', '', 'g')) AS chars FROM m),
+h AS (SELECT *, CASE WHEN length(norm) < 50 THEN 'TOO_SHORT' ELSE sha256(norm) END AS key FROM k),
+r AS (SELECT *, row_number() OVER w AS n, first_value(text_path) OVER w AS best, count(*) OVER (PARTITION BY key) AS size
+      FROM h WINDOW w AS (PARTITION BY key ORDER BY length(text_path), text_path)),
+e AS (SELECT text_path, corpus, source_format, chars::BIGINT AS chars, key AS content_sha256,
+  CASE WHEN source_format = '.xlsx' OR key = 'TOO_SHORT' OR n > 1 THEN 'no' ELSE 'yes' END AS embed,
+  CASE WHEN source_format = '.xlsx' THEN 'bulk-data-spreadsheet' WHEN key = 'TOO_SHORT' THEN 'too-short' WHEN n > 1 THEN 'duplicate' ELSE '' END AS exclude_reason,
+  CASE WHEN key = 'TOO_SHORT' OR n = 1 THEN '' ELSE best END AS duplicate_of,
+  CASE WHEN key = 'TOO_SHORT' THEN 1 ELSE size END::BIGINT AS dup_group_size FROM r)
+{then}"""
+
+
+_FORMATS = "CASE WHEN doc_id % 10 = 0 THEN '.xlsx' ELSE '.txt' END"
+
+
+def _indexed(spark, sf_dir, formats=False) -> DataFrame:
+    return index.embed_index(index.described(mirror(spark, sf_dir, formats)))
+
+
+@query(_index_sql("'.txt'", "SELECT * FROM e"))
+def embed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _indexed(spark, sf_dir)
+
+
+@query(_index_sql(_FORMATS, "SELECT * FROM e"))
+def embed_index_formats(spark, sf_dir):
+    return _indexed(spark, sf_dir, True)
+
+
+@query(_index_sql(_FORMATS, "SELECT corpus, count(*) AS files, count(*) FILTER (embed = 'yes') AS embed, coalesce(sum(chars) FILTER (embed = 'yes'), 0)::BIGINT AS embed_chars FROM e GROUP BY corpus"))
+def embed_by_corpus(spark, sf_dir):
+    return index.by_corpus(_indexed(spark, sf_dir, True))
+
+
+@query(_index_sql(_FORMATS, "SELECT exclude_reason, count(*) AS files FROM e WHERE embed = 'no' GROUP BY exclude_reason"))
+def exclusion_histogram(spark, sf_dir):
+    return index.exclusions(_indexed(spark, sf_dir, True))
+
+
+@query(
+    _index_sql(
+        _FORMATS,
+        """, s AS (SELECT count(*) AS embed, coalesce(sum(chars), 0)::BIGINT AS embed_chars, coalesce(sum(greatest(1, chars // 2000)), 0)::BIGINT AS chunks FROM e WHERE embed = 'yes')
+SELECT *, round(chunks * 5536.0 / 1e9, 2)::DOUBLE AS gb_int8, round(chunks * 10144.0 / 1e9, 2)::DOUBLE AS gb_f32 FROM s""",
+    )
+)
+def chunk_storage_estimate(spark, sf_dir):
+    return index.storage(_indexed(spark, sf_dir, True))
+
+
+# scalars
+
+_CLEAN = rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace({{0}}, chr(160), ' '), '[ \t]+', ' ', 'g'), ' *\n *', chr(10), 'g'), '\n{{{{3,}}}}', chr(10) || chr(10), 'g'), '^{_WS.replace('{', '{{').replace('}', '}}')}|{_WS.replace('{', '{{').replace('}', '}}')}$', '', 'g')"
+
+
+@query(f"SELECT doc_id, {_CLEAN.format('text')} AS cleaned FROM documents")
+def clean_whitespace(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.clean_whitespace(F.col("text")).alias("cleaned"))
+
+
+@query(
+    """
+WITH f AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text ELSE 'Title: ' || source || chr(10) || 'Source: https://docs.example.org/' || doc_id || chr(10) || repeat('-', 72) || chr(10) || chr(10) || text END AS f FROM documents)
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE regexp_extract(f, '^Title: ([^\n]*)', 1) END AS title,
+  CASE WHEN doc_id % 3 = 0 THEN NULL ELSE regexp_extract(f, '\nSource: ([^\n]*)', 1) END AS source,
+  CASE WHEN strpos(substr(f, 1, 2000), repeat('-', 72)) > 0 THEN substr(f, strpos(f, repeat('-', 72)) + 72) ELSE f END AS body FROM f"""
+)
+def header_body_split(spark, sf_dir):
+    head = F.concat(F.lit("Title: "), "source", F.lit("\nSource: https://docs.example.org/"), F.col("doc_id").cast("string"), F.lit("\n" + X.RULE + "\n\n"), "text")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(head).alias("f"))
+    keys = F.when(X.header_rule_at(F.col("f")) > 0, X.header(F.col("f")))
+    rows = rows.withColumn("h", keys)
+    return rows.select("doc_id", F.try_element_at("h", F.lit("Title")).alias("title"), F.try_element_at("h", F.lit("Source")).alias("source"), X.body(F.col("f")).alias("body"))
+
+
+_EXT = "CASE doc_id % 5 WHEN 0 THEN '.pdf' WHEN 1 THEN '.html' WHEN 2 THEN '.zip' WHEN 3 THEN '.txt' ELSE '.odd' END"
+_AUDIT_SQL = f"""
+WITH f AS (SELECT source AS corpus, doc_id || {_EXT} AS relative_path, {_EXT} AS ext, text, greatest(strlen(text) * 3 / 1024.0, 1.0) AS kb FROM documents),
+c AS (SELECT *, CASE WHEN ext = '.zip' THEN 'skip' WHEN ext = '.odd' THEN 'skip' WHEN ext = '.pdf' AND length(text) < 200 THEN 'none' WHEN ext = '.pdf' AND length(text) / kb < 1.5 THEN 'thin'
+  WHEN length(regexp_replace(text, '^{_WS}|{_WS}$', '', 'g')) < 40 THEN 'thin' ELSE 'ok' END AS status FROM f),
+a AS (SELECT corpus, relative_path, status, CASE WHEN status = 'skip' THEN 0 ELSE length(text) END::BIGINT AS chars, round_even(kb, 0)::BIGINT AS source_kb,
+  round((CASE WHEN status = 'skip' THEN 0 ELSE length(text) END / kb)::DOUBLE, 2) AS chars_per_kb,
+  CASE WHEN ext = '.zip' THEN '.zip not text-extractable here' WHEN ext = '.odd' THEN 'unhandled .odd' WHEN status = 'none' THEN 'no text layer - needs OCR'
+  WHEN ext = '.pdf' AND status = 'thin' AND length(text) / kb < 1.5 THEN 'very low text density - likely partial scan' WHEN status = 'thin' THEN 'nearly empty' ELSE '' END AS note FROM c)
+"""
+
+
+def _audited(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    n = F.col("doc_id") % 5
+    ext = F.when(n == 0, ".pdf").when(n == 1, ".html").when(n == 2, ".zip").when(n == 3, ".txt").otherwise(".odd")
+    size = F.octet_length("text") * 3
+    rows = docs.select(F.col("source").alias("corpus"), F.concat(F.col("doc_id").cast("string"), ext).alias("relative_path"), size.alias("size"), "text")
+    said = extract.classified(extract.extension(F.col("relative_path")), F.col("text"), extract.kilobytes(F.col("size")))
+    return extract.audit(rows.withColumn("r", said).select("corpus", "relative_path", "size", "r.*"))
+
+
+@query(_AUDIT_SQL + "SELECT * FROM a")
+def extraction_audit(spark, sf_dir):
+    return _audited(spark, sf_dir)
+
+
+@query(_AUDIT_SQL + "SELECT corpus, status, count(*) AS files FROM a GROUP BY ALL")
+def audit_by_corpus_status(spark, sf_dir):
+    return _audited(spark, sf_dir).groupBy("corpus", "status").agg(F.count("*").alias("files"))
+
+
+@query(_AUDIT_SQL + "SELECT corpus, relative_path, status, chars FROM a WHERE status IN ('none', 'thin') AND lower(relative_path) LIKE '%.pdf'")
+def ocr_candidates(spark, sf_dir):
+    return extract.ocr_candidates(_audited(spark, sf_dir)).select("corpus", "relative_path", "status", "chars")
+
+
+_MANIFEST = "SELECT source AS corpus, doc_id || '.txt' AS relative_path, 'https://docs.example.org/' || doc_id || '.txt' AS source_url, lang, strlen(text)::BIGINT AS bytes, sha256(text) AS sha256 FROM documents"
+
+
+@query(_MANIFEST)
+def manifest_documents(spark, sf_dir):
+    return manifest(spark, sf_dir)
+
+
+# the master index
+
+_PUBLISHERS = ("docs.example.org", "public-domain")
+
+
+def _master(spark, sf_dir) -> DataFrame:
+    docs = manifest(spark, sf_dir).withColumn("language", X.language_name(F.col("lang"), F.col("lang")))
+    pages = table(spark, sf_dir, "pages")
+    bench = table(spark, sf_dir, "benchmark")
+    talk = table(spark, sf_dir, "conversations")
+    facts = lambda c: {"bytes": F.octet_length(c).cast("long"), "sha256": F.sha2(c, 256)}
+    pages = pages.select(F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("relative_path"), F.col("url").alias("source_url"), X.first_segment(F.col("url"), "https://www.example.org").alias("section"), *[v.alias(k) for k, v in facts("html").items()])
+    bench = bench.select(F.concat(F.col("item_id").cast("string"), F.lit(".txt")).alias("relative_path"), *[v.alias(k) for k, v in facts("text").items()])
+    talk = talk.select(F.concat_ws("-", "conv_id", "turn").alias("relative_path"), "role", *[v.alias(k) for k, v in facts("text").items()])
+    publisher, rights = _PUBLISHERS
+    return master.union(
+        [
+            master.projection(docs, "documents", "documents", format="TEXT", identifier=F.col("corpus"), source_page=F.col("source_url"), publisher=publisher, rights=rights),
+            master.projection(pages, "pages", "pages", language="English", format="HTML", identifier=F.left("section", F.lit(150)), source_page=F.col("source_url"), publisher=publisher, rights=rights),
+            master.projection(bench, "benchmark", "benchmark", language="English", format="TEXT", publisher=publisher, rights=rights),
+            master.projection(talk, "conversations", "conversations", language="English", format="TEXT", identifier=F.col("role"), publisher=publisher, rights=rights),
+        ]
+    )
+
+
+_LANGUAGE = "CASE WHEN lower(trim(lang)) = 'english' THEN 'English' WHEN lower(trim(lang)) = 'es' OR lower(lang) = 'spanish' THEN 'Spanish' ELSE coalesce(nullif(trim(lang), ''), 'Unknown') END"
+_TAIL = "'docs.example.org' AS publisher, 'public-domain' AS rights"
+_MASTER_SQL = f"""
+WITH idx AS (
+SELECT 'documents' AS corpus, 'documents/' || doc_id || '.txt' AS relative_path, {_LANGUAGE} AS language, 'TEXT' AS format, '' AS title, source AS identifier, 'https://docs.example.org/' || doc_id || '.txt' AS source_url, 'https://docs.example.org/' || doc_id || '.txt' AS source_page, {_TAIL}, strlen(text)::BIGINT AS bytes, sha256(text) AS sha256 FROM documents
+UNION ALL SELECT 'pages', 'pages/' || page_id || '.html', 'English', 'HTML', '', left(coalesce(nullif(split_part(replace(url, 'https://www.example.org/', ''), '/', 1), ''), 'misc'), 150), url, url, {_TAIL}, strlen(html), sha256(html) FROM pages
+UNION ALL SELECT 'benchmark', 'benchmark/' || item_id || '.txt', 'English', 'TEXT', '', '', '', '', {_TAIL}, strlen(text), sha256(text) FROM benchmark
+UNION ALL SELECT 'conversations', 'conversations/' || conv_id || '-' || turn, 'English', 'TEXT', '', role, '', '', {_TAIL}, strlen(text), sha256(text) FROM conversations)
+"""
+
+
+@query(_MASTER_SQL + "SELECT * FROM idx")
+def master_index(spark, sf_dir):
+    return _master(spark, sf_dir)
+
+
+@query(_MASTER_SQL + "SELECT count(*) AS rows, sum(bytes)::BIGINT AS bytes, bool_and(starts_with(source_url, 'http')) AS all_have_url, bool_and(length(sha256) = 64) AS all_have_sha FROM idx")
+def master_totals(spark, sf_dir):
+    return master.totals(_master(spark, sf_dir))
+
+
+@query(
+    """SELECT count(a.k) AS listed, count(b.k) AS disk, count(*) FILTER (b.k IS NULL) AS missing, count(*) FILTER (a.k IS NULL) AS unlisted
+FROM (SELECT DISTINCT 'doc/' || doc_id AS k FROM documents WHERE doc_id % 7 <> 0) a FULL JOIN (SELECT DISTINCT 'doc/' || doc_id AS k FROM labels) b USING (k)"""
+)
+def master_reconcile(spark, sf_dir):
+    path = F.concat(F.lit("DOC/"), F.col("doc_id").cast("string")).alias("relative_path")
+    return master.reconcile(table(spark, sf_dir, "documents").filter("doc_id % 7 <> 0").select(path), table(spark, sf_dir, "labels").select(path))
+
+
+# packs
+
+_FILES_SQL = _index_sql("'.txt'", """, f AS (
+SELECT e.corpus, 'text/' || d.doc_id || '.txt' AS path, e.corpus || '/' || d.doc_id || '.txt' AS source_path, CASE WHEN l.doc_id IS NULL THEN '' ELSE 'https://docs.example.org/' || d.doc_id END AS source_url,
+  CASE WHEN l.doc_id IS NULL THEN '' ELSE sha256(d.text) END AS source_sha256, '' AS title, CASE WHEN l.doc_id IS NULL THEN '' ELSE 'q' || l.quality END AS identifier,
+  CASE WHEN l.doc_id IS NULL THEN 'English' ELSE d.lang END AS language, e.chars, e.text_path
+FROM e JOIN documents d ON e.text_path = '_TEXT/' || d.source || '/' || d.doc_id || '.txt' LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE embed = 'yes')
+""")
+
+
+def _files(spark, sf_dir) -> DataFrame:
+    idx = _indexed(spark, sf_dir).withColumn("source_path", F.element_at(F.split("text_path", "/"), -1))
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    name = F.col("doc_id").cast("string")
+    known = docs.join(labels, "doc_id").select(F.col("source").alias("corpus"), F.concat(name, F.lit(".txt")).alias("relative_path"), F.concat(F.lit("https://docs.example.org/"), name).alias("source_url"), F.sha2("text", 256).alias("sha256"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("category"), F.col("lang").alias("language"))
+    return packs.pack_files(idx, known)
+
+
+@query(_FILES_SQL + "SELECT * FROM f")
+def pack_files(spark, sf_dir):
+    return _files(spark, sf_dir)
+
+
+@query(_FILES_SQL + "SELECT 'pack-' || corpus AS pack_id, count(*) AS doc_count, sum(chars)::BIGINT AS text_bytes, min(path) AS first_path, sha256(string_agg(path, ',' ORDER BY path)) AS paths_sha256 FROM f GROUP BY corpus")
+def pack_manifest(spark, sf_dir):
+    rows = packs.manifests(_files(spark, sf_dir).withColumn("pack_id", F.concat(F.lit("pack-"), F.col("corpus"))))
+    paths = F.transform("files", lambda f: f["path"])
+    return rows.select("pack_id", "doc_count", "text_bytes", F.get(paths, F.lit(0)).alias("first_path"), F.sha2(F.array_join(paths, ","), 256).alias("paths_sha256"))
+
+
+@query(
+    """SELECT 'meta-' || o_orderstatus AS pack_id, strftime(max(o_orderdate), '%Y-%m-%d') AS captured_at, strftime(max(o_orderdate), '%Y.%m.%d') AS version, count(*) AS n_members,
+  sha256(string_agg('m' || o_orderkey, ',' ORDER BY o_orderkey)) AS members_sha256, count(*) FILTER (o_custkey % 11 = 0) AS n_missing FROM orders GROUP BY o_orderstatus"""
+)
+def meta_rollup(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("meta-"), "o_orderstatus").alias("pack_id"), F.col("o_orderkey").alias("ord"), F.concat(F.lit("m"), F.col("o_orderkey").cast("string")).alias("member"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("captured_at"), (F.col("o_custkey") % 11 != 0).alias("built"))
+    return packs.meta(rows).select("pack_id", "captured_at", "version", F.size("members").cast("long").alias("n_members"), F.sha2(F.array_join("members", ","), 256).alias("members_sha256"), F.size("missing_members").cast("long").alias("n_missing"))
+
+
+@query(
+    _FILES_SQL
+    + """, p AS (SELECT 'pack-' || corpus AS pack_id, CASE WHEN corpus = 'src0' THEN 'meta' ELSE 'content' END AS kind, count(*) AS doc_count, sum(chars)::BIGINT AS text_bytes FROM f GROUP BY corpus)
+SELECT *, pack_id || '-2026.01.02.tar.zst' AS artifact, 'https://packs.example.org/r1/' || pack_id || '-2026.01.02.tar.zst' AS url FROM p"""
+)
+def pack_catalog(spark, sf_dir):
+    rows = packs.manifests(_files(spark, sf_dir).withColumn("pack_id", F.concat(F.lit("pack-"), F.col("corpus"))))
+    version = X.version(F.lit("2026-01-02"))
+    rows = rows.select("pack_id", F.when(F.col("pack_id") == "pack-src0", "meta").otherwise("content").alias("kind"), "doc_count", "text_bytes", F.concat("pack_id", F.lit("-"), version, F.lit(".tar.zst")).alias("artifact"))
+    return packs.entries(rows, "https://packs.example.org/r1/")
+
+
+@query(_FILES_SQL + "SELECT count(DISTINCT corpus) AS packs, count(DISTINCT corpus) FILTER (corpus <> 'src0') AS content, count(DISTINCT corpus) FILTER (corpus = 'src0') AS meta FROM f")
+def catalog_kinds(spark, sf_dir):
+    return packs.kinds(pack_catalog(spark, sf_dir))
+
+
+# names and order
+
+_SECTION = "p_size || '.' || (p_partkey % 13) || CASE WHEN p_partkey % 3 = 0 THEN 'a' ELSE '' END"
+
+
+@query(
+    f"""WITH s AS (SELECT DISTINCT {_SECTION} AS section FROM part)
+SELECT section, regexp_extract(split_part(section, '.', 1), '^\\d*')::BIGINT AS first_number, regexp_extract(split_part(section, '.', 2), '^\\d*')::BIGINT AS second_number, regexp_replace(split_part(section, '.', 2), '^\\d*', '') AS suffix FROM s"""
+)
+def natural_sort_key(spark, sf_dir):
+    p = F.col("p_partkey")
+    section = F.concat(F.col("p_size").cast("string"), F.lit("."), (p % 13).cast("string"), F.when(p % 3 == 0, "a").otherwise(""))
+    rows = table(spark, sf_dir, "part").select(section.alias("section")).distinct().withColumn("k", X.natural_key(F.col("section"))).orderBy("k")
+    part = lambda i, c: F.get("k", F.lit(i))[c]
+    return rows.select("section", part(0, "n").cast("long").alias("first_number"), part(1, "n").cast("long").alias("second_number"), part(1, "rest").alias("suffix"))
+
+
+_SLUGS = "(SELECT DISTINCT replace(p_name, ' ', '_') || '-for-TSCA-pcbs' AS slug FROM part UNION SELECT DISTINCT event_type || '-and-iaq' FROM events UNION SELECT 'greenchemistry' UNION SELECT 'the-hw_uv')"
+_WORD = "CASE WHEN lower(x) = 'tsca' THEN 'TSCA' WHEN lower(x) = 'pcbs' THEN 'PCBs' WHEN lower(x) = 'iaq' THEN 'IAQ' WHEN lower(x) = 'uv' THEN 'UV' WHEN lower(x) = 'hw' THEN 'Hazardous waste' WHEN lower(x) IN ('for', 'and', 'the') AND i > 1 THEN lower(x) ELSE upper(x[1]) || lower(x[2:]) END"
+
+
+@query(f"SELECT slug, CASE WHEN slug = 'greenchemistry' THEN 'Green Chemistry' ELSE array_to_string([{_WORD} for x, i in string_split(replace(slug, '_', '-'), '-') if x <> ''], ' ') END AS name FROM {_SLUGS}")
+def human_name(spark, sf_dir):
+    parts = table(spark, sf_dir, "part").select(F.concat(F.translate("p_name", " ", "_"), F.lit("-for-TSCA-pcbs")).alias("slug"))
+    events = table(spark, sf_dir, "events").select(F.concat("event_type", F.lit("-and-iaq")).alias("slug"))
+    fixed = spark.range(1).select(F.explode(F.array(F.lit("greenchemistry"), F.lit("the-hw_uv"))).alias("slug"))
+    return parts.union(events).union(fixed).distinct().select("slug", X.human_name(F.col("slug")).alias("name"))
+
+
+@query(
+    f"""WITH s AS (SELECT doc_id, source || '/' || regexp_extract({_NORM}, '^[^ ]*') AS stem FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY lower(stem || '.txt') ORDER BY doc_id) AS n FROM s)
+SELECT doc_id, CASE WHEN n = 1 THEN stem ELSE stem || '-' || (n - 1) END || '.txt' AS path FROM n"""
+)
+def path_collision_suffix(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat("source", F.lit("/"), F.substring_index(X.normalised(F.col("text")), " ", 1)).alias("stem"), F.lit(".txt").alias("ext"))
+    return index.suffixed(rows, "stem", "ext", [F.col("doc_id")]).select("doc_id", "path")
+
+
+@query(f"SELECT lang, {_LANGUAGE} AS language, count(*) AS documents FROM documents GROUP BY ALL")
+def language_name(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("lang", X.language_name(F.col("lang"), F.col("lang")).alias("language"))
+    return rows.groupBy("lang", "language").agg(F.count("*").alias("documents"))
+
+
+# pages
+
+_LINK = '(?is)<a[^>]+href="([^"]+)()"[^>]*>(.*?)</a>'
+_LINKS_SQL = r"""
+WITH a AS (SELECT page_id, url AS page, unnest(regexp_extract_all(html, '(?is)<a[^>]+href="[^"]+"[^>]*>.*?</a>')) AS a, generate_subscripts(regexp_extract_all(html, '(?is)<a[^>]+href="[^"]+"[^>]*>.*?</a>'), 1) - 1 AS pos FROM pages),
+h AS (SELECT page, pos::INT AS pos, regexp_extract(a, '(?is)href="([^"]+)"', 1) AS href, regexp_extract(a, '(?is)>(.*)</a>', 1) AS label FROM a),
+u AS (SELECT page, pos, CASE WHEN starts_with(href, '//') THEN 'https:' || href WHEN starts_with(href, '/') THEN 'https://www.example.org' || href WHEN starts_with(href, 'http') THEN href END AS url, label FROM h),
+l AS (SELECT page, pos, split_part(url, '?', 1) AS key, url, left(trim(regexp_replace(regexp_replace(label, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), 300) AS label FROM u WHERE url IS NOT NULL AND suffix(lower(split_part(url, '/', 3)), 'example.org'))
+"""
+
+
+def _links(spark, sf_dir) -> DataFrame:
+    # links of these pages have no extension: the pattern is a parameter
+    return collect.links(table(spark, sf_dir, "pages"), "https://www.example.org", "example.org", "html", _LINK)
+
+
+@query(_LINKS_SQL + "SELECT * FROM l")
+def link_harvest(spark, sf_dir):
+    return _links(spark, sf_dir)
+
+
+@query(_LINKS_SQL + ", r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY page, pos) AS n FROM l) SELECT key, min(url) FILTER (n = 1) AS url, min(label) FILTER (n = 1) AS label, string_agg(page, ' ' ORDER BY n) AS pages FROM r WHERE n <= 3 GROUP BY key")
+def link_first_pages(spark, sf_dir):
+    return collect.first_pages(_links(spark, sf_dir)).withColumn("pages", F.array_join("pages", " "))
+
+
+_BASE = "regexp_extract(url, '^[a-z]+://[^/]*', 0)"
+
+
+@query(
+    f"""WITH s AS (SELECT page_id, url, lower(split_part(url, '/', 3)) AS host, coalesce(nullif(split_part(replace(url, {_BASE} || '/', ''), '/', 1), ''), 'misc') AS section FROM pages)
+SELECT page_id, host, section, section IN ('en', 'fr', 'misc') AND NOT (section = 'fr' AND regexp_matches(url, '(?i)settlement|consent-decree|-cd\\b|page=')) AS in_scope, suffix(host, 'example.com') AS own_domain FROM s"""
+)
+def page_section_scope(spark, sf_dir):
+    url = F.col("url")
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", X.host(url).alias("host"), F.regexp_extract("url", r"\A[a-z]+://[^/]*", 0).alias("base"))
+    section = F.coalesce(X.blank_to_null(F.get(F.split(F.replace("url", F.concat("base", F.lit("/")), F.lit("")), "/"), F.lit(0))), F.lit("misc"))
+    rows = rows.withColumn("section", section)
+    settled = (F.col("section") == "fr") & F.col("url").rlike(r"(?i)settlement|consent-decree|-cd\b|page=")
+    return rows.select("page_id", "host", "section", (F.col("section").isin("en", "fr", "misc") & ~settled).alias("in_scope"), F.col("host").endswith("example.com").alias("own_domain"))
+
+
+_POLICIES = (("blog.tiontion.example.com", 1, 2.0, 10.0, ""), ("example.com", 8, 0.1, 60.0, ""), ("example.net", 4, 0.25, 120.0, ""))
+
+
+@query(
+    """WITH h AS (SELECT page_id, lower(split_part(url, '/', 3)) AS host FROM pages), p(ord, name, workers, delay, block_backoff) AS (VALUES (1, 'blog.tiontion.example.com', 1, 2.0::DOUBLE, 10.0::DOUBLE), (2, 'example.com', 8, 0.1, 60.0), (3, 'example.net', 4, 0.25, 120.0)),
+j AS (SELECT page_id, host, workers, delay, block_backoff, row_number() OVER (PARTITION BY page_id ORDER BY ord) AS n FROM h LEFT JOIN p ON host = name OR suffix(host, '.' || name))
+SELECT page_id, host, coalesce(workers, 2) AS workers, coalesce(delay, 0.5)::DOUBLE AS delay, coalesce(block_backoff, 120.0)::DOUBLE AS block_backoff FROM j WHERE n = 1"""
+)
+def host_policy(spark, sf_dir):
+    return collect.policy_of(table(spark, sf_dir, "pages").select("page_id", "url"), _POLICIES).drop("url")
+
+
+@query(f"SELECT page_id, regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '^{_WS}|{_WS}$', '', 'g') AS title FROM pages WHERE regexp_extract(html, '<title>([^<]*)</title>', 1) NOT LIKE '%&%'")
+def page_title(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", X.title_markup(F.col("html")).alias("raw")).filter(~F.contains("raw", F.lit("&")))
+    return rows.select("page_id", X.without_suffix(F.col("raw"), "Example Site").alias("title"))
+
+
+@query()
+def article_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", X.clean_whitespace(markup.html_unescape(X.article_markup(F.col("html")))).alias("article"))
+
+
+@query()
+def html_main_text(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").select("page_id", markup.html_main_text(F.col("html")).alias("r"))
+    return rows.select("page_id", "r.title", "r.body")
+
+
+@query()
+def slug(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.left(X.collapsed(F.col("text")), F.lit(120)).alias("title"))
+    return docs.select("doc_id", markup.slugged(F.col("title"), 80, "document").alias("slug"), markup.slugged(F.col("title"), 60, "section", dots=True).alias("section_slug"))
+
+
+# sets
+
+_HALF = "SELECT url, 'listing' AS origin, page_id FROM pages WHERE page_id % 2 = 0"
+
+
+@query(f"WITH a AS ({_HALF}), b AS (SELECT url, 'sitemap' AS origin, NULL::BIGINT AS page_id FROM pages WHERE page_id % 3 = 0) SELECT * FROM a UNION ALL SELECT * FROM b WHERE url NOT IN (SELECT url FROM a)")
+def priority_union(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    first = pages.filter("page_id % 2 = 0").select("url", F.lit("listing").alias("origin"), "page_id")
+    second = pages.filter("page_id % 3 = 0").select("url", F.lit("sitemap").alias("origin"))
+    return index.priority_union(first, second, "url")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def todo_anti_join(spark, sf_dir):
+    return index.todo(table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+def _keys(spark, sf_dir):
+    key = F.concat(F.lit("https://docs.example.org/"), F.lpad(F.col("doc_id").cast("string"), 12, "0"))
+    docs = table(spark, sf_dir, "documents").filter("doc_id % 5 <> 0").select(F.concat(key, F.lit("?rev=1")).alias("source_url"))
+    return table(spark, sf_dir, "labels").select(key.alias("key")), freshness.known_urls(docs)
+
+
+_DIFF = """
+WITH k AS (SELECT DISTINCT 'https://docs.example.org/' || lpad(doc_id::VARCHAR, 12, '0') AS key FROM documents WHERE doc_id % 5 <> 0),
+c AS (SELECT DISTINCT 'https://docs.example.org/' || lpad(doc_id::VARCHAR, 12, '0') AS key FROM labels),
+a AS (SELECT key FROM c EXCEPT SELECT key FROM k), r AS (SELECT key FROM k EXCEPT SELECT key FROM c)
+SELECT {stale} AS stale, (SELECT count(*) FROM a) AS added, (SELECT count(*) FROM r) AS removed,
+  (SELECT string_agg(key, ' ' ORDER BY key) FROM (SELECT key FROM a ORDER BY key LIMIT {n})) AS added_sample, (SELECT string_agg(key, ' ' ORDER BY key) FROM (SELECT key FROM r ORDER BY key LIMIT {n})) AS removed_sample"""
+
+
+def _joined(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.array_join(c, " ") for c in ("added_sample", "removed_sample")})
+
+
+@query(_DIFF.format(stale="(SELECT count(*) FROM a) + (SELECT count(*) FROM r) > 0", n=10))
+def url_set_diff(spark, sf_dir):
+    return _joined(freshness.difference(*_keys(spark, sf_dir)))
+
+
+@query(_DIFF.format(stale="(SELECT count(*) FROM a) > 0", n=20))
+def new_identifier_diff(spark, sf_dir):
+    return _joined(freshness.difference(*_keys(spark, sf_dir), sample=20, only_added=True))
+
+
+@query("SELECT event_type, strftime(max(ts), '%Y-%m-%d') AS current, event_type <> 'signup' AND strftime(max(ts), '%Y-%m-%d') > '2024-01-15' AS stale FROM events GROUP BY event_type")
+def api_date_stale(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").groupBy("event_type").agg(F.date_format(F.max("ts"), "yyyy-MM-dd").alias("current"))
+    captured = F.when(F.col("event_type") == "signup", "").otherwise("2024-01-15")
+    return rows.select("event_type", "current", freshness.date_stale(F.col("current"), captured).alias("stale"))
+
+
+@query("SELECT event_type || '-' || (user_id % 50) AS pack_id FROM events GROUP BY ALL HAVING floor(epoch(TIMESTAMP '2024-02-01' - max(ts)) / 86400) >= 3 UNION ALL SELECT 'never'")
+def due_packs(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    ident = F.concat("event_type", F.lit("-"), (F.col("user_id") % 50).cast("string"))
+    checks = events.select(ident.alias("pack_id"), F.col("ts").cast("timestamp").alias("checked_at"))
+    ids = checks.select("pack_id").distinct()
+    single = ids.select("pack_id", F.lit("content").alias("kind"), F.lit(None).cast("array<string>").alias("members"), F.lit(3).alias("cadence_days"))
+    meta = spark.range(1).select(F.lit("bundle").alias("pack_id"), F.lit("meta").alias("kind"), F.array(F.lit("never")).alias("members"), F.lit(3).alias("cadence_days"))
+    return freshness.due(single.unionByName(meta), checks, F.timestamp_seconds(F.lit(1706745600)))
+
+
+# retrieval
+
+_PHRASES = (("the", ["article", "Thing"]), ("de la", ["genitive", "of the"]), ("re", ["again", "of"]), ("und", ["and", "also", "article"]))
+_PHRASE_SQL = ", ".join(f"({i}, '{p}')" for i, (p, _) in enumerate(_PHRASES))
+
+
+def _questions(spark, sf_dir):
+    talk = table(spark, sf_dir, "conversations").filter("role = 'user'")
+    return talk.select(F.concat_ws("-", "conv_id", "turn").alias("question_id"), F.col("text").alias("question"))
+
+
+def _vocabulary(spark) -> DataFrame:
+    maps = spark.range(1).select(F.lit("demo").alias("pack_id"), F.map_from_arrays(F.array(*[F.lit(p) for p, _ in _PHRASES]), F.array(*[F.array(*map(F.lit, t)) for _, t in _PHRASES])).alias("query_expansion"))
+    return retrieval.exploded(maps)
+
+
+@query(rf"WITH p(ord, phrase) AS (VALUES {_PHRASE_SQL}) SELECT conv_id || '-' || turn AS question_id, ord, phrase FROM conversations, p WHERE role = 'user' AND regexp_matches(lower(text), '(^|[^\p{{L}}\p{{N}}_])' || phrase || '([^\p{{L}}\p{{N}}_]|$)')")
+def query_expansion_hits(spark, sf_dir):
+    return retrieval.hits(_questions(spark, sf_dir), _vocabulary(spark)).select("question_id", "ord", "phrase")
+
+
+@query()
+def query_expansion(spark, sf_dir):
+    return retrieval.expand(_questions(spark, sf_dir), _vocabulary(spark)).select("question_id", "terms")
+
+
+@query("SELECT item_id, regexp_matches(text, '(?i)the|de') AND regexp_matches(text, '(?i)[aeiou]n') AND NOT regexp_matches(text, '(?i)ou\\.') AS passed FROM benchmark")
+def smoke_contains(spark, sf_dir):
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("answer"), F.array(F.lit("the|de"), F.lit("[aeiou]n")).alias("contains"), F.array(F.lit(r"ou\.")).alias("not_contains"))
+    return retrieval.smoke(rows).select("item_id", "passed")
+
+
+_NOTICE = X.LETTER_NOTICE + " To keep apprised of such developments, you can consult the website at " + X.LETTER_NOTICE_END + ". "
+
+
+@query(
+    f"""WITH w AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN text ELSE '' END || CASE WHEN doc_id % 3 = 2 THEN text ELSE '{_NOTICE}' || text END AS text FROM documents)
+SELECT doc_id, regexp_replace(regexp_replace(CASE WHEN doc_id % 3 = 0 THEN d.text || regexp_replace(d.text, '^[ .]+', '') WHEN doc_id % 3 = 1 THEN regexp_replace(d.text, '^[ .]+', '') ELSE d.text END, '\n{{3,}}', chr(10) || chr(10), 'g'), '^{_WS}|{_WS}$', '', 'g') AS body, false AS archived FROM documents d"""
+)
+def letter_clean(spark, sf_dir):
+    text, n = F.col("text"), F.col("doc_id") % 3
+    wrapped = F.when(n == 0, F.concat(text, F.lit(_NOTICE), text)).when(n == 1, F.concat(F.lit(_NOTICE), text)).otherwise(text)
+    return table(spark, sf_dir, "documents").select("doc_id", X.clean_letter(wrapped).alias("r")).select("doc_id", "r.body", "r.archived")
+
+
+@query()
+def path_lint(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    said = F.concat(F.col("text"), F.when(F.col("doc_id") % 4 == 0, F.lit("\nsee D:\\data\\x.txt")).otherwise(F.lit("\nsee https://docs.example.org/c:/x")))
+    return docs.select("doc_id", F.explode(X.path_lint(said)).alias("r")).select("doc_id", "r.line", "r.text")
+
+
+# markup
+
+_MD = "# {0}\n\nSee [the guide](guide.md) and **{1}** — *now*.\n\n```\ncode {0}\n```\n\n- {2}\n"
+
+
+@query()
+def md_to_text(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    md = F.concat(F.lit("# "), "source", F.lit("\n\nSee [the guide](guide.md) and **"), F.col("doc_id").cast("string"), F.lit("** - *now*.\n\n- "), F.replace("text", F.lit("\n"), F.lit(" ")))
+    return docs.select("doc_id", markup.md_text(md).alias("plain"))
+
+
+_TABLE = '<TABLE><THEAD><TR><TH rowspan="2">(1) Name</TH><TH colspan="2">Packaging (§ 173.1)</TH></TR><TR><TH>Bulk</TH><TH>(8A) Non-bulk</TH></TR></THEAD><TBODY><TR><TD>%s</TD><TD></TD><TD>%s</TD></TR></TBODY></TABLE>'
+
+
+@query("SELECT p_partkey, 'Name: ' || p_name || ' | Packaging - Non-bulk: ' || p_size AS line FROM part")
+def cfr_table_render(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", markup.table_text(F.format_string(_TABLE, "p_name", "p_size")).alias("line"))
+
+
+@query("SELECT p_partkey, p_size || '.' || p_partkey AS section, p_name AS subject, '§ ' || p_size || '.' || p_partkey || ' ' || p_name || '.' || chr(10) || 'The requirements of this part apply to ' || p_type || '.' || chr(10) || chr(10) || 'Name: ' || p_name || ' | Packaging - Non-bulk: ' || p_size AS text FROM part")
+def cfr_to_text(spark, sf_dir):
+    block = '<DIV5><DIV8 N="%s.%s" TYPE="SECTION"><HEAD>§ %s.%s %s.</HEAD><P>The requirements of this part apply to %s.</P>' + _TABLE + "</DIV8></DIV5>"
+    xml = F.format_string(block, "p_size", "p_partkey", "p_size", "p_partkey", "p_name", "p_type", "p_name", "p_size")
+    return table(spark, sf_dir, "part").select("p_partkey", F.explode(markup.cfr_section_rows(xml)).alias("r")).select("p_partkey", "r.section", "r.subject", "r.text")
+
+
+@query("SELECT artifact, CASE WHEN doc_id % 9 = 0 THEN 'absent' WHEN doc_id % 5 = 0 THEN 'mismatched' ELSE 'verified' END AS status FROM (SELECT doc_id, doc_id || '.tar.zst' AS artifact FROM documents)")
+def verify_artifacts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(".tar.zst")).alias("artifact"), "text")
+    wanted = docs.select("artifact", F.sha2("text", 256).alias("artifact_sha256"))
+    files = docs.filter("doc_id % 9 <> 0").select("artifact", F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).cast(T.BinaryType()).alias("content"))
+    return packs.verified(wanted, files)
