@@ -1,0 +1,142 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from corpusmill.llm import embeddings, forest, language, licenses, secrets, toxicity
+from corpusmill.llm.components import components
+from tests.llm import brute
+from tests.llm.conftest import DOCUMENTS
+
+
+def test_components(spark):
+    rng = random.Random(0)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5, 5), (None, 3)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    real = [(a, b) for a, b in links if a is not None and a != b]
+    assert got == brute._roots(sorted({x for p in real for x in p}), real)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _vectors():
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(8, 12)) * np.linspace(3, 0.2, 12)
+    rows = []
+    for i in range(140):
+        v = base[i % 8] + rng.normal(size=12) * rng.choice([0.0, 0.05, 0.15, 0.6])
+        rows.append((i, [float(np.float32(x)) for x in v], int(i % 3) if i % 17 else None))
+    rows += [(200, None, 1), (201, [0.0] * 12, 1), (202, [float("nan")] + [1.0] * 11, 1), (203, [None] + [1.0] * 11, 1), (204, [], 1), (205, [1.0, 0.0], 1), (206, [2.0, 0.0], 1), (207, [1.0, -0.0], 1), (208, [float("inf"), 1.0], 1), (209, [1e-30] * 12, 1), (210, [1e30] * 12, 1)]
+    return rows + [(300 + i, rows[3][1], rows[3][2]) for i in range(9)]
+
+
+@pytest.mark.parametrize("tile", [1024, 4])
+def test_vectors(spark, tile, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    rows = _vectors()
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, name string")
+    got = sorted((tuple(r) for r in embeddings.near_vectors(df).collect()), key=repr)
+    assert got == sorted(brute.vectors(rows), key=repr)
+    assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+def test_language(spark, docs, empty):
+    rng = random.Random(1)
+    words = {"en": "the and ing tion with that", "de": "der die und schön straße ein", "fr": "été les une où ça que"}
+    make = lambda n: " ".join(rng.choice(words[n].split()) + rng.choice(["", "a", "e"]) for _ in range(30))
+    rows = [(i, make(n := rng.choice(list(words))), n) for i in range(300)] + [(900, None, "en"), (901, "12 34!", "de"), (902, make("en"), None), (None, make("fr"), "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r for r in language.identify(df, language.fit(df)).collect()}
+    held = [r for r in rows[:300] if language.in_test_fold(r[0])]
+    assert all(found[r[0]].held_out == language.in_test_fold(r[0]) for r in rows[:300]) and len(held) > 30
+    assert np.mean([found[r[0]].lang_pred == r[2] for r in held]) > 0.97
+    assert found[900].lang_pred == found[901].lang_pred == "und" and found[902].lang_pred == "en"
+    assert all(0 <= r.score <= 1 for r in found.values())
+    assert language.identify(docs, language.fit(empty)).filter("lang_pred <> 'und'").count() == 0
+    assert language.identify(empty, language.fit(df)).count() == 0
+    counted = dict(zip(*map(lambda x: x.tolist(), language.grams("ab" * 200_000)), strict=True))
+    assert sum(counted.values()) == 3 * 400_000 - 3
+
+
+def test_toxicity(spark, docs, empty):
+    rng = random.Random(2)
+    plain = lambda n: [f"w{rng.randrange(200)}" for _ in range(n)]
+    rows, labels = [], []
+    for i in range(800):
+        bad = rng.random() < 0.25
+        words = plain(40) + (["vile"] * bad) + (["women"] if rng.random() < (0.6 if bad else 0.1) else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    df = spark.createDataFrame([*rows, (5000, None), (5001, "")], "doc_id long, text string")
+    marks = spark.createDataFrame([*labels, (None, 1), (3, None), (7, labels[7][1])], "doc_id long, toxic int")
+    found = {r.doc_id: r for r in toxicity.toxicity(df, marks).collect()}
+    held = [i for i, _ in labels if brute.crc(i) % 4 == 2]
+    assert all(found[i].held_out == (brute.crc(i) % 4 == 2) for i, _ in labels)
+    assert np.mean([found[i].predicted == labels[i][1] for i in held]) > 0.97
+    assert found[5000].score == found[5001].score and 0 <= found[5000].score <= 1
+    weights = toxicity.fit(df, marks)
+    probe = spark.createDataFrame([(1, "some women here"), (2, "some men here"), (3, "some vile thing")], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in toxicity.score_texts(probe, weights).collect()}
+    assert abs(score[1] - score[2]) < 0.1 < 0.3 < score[3]
+    assert toxicity.toxicity(docs, marks.limit(0)).filter("score <> 0.5").count() == 0
+    assert toxicity.toxicity(empty, marks).count() == 0
+    kept = toxicity.clean(docs, marks)
+    assert kept.columns == docs.columns and kept.count() == toxicity.toxicity(docs, marks).filter("predicted = 0").count() > 90
+
+
+def test_counterfactual_penalty_narrows_the_change():
+    """With the penalty, swapping a term changes the score less."""
+    women, men = (int(toxicity._buckets(toxicity._hash_of([w]))[0]) for w in ("women", "men"))
+    rng = np.random.default_rng(0)
+    x, other, y = [], [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        own = rng.integers(1000, 1100, 5).tolist() + [women] * (bad or i % 16 == 1)
+        x.append(np.unique(own))
+        other.append(np.unique([men if f == women else f for f in own]) if women in own else np.zeros(0, np.int64))
+        y.append(float(bad))
+    gap = {f: abs(w[women] - w[men]) for f in (0.0, 4.0) for w in [toxicity.learn(x, other, np.array(y), f)]}
+    assert gap[4.0] < 0.3 * gap[0.0]
+
+
+def test_secrets(spark, docs, empty):
+    found = secrets.secrets(docs).collect()
+    hidden = {r.doc_id for r in found if r.is_secret}
+    assert 70 in hidden and not hidden & {71, 72, 73}
+    value = "1eb9c654e721b4f812088970e66a6345cee33dd6"
+    assert {r.value_sha256 for r in found if r.is_secret} == {hashlib.sha256(value.encode()).hexdigest()}
+    shown = secrets.redacted(docs, length="n_chars")
+    assert shown.columns == docs.columns
+    texts = {r.row: (r.text, r.n_chars) for r in shown.collect()}
+    before = {i: t for i, (_, t) in enumerate(DOCUMENTS)}
+    changed = {i for i in before if texts[i][0] != before[i]}
+    assert [DOCUMENTS[i][0] for i in changed] == [70]
+    assert all(texts[i] == ('set token = "[secret]" now', 26) for i in changed)
+    assert secrets.secrets(empty).count() == 0 and secrets.redacted(empty).count() == 0
+
+
+def test_secret_scores_are_the_forests(spark):
+    """The column expression gives what the trees give, row by row."""
+    trees = secrets.fit(spark)
+    from pyspark.sql import functions as F
+
+    x = F.array(*secrets.features(F.col("value"), F.col("before")))
+    columns = [F.col("x")[i] for i in range(len(secrets.FEATURES))]
+    rows = secrets.labelled(spark, 400).select("id", "secret", x.alias("x")).select("id", "secret", "x", forest.expression(trees, columns).alias("score")).collect()
+    assert all(abs(forest.predict(trees, r.x) - r.score) < 1e-12 for r in rows)
+    fresh = secrets.labelled(spark, 4000).filter("id >= 3000").select("secret", forest.expression(trees, secrets.features(F.col("value"), F.col("before"))).alias("score")).collect()
+    assert np.mean([(r.score >= 0.5) == (r.secret == 1) for r in fresh]) > 0.97
+
+
+def test_licenses(docs, empty):
+    duckdb = pytest.importorskip("duckdb")
+    got = sorted((tuple(r) for r in licenses.licenses(docs).collect()), key=repr)
+    import pyarrow as pa
+
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [d for d, _ in DOCUMENTS], "text": [t for _, t in DOCUMENTS]}))
+    assert got == sorted(con.sql(licenses.oracle()).fetchall(), key=repr)
+    by = {r[0]: r for r in got}
+    assert by[81][2:5] == (2, 0, 2) and by[82][5] == "apache,gpl" and by[83][6] == "mit" and by[83][2] == 0
+    assert licenses.licenses(empty).count() == 0
