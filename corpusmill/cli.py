@@ -22,6 +22,12 @@ def say(value) -> None:
     print(json.dumps(value, indent=1, ensure_ascii=False, default=str))
 
 
+def latest(spark, texts: str):
+    """The last extraction of each file."""
+    rows = spark.read.parquet(texts)
+    return rows.groupBy("relative_path").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "relative_path"]), "modified").alias("r")).select("relative_path", "r.*")
+
+
 def run_extract(spark, a) -> dict:
     docs, texts = files.documents(spark, a.root), f"{a.root}/{STATE}/text"
     if files.exists(spark, texts):
@@ -30,13 +36,13 @@ def run_extract(spark, a) -> dict:
     found = extract.extract(docs).join(docs.select("relative_path", "modified"), "relative_path")
     found = found.withColumn("text", F.when(F.col("status") == "ok", extract.mirror_text(F.col("title"), F.col("body"))))
     found.drop("title", "body").write.mode("append").parquet(texts)
-    audited = extract.audit(spark.read.parquet(texts))
+    audited = extract.audit(latest(spark, texts))
     audited.write.mode("overwrite").parquet(f"{a.root}/{STATE}/audit")
     return {r.status: r["count"] for r in audited.groupBy("status").count().collect()}
 
 
 def run_index(spark, a) -> dict:
-    rows = spark.read.parquet(f"{a.root}/{STATE}/text").filter("status = 'ok'")
+    rows = latest(spark, f"{a.root}/{STATE}/text").filter("status = 'ok'")
     ext = extract.extension(F.col("relative_path"))
     rows = rows.select(F.concat(F.lit(f"{files.MIRROR}/"), X.mirror_path(F.col("relative_path"))).alias("text_path"), "corpus", ext.alias("source_format"), "text", F.regexp_replace("relative_path", r"\A[^/]*/", "").alias("source_path"))
     index.embed_index(index.described(rows, keep=("source_path",))).write.mode("overwrite").parquet(f"{a.root}/{STATE}/index")

@@ -30,7 +30,7 @@ def _tree(spark: SparkSession, path: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, root: str) -> DataFrame:
-    """(corpus, relative_path, modified, size, content) of every document below root; the content is read only if selected."""
+    """(corpus, relative_path, modified, size, content) of every document below root; the content is read only if selected. Spark lists no empty files, and there is no text in them."""
     rows = _tree(spark, root).select(_relative(root).alias("relative_path"), F.col("modificationTime").alias("modified"), F.col("length").alias("size"), "content")
     name = F.element_at(F.split("relative_path", "/"), -1)
     kept = ~F.lower(name).isin(*META) & ~name.endswith(".part") & ~F.concat(F.lit("/"), F.col("relative_path")).contains(f"/{MIRROR}/")
