@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.llm import decontamination, embeddings, jaccard, language, licenses, packing, secrets, substrings, token_counts, toxicity
+from corpusmill.llm.oracles import SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,4 +77,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_license_scans": licenses.oracle()}
+    return dict(SQL)
