@@ -136,6 +136,13 @@ def without_suffix(title: Column, pattern: str) -> Column:
     return stripped(F.regexp_replace(stripped(title), rf"[{SPACES}]*\|[{SPACES}]*{pattern}[{SPACES}]*\z", ""))
 
 
+def resource_title(title: Column) -> Column:
+    """A landing page's title without the site's name, without an invitation to download, and without dots at its ends."""
+    plain = without_suffix(title, "NFPA")
+    plain = F.regexp_replace(plain, rf"(?i)\.?[{SPACES}]*Download the free NFPA (PDF|resource)\.?[{SPACES}]*\z", "")
+    return F.regexp_replace(plain, r"\A[ .\n]+|[ .\n]+\z", "")
+
+
 def locations(xml: Column) -> Column:
     """The addresses of a sitemap, in order."""
     return F.regexp_extract_all(xml, F.lit("<loc>([^<]+)</loc>"), F.lit(1))

@@ -23,6 +23,7 @@ SKIPPED = (".zip", ".mobi", ".epub", ".doc", ".xls", ".pptx", ".ppt")
 PARSED = (".pdf", ".html", ".htm", ".docx", ".xlsx")
 PDF_SECONDS, XLSX_BYTES, SHEET_ROWS = 120, 10 * 1024 * 1024, 3000
 NO_LAYER, THIN, EMPTY = 200, 1.5, 40
+SITE = "Occupational Safety and Health Administration"
 OCR_SECONDS, OCR_PAGES, OCR_LEAST = 45 * 60, 400, 200
 MAGIC = {".pdf": b"%PDF", ".docx": b"PK", ".xlsx": b"PK", ".zip": b"PK", ".pptx": b"PK"}
 
@@ -93,7 +94,7 @@ def pdf(content: bytes) -> tuple[str, str]:
 
 def page(content: bytes) -> tuple[str, str]:
     found = markup.main_text(content.decode(errors="replace"))
-    return found["title"], found["body"]
+    return re.sub(rf"\s*\|\s*{SITE}\s*\Z", "", found["title"]).strip(), found["body"]
 
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -243,6 +244,19 @@ def tesseract(content: bytes, lang: str = "eng") -> tuple[int, str, str]:
     return code, "\n".join(texts), error
 
 
+#: Folders that hold no sources of plain-text twins.
+NO_TWINS = (".git", ".venv", "node_modules", "__pycache__", ".pytest_cache", "dist", "build", "site-packages", "state")
+
+
+def twins(documents: DataFrame) -> DataFrame:
+    """(relative_path, want, stale) of the Markdown files of documents (relative_path, text): the twin's text, and whether the .txt file beside it differs or is missing."""
+    folders = F.slice(F.split("relative_path", "/"), F.lit(1), F.size(F.split("relative_path", "/")) - 1)
+    md = documents.filter(F.col("relative_path").endswith(".md") & ~F.arrays_overlap(folders, F.array(*map(F.lit, NO_TWINS))))
+    md = md.select(F.regexp_replace("relative_path", r"\.md\z", ".txt").alias("relative_path"), markup.md_text(F.col("text")).alias("want"))
+    have = documents.select("relative_path", F.col("text").alias("have"))
+    return md.join(have, "relative_path", "left").select("relative_path", "want", (~F.col("want").eqNullSafe(F.col("have"))).alias("stale"))
+
+
 def missing_tools(tools: tuple[str, ...] = ("tesseract", "pdftoppm")) -> list[str]:
     import shutil
 

@@ -61,3 +61,34 @@ def record(captures: DataFrame, corpus: str, date: str) -> DataFrame:
     """captures (corpus, captured_at) with corpus set to date."""
     new = captures.sparkSession.range(1).select(F.lit(corpus).alias("corpus"), F.lit(date).alias("captured_at"))
     return captures.filter(F.col("corpus") != corpus).unionByName(new)
+
+
+#: How a pack is checked; packs of sections are checked as the whole they are part of.
+METHODS = {
+    "cfr-29": "api_date",
+    "dot-hazmat": "api_date",
+    "osha-publications": "manifest_hash",
+    "osha-interpretations": "manifest_hash",
+    "osha-directives": "new_identifier",
+    "nfpa-public": "manifest_hash",
+    "epa": "harvest",
+}
+
+
+def method(pack_id: Column) -> Column:
+    """The way a pack is checked; null for one that has none."""
+    known = F.create_map(*[F.lit(x) for pair in METHODS.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, pack_id), F.when(pack_id.startswith("epa-"), "harvest"))
+
+
+def plan(packs: DataFrame, specs: DataFrame) -> DataFrame:
+    """(pack_id, owner, method, detail) of packs (pack_id): what to check and how, or why not."""
+    rows = packs.join(owners(specs), "pack_id", "left").withColumn("method", F.when(F.col("owner").isNotNull() | F.col("pack_id").startswith("epa-"), method(F.col("pack_id"))))
+    detail = F.when(F.col("method").isNotNull(), "").when(F.col("owner").isNull(), "unknown pack").otherwise("no checker for this pack")
+    return rows.select("pack_id", "owner", "method", detail.alias("detail"))
+
+
+def report(pack_id: str, how: str, found: DataFrame, now: Column | None = None) -> DataFrame:
+    """A report row of a check's row."""
+    at = F.date_format(now if now is not None else F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    return found.select(F.lit(pack_id).alias("pack"), at.alias("checked_at"), F.lit(how).alias("method"), *found.columns)

@@ -6,6 +6,7 @@ and queries never use the network.
 
 from __future__ import annotations
 
+import os
 import random
 import time
 from collections.abc import Callable
@@ -66,6 +67,40 @@ def fetch(urls: DataFrame, client: Callable = urllib_client, sleep: Callable = t
     return rows.mapInArrow(run, "url string, outcome string, body string")
 
 
+def download(plan: DataFrame, folder: str, client: Callable = urllib_client, sleep: Callable = time.sleep) -> DataFrame:
+    """(url, path, outcome) of a plan (url, path): each file written beside its place and renamed, so it is whole or absent.
+
+    Files that are there already are kept. Content that is not what the extension says is wrong_type and
+    not written. folder must be one that all executors share.
+    """
+    from corpusmill.operators.extract import MAGIC
+
+    rows = policy_of(plan.select("url", "path")).repartition("host")
+
+    def one(url: str, path: str, host: str, delay: float, backoff: float) -> str:
+        place = os.path.join(folder, path)
+        if os.path.exists(place) and os.path.getsize(place):
+            return "already"
+        if host in FORBIDDEN_HOSTS:
+            return "forbidden"
+        outcome, content = fetch_one(url, delay, backoff, client, sleep)
+        mark = MAGIC.get(os.path.splitext(path)[1].lower(), b"")
+        if content is None or not content.startswith(mark):
+            return outcome if content is None else "wrong_type"
+        os.makedirs(os.path.dirname(place), exist_ok=True)
+        with open(place + ".part", "wb") as f:
+            f.write(content)
+        os.replace(place + ".part", place)
+        return outcome
+
+    def run(batches):
+        for batch in batches:
+            done = [one(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("url", "path", "host", "delay", "block_backoff")), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("url"), batch.column("path"), pa.array(done, pa.string())], ["url", "path", "outcome"])
+
+    return rows.mapInArrow(run, "url string, path string, outcome string")
+
+
 def cached(urls: DataFrame, cache: DataFrame, fetcher: Callable = fetch, least: int = 3000, refresh: bool = False) -> DataFrame:
     """(url, body): cached pages of at least `least` bytes, and the others fetched; all fetched with refresh. cache has (url, body)."""
     hits = cache.filter(F.octet_length("body") >= least).select("url", "body")

@@ -182,3 +182,12 @@ def test_smoke(spark, tmp_path):
     case = files.smoke_cases(spark, str(tmp_path / "cases.jsonl"))
     rows = case.select("id", "expect.contains", "expect.not_contains").crossJoin(spark.createDataFrame([("SIXTEEN of them",), ("16, no IDEA why",), ("none",)], "answer string"))
     assert {r.answer: r.passed for r in retrieval.smoke(rows).collect()} == {"SIXTEEN of them": True, "16, no IDEA why": False, "none": False}
+
+
+def test_check_plan(spark):
+    specs = spark.createDataFrame([("osha", ["cfr-29", "osha-directives"]), ("epa", None), ("odd", None)], "pack_id string, members array<string>")
+    asked = spark.createDataFrame([("cfr-29",), ("epa-lead",), ("odd",), ("osha",), ("nothing",)], "pack_id string")
+    got = {r.pack_id: (r.owner, r.method, r.detail) for r in freshness.plan(asked, specs).collect()}
+    assert got == {"cfr-29": ("osha", "api_date", ""), "epa-lead": (None, "harvest", ""), "odd": ("odd", None, "no checker for this pack"), "osha": ("osha", None, "no checker for this pack"), "nothing": (None, None, "unknown pack")}
+    r = freshness.report("epa", "harvest", freshness.harvest(None, spark.createDataFrame([], "key string"))).first()
+    assert r.pack == "epa" and r.method == "harvest" and r.stale is None and len(r.checked_at) >= 20

@@ -196,3 +196,44 @@ def test_stream(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.read.parquet(f"{tmp_path}/out")
     assert got.count() == 4 and got.select("content_sha256").distinct().count() == 4
+
+
+def test_downloads(spark, tmp_path):
+    (tmp_path / "EPA").mkdir()
+    (tmp_path / "EPA" / "have.pdf").write_bytes(b"old")
+    plan = spark.createDataFrame([(f"https://www.epa.gov/{n}", f"EPA/{n}") for n in ("have.pdf", "new.pdf", "page.pdf", "gone.pdf")] + [("https://nepis.epa.gov/x.pdf", "EPA/x.pdf")], "url string, path string")
+
+    def client(url, headers):
+        return (404, b"") if "gone" in url else (200, b"<html>" if "page" in url else b"%PDF-1")
+
+    got = {r.path: r.outcome for r in fetch.download(plan, str(tmp_path), client, lambda s: None).collect()}
+    assert got == {"EPA/have.pdf": "already", "EPA/new.pdf": "ok", "EPA/page.pdf": "wrong_type", "EPA/gone.pdf": "gone", "EPA/x.pdf": "forbidden"}
+    assert sorted(p.name for p in (tmp_path / "EPA").iterdir()) == ["have.pdf", "new.pdf"] and (tmp_path / "EPA" / "have.pdf").read_bytes() == b"old"
+
+
+def test_regulations(spark):
+    titles = spark.createDataFrame([('{"titles": [{"number": 29, "up_to_date_as_of": "2026-08-01"}, {"number": 49, "up_to_date_as_of": "2026-08-02"}]}',)], "body string")
+    assert [r[0] for r in collect.issue_date(titles, 49).collect()] == ["2026-08-02"] and collect.issue_date(titles, 7).count() == 0
+    block = lambda n, s: f'<DIV8 N="{n}" TYPE="SECTION"><HEAD>§ {n} {s}.</HEAD><P>{"words " * 20}</P></DIV8>'
+    parts = spark.createDataFrame([("173", "Shippers", block("173.10", "Ten") + block("173.4", "Four") + block("173.4a", "Four a"))], "part string, part_name string, xml string")
+    got = collect.regulations(parts, 49, "2026-08-02", "Regulation", "See also").collect()
+    assert [r.section for r in got] == ["173.4", "173.4a", "173.10"] and got[0].relative_path == "Sections/173.4__Four.txt"
+    assert got[0].text.startswith("Citation: 49 CFR 173.4\nSubject: Four\nPart: 49 CFR 173 - Shippers\nIssue date: 2026-08-02 (eCFR 'up to date as of')\nSource: https://www.ecfr.gov/current/title-49/part-173/section-173.4\nType: Regulation\nNote: See also\n-----")
+
+
+def test_directives_and_manifests(spark):
+    link = '<a href="/sites/default/files/enforcement/directives/CPL_1.pdf">pdf</a>'
+    pages = spark.createDataFrame([("https://o/enforcement/directives/cpl-1", f"<article>stub {link}</article>"), ("https://o/enforcement/directives/cpl-2", "<article>" + "long text " * 80 + "</article>")], "url string, body string")
+    known = spark.createDataFrame([("https://o/enforcement/directives/cpl-1", "One", "01/02/2003", "CPL 1")], "url string, title string, date string, number string")
+    got = {r.identifier: r for r in collect.directives(pages, known, "https://o").collect()}
+    assert got["cpl-1"].stub and got["cpl-1"].pdf.endswith("CPL_1.pdf") and got["cpl-1"].name == "One__cpl-1" and not got["cpl-2"].stub and got["cpl-2"].pdf is None
+    files_ = spark.createDataFrame([("Text/One__cpl-1.txt", bytearray(got["cpl-1"].text.encode())), ("Text/x__2001-02-03.txt", bytearray(b"Title: X\n---\n"))], "relative_path string, content binary")
+    a, b = collect.header_manifest(files_, collect.DIRECTIVE_COLUMNS).collect()
+    assert (a.title, a.date, a.directive_number, a.identifier) == ("One", "2003-01-02", "CPL 1", "cpl-1") and (b.title, b.date, b.identifier) == ("X", "2001-02-03", "2001-02-03")
+    assert sorted(r.identifier for r in collect.identifiers(files_).collect()) == ["2001-02-03", "cpl-1"]
+
+
+def test_twins(spark):
+    rows = [("a.md", "# A\n"), ("a.txt", "A\n=\n"), ("b.md", "b"), ("b.txt", "old"), ("c/d.md", "d"), ("dist/e.md", "e")]
+    df = spark.createDataFrame(rows, "relative_path string, text string")
+    assert {r.relative_path: r.stale for r in extract.twins(df).collect()} == {"a.txt": False, "b.txt": True, "c/d.txt": True}

@@ -100,3 +100,8 @@ def test_path_lint(apply):
     assert [r.line for r in found] == [1, 2, 6]
     (found,) = apply(lambda c: X.path_lint(c, ("work",)), "at /d/work/x")
     assert [r.line for r in found] == [1]
+
+
+def test_titles(apply):
+    assert apply(X.resource_title, "Home fires. Download the free NFPA PDF. | NFPA ", " .Plain. ") == ["Home fires", "Plain"]
+    assert apply(lambda t: X.without_suffix(t, "Site"), "A | Site", "A | Other") == ["A", "A | Other"]
