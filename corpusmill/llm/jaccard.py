@@ -226,11 +226,11 @@ def representatives(df: DataFrame, n: int = 5, num: int = 80, den: int = 100, do
     found = jaccard_components(df, n, num, den, doc_id, text)
     found = found.withColumn("empty", F.col("set_id") == 0)
     stays = found.filter(F.col("empty") | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stays = stays.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("empty").alias("_empty")).agg(F.count("*").alias("_n"))
-    key, mark = fresh_name("row", df.columns), fresh_name("single", df.columns)
+    key, mark, doc, row, bare, n_rows = (fresh_name(c, df.columns) for c in ("text_hash", "single", "stays_id", "stays_hash", "bare", "n_rows"))
+    stays = stays.groupBy(F.col("doc_id").alias(doc), F.col("row").alias(row), F.col("empty").alias(bare)).agg(F.count("*").alias(n_rows))
     rows = df.withColumn(key, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    same = rows[doc_id].cast("long").eqNullSafe(stays["_id"]) & (rows[key] == stays["_row"])
-    rows = rows.join(stays, same).withColumn(mark, F.col("_empty") | (F.col("_n") == 1)).drop("_id", "_row", "_empty", "_n")
+    same = rows[doc_id].cast("long").eqNullSafe(stays[doc]) & (rows[key] == stays[row])
+    rows = rows.join(stays, same).withColumn(mark, F.col(bare) | (F.col(n_rows) == 1))
     rows = rows.filter(mark).unionByName(rows.filter(~F.col(mark)).dropDuplicates([doc_id, key]))
     return rows.select(*df.columns)
 

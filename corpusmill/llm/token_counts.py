@@ -5,8 +5,10 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.llm.kernels import texts
+from corpusmill.llm.store import fresh_name
 from corpusmill.llm.tokens import coder
 
 
@@ -19,12 +21,15 @@ def token_counts(df: DataFrame, tokenizer: str, text: str = "text", limit: int =
     an empty table.
     """
 
+    kept = [c for c in df.columns if c != text and c not in ("n_bytes", "n_tokens", "over_limit")]
+    body = fresh_name("body", df.columns)
+
     def lengths(batches):
         for batch in batches:
-            got = [len(b) // 4 for b in coder(tokenizer, True).balanced(texts(batch.column("_text")).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(got, pa.int64())], [*kept, "n_tokens"])
+            got = [len(b) // 4 for b in coder(tokenizer, True).balanced(texts(batch.columns[-1]).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got, pa.int64())], [*kept, "n_bytes", "n_tokens"])
 
-    kept = [c for c in df.columns if c != text and c not in ("n_bytes", "n_tokens", "over_limit")] + ["n_bytes"]
-    source = df.withColumn("_text", F.col(text)).withColumn("n_bytes", F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")).select(*kept, "_text")
-    schema = source.select(*kept).schema.add("n_tokens", "long")
+    size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("n_bytes")
+    source = df.select(*kept, size, F.col(text).alias(body))
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("n_tokens", T.LongType())])
     return source.mapInArrow(lengths, schema).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -32,8 +32,8 @@ DOCUMENTS = _documents()
 @pytest.fixture(scope="session")
 def docs(spark):
     """Documents with nulls, empties, copies, near copies, very long texts, repeated rows and ids, and columns whose names clash with the operators' own."""
-    rows = [(d, t, "en" if i % 3 else None, f"s{i % 2}", len(t or ""), i, "x", [i], 0.5) for i, (d, t) in enumerate(DOCUMENTS)]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row long, found string, findings array<int>, score double").repartition(5)
+    rows = [(d, t, "en" if i % 3 else None, f"s{i % 2}", len(t or ""), i, "x", [i], 0.5, "b", 1) for i, (d, t) in enumerate(DOCUMENTS)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row long, found string, findings array<int>, score double, body string, n_rows int").repartition(5)
 
 
 @pytest.fixture(scope="session")
