@@ -25,31 +25,42 @@ from corpusmill.llm.components import components
 from corpusmill.llm.store import written
 
 #: vectors of a tile; axes that make cells; dimensions added at a time
-TILE, AXES, STEP = 1024, 3, 16
+TILE, AXES, STEP = 1024, 2, 16
 #: room for rounding in bounds
 SLACK = 1e-6
 
 
+def _by_length(column: pa.Array):
+    """(rows, matrix) of the vectors of each length in a column of lists."""
+    sizes = np.diff(column.offsets.to_numpy())
+    flat = column.values.to_numpy(False)
+    starts = column.offsets.to_numpy()[:-1]
+    for d in np.unique(sizes):
+        at = np.flatnonzero(sizes == d)
+        yield at, flat[starts[at][:, None] + np.arange(d)].astype(np.float64)
+
+
+def units(m: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one, without overflow or underflow on the way."""
+    m = m / np.abs(m).max(1, keepdims=True)
+    return m / np.sqrt(np.einsum("ij,ij->i", m, m))[:, None]
+
+
 def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """For each dimension, orthonormal axes, largest spread first. Workers send one dim x dim sum each, over all vectors."""
+    """For each dimension, orthonormal axes, largest spread first. Workers send one dim x dim sum each, over all vectors (v)."""
 
     def gram(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for v in batch.column("unit"):
-                x = v.values.to_numpy(False)
-                sums.setdefault(len(x), []).append(x)
-            for d, rows in list(sums.items()):
-                if isinstance(rows, list):
-                    m = np.array([r for r in rows if r.ndim == 1])
-                    old = [r for r in rows if r.ndim == 2]
-                    sums[d] = [sum([m.T @ m, *old])]
-        for d, (m,) in sums.items():
+            for _, m in _by_length(batch.column("v")):
+                u = units(m)
+                sums[m.shape[1]] = sums.get(m.shape[1], 0) + u.T @ u
+        for d, m in sums.items():
             i, j = np.indices((d, d))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(d * d, d), pa.int32()), pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(m.ravel(), pa.float64())], ["dim", "i", "j", "s"])
 
     out: dict[int, np.ndarray] = {}
-    for r in vectors.select("unit").mapInArrow(gram, "dim int, i int, j int, s double").groupBy("dim", "i", "j").agg(F.sum("s").alias("s")).collect():
+    for r in vectors.select("v").mapInArrow(gram, "dim int, i int, j int, s double").groupBy("dim", "i", "j").agg(F.sum("s").alias("s")).collect():
         out.setdefault(r.dim, np.zeros((r.dim, r.dim)))[r.i, r.j] = r.s
     return {d: np.linalg.eigh((m + m.T) / 2)[1][:, ::-1] for d, m in out.items()}
 
@@ -69,26 +80,23 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, vec_id: str = "vec_id",
     rows = rows.withColumn("fine", F.coalesce(fine, F.lit(False)))
     rows = rows.withColumn("fine", F.col("fine") & F.coalesce(largest > 0, F.lit(False)))
     # equal vectors of a label are one class, named by content; -0.0 is 0.0
-    named = F.when(F.col("fine"), F.sha2(F.concat_ws("|", F.col("label").cast("string"), F.concat_ws(",", F.transform("v", lambda x: (x + F.lit(0.0)).cast("string")))), 256))
+    named = F.when(F.col("fine"), F.md5(F.concat_ws("|", F.col("label").cast("string"), F.concat_ws(",", F.transform("v", lambda x: (x + F.lit(0.0)).cast("string"))))))
     rows = written(rows.select("vec_id", "label", "v", "fine", named.alias("name")), "vectors")
     classes = rows.filter("fine").groupBy("name").agg(F.count("*").alias("copies"), F.min("vec_id").alias("id"), F.first("label").alias("label"), F.first("v").alias("v"))
-    norm = F.sqrt(F.aggregate(F.transform("v", lambda x: (x / largest) * (x / largest)), F.lit(0.0), lambda s, x: s + x))
-    classes = written(classes.withColumn("unit", F.transform("v", lambda x: (x / largest) / norm)), "vector-classes")
+    classes = written(classes, "vector-classes")
     axes = principal_axes(classes)
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK
 
-    def turn(batches):
+    def place(batches):
         for batch in batches:
-            turned, cells = [], []
-            for v in batch.column("unit"):
-                x = v.values.to_numpy(False)
-                p = x @ axes[len(x)]
-                turned.append(p)
-                cells.append(np.floor(p[:AXES] / reach).astype(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("name", "label", "v")), pa.array(turned, pa.list_(pa.float64())), pa.array(cells, pa.list_(pa.int64()))], ["name", "label", "v", "p", "cell"])
-
-    source = classes.select("name", "label", "v", "unit")
-    turned = source.mapInArrow(turn, source.drop("unit").schema.add("p", T.ArrayType(T.DoubleType())).add("cell", T.ArrayType(T.LongType())))
+            cells: list = [None] * len(batch)
+            for at, m in _by_length(batch.column("v")):
+                for k, cell in zip(at.tolist(), np.floor((units(m) @ axes[m.shape[1]][:, :AXES]) / reach).astype(np.int64).tolist(), strict=True):
+                    cells[k] = cell
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("name", "copies", "label", "v")), pa.array(cells, pa.list_(pa.int64()))], ["name", "copies", "label", "v", "cell"])
+
+    source = classes.select("name", "copies", "label", "v")
+    turned = source.mapInArrow(place, T.StructType([*source.schema.fields, T.StructField("cell", T.ArrayType(T.LongType()))]))
     turned = written(turned.withColumn("dim", F.size("v")), "turned")
     # tiles: as many to a cell as its vectors need
     sizes = turned.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
@@ -104,15 +112,18 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, vec_id: str = "vec_id",
     left = meets.select("meet", "label", "dim", "cell", "tile", F.lit(True).alias("here"))
     alone = (F.col("cell") == F.col("to")) & (F.col("tile") == F.col("to_tile"))
     right = meets.filter(~alone).select("meet", "label", "dim", F.col("to").alias("cell"), F.col("to_tile").alias("tile"), F.lit(False).alias("here"))
-    members = left.unionByName(right).join(placed, ["label", "dim", "cell", "tile"]).select("meet", "here", "name", "v", "p")
+    members = left.unionByName(right).join(placed, ["label", "dim", "cell", "tile"]).select("meet", "here", "name", "copies", "v")
 
     def compare(table: pa.Table) -> pa.Table:
         here = table.column("here").to_numpy()
         names = table.column("name").to_numpy()
-        v, p = (np.array(table.column(c).to_pylist()) for c in ("v", "p"))
+        ((_, v),) = _by_length(table.column("v").combine_chunks())
+        p = units(v) @ axes[v.shape[1]]
         own = bool(here.all())
         i, j = (np.flatnonzero(here), np.flatnonzero(here if own else ~here))
-        out: list[tuple[str, str]] = []
+        copies = table.column("copies").to_numpy()
+        linked, root = np.zeros(len(here), np.int64), np.arange(len(here))
+        pairs = []
         # nearest suffix norms: rest[k] bounds what dimensions k.. can add
         rest = np.sqrt(np.maximum(0, np.cumsum((p**2)[:, ::-1], 1)[:, ::-1]))
         for part in range(0, len(i), 256):
@@ -133,16 +144,25 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, vec_id: str = "vec_id",
                 x, y, dots, k = x[ok], y[ok], dots[ok], end
             if len(x):
                 ok = cosines(v[x], v[y]) >= threshold
-                out += zip(names[x[ok]], names[y[ok]], strict=True)
-        return pa.table({"a": pa.array([r[0] for r in out], pa.string()), "b": pa.array([r[1] for r in out], pa.string())})
-
-    links = written(members.groupBy("meet").applyInArrow(compare, "a string, b string").distinct(), "vector-links")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(classes.select(F.col("name").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others")).withColumnRenamed("a", "name")
-    ids = classes.select("name", "id")
-    numbered = links.join(ids.select(F.col("name").alias("a"), F.col("id").alias("u")), "a").join(ids.select(F.col("name").alias("b"), F.col("id").alias("w")), "b")
-    # vec_id is what components are named by; where an id has several vectors, names keep them apart
-    known = _named_components(numbered, classes)
+                pairs.append((x[ok], y[ok]))
+        # of a pair of tiles, what each vector is linked with, and who hangs together: rows in proportion to vectors, not to links
+        for x, y in pairs:
+            np.add.at(linked, x, copies[y])
+            np.add.at(linked, y, copies[x])
+        moved = True
+        while moved:
+            before = root.copy()
+            for x, y in pairs:
+                least = np.minimum(root[x], root[y])
+                np.minimum.at(root, x, least)
+                np.minimum.at(root, y, least)
+            moved = bool((root != before).any())
+        at, tied = np.flatnonzero(linked), np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"a": pa.array(names[np.concatenate([at, tied])], pa.string()), "b": pa.array([None] * len(at) + names[root[tied]].tolist(), pa.string()), "n": pa.array(np.concatenate([linked[at], np.zeros(len(tied), np.int64)]), pa.int64())})
+
+    links = written(members.groupBy("meet").applyInArrow(compare, "a string, b string, n long"), "vector-links")
+    others = links.filter("b is null").groupBy(F.col("a").alias("name")).agg(F.sum("n").alias("others"))
+    known = _named_components(links.filter("b is not null"), classes)
     of_class = classes.select("name", "copies").join(others, "name", "left").join(known, "name")
     found = rows.select("vec_id", "name").join(of_class, "name", "left")
     component = F.coalesce("component", "vec_id")
@@ -167,6 +187,5 @@ def _half(axes: int) -> list[tuple[int, ...]]:
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of each two rows, in double precision."""
-    scale = lambda m: m / np.abs(m).max(1, keepdims=True)  # noqa: E731  no overflow, no underflow
-    a, b = scale(a.astype(np.float64)), scale(b.astype(np.float64))
+    a, b = a / np.abs(a).max(1, keepdims=True), b / np.abs(b).max(1, keepdims=True)
     return np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
