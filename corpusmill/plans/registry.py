@@ -547,3 +547,63 @@ def verify_artifacts(spark, sf_dir):
     wanted = docs.select("artifact", F.sha2("text", 256).alias("artifact_sha256"))
     files = docs.filter("doc_id % 9 <> 0").select("artifact", F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).cast(T.BinaryType()).alias("content"))
     return packs.verified(wanted, files)
+
+
+# listings
+
+
+@query("SELECT DISTINCT url FROM pages")
+def sitemap_urls(spark, sf_dir):
+    loc = F.concat(F.lit("<url><loc>"), "url", F.lit("</loc></url><url><loc>"), "url", F.lit("</loc></url>"))
+    return collect.sitemap(table(spark, sf_dir, "pages").select(loc.alias("body")))
+
+
+@query(
+    """SELECT page_id AS page, i AS row, 'https://www.example.org/item/' || page_id AS url, '2024-01-0' || (1 + page_id % 9) AS date, 'Item ' || page_id AS title, CASE WHEN i = 0 THEN 'N ' || page_id ELSE '' END AS number
+FROM pages, (VALUES (0), (1)) r(i)"""
+)
+def listing_rows(spark, sf_dir):
+    ident, date = F.col("page_id").cast("string"), F.concat(F.lit("2024-01-0"), (F.col("page_id") % 9 + 1).cast("string"))
+    row = lambda tail: F.concat(F.lit("<tr><td> "), date, F.lit('</td><td><a href="/item/'), ident, F.lit('">Item <b>'), ident, F.lit("</b></a></td>"), tail, F.lit("</tr>"))
+    body = F.concat(F.lit("<table>"), row(F.concat(F.lit("<td>N "), ident, F.lit("</td>"))), row(F.lit("")), F.lit("<tr><td>alone</td></tr></table>"))
+    return collect.listed(table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), body.alias("body")), "https://www.example.org")
+
+
+@query("SELECT page_id, '/-/media/files/' || page_id || '.pdf?rev=' || (page_id % 3) AS media FROM pages UNION ALL SELECT page_id, '/-/media/b.docx' FROM pages WHERE page_id % 2 = 0")
+def media_links(spark, sf_dir):
+    ident = F.col("page_id").cast("string")
+    own = F.concat(F.lit('<a href="/-/media/files/'), ident, F.lit(".pdf?rev="), (F.col("page_id") % 3).cast("string"), F.lit('">x</a>'))
+    page = F.concat(own, own, F.lit('<img src="/-/media/Images/p.pdf">'), F.when(F.col("page_id") % 2 == 0, F.lit("('/-/media/b.docx')")).otherwise(""), "html")
+    return table(spark, sf_dir, "pages").select("page_id", F.explode(collect.media(page)).alias("media"))
+
+
+@query(
+    """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%Y.%m.%d') AS version FROM orders"""
+)
+def date_normalise(spark, sf_dir):
+    us = F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "MM/dd/yyyy")).otherwise("")
+    iso = X.iso_date(us, F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("-1")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", iso.alias("iso"), X.version(iso).alias("version"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true ELSE false END AS asset FROM part")
+def asset_filter(spark, sf_dir):
+    n, ident = F.col("p_partkey") % 4, F.col("p_partkey").cast("string")
+    url = F.when(n == 0, F.concat(F.lit("https://www.osha.gov/sites/default/files/"), ident, F.lit(".pdf"))).when(n == 1, F.concat(F.lit("https://www.osha.gov/sites/default/files/"), ident, F.lit(".pdf?x=1"))).when(n == 2, F.concat(F.lit("https://www.osha.gov/publications/p"), ident)).otherwise(F.lit("https://www.osha.gov/publications/all"))
+    return table(spark, sf_dir, "part").select("p_partkey", collect.is_asset(F.lit("PDF"), url, "www.osha.gov").alias("asset"))
+
+
+@query("SELECT 'corpus-' || (o_custkey % 40) AS corpus, CASE WHEN o_custkey % 40 % 4 = 0 THEN '2026-01-01' ELSE strftime(max(o_orderdate), '%Y-%m-%d') END AS captured_at FROM orders GROUP BY o_custkey % 40")
+def captured_at(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 40).alias("k"), "o_orderdate").groupBy("k").agg(F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("d"))
+    name = F.concat(F.lit("corpus-"), F.col("k").cast("string")).alias("corpus")
+    caps = orders.select(name, F.col("d").alias("captured_at"))
+    fixed = packs.captured(orders.filter("k % 4 = 0").select(name), caps, "2026-01-01")
+    return fixed.unionByName(packs.captured(orders.filter("k % 4 <> 0").select(name), caps))
+
+
+@query("SELECT doc_id, doc_id % 2 = 0 AND doc_id % 3 <> 0 AS current FROM documents")
+def up_to_date(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit(10).alias("modified"))
+    mirrored = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 10).otherwise(9).alias("modified"), F.when(F.col("doc_id") % 3 == 0, 0).otherwise(5).alias("size"))
+    return extract.up_to_date(docs, mirrored, "doc_id").select("doc_id", "current")
