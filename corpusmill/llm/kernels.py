@@ -1,7 +1,7 @@
 """Vectorised text kernels that the Arrow functions of this subpackage share.
 
-A batch is cut into chunks of about CHUNK bytes (a longer document makes a chunk of its own), so
-the working arrays stay a few dozen MB whatever the documents' lengths.  Words are found on the
+A batch is cut into chunks of about CHUNK bytes (a longer document makes a chunk of its own, whose
+wide working arrays are cut once more), so memory stays a small multiple of the longest document.  Words are found on the
 UTF-8 bytes: every word class used here is defined by ASCII bytes, and all other bytes belong to
 words, so bytes and code points agree.
 """
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _BYTE = np.arange(256)
 #: words [^\x20\x09-\x0D]+
@@ -69,10 +69,13 @@ def _sums(values: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
 
 def run_hashes(values: np.ndarray, n: int, family: int = 1) -> np.ndarray:
     """Hash of each run of n consecutive values (fewer than n values: none)."""
-    if len(values) < n:
-        return np.zeros(0, np.uint64)
-    total, down = _sums(values, family)
-    return mix((total[n:] - total[:-n]) * down[: len(values) - n + 1] + np.uint64(n))
+    count = max(0, len(values) - n + 1)
+    out = np.empty(count, np.uint64)
+    for at in range(0, count, CHUNK):
+        part = values[at : at + CHUNK + n - 1]
+        total, down = _sums(part, family)
+        out[at : at + CHUNK] = mix((total[n:] - total[:-n]) * down[: len(part) - n + 1] + np.uint64(n))
+    return out
 
 
 def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
@@ -106,9 +109,16 @@ class Words:
         self.hash = self._hash()
 
     def _hash(self) -> np.ndarray:
-        total, down = _sums(self.data.astype(np.uint64) + np.uint64(1), 0)
-        length = (self.end - self.start).astype(np.uint64)
-        return mix((total[self.end] - total[self.start]) * down[self.start] ^ (length * np.uint64(BASES[2])))
+        out = np.empty(len(self.start), np.uint64)
+        first = 0
+        while first < len(out):  # parts of about CHUNK bytes, whole words each
+            begin = int(self.start[first])
+            last = max(first + 1, int(np.searchsorted(self.end, begin + CHUNK, "right")))
+            a, b = self.start[first:last] - begin, self.end[first:last] - begin
+            total, down = _sums(self.data[begin : begin + int(b[-1])].astype(np.uint64) + np.uint64(1), 0)
+            out[first:last] = mix((total[b] - total[a]) * down[a] ^ ((b - a).astype(np.uint64) * np.uint64(BASES[2])))
+            first = last
+        return out
 
 
 def texts(column: pa.Array) -> pa.Array:
