@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import blank_to_null, without_query
@@ -27,10 +27,15 @@ def difference(current: DataFrame, known: DataFrame, sample: int = 10, only_adde
     a = current.select("key").distinct().withColumn("here", F.lit(True))
     b = known.select("key").distinct().withColumn("there", F.lit(True))
     apart = a.join(b, "key", "full_outer").filter(F.col("here").isNull() | F.col("there").isNull()).select("key", F.col("there").isNull().alias("added"))
-    counts = apart.agg(F.count_if("added").alias("added"), F.count_if(~F.col("added")).alias("removed"))
+    counts = apart.groupBy("added").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("added").orderBy("key"))
+    first = apart.withColumn("place", place).filter(F.col("place") <= sample).groupBy("added").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    of = lambda side, c: F.max(F.when(F.col("added") == side, F.col(c)))
+    n = lambda side: F.coalesce(of(side, "n"), F.lit(0).cast("long"))
+    keys = lambda side: F.coalesce(of(side, "keys"), F.array().cast("array<string>"))
+    found = counts.join(first, "added").agg(n(True).alias("added"), n(False).alias("removed"), keys(True).alias("added_sample"), keys(False).alias("removed_sample"))
     stale = (F.col("added") > 0) if only_added else (F.col("added") + F.col("removed") > 0)
-    first = lambda added, name: apart.filter(F.col("added") == added).orderBy("key").limit(sample).agg(F.array_sort(F.collect_list("key")).alias(name))
-    return counts.select(stale.alias("stale"), "added", "removed").crossJoin(first(True, "added_sample")).crossJoin(first(False, "removed_sample"))
+    return found.select(stale.alias("stale"), "added", "removed", "added_sample", "removed_sample")
 
 
 def harvest(current: DataFrame | None, known: DataFrame) -> DataFrame:

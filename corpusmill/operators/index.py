@@ -13,6 +13,9 @@ CHUNK = 2000
 DIMENSIONS, PER_CHUNK = 1536, 1500 + 2000 + 500
 
 
+_DESCRIBED = ("text_path", "corpus", "source_format", "chars", "content_sha256")
+
+
 def described(mirror: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(text_path, corpus, source_format, chars, content_sha256) and kept columns of mirror rows (text_path, corpus, source_format, text)."""
     rows = mirror.withColumn("_body", X.body(F.col(text)))
@@ -23,27 +26,26 @@ def described(mirror: DataFrame, text: str = "text", keep: tuple[str, ...] = ())
 def embed_index(rows: DataFrame, rank_after_exclusion: bool = False) -> DataFrame:
     """Which text of each content is embedded: the one with the shortest path, then the least.
 
-    Texts too short to compare are set apart before the window, so they never meet in one task.
+    Texts too short to compare are set apart before the grouping, so they never meet in one task.
     Formats that are not embedded are excluded after the ranking, or before it with
     rank_after_exclusion.
     """
     excluded = F.col("source_format").isin(*NO_EMBED)
     short = rows.filter(F.col("content_sha256") == "TOO_SHORT")
     long = rows.filter(F.col("content_sha256") != "TOO_SHORT")
-    by_content = Window.partitionBy("content_sha256")
-    order = [F.length("text_path"), F.col("text_path")]
-    if rank_after_exclusion:
-        order = [excluded, *order]
-    ranked = by_content.orderBy(*order)
-    first = F.row_number().over(ranked) == 1
-    long = long.select(
-        "*",
+    rank = F.struct(*([excluded.alias("x")] if rank_after_exclusion else []), F.length("text_path").alias("n"), F.col("text_path").alias("path"))
+    # one combined row a content, joined back: a content that a third of all files share is split like any hot join key
+    groups = long.groupBy("content_sha256").agg(F.min(rank)["path"].alias("_best"), F.count("*").alias("dup_group_size"))
+    first = F.col("text_path") == F.col("_best")
+    columns = [*_DESCRIBED, *[c for c in rows.columns if c not in _DESCRIBED]]
+    long = long.join(groups, "content_sha256").select(
+        *columns,
         F.when(first, "yes").otherwise("no").alias("embed"),
         F.when(first, "").otherwise("duplicate").alias("exclude_reason"),
-        F.when(first, "").otherwise(F.first("text_path").over(ranked)).alias("duplicate_of"),
-        F.count("*").over(by_content).alias("dup_group_size"),
+        F.when(first, "").otherwise(F.col("_best")).alias("duplicate_of"),
+        "dup_group_size",
     )
-    short = short.select("*", F.lit("no").alias("embed"), F.lit("too-short").alias("exclude_reason"), F.lit("").alias("duplicate_of"), F.lit(1).cast("long").alias("dup_group_size"))
+    short = short.select(*columns, F.lit("no").alias("embed"), F.lit("too-short").alias("exclude_reason"), F.lit("").alias("duplicate_of"), F.lit(1).cast("long").alias("dup_group_size"))
     return long.unionByName(short).withColumn("exclude_reason", F.when(excluded, "bulk-data-spreadsheet").otherwise(F.col("exclude_reason"))).withColumn("embed", F.when(excluded, "no").otherwise(F.col("embed")))
 
 
