@@ -6,7 +6,7 @@ only if its anchor occurs at two places.  Anchors are a few for every hundred wo
 counted over the corpus.
 
 Extend.  Around each anchor that occurs at two places or more, every window that the anchor owns (it
-reaches both ways from the anchor as far as the anchor stays the least) is hashed to 128 bits, and the
+reaches both ways from the anchor as far as the anchor stays the least) is hashed to 96 bits, and the
 hashes are counted.  The maximal repeats are the unions of neighbouring repeated windows.  Counting
 needs one row a window, never one a pair, so a passage in a million documents costs a million rows.
 
@@ -77,10 +77,10 @@ def repeats(df: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str =
     hot_of = seeds.join(hot, "anchor").groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("hot"))
 
     def extend(batches):
+        """Windows around hot anchors, and the texts that have any, in rows of their own."""
         for batch in batches:
             raw, hot_lists = texts(batch.column("text")), batch.column("hot")
-            ids, rows, at, h1, h2 = [], [], [], [], []
-            doc, row = batch.column("doc_id").to_numpy(False), batch.column("row").to_numpy(False)
+            which, at, h1, h2 = [], [], [], []
             for first, last, data, offsets in chunks(raw):
                 w = Words(data, offsets, NOT_SPACE, lower=False)
                 for i in range(last - first):
@@ -88,16 +88,24 @@ def repeats(df: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str =
                     _, least = _owners(words, length, k)
                     wanted = hot_lists[first + i].values.to_numpy(False).view(np.uint64)
                     p = np.flatnonzero(np.isin(least, wanted))
-                    ids.append(np.full(len(p), doc[first + i]))
-                    rows.append(np.full(len(p), row[first + i]))
-                    at.append(p.astype(np.int32))
-                    h1.append(signed(run_hashes(words, length, 1)[p]))
-                    h2.append(signed(run_hashes(words, length, 2)[p]))
-            flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (ids, rows, at, h1, h2)]
-            yield pa.RecordBatch.from_arrays([pa.array(flat[0], pa.int64()), pa.array(flat[1], pa.int64()), pa.array(flat[2].astype(np.int32), pa.int32()), pa.array(flat[3], pa.int64()), pa.array(flat[4], pa.int64())], ["doc_id", "row", "at", "h1", "h2"])
+                    if len(p):
+                        which.append(np.full(len(p), first + i))
+                        at.append(p)
+                        h1.append(signed(run_hashes(words, length, 1)[p]))
+                        h2.append((run_hashes(words, length, 2)[p] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            if not which:
+                continue
+            row = pa.array(np.concatenate(which))
+            found = pa.array([w[0] for w in which])
+            ids = [batch.column(c) for c in ("doc_id", "row")]
+            window = [pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(h1)), pa.array(np.concatenate(h2))]
+            names = ["doc_id", "row", "at", "h1", "h2", "text"]
+            yield pa.RecordBatch.from_arrays([*(c.take(row) for c in ids), *window, pa.nulls(len(row), pa.string())], names)
+            yield pa.RecordBatch.from_arrays([*(c.take(found) for c in ids), *(pa.nulls(len(found), a.type) for a in window), batch.column("text").take(found).cast(pa.string())], names)
 
     source = docs.select("doc_id", "row", "text").join(hot_of, ["doc_id", "row"])
-    windows = written(source.mapInArrow(extend, "doc_id long, row long, at int, h1 long, h2 long"), "windows")
+    extended = written(source.mapInArrow(extend, "doc_id long, row long, at int, h1 long, h2 int, text string"), "windows")
+    windows = extended.filter("at is not null").drop("text")
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
     found = windows.join(twice, ["h1", "h2"]).groupBy("doc_id", "row").agg(F.collect_set("at").alias("at"))
 
@@ -120,7 +128,7 @@ def repeats(df: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str =
                 ranges.append(np.column_stack([first, after]).tolist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(ranges, pa.list_(pa.list_(pa.int64())))], ["doc_id", "row", "cut", "cut_digest", "ranges"])
 
-    partly = docs.select("doc_id", "row", "text").join(found, ["doc_id", "row"])
+    partly = extended.filter("text is not null").select("doc_id", "row", "text").join(found, ["doc_id", "row"])
     cuts = partly.mapInArrow(cut, "doc_id long, row long, cut long, cut_digest string, ranges array<array<long>>").dropDuplicates(["doc_id", "row"])
     copied = classes.filter("copies > 1").select("copy", F.lit(True).alias("copied"))
     whole = F.coalesce(F.col("copied"), F.lit(False)) & (F.col("n_words") >= length)
