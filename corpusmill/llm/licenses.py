@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 #: share of a template's words that a block must have, in hundredths
 CONTAINED = 90
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Phrases of consecutive words and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -42,13 +43,20 @@ TEMPLATES = (
 
 
 def lowered(text: Column) -> Column:
-    """text, null as empty, with A-Z as a-z and nothing else changed."""
+    """text, null as empty, with A-Z as a-z.
+
+    Other letters may be lowered too: that changes no word's place, and the two characters whose
+    lower form would be an ASCII letter (dotted I, Kelvin) are kept.
+    """
+    text = F.coalesce(text, F.lit(""))
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(F.coalesce(text, F.lit("")), upper, upper.lower())
+    odd = text.contains("\u0130") | text.contains("\u212a")
+    return F.when(odd, F.translate(text, upper, upper.lower())).otherwise(F.lower(text))
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """The words of a lowered text. Cutting between words costs less than half of finding them."""
+    return F.array_remove(F.split(text, _BETWEEN), "")
 
 
 def word_order(docs: DataFrame, text: str = "text") -> list[str]:
