@@ -1,9 +1,10 @@
 """Token ids by a public tokenizer, encoded part by part and remembered.
 
 A text is cut at boundaries that its pre-tokenizer never crosses, so each part's ids do not depend on its
-neighbours.  Texts within Latin-1 are cut into the pre-tokenizer's own words; others at white space; texts
-with special-token strings or with white space on which Python and the library differ are encoded
-whole.  New parts are encoded in batches by the library and looked up afterwards.
+neighbours.  Texts within Latin-1 are cut into the pre-tokenizer's own words, which the library's model
+takes as they are; others at white space, and their parts go through the whole library in batches;
+texts with special-token strings or with white space on which Python and the library differ are
+encoded whole.  Parts that are known are looked up.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from functools import lru_cache
 import numpy as np
 import tokenizers
 
-#: parts remembered per worker before the memory is dropped and begun anew (about 200 bytes each)
-REMEMBERED = 500_000
+#: parts in each of a worker's two memories (about 200 bytes each)
+REMEMBERED = 300_000
 #: separators and controls that Python's white space and the library's \s treat differently
 _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b-\u200f\u2028\u2029\ufeff]")
 _SPACED = re.compile(r"\s ")
@@ -29,6 +30,18 @@ _WORDS = re.compile(rf"{_CONTRACTIONS}|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
 _PREFIXED = re.compile(rf"{_CONTRACTIONS}| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
 
 
+
+
+def _byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for themselves, the others from 256 on, in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+
+
 @lru_cache(maxsize=4)
 def coder(path: str, prefixed: bool) -> Coder:
     """One Coder a worker process and file."""
@@ -45,18 +58,22 @@ class Coder:
         self.prefixed = prefixed
         added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
+        self.model = self.tokenizer.model
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def parts(self, text: str) -> list[str] | None:
-        """Parts between safe boundaries; None if this text must be encoded whole."""
-        if _ODD.search(text) or (self.special and self.special.search(text)):
-            return None
+    def words(self, text: str) -> list[str] | None:
+        """The pre-tokenizer's words; None for a text beyond Latin-1."""
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return self.units(text)
+            return None
         return _PREFIXED.findall(text) if self.prefixed else _WORDS.findall(text.lower())
 
+    def whole(self, text: str) -> bool:
+        return bool(_ODD.search(text) or (self.special and self.special.search(text)))
+
     def units(self, text: str) -> list[str]:
         """A text cut at white space only."""
         if not self.prefixed:
@@ -66,15 +83,22 @@ class Coder:
         first, *rest = text.split(" ")
         return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
 
-    def learn(self, wanted: set[str]) -> None:
-        missing = wanted.difference(self.known)
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = wanted
-        order = sorted(missing)
+    def learn(self, words: set[str], units: set[str]) -> None:
+        """Make the ids of these parts known. A full memory becomes the older one, from which parts still in use are taken over."""
+        if len(self.known) + len(words) + len(units) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        tokenize, packed = self.model.tokenize, self.packed
+        for w in words.difference(known):
+            ids = older.get(w)
+            if ids is None:
+                letters = w.encode().decode("latin-1").translate(_LETTERS)
+                ids = b"".join([packed[t.id] for t in tokenize(letters)])
+            known[w] = ids
+        order = sorted(units.difference(known))
         for at in range(0, len(order), 4096):
             part = order[at : at + 4096]
-            self.known.update(zip(part, self._encoded(part), strict=True))
+            known.update(zip(part, self._encoded(part), strict=True))
 
     def _encoded(self, parts: list[str]) -> list[bytes]:
         """Ids of each part. Parts without inner white space are encoded as one text and cut by offsets: far fewer calls."""
@@ -101,11 +125,20 @@ class Coder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [self.parts(t) for t in texts]
-        wanted: set[str] = set()
-        for parts in cut:
-            wanted.update(parts or ())
-        self.learn(wanted)
+        words: set[str] = set()
+        units: set[str] = set()
+        cut: list[list[str] | None] = []
+        for t in texts:
+            parts = None
+            if not self.whole(t):
+                parts = self.words(t)
+                if parts is not None:
+                    words.update(parts)
+                else:
+                    parts = self.units(t)
+                    units.update(parts)
+            cut.append(parts)
+        self.learn(words, units)
         known = self.known
         return [b"".join([known[u] for u in parts]) if parts is not None else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for parts, t in zip(cut, texts, strict=True)]
 
