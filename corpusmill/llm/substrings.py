@@ -77,10 +77,13 @@ def repeats(df: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str =
     hot_of = seeds.join(hot, "anchor").groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("hot"))
 
     def extend(batches):
-        """Windows around hot anchors, and the texts that have any, in rows of their own."""
+        """Windows around hot anchors, and the texts that have any, in rows of their own.
+
+        A window that a document repeats counts twice in its first row; its other places need no count.
+        """
         for batch in batches:
             raw, hot_lists = texts(batch.column("text")), batch.column("hot")
-            which, at, h1, h2 = [], [], [], []
+            which, at, h1, h2, weight = [], [], [], [], []
             for first, last, data, offsets in chunks(raw):
                 w = Words(data, offsets, NOT_SPACE, lower=False)
                 for i in range(last - first):
@@ -89,25 +92,34 @@ def repeats(df: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str =
                     wanted = hot_lists[first + i].values.to_numpy(False).view(np.uint64)
                     p = np.flatnonzero(np.isin(least, wanted))
                     if len(p):
+                        a = signed(run_hashes(words, length, 1)[p])
+                        b = (run_hashes(words, length, 2)[p] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                        order = np.lexsort((p, b, a))
+                        fresh = np.ones(len(p), bool)
+                        fresh[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+                        n = np.zeros(len(p), np.int32)
+                        n[fresh] = np.minimum(2, np.diff(np.append(np.flatnonzero(fresh), len(p))))
                         which.append(np.full(len(p), first + i))
-                        at.append(p)
-                        h1.append(signed(run_hashes(words, length, 1)[p]))
-                        h2.append((run_hashes(words, length, 2)[p] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                        at.append(p[order])
+                        h1.append(a[order])
+                        h2.append(b[order])
+                        weight.append(n)
             if not which:
                 continue
             row = pa.array(np.concatenate(which))
             found = pa.array([w[0] for w in which])
             ids = [batch.column(c) for c in ("doc_id", "row")]
-            window = [pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(h1)), pa.array(np.concatenate(h2))]
-            names = ["doc_id", "row", "at", "h1", "h2", "text"]
+            window = [pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(h1)), pa.array(np.concatenate(h2)), pa.array(np.concatenate(weight))]
+            names = ["doc_id", "row", "at", "h1", "h2", "weight", "text"]
             yield pa.RecordBatch.from_arrays([*(c.take(row) for c in ids), *window, pa.nulls(len(row), pa.string())], names)
             yield pa.RecordBatch.from_arrays([*(c.take(found) for c in ids), *(pa.nulls(len(found), a.type) for a in window), batch.column("text").take(found).cast(pa.string())], names)
 
     source = docs.select("doc_id", "row", "text").join(hot_of, ["doc_id", "row"])
-    extended = written(source.mapInArrow(extend, "doc_id long, row long, at int, h1 long, h2 int, text string"), "windows")
-    windows = extended.filter("at is not null").drop("text")
-    twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
-    found = windows.join(twice, ["h1", "h2"]).groupBy("doc_id", "row").agg(F.collect_set("at").alias("at"))
+    extended = written(source.mapInArrow(extend, "doc_id long, row long, at int, h1 long, h2 int, weight int, text string"), "windows")
+    windows = extended.filter("weight > 0").select("doc_id", "row", "at", "h1", "h2", "weight")
+    twice = windows.groupBy("h1", "h2").agg(F.sum("weight").alias("n")).filter("n > 1").select("h1", "h2")
+    certain = extended.filter("weight = 0").select("doc_id", "row", "at")
+    found = windows.join(twice, ["h1", "h2"]).select("doc_id", "row", "at").unionByName(certain).groupBy("doc_id", "row").agg(F.collect_set("at").alias("at"))
 
     def cut(batches):
         for batch in batches:
