@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
+from corpusmill.sources.scratch import once
 
 #: Formats never embedded, characters of a chunk, bytes stored with each chunk.
 NO_EMBED = (".xlsx",)
@@ -30,6 +31,7 @@ def embed_index(rows: DataFrame, rank_after_exclusion: bool = False) -> DataFram
     Formats that are not embedded are excluded after the ranking, or before it with
     rank_after_exclusion.
     """
+    rows = once(rows, "index")  # small rows whose keys cost a pass over the texts: every use below would repeat it
     excluded = F.col("source_format").isin(*NO_EMBED)
     short = rows.filter(F.col("content_sha256") == "TOO_SHORT")
     long = rows.filter(F.col("content_sha256") != "TOO_SHORT")
