@@ -1,8 +1,9 @@
 """License scans: phrases in place, and an exact set-similarity join of text blocks with license templates.
 
-DataFrame functions only.  A template is the set of words of a notice; a block is a line of a text.  A
-block carries a template's label if it has at least CONTAINED of the template's words.  Template words are
-ordered by how often the whole corpus has them.  A block that reaches the threshold must have one of the
+DataFrame functions only.  A template is the set of words of a notice; a block is a line of a text and,
+as notices are wrapped, the words after it: as many as the template has, and half as many for what stands
+between its lines.  A block carries a template's label if it has at least CONTAINED of the template's
+words.  Template words are ordered by how often the whole corpus has them.  A block that reaches the threshold must have one of the
 template's rarest words (prefix filter: as many words as may be missing, and one), must have enough
 words at all (length filter), and, from its rarest common word on, block and template must both have
 enough words left (positional filter).  Survivors are verified by intersection.
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 CONTAINED = 90
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: stands for the end of a line among the words of a lowered text, which has no such letter; \x4E is kept when cutting
+_END, _BETWEEN_OR_END = "N", r"[\x00-\x2F\x3A-\x4D\x4F-\x60\x7B-\x7F]+"
 
 #: Phrases of consecutive words and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -84,26 +87,44 @@ def _places(w: Column) -> Column:
     return F.filter(F.transform(w, at), lambda p: p.isNotNull())
 
 
-def _containment(own: list[str], need: int):
-    """Of a line, the share of the words `own` that it has; 0 where a filter rules the template out."""
+def _after(text: str) -> int:
+    """How many words after a line belong to its block for a template."""
+    return len(text.split()) * 3 // 2
 
-    def contained(line: Column) -> Column:
+
+def _blocks(w: Column, ends: Column) -> Column:
+    """(n, words) of each line: its number of words, and those and the words after it, as many as any template takes. Of words with _END between lines, and the places of those."""
+    most = max(_after(t) for _, t in TEMPLATES)
+
+    def block(start, i):
+        n = F.coalesce(F.get(ends, i), F.size(w)) - start
+        # no two ends stand together, so that every second one at least is a word
+        return F.struct(n.alias("n"), F.slice(F.array_remove(F.slice(w, start + 1, n + 2 * most + 1), _END), F.lit(1), n + most).alias("words"))
+
+    return F.transform(F.concat(F.array(F.lit(0)), F.transform(ends, lambda e: e + 1)), block)
+
+
+def _containment(own: list[str], need: int, after: int):
+    """Of a block, the share of the words `own` that it has; 0 where a filter rules the template out."""
+
+    def contained(block: Column) -> Column:
+        line = block["words"]
         # by the first prefix word that the line has: how many of the template's words are left from there on
         left = F.coalesce(*[F.when(F.array_contains(line, w), F.lit(len(own) - i)) for i, w in enumerate(own[: len(own) - need + 1])], F.lit(0))
-        common = F.size(F.array_intersect(line, F.array(*map(F.lit, own))))
+        common = F.size(F.array_intersect(F.slice(line, F.lit(1), block["n"] + after), F.array(*map(F.lit, own))))
         return F.when((F.least(F.size(line), left) >= need), common / F.lit(float(len(own)))).otherwise(F.lit(0.0))
 
     return contained
 
 
-def _matches(lines: Column, order: list[str]) -> Column:
-    """(label, containment) of each template that a line contains."""
+def _matches(blocks: Column, order: list[str]) -> Column:
+    """(label, containment) of each template that a block contains."""
     rank = {w: i for i, w in enumerate(order)}
     out = []
     for label, text in TEMPLATES:
         own = sorted(set(text.split()), key=rank.__getitem__)
         need = math.ceil(CONTAINED * len(own) / 100)
-        best = F.aggregate(F.transform(lines, _containment(own, need)), F.lit(0.0), lambda a, b: F.greatest(a, b))
+        best = F.aggregate(F.transform(blocks, _containment(own, need, _after(text))), F.lit(0.0), lambda a, b: F.greatest(a, b))
         out.append(F.struct(F.lit(label).alias("label"), best.alias("score"), F.lit(need / len(own)).alias("least")))
     return F.filter(F.array(*out), lambda m: m["score"] >= m["least"] - 1e-9)
 
@@ -127,9 +148,17 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     rows = rows.withColumn("w", words(F.col("low")))
     none = F.array().cast("array<struct<start:bigint,label:string>>")
     rows = rows.select("doc_id", "low", F.size("w").cast("long").alias("n_words"), F.when(F.contains("low", F.lit("license")), _places(F.col("w"))).otherwise(none).alias("places"), F.arrays_overlap("w", F.array(*map(F.lit, sorted(prefixes)))).alias("near"))
-    lines = F.filter(F.transform(F.split("low", "\n"), lambda x: F.array_distinct(words(x))), lambda x: F.size(x) > 0)
-    rows = rows.withColumn("lines", F.when(F.coalesce("near", F.lit(False)), lines).otherwise(F.array().cast("array<array<string>>")))
-    rows = rows.select("doc_id", "n_words", "places", F.when(F.size("lines") > 0, _matches(F.col("lines"), order)).otherwise(F.array().cast("array<struct<label:string,score:double,least:double>>")).alias("found"))
+    near = F.array(*map(F.lit, sorted(prefixes)))
+    nothing = F.array().cast("array<struct<n:int,words:array<string>>>")
+
+    def blocks(low):
+        # bound as elements, each evaluated once a text
+        cut = F.transform(F.array(low), lambda x: F.array_remove(F.split(F.regexp_replace(x, F.lit("\n" + _BETWEEN[:-1] + "*+"), F.lit(f" {_END} ")), _BETWEEN_OR_END), ""))
+        held = F.transform(cut, lambda w: F.struct(w.alias("w"), F.filter(F.transform(w, lambda x, i: F.when(x == _END, i)), lambda p: p.isNotNull()).alias("ends")))
+        return F.filter(F.flatten(F.transform(held, lambda h: _blocks(h["w"], h["ends"]))), lambda b: F.arrays_overlap(b["words"], near))
+
+    rows = rows.withColumn("blocks", F.when(F.coalesce("near", F.lit(False)), blocks(F.col("low"))).otherwise(nothing))
+    rows = rows.select("doc_id", "n_words", "places", F.when(F.size("blocks") > 0, _matches(F.col("blocks"), order)).otherwise(F.array().cast("array<struct<label:string,score:double,least:double>>")).alias("found"))
     starts = F.transform("places", lambda p: p["start"])
     base = F.transform("places", lambda p: p["label"])
     named = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
@@ -147,7 +176,7 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def oracle() -> str:
-    """The same rows in DuckDB SQL, without any filter."""
+    """The same rows in DuckDB SQL, without any filter, where no notice is wrapped: here a block is a line alone."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     templates = ", ".join(f"{{'label': '{label}', 'own': [{', '.join(repr(w) for w in sorted(set(t.split())))}]}}" for label, t in TEMPLATES)
     phrase = []

@@ -154,3 +154,39 @@ def test_licenses(docs, empty):
     by = {r[0]: r for r in got}
     assert by[81][2:5] == (2, 0, 2) and by[82][5] == "apache,gpl" and by[83][6] == "mit" and by[83][2] == 0
     assert licenses.licenses(empty).count() == 0
+
+
+WRAPPED = [
+    ("bsd", " * Copyright (c) Someone. All rights\n * reserved. Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:"),
+    ("mit", "# Permission is hereby granted, free of charge, to any person\n#\n# obtaining a copy of this software and associated\n# documentation files"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any<br>\r\npurpose with or without fee is hereby granted<br>"),
+    ("mpl", "\n\nThis Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0."),
+    ("gpl", "/// This program is free software: you can redistribute it and/or modify\n/// it under the terms of the GNU General Public License as published by\n/// the Free Software Foundation"),
+    ("bsd", "\n".join("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met".split())),
+    ("", "redistribution and use in source and binary forms\n" + "other words\n" * 30 + "with or without modification are permitted provided that the following conditions are met"),
+]
+
+
+def _contained(text: str) -> tuple[set, float]:
+    """Labels of the templates, and the largest share, by every line with the words after it."""
+    lines = [brute.ALNUM_WORDS.findall(x) for x in text.translate(brute.LOWER).split("\n")]
+    out, best = set(), 0.0
+    for label, t in licenses.TEMPLATES:
+        own = set(t.split())
+        for i, line in enumerate(lines):
+            more = [w for x in lines[i + 1 :] for w in x][: len(t.split()) * 3 // 2]
+            n = len(own & {*line, *more})
+            if 100 * n >= licenses.CONTAINED * len(own):
+                out, best = out | {label}, max(best, n / len(own))
+    return out, best
+
+
+def test_wrapped_licenses(spark):
+    texts = [t for _, t in WRAPPED] + ["\n\n".join(t for _, t in WRAPPED)] + [t for _, t in DOCUMENTS if t]
+    rows = {r.doc_id: r for r in licenses.licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, (label, _) in enumerate(WRAPPED):
+        assert (set(rows[i].labels.split(",")) >= {label}) and bool(rows[i].score) == bool(label)
+    for i, t in enumerate(texts):
+        labels, best = _contained(t)
+        assert set(filter(None, rows[i].labels.split(","))) == labels | set(filter(None, rows[i].base_labels.split(",")))
+        assert rows[i].n_base or abs(rows[i].score - best) < 1e-12
