@@ -394,7 +394,7 @@ def html_main_text(spark, sf_dir):
 
 @query()
 def slug(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.left(X.collapsed(F.col("text")), F.lit(120)).alias("title"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", X.collapsed(F.col("text")).alias("title"))
     return docs.select("doc_id", markup.slugged(F.col("title"), 80, "document").alias("slug"), markup.slugged(F.col("title"), 60, "section", dots=True).alias("section_slug"))
 
 
