@@ -381,6 +381,13 @@ def page_title(spark, sf_dir):
     return rows.select("page_id", X.without_suffix(F.col("raw"), "Example Site").alias("title"))
 
 
+@query()
+def page_title_unescaped(spark, sf_dir):
+    """The titles of all pages; page_title has those that need no entities resolved, which SQL can check."""
+    title = markup.html_unescape(X.title_markup(F.col("html")))
+    return table(spark, sf_dir, "pages").select("page_id", X.without_suffix(title, "Example Site").alias("title"))
+
+
 @query()
 def article_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", X.clean_whitespace(markup.html_unescape(X.article_markup(F.col("html")))).alias("article"))
