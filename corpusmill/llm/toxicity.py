@@ -139,9 +139,12 @@ def score_texts(df: DataFrame, weights: np.ndarray, text: str = "text", out: str
 
 
 def clean(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs whose texts score below threshold, with their columns as they are."""
+    """The rows of docs whose texts score below threshold, with their columns as they are; all rows if nothing could be learnt."""
+    weights = fit(docs, labels, doc_id, text)
+    if not weights.any():
+        return docs
     out = fresh_name("score", docs.columns)
-    return score_texts(docs, fit(docs, labels, doc_id, text), text, out).filter(F.col(out) < threshold).drop(out)
+    return score_texts(docs, weights, text, out).filter(F.col(out) < threshold).drop(out)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

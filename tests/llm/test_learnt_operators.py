@@ -85,6 +85,13 @@ def test_toxicity(spark, docs, empty):
     assert kept.columns == docs.columns and kept.count() == toxicity.toxicity(docs, marks).filter("predicted = 0").count() > 90
 
 
+def test_clean_without_usable_labels_keeps_all(spark, docs):
+    unknown = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
+    for labels in (unknown.limit(0), unknown):
+        kept = toxicity.clean(docs, labels)
+        assert kept.columns == docs.columns and kept.count() == len(DOCUMENTS)
+
+
 def test_counterfactual_penalty_narrows_the_change():
     """With the penalty, swapping a term changes the score less."""
     women, men = (int(toxicity._buckets(toxicity._hash_of([w]))[0]) for w in ("women", "men"))
