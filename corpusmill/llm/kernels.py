@@ -23,7 +23,7 @@ NOT_SPACE = ~((_BYTE == 0x20) | ((_BYTE >= 0x09) & (_BYTE <= 0x0D)))
 ALNUM = ((_BYTE >= 0x30) & (_BYTE <= 0x39)) | ((_BYTE >= 0x61) & (_BYTE <= 0x7A)) | (_BYTE >= 0x80)
 LOWER = np.where((_BYTE >= 0x41) & (_BYTE <= 0x5A), _BYTE + 32, _BYTE).astype(np.uint8)
 
-#: odd multipliers of the rolling hashes: bytes of a word, then two families for runs of words
+#: odd constants of the hashes
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -37,44 +37,26 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class _Powers:
-    """base**i and base**-i modulo 2**64, for i below a length that grows on demand."""
+def _joined(left: np.ndarray, right: np.ndarray, seed: np.uint64) -> np.ndarray:
+    """A hash of two neighbouring hashes, in order."""
+    h = left * np.uint64(BASES[1]) + (right ^ seed) * np.uint64(BASES[2])
+    h ^= h >> np.uint64(32)
+    h *= _M1
+    return h ^ (h >> np.uint64(29))
 
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
 
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, CHUNK + 64)
-            self.up, self.down = (self._run(b, size) for b in (self.base, self.inverse))
-        return self.up[:n], self.down[:n]
-
-    @staticmethod
-    def _run(base: int, n: int) -> np.ndarray:
-        steps = np.full(n, base, np.uint64)
-        steps[0] = 1
-        return np.multiply.accumulate(steps)
-
-
-_POWERS = [_Powers(b) for b in BASES]
-
-
-def _sums(values: np.ndarray, family: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _POWERS[family].get(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=total[1:])
-    return total, down
-
-
-def run_hashes(values: np.ndarray, n: int, family: int = 1) -> np.ndarray:
-    """Hash of each run of n consecutive values (fewer than n values: none)."""
+def run_hashes(values: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each run of n consecutive values (fewer than n values: none), by doubling: every step scrambles, so it is no polynomial either."""
     count = max(0, len(values) - n + 1)
     out = np.empty(count, np.uint64)
     for at in range(0, count, CHUNK):
-        part = values[at : at + CHUNK + n - 1]
-        total, down = _sums(part, family)
-        out[at : at + CHUNK] = mix((total[n:] - total[:-n]) * down[: len(part) - n + 1] + np.uint64(n))
+        h, span, step = values[at : at + CHUNK + n - 1], 1, n
+        while span < n:
+            more = min(span, n - span)
+            step = (step * BASES[0] + 1) & 0xFFFFFFFFFFFFFFFF
+            h = _joined(h[:-more], h[more:], np.uint64(step))
+            span += more
+        out[at : at + CHUNK] = h if n > 1 else mix(h + np.uint64(1))
     return out
 
 
@@ -91,6 +73,10 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
+def _placed(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    return mix((place.astype(np.uint64) << np.uint64(8)) + byte + np.uint64(BASES[0]))
+
+
 class Words:
     """The words of a chunk of documents: byte spans, 64-bit hashes, and each document's range of words."""
 
@@ -109,17 +95,30 @@ class Words:
         self.hash = self._hash()
 
     def _hash(self) -> np.ndarray:
+        """Of each word the sum of a scrambled value for each of its bytes and their places, scrambled again with its length: no polynomial, so patterns in the bytes don't cancel."""
         out = np.empty(len(self.start), np.uint64)
         first = 0
         while first < len(out):  # parts of about CHUNK bytes, whole words each
-            begin = int(self.start[first])
-            last = max(first + 1, int(np.searchsorted(self.end, begin + CHUNK, "right")))
-            a, b = self.start[first:last] - begin, self.end[first:last] - begin
-            total, down = _sums(self.data[begin : begin + int(b[-1])].astype(np.uint64) + np.uint64(1), 0)
-            out[first:last] = mix((total[b] - total[a]) * down[a] ^ ((b - a).astype(np.uint64) * np.uint64(BASES[2])))
+            last = max(first + 1, int(np.searchsorted(self.end, int(self.start[first]) + CHUNK, "right")))
+            size = self.end[first:last] - self.start[first:last]
+            if size[0] > 4 * CHUNK:  # one very long word
+                out[first] = self._long(int(self.start[first]), int(size[0]))
+                first += 1
+                continue
+            begin = np.cumsum(size) - size
+            place = np.arange(int(size.sum())) - np.repeat(begin, size)
+            byte = self.data[place + np.repeat(self.start[first:last], size)]
+            out[first:last] = mix(np.add.reduceat(_placed(place, byte), begin) ^ (size.astype(np.uint64) * np.uint64(BASES[2])))
             first = last
         return out
 
+    def _long(self, start: int, size: int) -> np.uint64:
+        total = np.zeros(1, np.uint64)
+        for at in range(0, size, CHUNK):
+            byte = self.data[start + at : start + min(size, at + CHUNK)]
+            total += _placed(np.arange(at, at + len(byte)), byte).sum(dtype=np.uint64)
+        return mix(total ^ (np.array([size], np.uint64) * np.uint64(BASES[2])))[0]
+
 
 def texts(column: pa.Array) -> pa.Array:
     """A string column with null as empty text and 64-bit offsets."""

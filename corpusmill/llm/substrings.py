@@ -1,18 +1,22 @@
 """Substring dedup: seed and extend on winnowed anchors, keeping repeats of at least a length.
 
 Seed.  Of the k-word runs inside each window of `length` words the one with the least hash is the
-window's anchor.  Equal windows have equal anchors, wherever they stand, so a window can occur twice
-only if its anchor occurs at two places.  Anchors are a few for every hundred words; they alone are
-counted over the corpus.
-
-Extend.  Around each anchor that occurs at two places or more, every window that the anchor owns (it
-reaches both ways from the anchor as far as the anchor stays the least) is hashed to 96 bits, and the
-hashes are counted.  The maximal repeats are the unions of neighbouring repeated windows.  Counting
-needs one row a window, never one a pair, so a passage in a million documents costs a million rows.
-
+window's anchor.  Equal windows have equal anchors at equal offsets, wherever they stand, so a window
+can occur twice only if its anchor occurs at two places.  Anchors are a few for every hundred words;
+they alone are counted over the corpus.
+
+Extend.  A place of such an anchor carries the words of all windows that the anchor owns there: it
+reaches both ways as far as the anchor stays the least.  Documents are joined on the anchor: each place meets
+the anchor's first place, and the match is extended from the anchor both ways, word by word.  Where it
+reaches `length` words, its windows are repeats at both places.  Windows of a place that the first
+place does not have can still occur at a third one; they are counted by a 128-bit digest of their words.
+So an anchor at a million places makes a million comparisons, not all their pairs, and no repeat is
+lost.  The maximal repeats are the unions of neighbouring repeated windows.
+
+Hashes only choose who is compared: what counts as a repeat is decided by words, or by their digest.
 Documents with equal texts are one class, found by md5; only its first row goes through the steps
-above.  Counts are combined before each shuffle, and hot anchors or windows meet their rows in joins
-whose partitions Spark can split.
+above.  Counts are combined before each shuffle, and hot anchors meet their first place, one row an anchor, in
+a join whose partitions Spark can split.
 """
 
 from __future__ import annotations
@@ -29,6 +33,8 @@ from corpusmill.llm.store import written
 
 #: words of an anchor: long enough that copies with scattered edits share few
 ANCHOR = 12
+#: windows whose anchors are looked for at a time
+PART = 1 << 16
 #: stands for a null doc_id between the steps
 NO_ID = -(1 << 63)
 
@@ -39,6 +45,34 @@ def _owners(words: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndar
     return runs, sliding_min(runs, length - k + 1)
 
 
+def _places(words: np.ndarray, wanted: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
+    """Of each place of a wanted anchor: the anchor, the first window that it owns, how far behind that window's start it stands, and how many windows it owns."""
+    runs, least = _owners(words, length, k)
+    hot = np.flatnonzero(np.isin(least, wanted))
+    if not len(hot):
+        return (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)
+    view = np.lib.stride_tricks.sliding_window_view(runs, length - k + 1)
+    at = np.concatenate([hot[i : i + PART] + view[hot[i : i + PART]].argmin(1) for i in range(0, len(hot), PART)])  # of equal runs the leftmost, as in every equal window
+    begin = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(hot, prepend=-2) != 1))
+    return runs[at[begin]], hot[begin], at[begin] - hot[begin], np.diff(np.append(begin, len(hot)))
+
+
+def _common(words: str, lead: int, other: str, other_lead: int, windows: int, length: int) -> tuple[int, int]:
+    """[first, after) of the windows of a place that lie in its match with another place, extended both ways from the anchor."""
+    if lead == other_lead and words == other:
+        return 0, windows
+    own, its = words.split(" "), other.split(" ")
+    left, right = 0, 0
+    while left < min(lead, other_lead) and own[lead - left - 1] == its[other_lead - left - 1]:
+        left += 1
+    reach = min(len(own) - lead, len(its) - other_lead)
+    while right < reach and own[lead + right] == its[other_lead + right]:
+        right += 1
+    a = lead - left
+    b = min(windows, lead + right - length + 1)
+    return (a, b) if a < b else (0, 0)
+
+
 def repeats(df: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a row of df: doc_id, n_words, n_removed, kept_sha256, removed (array of [first, after) word ranges).
 
@@ -76,71 +110,81 @@ def repeats(df: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str =
     hot = seeds.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     hot_of = seeds.join(hot, "anchor").groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("hot"))
 
-    def extend(batches):
-        """Windows around hot anchors, and the texts that have any, in rows of their own.
-
-        A window that a document repeats counts twice in its first row; its other places need no count.
-        """
+    def place(batches):
+        """Places of hot anchors with the words around them, and the texts that have any, in rows of their own."""
         for batch in batches:
             raw, hot_lists = texts(batch.column("text")), batch.column("hot")
-            which, at, h1, h2, weight = [], [], [], [], []
             for first, last, data, offsets in chunks(raw):
                 w = Words(data, offsets, NOT_SPACE, lower=False)
+                body = data.tobytes()
+                found = []
                 for i in range(last - first):
-                    words = w.hash[w.bounds[i] : w.bounds[i + 1]]
-                    _, least = _owners(words, length, k)
                     wanted = hot_lists[first + i].values.to_numpy(False).view(np.uint64)
-                    p = np.flatnonzero(np.isin(least, wanted))
-                    if len(p):
-                        a = signed(run_hashes(words, length, 1)[p])
-                        b = (run_hashes(words, length, 2)[p] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                        order = np.lexsort((p, b, a))
-                        fresh = np.ones(len(p), bool)
-                        fresh[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
-                        n = np.zeros(len(p), np.int32)
-                        n[fresh] = np.minimum(2, np.diff(np.append(np.flatnonzero(fresh), len(p))))
-                        which.append(np.full(len(p), first + i))
-                        at.append(p[order])
-                        h1.append(a[order])
-                        h2.append(b[order])
-                        weight.append(n)
-            if not which:
-                continue
-            row = pa.array(np.concatenate(which))
-            found = pa.array([w[0] for w in which])
-            ids = [batch.column(c) for c in ("doc_id", "row")]
-            window = [pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(h1)), pa.array(np.concatenate(h2)), pa.array(np.concatenate(weight))]
-            names = ["doc_id", "row", "at", "h1", "h2", "weight", "text"]
-            yield pa.RecordBatch.from_arrays([*(c.take(row) for c in ids), *window, pa.nulls(len(row), pa.string())], names)
-            yield pa.RecordBatch.from_arrays([*(c.take(found) for c in ids), *(pa.nulls(len(found), a.type) for a in window), batch.column("text").take(found).cast(pa.string())], names)
+                    got = _places(w.hash[w.bounds[i] : w.bounds[i + 1]], wanted, length, k)
+                    if len(got[0]):
+                        words = body[offsets[i] : offsets[i + 1]].split()
+                        around = [b" ".join(words[a : a + n + length - 1]).decode() for a, n in zip(got[1].tolist(), got[3].tolist(), strict=True)]
+                        found.append((first + i, *got, around))
+                if not found:
+                    continue
+                which = pa.array(np.concatenate([np.full(len(f[1]), f[0]) for f in found]))
+                with_places = pa.array([f[0] for f in found])
+                column = lambda j, kind: pa.array(np.concatenate([f[j] for f in found]), kind)
+                ids = [batch.column(c) for c in ("doc_id", "row")]
+                values = [pa.array(signed(np.concatenate([f[1] for f in found]))), column(2, pa.int32()), column(3, pa.int32()), column(4, pa.int32()), pa.array([x for f in found for x in f[5]], pa.string())]
+                names = ["doc_id", "row", "anchor", "first", "lead", "windows", "words", "text"]
+                yield pa.RecordBatch.from_arrays([*(c.take(which) for c in ids), *values, pa.nulls(len(which), pa.string())], names)
+                yield pa.RecordBatch.from_arrays([*(c.take(with_places) for c in ids), *(pa.nulls(len(found), a.type) for a in values), batch.column("text").take(with_places).cast(pa.string())], names)
 
     source = docs.select("doc_id", "row", "text").join(hot_of, ["doc_id", "row"])
-    extended = written(source.mapInArrow(extend, "doc_id long, row long, at int, h1 long, h2 int, weight int, text string"), "windows")
-    windows = extended.filter("weight > 0").select("doc_id", "row", "at", "h1", "h2", "weight")
-    twice = windows.groupBy("h1", "h2").agg(F.sum("weight").alias("n")).filter("n > 1").select("h1", "h2")
-    certain = extended.filter("weight = 0").select("doc_id", "row", "at")
-    found = windows.join(twice, ["h1", "h2"]).select("doc_id", "row", "at").unionByName(certain).groupBy("doc_id", "row").agg(F.collect_set("at").alias("at"))
+    placed = written(source.mapInArrow(place, "doc_id long, row long, anchor long, first int, lead int, windows int, words string, text string"), "places")
+    places = placed.filter("words is not null").select("doc_id", "row", "anchor", "first", "lead", "windows", "words")
+    heads = places.groupBy("anchor").agg(F.min(F.struct("doc_id", "row", "first", "lead", "words")).alias("head"))
+
+    def extend(batches):
+        """Ranges of windows that a place and its anchor's first place have in common, for both; digests of the place's other windows."""
+        for batch in batches:
+            same, rest = set(), []
+            for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "first", "lead", "windows", "words", "head")), strict=True):
+                doc, row, first, lead, windows, words, head = r
+                if (doc, row, first) == (head["doc_id"], head["row"], head["first"]):
+                    continue
+                a, b = _common(words, lead, head["words"], head["lead"], windows, length)
+                if a < b:
+                    same.add((doc, row, first + a, first + b - 1))
+                    moved = head["first"] + head["lead"] - lead
+                    same.add((head["doc_id"], head["row"], moved + a, moved + b - 1))
+                if b - a < windows:
+                    own = words.encode().split(b" ")
+                    for s in (*range(a), *range(max(a, b), windows)):
+                        rest.append((doc, row, first + s, first + s, hashlib.blake2b(b" ".join(own[s : s + length]), digest_size=16).digest()))
+            if same or rest:
+                rows = [(*x, None) for x in same] + rest
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["doc_id", "row", "first", "last", "digest"])
+
+    matches = written(places.join(heads, "anchor").select("doc_id", "row", "first", "lead", "windows", "words", "head").mapInArrow(extend, "doc_id long, row long, first int, last int, digest binary"), "matches")
+    rest = matches.filter("digest is not null")
+    twice = rest.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
+    repeated = matches.filter("digest is null").select("doc_id", "row", "first", "last").unionByName(rest.join(twice, "digest").select("doc_id", "row", "first", "last"))
+    found = repeated.groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "last")).alias("at"))
 
     def cut(batches):
         for batch in batches:
-            raw, starts = texts(batch.column("text")).to_pylist(), batch.column("at")
             removed, digests, ranges = [], [], []
-            for i, t in enumerate(raw):
+            for t, at in zip(texts(batch.column("text")).to_pylist(), batch.column("at"), strict=True):
                 words = t.encode().split()
-                p = np.sort(starts[i].values.to_numpy(False)).astype(np.int64)
-                fresh = np.flatnonzero(np.diff(p, prepend=-length - 1) > length)
-                first = p[fresh]
-                after = np.append(p[fresh[1:] - 1], p[-1]) + length
+                spans = at.values.flatten()
                 gone = np.zeros(len(words) + 1, np.int64)
-                np.add.at(gone, first, 1)
-                np.add.at(gone, after, -1)
-                keep = np.flatnonzero(np.cumsum(gone)[:-1] == 0)
-                removed.append(len(words) - len(keep))
-                digests.append(hashlib.sha256(b" ".join([words[j] for j in keep])).hexdigest())
-                ranges.append(np.column_stack([first, after]).tolist())
+                np.add.at(gone, spans[0].to_numpy(), 1)
+                np.add.at(gone, spans[1].to_numpy() + length, -1)
+                out = np.cumsum(gone)[:-1] > 0
+                turns = np.flatnonzero(np.diff(out, prepend=False, append=False))
+                removed.append(int(out.sum()))
+                digests.append(hashlib.sha256(b" ".join([words[j] for j in np.flatnonzero(~out)])).hexdigest())
+                ranges.append(turns.reshape(-1, 2).tolist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(ranges, pa.list_(pa.list_(pa.int64())))], ["doc_id", "row", "cut", "cut_digest", "ranges"])
 
-    partly = extended.filter("text is not null").select("doc_id", "row", "text").join(found, ["doc_id", "row"])
+    partly = placed.filter("text is not null").select("doc_id", "row", "text").join(found, ["doc_id", "row"])
     cuts = partly.mapInArrow(cut, "doc_id long, row long, cut long, cut_digest string, ranges array<array<long>>").dropDuplicates(["doc_id", "row"])
     copied = classes.filter("copies > 1").select("copy", F.lit(True).alias("copied"))
     whole = F.coalesce(F.col("copied"), F.lit(False)) & (F.col("n_words") >= length)
