@@ -2,23 +2,29 @@
 
 Sets whose sizes fit a Jaccard similarity of num/den lie in one size band or in neighbouring ones.
 For a pair of bands the similarity bounds the symmetric difference by some k.  The feature domain is
-hashed into more than k parts; a differing feature spoils one part, so two similar sets agree on a part in
-full.  Each set emits a signature for each part (level one of PartEnum, with subsets of one part, so
-k + 1 signatures and a few more, not a combinatorial number).  A part that is empty is only a signature
-for the rare set with no more than k parts that are not: any two similar sets of which either has more
-agree on one that is not empty.
-
-Signature rows are dealt out by signature, sorted within partitions and streamed, so no bucket is held in
-memory; a worker puts out a set that it meets again once a buffer, so copies cost next to nothing, and a
-large group of near copies is spread by its many signatures.  Links through the least set of each bucket are verified first and joined into
-components; buckets still holding several components are compared in tiles, by sketches that never
-reject a similar pair, and what passes is verified.  Nothing is capped or sampled.
-
-Sets are known by a 64-bit hash of their contents, so copies are one set.
+hashed into n1 parts, and each of those into n2 smaller ones.  If n1 * (k2 + 1) > k, similar sets have a part in
+which at most k2 of the smaller ones are spoiled by a difference, so they agree on some n2 - k2 of them:
+every subset of that many is one signature.  Where k is small (short texts), k2 is 1 and n2 is 3; where
+it is large, subsets of one undivided part (k2 = 0, n2 = 1) give the fewest signatures for their
+selectivity, and a few parts more than needed are taken.  A subset without features is only a signature for the
+rare set with so few parts that are not empty that it may have no other one in common.
+
+A worker combines the signatures that it has itself seen in many sets: only one row of those goes on, so a
+signature that a third of all documents share sends a row a buffer, not a row a document.  Signature rows
+are dealt out by signature, sorted within partitions and streamed, so no bucket is held in memory.  Links
+through the least set of each bucket are verified first and joined into components.  In buckets that still hold
+several components, members of different ones are compared in tiles, by sketches that never reject a
+similar pair, and what passes is verified.  Nothing is capped or sampled.
+
+Sets are known by a 128-bit digest of their shingles' words, and pairs are verified on the words.
+Signature rows carry 64 bits of that digest; sets that share those are told apart, and compared, after
+the buckets.
 """
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
 
 import numpy as np
@@ -27,56 +33,97 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.components import components
-from corpusmill.llm.kernels import BASES, NOT_SPACE, Words, chunks, mix, run_hashes, signed, texts
+from corpusmill.llm.kernels import BASES, CHUNK, NOT_SPACE, Words, chunks, mix, run_hashes, signed, texts
 from corpusmill.llm.store import fresh_name, partitions, written
 
-#: signature rows that a worker holds before it puts them out
-BUFFER = 1_000_000
-#: members of a tile, and bytes of a sketch
-TILE, SKETCH = 512, 512
+#: signature rows that a worker holds before it puts them out; sets from which on it combines a signature's rows
+BUFFER, COMBINED = 1_000_000, 64
+#: members of a tile, bytes of a sketch, pairs that one copy of a first set's text is sent for
+TILE, SKETCH, SHARED = 512, 512, 1000
+#: largest difference bound for which parts are divided
+DIVIDED = 8
+#: stands for a null doc_id between the steps
+NO_ID = -(1 << 63)
+
+
+def levels(k: int) -> tuple[int, int, int]:
+    """(n1, k2, n2) for a difference bound of k."""
+    if 0 < k <= DIVIDED:
+        return k // 2 + 1, 1, 3
+    return (math.ceil((k + 1) * 1.1) if k else 1), 0, 1
 
 
 class Scheme:
-    """Size bands, difference bounds and part counts for a similarity of num/den."""
+    """Size bands, difference bounds and part counts for a similarity of num/den; `levels` gives (n1, k2, n2) of a bound."""
 
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
+    def __init__(self, num: int, den: int, levels=levels):
+        self.num, self.den, self.levels = num, den, levels
         self.last = [0]  # largest size of each band; band 0 is empty
+        self.plans: dict[int, tuple] = {}
 
     def bands(self, sizes: np.ndarray) -> np.ndarray:
         top = int(sizes.max(initial=1))
         while self.last[-1] < top:
-            self.last.append(max(self.last[-1] + 1, (self.last[-1] + 1) * self.den // self.num))
+            self._grow()
         return np.searchsorted(np.array(self.last), sizes)
 
+    def _grow(self) -> None:
+        self.last.append(max(self.last[-1] + 1, (self.last[-1] + 1) * self.den // self.num))
+
     def bound(self, total):
         """Largest symmetric difference of similar sets whose sizes add up to total."""
         return (self.den - self.num) * total // (self.den + self.num)
 
-    def of_band(self, band: int) -> tuple[int, int]:
-        """(k, parts) of the pairs whose larger set is in this band, or both in the one below."""
-        while len(self.last) <= band:
-            self.last.append(max(self.last[-1] + 1, (self.last[-1] + 1) * self.den // self.num))
-        k = self.bound(self.last[band - 1] + self.last[band])
-        return k, math.ceil((k + 1) * 1.1)
-
-
-def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
-    """Sorted distinct hashes of the n-word shingles of each text; the whole of a shorter text is one."""
+    def of_band(self, band: int) -> tuple:
+        """(parts, subsets, most) of the pairs whose larger set is in this band, or both in the one below: subsets holds each signature's parts, most how many parts may be full without two similar sets having a full signature in common."""
+        if band not in self.plans:
+            while len(self.last) <= band:
+                self._grow()
+            k = self.bound(self.last[band - 1] + self.last[band])
+            n1, k2, n2 = self.levels(k)
+            assert n1 * (k2 + 1) > k and n2 > k2
+            chosen = np.array(list(itertools.combinations(range(n2), n2 - k2)))
+            subsets = (np.arange(n1)[:, None, None] * n2 + chosen).reshape(-1, n2 - k2)
+            self.plans[band] = (n1 * n2, subsets, k // (k2 + 1) * n2 + k % (k2 + 1))
+        return self.plans[band]
+
+
+def shingle_sets(column: pa.Array, n: int, named: bool = False) -> list:
+    """Sorted distinct hashes of the n-word shingles of each text; the whole of a shorter text is one. With named, (hashes, digest of the words)."""
     out = []
     for first, last, data, offsets in chunks(column):
         w = Words(data, offsets, NOT_SPACE, lower=True)
         for i in range(last - first):
-            words = w.hash[w.bounds[i] : w.bounds[i + 1]]
-            out.append(np.unique(run_hashes(words, min(n, len(words)))) if len(words) else words)
+            a, b = int(w.bounds[i]), int(w.bounds[i + 1])
+            size = min(n, b - a)
+            features, at = np.unique(run_hashes(w.hash[a:b], size) if size else w.hash[a:b], return_index=True)
+            out.append((features, _digest(w, a + at, size) if size else b"") if named else features)
     return out
 
 
-def set_id(features: np.ndarray) -> int:
-    """64-bit name of a set; never 0, which stands for the empty one."""
-    with np.errstate(over="ignore"):
-        h = mix(np.array([(mix(features ^ np.uint64(BASES[2]))).sum(dtype=np.uint64) + np.uint64(len(features))]))[0]
-    return int(np.int64(h.view(np.int64))) or 1
+def _digest(w: Words, at: np.ndarray, n: int) -> bytes:
+    """128 bits of the words of the shingles that begin at these words, in this order."""
+    h = hashlib.blake2b(digest_size=16)
+    part = max(1, CHUNK // (8 * n))
+    for i in range(0, len(at), part):
+        words = (at[i : i + part, None] + np.arange(n)).ravel()
+        start, size = w.start[words], w.end[words] - w.start[words] + 1
+        ends = np.cumsum(size)
+        if ends[-1] > 16 * CHUNK:  # long words: one by one
+            for s, e in zip(w.start[words].tolist(), w.end[words].tolist(), strict=True):
+                h.update(w.data[s:e].tobytes() + b" ")
+            continue
+        place = np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)
+        place[ends - 1] = 0
+        body = w.data[place]
+        body[ends - 1] = 0x20
+        h.update(body.tobytes())
+    return h.digest()
+
+
+def set_id(key: bytes) -> int:
+    """64 bits of a set's digest; never 0, which stands for the empty set."""
+    return (int.from_bytes(key[:8], "little", signed=True) or 1) if key else 0
 
 
 def signatures(features: np.ndarray, band: int, scheme: Scheme) -> np.ndarray:
@@ -84,13 +131,13 @@ def signatures(features: np.ndarray, band: int, scheme: Scheme) -> np.ndarray:
     low, high = (features & np.uint64(0xFFFFFFFF)).astype(np.float64), (features >> np.uint64(32)).astype(np.float64)
     place = mix(features ^ np.uint64(BASES[1]))
     for b in (band, band + 1):
-        k, parts = scheme.of_band(b)
+        parts, subsets, most = scheme.of_band(b)
         part = (place % np.uint64(parts)).astype(np.int64)
         sizes = np.bincount(part, minlength=parts)
         sums = np.bincount(part, low, parts).astype(np.uint64) * np.uint64(BASES[0]) + np.bincount(part, high, parts).astype(np.uint64) * np.uint64(BASES[1])
-        h = mix(sums + np.uint64(b * BASES[2] & 0xFFFFFFFFFFFFFFFF) + mix(np.arange(parts, dtype=np.uint64) + np.uint64(parts << 20)))
-        full = np.flatnonzero(sizes)
-        out.append(h[full] if len(full) > k else h)
+        own = mix(sums + mix(np.arange(parts, dtype=np.uint64) + np.uint64(parts << 20)))
+        h = mix(own[subsets].sum(1, dtype=np.uint64) + mix(np.arange(len(subsets), dtype=np.uint64) + np.uint64(b * BASES[2] & 0xFFFFFFFFFFFFFFFF)))
+        out.append(h[sizes[subsets].any(1)] if np.count_nonzero(sizes) > most else h)
     return np.concatenate(out)
 
 
@@ -103,6 +150,25 @@ def sketch(features: np.ndarray) -> bytes:
 
 
 _ROWS = "a long, b long, pair boolean"
+#: kinds of rows that workers put out: (signature, set) to be met with others; members of a signature that was combined; pairs of its least set and the others
+PLAIN, MEMBER, PAIR = 0, 1, 2
+
+
+def _combined(sig: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+    """Rows (kind, a, b). A signature of more than COMBINED sets goes on as one row; its members and their pairs with the least one are put out at once."""
+    sig, own = _distinct(sig, own)
+    begin = np.flatnonzero(np.diff(sig, prepend=sig[0] - 1 if sig[0] > np.iinfo(np.int64).min else sig[0] + 1) != 0)
+    count = np.diff(np.append(begin, len(sig)))
+    hot = np.repeat(count > COMBINED, count)
+    leads = begin[count > COMBINED]
+    least = np.repeat(own[leads], count[count > COMBINED])
+    x, y = least[least != own[hot]], own[hot][least != own[hot]]
+    if len(x):
+        x, y = _distinct(x, y)
+    a = np.concatenate([sig[~hot], sig[leads], sig[hot], x])
+    b = np.concatenate([own[~hot], own[leads], own[hot], y])
+    kind = np.repeat(np.array([PLAIN, MEMBER, PAIR], np.int8), [int((~hot).sum()) + len(leads), int(hot.sum()), len(x)])
+    return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(a), pa.array(b)], ["kind", "a", "b"])
 
 
 def _rows(a: np.ndarray, b: np.ndarray, pair: bool) -> pa.RecordBatch:
@@ -152,7 +218,7 @@ def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100,
     shingles; with fewer words it is the whole sequence, with none it is empty and linked with nothing.
     Sets link when den * intersection >= num * union.  component_id is the smallest doc_id reachable by
     links, the document's own where there is none.  Null text counts as empty; equal rows get equal
-    results; null doc_ids are no smaller than any other; other columns are not carried; an empty table
+    results; documents without doc_id link others as any do, and their ids are no smaller than any other; other columns are not carried; an empty table
     gives an empty table.
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
@@ -160,61 +226,69 @@ def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100,
 
     def describe(batches):
         for batch in batches:
-            sets = shingle_sets(texts(batch.column("text")), n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else 0 for s in sets], pa.int64())], ["doc_id", "row", "n_shingles", "set_id"])
+            sets = shingle_sets(texts(batch.column("text")), n, named=True)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s, _ in sets], pa.int64()), pa.array([set_id(k) for _, k in sets], pa.int64()), pa.array([k for _, k in sets], pa.binary())], ["doc_id", "row", "n_shingles", "set_id", "key"])
 
     def sign(batches):
         scheme, sigs, owns, held, seen = Scheme(num, den), [], [], 0, set()
         for batch in batches:
-            for s in shingle_sets(texts(batch.column("text")), n):
-                own = set_id(s) if len(s) else 0
-                if not own or own in seen:
+            for s, key in shingle_sets(texts(batch.column("text")), n, named=True):
+                if not key or key in seen:
                     continue
-                seen.add(own)
+                seen.add(key)
                 got = signatures(s, int(scheme.bands(np.array([len(s)]))[0]), scheme)
                 sigs.append(signed(got))
-                owns.append(np.full(len(got), own, np.int64))
+                owns.append(np.full(len(got), set_id(key), np.int64))
                 held += len(got)
                 if held >= BUFFER:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(owns))], ["a", "b"])
+                    yield _combined(np.concatenate(sigs), np.concatenate(owns))
                     sigs, owns, held, seen = [], [], 0, set()
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(owns))], ["a", "b"])
+            yield _combined(np.concatenate(sigs), np.concatenate(owns))
 
     def gather(batches):
         buckets = _Buckets()
         for batch in batches:
-            if len(batch):
-                yield from buckets.take(batch.column("a").to_numpy(False), batch.column("b").to_numpy(False))
-
-    base = written(docs.mapInArrow(describe, "doc_id long, row long, n_shingles long, set_id long"), "sets")
-    spread = docs.select("text").mapInArrow(sign, "a long, b long").repartition(partitions(spark), "a").sortWithinPartitions("a", "b")
+            kind, a, b = (batch.column(c).to_numpy(False) for c in ("kind", "a", "b"))
+            plain = kind == PLAIN
+            if plain.any():
+                yield from buckets.take(a[plain], b[plain])
+            if not plain.all():
+                yield pa.RecordBatch.from_arrays([pa.array(a[~plain]), pa.array(b[~plain]), pa.array(kind[~plain] == PAIR)], ["a", "b", "pair"])
+
+    base = written(docs.mapInArrow(describe, "doc_id long, row long, n_shingles long, set_id long, key binary"), "sets")
+    dealt = F.when(F.col("kind") == PLAIN, F.col("a")).otherwise(F.col("b"))
+    spread = docs.select("text").mapInArrow(sign, "kind byte, a long, b long").repartition(partitions(spark), dealt).sortWithinPartitions("kind", "a", "b")
     rows = written(spread.mapInArrow(gather, _ROWS), "buckets")
-    pairs = rows.filter("pair").select("a", "b").distinct()
     buckets = rows.filter("not pair").select(F.col("a").alias("sig"), F.col("b").alias("id"))
 
-    # the texts of the sets in any pair or bucket, one document each
+    # each set once, with a document that has it; of those in any pair or bucket, the text
+    known_id = F.coalesce("doc_id", F.lit(NO_ID))
+    sets = written(base.filter("set_id <> 0").groupBy("key").agg(F.min("set_id").alias("id"), F.min("doc_id").alias("least"), F.min(F.struct(known_id.alias("doc"), "row")).alias("at")), "distinct-sets")
+    doubtful = sets.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("id").alias("a"), F.col("id").alias("b"))
+    pairs = rows.filter("pair").select("a", "b").distinct().unionByName(doubtful)
     involved = buckets.select("id").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    chosen = base.join(involved, base["set_id"] == involved["id"]).groupBy("id").agg(F.min("doc_id").alias("doc_id"))
-    bodies = docs.join(chosen, "doc_id").select("id", "text")
+    chosen = sets.join(involved, "id").select("key", "id", "at.doc", F.col("at.row").alias("row"))
+    bodies = docs.select(known_id.alias("doc"), "row", "text").join(chosen, ["doc", "row"]).select("key", "id", "text")
 
     def confirm(batches):
         for batch in batches:  # a doc_id may have several texts
-            ids = [set_id(s) if len(s) else 0 for s in shingle_sets(texts(batch.column("text")), n)]
-            right = pa.array(np.array(ids, np.int64) == batch.column("id").to_numpy(False), pa.bool_())
-            yield batch.filter(right)
+            found = [k for _, k in shingle_sets(texts(batch.column("text")), n, named=True)]
+            yield batch.filter(pa.array([x == y for x, y in zip(found, batch.column("key").to_pylist(), strict=True)], pa.bool_()))
 
-    bodies = written(bodies.mapInArrow(confirm, "id long, text string").dropDuplicates(["id"]), "bodies")
-    links = written(_verified(pairs, bodies, n, num, den), "verified")
-    known = components(links)
-    more = _residual(buckets, known, bodies, n, num, den)
-    links = links.unionByName(written(_verified(more, bodies, n, num, den), "verified"))
-    known = components(links)
+    bodies = written(bodies.mapInArrow(confirm, "key binary, id long, text string").dropDuplicates(["key"]), "bodies")
+    known = components(written(_verified(pairs, bodies, n, num, den), "verified"))
+    more = _verified(_residual(buckets, known, bodies, n, num, den), bodies, n, num, den)
+    # what is new links components, not sets
+    of = lambda side: known.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
+    more = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    wider = components(more).select(F.col("id").alias("first"), F.col("component").alias("last"))
 
-    least = base.filter("set_id <> 0").join(known, base["set_id"] == known["id"], "left").select("set_id", F.coalesce("component", "set_id").alias("component"), "doc_id")
-    roots = least.groupBy("component").agg(F.min("doc_id").alias("root"))
-    of_set = least.select("set_id", "component").distinct().join(roots, "component").select("set_id", "root")
-    return base.join(of_set, "set_id", "left").select("doc_id", "row", "n_shingles", "set_id", F.coalesce(F.when(F.col("set_id") != 0, F.col("root")), "doc_id").alias("component_id"))
+    placed = sets.select("key", "least").join(known, F.col("key") == known["id"], "left").withColumn("first", F.coalesce("component", "key"))
+    placed = placed.join(wider, "first", "left").select("key", "least", F.coalesce("last", "first").alias("component"))
+    roots = placed.groupBy("component").agg(F.min("least").alias("root"))
+    of_set = placed.join(roots, "component").select("key", "root")
+    return base.join(of_set, "key", "left").select("doc_id", "row", "n_shingles", "set_id", F.coalesce("root", "doc_id").alias("component_id"))
 
 
 def representatives(df: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -235,57 +309,91 @@ def representatives(df: DataFrame, n: int = 5, num: int = 80, den: int = 100, do
     return rows.select(*df.columns)
 
 
+def _shingles(text: str, n: int) -> set[bytes]:
+    words = text.encode().lower().split()
+    n = min(n, len(words))
+    return {b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
+
+
 def _verified(pairs: DataFrame, bodies: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar. Each side's text is joined on; the pair's row goes where its first set is, so hot sets can be split."""
+    """(a, b): the digests of the sets of these pairs of 64-bit names that are similar, on their words.
+
+    Pairs are dealt out by their first set, at most about SHARED to a share, and sorted so that the first set's text comes once, before the others'.
+    """
+    shares = pairs.groupBy("a").agg(F.expr(f"cast(ceil(count(*) / {SHARED}) as int)").alias("shares"))
+    share = F.pmod(F.xxhash64("b"), F.col("shares")).cast("int").alias("share")
+    others = pairs.join(shares, "a").select("a", share, "b").join(bodies.select(F.col("id").alias("b"), "key", "text"), "b").select("a", "share", F.lit(False).alias("first"), "key", "text")
+    firsts = shares.join(bodies.select(F.col("id").alias("a"), "key", "text"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(True).alias("first"), "key", "text")
+    dealt = firsts.unionByName(others).repartition(partitions(pairs.sparkSession), "a", "share").sortWithinPartitions("a", "share", F.desc("first"))
 
     def check(batches):
+        name, held = None, []
         for batch in batches:
-            left, right = (texts(batch.column(c)) for c in ("ta", "tb"))
-            ok = np.zeros(len(left), bool)
-            for at in range(0, len(left), 64):
-                for i, (x, y) in enumerate(zip(shingle_sets(left.slice(at, 64), n), shingle_sets(right.slice(at, 64), n), strict=True)):
-                    if num * max(len(x), len(y)) <= den * min(len(x), len(y)):
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        ok[at + i] = den * both >= num * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            out = []
+            for a, share, first, key, text in zip(*(batch.column(c) for c in ("a", "share", "first", "key", "text")), strict=True):
+                if (a, share) != name:
+                    name, held = (a, share), []
+                key, x = key.as_py(), _shingles(text.as_py(), n)
+                if first.as_py():
+                    held.append((key, x))
+                    continue
+                for k, y in held:
+                    if k != key and num * max(len(x), len(y)) <= den * min(len(x), len(y)):
+                        both = len(x & y)
+                        if den * both >= num * (len(x) + len(y) - both):
+                            out.append((k, key))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], ["a", "b"])
 
-    left = bodies.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    right = bodies.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    return dealt.mapInArrow(check, "a binary, b binary")
 
 
 def _residual(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Pairs from different components that share a bucket and that sketches don't rule out; compared tile by tile."""
+    """(a, b): pairs of 64-bit names from different components that share a bucket and that sketches don't rule out.
+
+    A bucket's larger components have tiles of their own, the small ones share some, and two tiles of one component
+    never meet: a bucket of one large component and a few other sets costs a row a member, not a row a member and tile.
+    """
 
     def describe(batches):
         for batch in batches:
             sets = shingle_sets(texts(batch.column("text")), n)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())], ["id", "size", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())], ["key", "id", "size", "sketch"])
 
-    members = buckets.join(known, "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
+    facts = bodies.mapInArrow(describe, "key binary, id long, size long, sketch binary")
+    facts = written(facts.join(known.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key")), "sketches")
+    members = buckets.distinct().join(facts.select("id", "key", "component"), "id")
     mixed = members.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low <> high")
-    members = members.join(mixed.select("sig", "n"), "sig").withColumn("tiles", F.expr(f"cast(ceil(n / {TILE}) as long)"))
+    members = written(members.join(mixed.select("sig", "n"), "sig").select(F.col("sig").cast("string").alias("sig"), "key", "component", "n"), "members")
     # small buckets with the same members are one group
-    few = members.filter(f"n <= {TILE}").groupBy("sig").agg(F.array_sort(F.collect_list(F.struct("id", "component"))).alias("m")).select(F.xxhash64("m").alias("sig"), "m").dropDuplicates(["sig"]).select("sig", F.inline("m")).select("sig", "id", "component", F.lit(0).cast("long").alias("own"), F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("high"))
-    many = members.filter(f"n > {TILE}").withColumn("own", F.pmod(F.xxhash64("id"), F.col("tiles"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    many = many.select("sig", "id", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    facts = written(bodies.mapInArrow(describe, "id long, size long, sketch binary"), "sketches")
-    tiled = few.unionByName(many).join(facts, "id")
+    few = members.filter(f"n <= {TILE}").groupBy("sig").agg(F.array_sort(F.collect_set("key")).alias("m")).select(F.md5(F.concat_ws("", F.transform("m", F.hex))).alias("meet"), "m").dropDuplicates(["meet"]).select("meet", F.explode("m").alias("key")).withColumn("own", F.lit(0))
+    many = members.filter(f"n > {TILE}")
+    sized = many.groupBy("sig", "component").agg(F.count("*").alias("n")).withColumn("part", F.when(F.col("n") >= TILE, F.col("component")).otherwise(F.lit(b"")))
+    parts = sized.groupBy("sig", "part").agg(F.expr(f"cast(ceil(sum(n) / {TILE}) as int)").alias("tiles"))
+    placed = many.join(sized.select("sig", "component", "part"), ["sig", "component"]).join(parts, ["sig", "part"]).select("sig", "key", "part", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int").alias("tile"))
+    tiles = parts.select("sig", "part", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
+    there = tiles.select("sig", F.col("part").alias("to_part"), F.col("tile").alias("to_tile"))
+    apart = (F.col("part") < F.col("to_part")) | ((F.col("part") == F.col("to_part")) & (F.col("part") == F.lit(b"")) & (F.col("tile") <= F.col("to_tile")))
+    meets = tiles.join(there, "sig").filter(apart).withColumn("meet", F.concat_ws("/", "sig", F.hex("part"), "tile", F.hex("to_part"), "to_tile"))
+    alone = (F.col("part") == F.col("to_part")) & (F.col("tile") == F.col("to_tile"))
+    here = meets.select("sig", "part", "tile", "meet", F.when(alone, 0).otherwise(1).alias("own"))
+    other = meets.filter(~alone).select("sig", F.col("to_part").alias("part"), F.col("to_tile").alias("tile"), "meet", F.lit(2).alias("own"))
+    tiled = placed.join(here.unionByName(other), ["sig", "part", "tile"]).select("meet", "key", "own")
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, comp, own, size = (table.column(c).to_numpy() for c in ("id", "component", "own", "size"))
+        ids, own, size = (table.column(c).to_numpy() for c in ("id", "own", "size"))
+        comp = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
         marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), SKETCH)
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        right = np.flatnonzero(own == high)
-        a, b = [], []
-        for i in np.flatnonzero(own == low):
+        right = np.flatnonzero(own != 1)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in np.flatnonzero(own != 2):
             j = right[(comp[right] != comp[i]) & (num * np.maximum(size[right], size[i]) <= den * np.minimum(size[right], size[i]))]
-            if low == high:
-                j = j[ids[j] > ids[i]]
+            if own[i] == 0:
+                j = j[j > i]
             if len(j):
                 j = j[(marks[j] != marks[i]).sum(1) <= (den - num) * (size[j] + size[i]) // (den + num)]
                 a.append(np.minimum(ids[i], ids[j]))
                 b.append(np.maximum(ids[i], ids[j]))
-        return pa.table({"a": pa.array(np.concatenate(a) if a else [], pa.int64()), "b": pa.array(np.concatenate(b) if b else [], pa.int64())})
+        return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
 
-    return tiled.groupBy("sig", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+    return few.select("meet", "key", "own").unionByName(tiled).join(facts, "key").groupBy("meet").applyInArrow(compare, "a long, b long").distinct()

@@ -9,6 +9,7 @@ import tokenizers
 from corpusmill.llm import decontamination, jaccard, packing, substrings, token_counts
 from tests.llm import brute
 from tests.llm.conftest import BENCHMARK, DOCUMENTS
+from tests.llm.thue import thue_morse
 
 
 def rows(df, *columns):
@@ -39,11 +40,15 @@ def test_jaccard_large_buckets(docs, monkeypatch):
     same(jaccard.jaccard_components(docs, 5, 80, 100), brute.jaccard(DOCUMENTS, 5, 80, 100), "doc_id", "n_shingles", "component_id")
 
 
-def test_jaccard_schemes():
+LEVELS = {"divided": jaccard.levels, "one": lambda k: (k + 1, 0, 1), "two of three": lambda k: (k // 2 + 1, 1, 3), "two of four": lambda k: (k // 3 + 1, 2, 4)}
+
+
+@pytest.mark.parametrize("levels", LEVELS.values(), ids=LEVELS)
+def test_jaccard_schemes(levels):
     """Any two sets that are similar enough share a signature."""
     rng = np.random.default_rng(1)
     for num in (50, 80, 90):
-        scheme = jaccard.Scheme(num, 100)
+        scheme = jaccard.Scheme(num, 100, levels)
         for size in [1, 2, 3, 5, 9, 10, 11, 19, 20, 40, 81, 90, 100, 400]:
             for _ in range(20):
                 a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
@@ -59,6 +64,42 @@ def test_jaccard_schemes():
                 assert (marks[0] != marks[1]).sum() <= len(a) + len(b) - 2 * both
 
 
+@pytest.mark.parametrize("levels", LEVELS.values(), ids=LEVELS)
+def test_jaccard_links_are_the_same_by_every_subset_scheme(docs, monkeypatch, levels):
+    monkeypatch.setattr(jaccard.Scheme.__init__, "__defaults__", (levels,))
+    monkeypatch.setattr(jaccard, "COMBINED", 2)
+    monkeypatch.setattr(jaccard, "SHARED", 2)
+    same(jaccard.jaccard_components(docs, 3, 80, 100), brute.jaccard(DOCUMENTS, 3, 80, 100), "doc_id", "n_shingles", "component_id")
+
+
+def test_combined_signatures():
+    sig = np.array([5] * 70 + [7, 7, 9] + [5] * 3)
+    own = np.array([*range(70), 1, 2, 3, 0, 1, 2])
+    got = {(r["kind"], r["a"], r["b"]) for r in jaccard._combined(sig, own).to_pylist()}
+    assert got == {(0, 7, 1), (0, 7, 2), (0, 9, 3), (0, 5, 0)} | {(1, 5, i) for i in range(70)} | {(2, 0, i) for i in range(1, 70)}
+
+
+def test_words_that_polynomials_confuse(spark):
+    """Texts of other words are neither repeats nor near copies, however alike their bytes are."""
+    a, b = thue_morse(2048), thue_morse(2048, flip=True)
+    filler = [f"w{i}" for i in range(34)]
+    texts = [a, b, " ".join([*filler, a]), " ".join([*filler, b]), " ".join([a, b] * 20), " ".join([b, a] * 20 + ["x"]), " ".join(thue_morse(64)), " ".join(thue_morse(64, flip=True))]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same(substrings.repeats(df, 35), brute.substrings(rows, 35), "doc_id", "n_words", "n_removed", "kept_sha256")
+    same(jaccard.jaccard_components(df), brute.jaccard(rows, 3, 90, 100), "doc_id", "n_shingles", "component_id")
+
+
+def test_null_ids_as_bridges(spark):
+    """Documents that are linked only through one without id are one component."""
+    words = [f"w{i}" for i in range(120)]
+    variants = [" ".join(words), " ".join(words[:-5] + [f"x{i}" for i in range(5)]), " ".join([f"y{i}" for i in range(5)] + words[5:-5] + [f"x{i}" for i in range(5)])]
+    for ids in ((5, 7, 9), (5, None, 9), (None, None, 9), (5, None, None)):
+        df = spark.createDataFrame([*zip(ids, variants, strict=True), (None, variants[1])], "doc_id long, text string")
+        found = jaccard.jaccard_components(df, 3, 80, 100).collect()
+        assert {r.component_id for r in found} == {min(i for i in ids if i is not None)}, ids
+
+
 def test_bucket_stream_is_the_same_however_it_is_cut():
     rng = np.random.default_rng(2)
     sig, own = np.sort(rng.integers(0, 30, 300)), rng.integers(0, 12, 300)
