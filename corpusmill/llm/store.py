@@ -21,7 +21,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df, computed once and read back: its lineage is cut, and a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{folder(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,17 +6,17 @@ can occur twice only if its anchor occurs at two places.  Anchors are a few for
 they alone are counted over the corpus.
 
 Extend.  A place of such an anchor carries the words of all windows that the anchor owns there: it
-reaches both ways as far as the anchor stays the least.  Documents are joined on the anchor: each place meets
-the anchor's first place, and the match is extended from the anchor both ways, word by word.  Where it
-reaches `length` words, its windows are repeats at both places.  Windows of a place that the first
-place does not have can still occur at a third one; they are counted by a 128-bit digest of their words.
-So an anchor at a million places makes a million comparisons, not all their pairs, and no repeat is
-lost.  The maximal repeats are the unions of neighbouring repeated windows.
+reaches both ways as far as the anchor stays the least.  Documents are joined on the anchor: places are dealt out by
+anchor and sorted, and each meets the first few places of its anchor that differ.  The match is extended from
+the anchor both ways, word by word; where it reaches `length` words, its windows are repeats at both places.  Windows
+of a place that none of those has can still occur elsewhere; they are counted by a 128-bit digest of
+their words.  So an anchor at a million places makes a few million comparisons, not all their pairs, and no
+repeat is lost.  The maximal repeats are the unions of neighbouring repeated windows.
 
 Hashes only choose who is compared: what counts as a repeat is decided by words, or by their digest.
 Documents with equal texts are one class, found by md5; only its first row goes through the steps
-above.  Counts are combined before each shuffle, and hot anchors meet their first place, one row an anchor, in
-a join whose partitions Spark can split.
+above.  Counts are combined before each shuffle.  An anchor at many places is dealt out in shares of about
+SHARE places; the windows of each share's first places are counted with the rest, so shares need not meet.
 """
 
 from __future__ import annotations
@@ -29,10 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.kernels import NOT_SPACE, Words, chunks, lists, run_hashes, signed, sliding_min, texts
-from corpusmill.llm.store import written
+from corpusmill.llm.store import partitions, written
 
 #: words of an anchor: long enough that copies with scattered edits share few
 ANCHOR = 12
+#: documents with an anchor to a share of its places, places of a share that others are compared with
+SHARE, HEADS = 1000, 4
+#: the share of an anchor that has only one
+ALONE = -1
 #: windows whose anchors are looked for at a time
 PART = 1 << 16
 #: stands for a null doc_id between the steps
@@ -57,11 +61,29 @@ def _places(words: np.ndarray, wanted: np.ndarray, length: int, k: int) -> tuple
     return runs[at[begin]], hot[begin], at[begin] - hot[begin], np.diff(np.append(begin, len(hot)))
 
 
-def _common(words: str, lead: int, other: str, other_lead: int, windows: int, length: int) -> tuple[int, int]:
+def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Closed ranges, joined where they touch."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+_PLACED = {"doc_id": ("long", pa.int64()), "row": ("long", pa.int64()), "anchor": ("long", pa.int64()), "share": ("int", pa.int32()), "first": ("int", pa.int32()), "lead": ("int", pa.int32()), "windows": ("int", pa.int32()), "words": ("string", pa.string()), "text": ("string", pa.string())}
+_MATCHES = {"doc_id": ("long", pa.int64()), "row": ("long", pa.int64()), "first": ("int", pa.int32()), "last": ("int", pa.int32()), "digest": ("binary", pa.binary())}
+
+
+def _batch(rows: list[tuple], kind: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), kind.values(), strict=True)], list(kind))
+
+
+def _common(own: list[str], lead: int, its: list[str], other_lead: int, windows: int, length: int) -> tuple[int, int]:
     """[first, after) of the windows of a place that lie in its match with another place, extended both ways from the anchor."""
-    if lead == other_lead and words == other:
+    if lead == other_lead and own == its:
         return 0, windows
-    own, its = words.split(" "), other.split(" ")
     left, right = 0, 0
     while left < min(lead, other_lead) and own[lead - left - 1] == its[other_lead - left - 1]:
         left += 1
@@ -107,66 +129,80 @@ def repeats(df: DataFrame, length: int = 35, doc_id: str = "doc_id", text: str =
 
     # seeds: anchors at two places or more, of each class's first row
     seeds = base.filter("size(anchors) > 0").join(classes.select("copy", "doc_id"), ["copy", "doc_id"]).select("doc_id", "row", F.explode("anchors").alias("anchor"))
-    hot = seeds.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    hot_of = seeds.join(hot, "anchor").groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("hot"))
+    hot = seeds.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", F.expr(f"cast(ceil(n / {SHARE}) as int)").alias("shares"))
+    hot_of = seeds.join(hot, "anchor").groupBy("doc_id", "row").agg(F.collect_set(F.struct("anchor", "shares")).alias("hot"))
 
     def place(batches):
-        """Places of hot anchors with the words around them, and the texts that have any, in rows of their own."""
+        """Places of hot anchors with the words around them; windows that a document itself repeats; the texts that have any. Each in rows of their own."""
         for batch in batches:
-            raw, hot_lists = texts(batch.column("text")), batch.column("hot")
+            raw, hot_lists, docs_, rows_ = texts(batch.column("text")), batch.column("hot"), batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             for first, last, data, offsets in chunks(raw):
                 w = Words(data, offsets, NOT_SPACE, lower=False)
                 body = data.tobytes()
-                found = []
+                out = []
                 for i in range(last - first):
-                    wanted = hot_lists[first + i].values.to_numpy(False).view(np.uint64)
-                    got = _places(w.hash[w.bounds[i] : w.bounds[i + 1]], wanted, length, k)
-                    if len(got[0]):
-                        words = body[offsets[i] : offsets[i + 1]].split()
-                        around = [b" ".join(words[a : a + n + length - 1]).decode() for a, n in zip(got[1].tolist(), got[3].tolist(), strict=True)]
-                        found.append((first + i, *got, around))
-                if not found:
-                    continue
-                which = pa.array(np.concatenate([np.full(len(f[1]), f[0]) for f in found]))
-                with_places = pa.array([f[0] for f in found])
-                column = lambda j, kind: pa.array(np.concatenate([f[j] for f in found]), kind)
-                ids = [batch.column(c) for c in ("doc_id", "row")]
-                values = [pa.array(signed(np.concatenate([f[1] for f in found]))), column(2, pa.int32()), column(3, pa.int32()), column(4, pa.int32()), pa.array([x for f in found for x in f[5]], pa.string())]
-                names = ["doc_id", "row", "anchor", "first", "lead", "windows", "words", "text"]
-                yield pa.RecordBatch.from_arrays([*(c.take(which) for c in ids), *values, pa.nulls(len(which), pa.string())], names)
-                yield pa.RecordBatch.from_arrays([*(c.take(with_places) for c in ids), *(pa.nulls(len(found), a.type) for a in values), batch.column("text").take(with_places).cast(pa.string())], names)
+                    anchors, shares = (x.to_numpy(False) for x in hot_lists[first + i].values.flatten())
+                    order = np.argsort(anchors)
+                    got = _places(w.hash[w.bounds[i] : w.bounds[i + 1]], anchors.view(np.uint64), length, k)
+                    if not len(got[0]):
+                        continue
+                    doc, row = docs_[first + i], rows_[first + i]
+                    words = body[offsets[i] : offsets[i + 1]].split()
+                    once: dict = {}
+                    again = []
+                    for anchor, a, lead, n in zip(signed(got[0]).tolist(), *(x.tolist() for x in got[1:]), strict=True):
+                        around = b" ".join(words[a : a + n + length - 1])
+                        known = once.setdefault((anchor, around), (a, lead, n))
+                        if known[0] != a:
+                            again += [(a, a + n - 1), (known[0], known[0] + known[2] - 1)]
+                    parts = shares[order[np.searchsorted(anchors, [x[0] for x in once], sorter=order)]]
+                    salt = hash((doc, row))
+                    out += [(doc, row, anchor, (salt + a) % m if m > 1 else ALONE, a, lead, n, around.decode(), None) for ((anchor, around), (a, lead, n)), m in zip(once.items(), parts.tolist(), strict=True)]
+                    out += [(doc, row, None, None, a, None, b - a + 1, None, None) for a, b in _merged(again)]
+                    out.append((doc, row, None, None, None, None, None, None, raw[first + i].as_py()))
+                if out:
+                    yield _batch(out, _PLACED)
 
     source = docs.select("doc_id", "row", "text").join(hot_of, ["doc_id", "row"])
-    placed = written(source.mapInArrow(place, "doc_id long, row long, anchor long, first int, lead int, windows int, words string, text string"), "places")
-    places = placed.filter("words is not null").select("doc_id", "row", "anchor", "first", "lead", "windows", "words")
-    heads = places.groupBy("anchor").agg(F.min(F.struct("doc_id", "row", "first", "lead", "words")).alias("head"))
+    placed = written(source.mapInArrow(place, ", ".join(f"{c} {t}" for c, (t, _) in _PLACED.items())), "places")
+    places = placed.filter("words is not null").select("anchor", "share", "doc_id", "row", "first", "lead", "windows", "words")
+    dealt = places.repartition(partitions(df.sparkSession), "anchor", "share").sortWithinPartitions("anchor", "share", "doc_id", "row", "first")
 
     def extend(batches):
-        """Ranges of windows that a place and its anchor's first place have in common, for both; digests of the place's other windows."""
+        """Ranges of windows that two places have in common, for both; digests of windows that a place has in common with none it was compared with."""
+        name, heads = None, []
         for batch in batches:
             same, rest = set(), []
-            for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "first", "lead", "windows", "words", "head")), strict=True):
-                doc, row, first, lead, windows, words, head = r
-                if (doc, row, first) == (head["doc_id"], head["row"], head["first"]):
-                    continue
-                a, b = _common(words, lead, head["words"], head["lead"], windows, length)
-                if a < b:
-                    same.add((doc, row, first + a, first + b - 1))
-                    moved = head["first"] + head["lead"] - lead
-                    same.add((head["doc_id"], head["row"], moved + a, moved + b - 1))
-                if b - a < windows:
-                    own = words.encode().split(b" ")
-                    for s in (*range(a), *range(max(a, b), windows)):
-                        rest.append((doc, row, first + s, first + s, hashlib.blake2b(b" ".join(own[s : s + length]), digest_size=16).digest()))
+            for anchor, share, doc, row, first, lead, windows, words in zip(*(batch.column(c).to_pylist() for c in range(8)), strict=True):
+                if (anchor, share) != name:
+                    name, heads = (anchor, share), []
+                left = windows  # windows not yet found elsewhere
+                own, open_ = words.split(" "), np.ones(windows, bool)
+                for other in heads:
+                    a, b = _common(own, lead, other[3], other[4], windows, length)
+                    if a < b:
+                        same.add((doc, row, first + a, first + b - 1))
+                        moved = other[2] + other[4] - lead
+                        same.add((other[0], other[1], moved + a, moved + b - 1))
+                        open_[a:b] = False
+                        left = int(open_.sum())
+                        if not left:
+                            break
+                if left:
+                    # the first places of an anchor that has one share meet all others, so what they have in common is found there
+                    if len(heads) == HEADS or share != ALONE:
+                        rest += [(doc, row, first + s, first + s, hashlib.blake2b(" ".join(own[s : s + length]).encode(), digest_size=16).digest()) for s in np.flatnonzero(open_).tolist()]
+                    if len(heads) < HEADS:
+                        heads.append((doc, row, first, own, lead))
             if same or rest:
-                rows = [(*x, None) for x in same] + rest
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["doc_id", "row", "first", "last", "digest"])
+                yield _batch([*[(*x, None) for x in same], *rest], _MATCHES)
 
-    matches = written(places.join(heads, "anchor").select("doc_id", "row", "first", "lead", "windows", "words", "head").mapInArrow(extend, "doc_id long, row long, first int, last int, digest binary"), "matches")
+    matches = written(dealt.mapInArrow(extend, ", ".join(f"{c} {t}" for c, (t, _) in _MATCHES.items())), "matches")
     rest = matches.filter("digest is not null")
     twice = rest.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
-    repeated = matches.filter("digest is null").select("doc_id", "row", "first", "last").unionByName(rest.join(twice, "digest").select("doc_id", "row", "first", "last"))
-    found = repeated.groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "last")).alias("at"))
+    certain = matches.filter("digest is null").select("doc_id", "row", "first", "last")
+    inside = placed.filter("words is null and windows is not null").select("doc_id", "row", "first", (F.col("first") + F.col("windows") - 1).alias("last"))
+    found = certain.unionByName(inside).unionByName(rest.join(twice, "digest").select("doc_id", "row", "first", "last")).groupBy("doc_id", "row").agg(F.collect_set(F.struct("first", "last")).alias("at"))
 
     def cut(batches):
         for batch in batches:
