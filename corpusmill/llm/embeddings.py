@@ -2,8 +2,12 @@
 
 Vectors are scaled to length one and turned onto the principal axes of all vectors, so the leading
 coordinates carry most of a difference.  cosine >= t means a distance of at most r = sqrt(2 - 2t), in
-every coordinate too: vectors are dealt to cells of width r on the first axes and meet only the same
-and the neighbouring cells.  Cells are cut into tiles of bounded size.  A pair of tiles is compared
+every coordinate too: vectors are dealt to cells of width r on the leading axes and meet only the same
+and the neighbouring cells.  How many axes a cell has follows from the measured counts: a cell of more than a tile's
+vectors is split along the next axis, as long as its vectors spread over more than three slabs there (fewer
+would all be neighbours, and splitting would save nothing).  Neighbours are found from the whole downwards, by
+splitting pairs of cells together, so only cells that are neighbours on all their common axes are
+looked at.  What can't be split is cut into tiles of bounded size.  A pair of tiles is compared
 by its leading products first; the rest of a product is at most the product of the suffix norms, and
 pairs whose bound stays below the threshold are dropped before more dimensions are added.  What is left
 is decided by the cosine of the vectors as given, in double precision.
@@ -14,6 +18,7 @@ Equal vectors are one class, so copies never meet each other.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +29,8 @@ from pyspark.sql import types as T
 from corpusmill.llm.components import components
 from corpusmill.llm.store import written
 
-#: vectors of a tile; axes that make cells; dimensions added at a time
-TILE, AXES, STEP = 1024, 2, 16
+#: vectors of a tile; most axes that make cells; dimensions added at a time
+TILE, AXES, STEP = 1024, 8, 16
 #: room for rounding in bounds
 SLACK = 1e-6
 
@@ -98,21 +103,19 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, vec_id: str = "vec_id",
     source = classes.select("name", "copies", "label", "v")
     turned = source.mapInArrow(place, T.StructType([*source.schema.fields, T.StructField("cell", T.ArrayType(T.LongType()))]))
     turned = written(turned.withColumn("dim", F.size("v")), "turned")
-    # tiles: as many to a cell as its vectors need
-    sizes = turned.groupBy("label", "dim", "cell").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
-    placed = written(turned.join(sizes, ["label", "dim", "cell"]).withColumn("tile", F.pmod(F.xxhash64("name"), F.col("tiles"))), "placed")
-    tiles = placed.select("label", "dim", "cell", "tile").distinct()
-    # each pair of neighbouring tiles once: the later one calls on the earlier; a tile also meets itself
-    steps = F.array(*[F.array(*[F.lit(x).cast("long") for x in step]) for step in _half(AXES)])
-    to = F.transform("cell", lambda c, i: c + F.coalesce(F.get(F.col("step"), i), F.lit(0).cast("long")))
-    calls = tiles.withColumn("step", F.explode(F.transform(steps, lambda s: F.slice(s, F.lit(1), F.size("cell"))))).dropDuplicates().withColumn("to", to)
-    there = tiles.select("label", "dim", F.col("cell").alias("to"), F.col("tile").alias("to_tile"))
-    meets = calls.join(there, ["label", "dim", "to"]).filter((F.col("to") != F.col("cell")) | (F.col("to_tile") <= F.col("tile")))
-    meets = meets.withColumn("meet", F.xxhash64("label", "dim", "cell", "tile", "to", "to_tile"))
-    left = meets.select("meet", "label", "dim", "cell", "tile", F.lit(True).alias("here"))
-    alone = (F.col("cell") == F.col("to")) & (F.col("tile") == F.col("to_tile"))
-    right = meets.filter(~alone).select("meet", "label", "dim", F.col("to").alias("cell"), F.col("to_tile").alias("tile"), F.lit(False).alias("here"))
-    members = left.unionByName(right).join(placed, ["label", "dim", "cell", "tile"]).select("meet", "here", "name", "copies", "v")
+    leaves, of_cell, depth = _leaves(turned.groupBy("label", "dim", "cell").agg(F.count("*").alias("n")))
+    tile = F.pmod(F.xxhash64("name"), F.col("tiles")).cast("int")
+    placed = written(turned.join(of_cell, ["label", "dim", "cell"]).select("name", "copies", "label", "dim", "v", "leaf", tile.alias("tile")), "placed")
+    # each pair of tiles of neighbouring leaves once; a tile also meets itself
+    pairs = _neighbours(leaves, depth)
+    sized = leaves.filter("tiles > 0").select("label", "dim", "node", F.sequence(F.lit(0), F.col("tiles") - 1).alias("t"))
+    side = lambda x: sized.select("label", "dim", F.col("node").alias(x), F.explode("t").alias(f"{x}_tile"))
+    meets = pairs.join(side("a"), ["label", "dim", "a"]).join(side("b"), ["label", "dim", "b"]).filter((F.col("a") != F.col("b")) | (F.col("a_tile") <= F.col("b_tile")))
+    group = ["label", "dim", "a", "a_tile", "b", "b_tile"]
+    alone = (F.col("a") == F.col("b")) & (F.col("a_tile") == F.col("b_tile"))
+    left = meets.select(*group, F.col("a").alias("leaf"), F.col("a_tile").alias("tile"), F.lit(True).alias("here"))
+    right = meets.filter(~alone).select(*group, F.col("b").alias("leaf"), F.col("b_tile").alias("tile"), F.lit(False).alias("here"))
+    members = left.unionByName(right).join(placed, ["label", "dim", "leaf", "tile"]).select(*group, "here", "name", "copies", "v")
 
     def compare(table: pa.Table) -> pa.Table:
         here = table.column("here").to_numpy()
@@ -160,7 +163,7 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, vec_id: str = "vec_id",
         at, tied = np.flatnonzero(linked), np.flatnonzero(root != np.arange(len(root)))
         return pa.table({"a": pa.array(names[np.concatenate([at, tied])], pa.string()), "b": pa.array([None] * len(at) + names[root[tied]].tolist(), pa.string()), "n": pa.array(np.concatenate([linked[at], np.zeros(len(tied), np.int64)]), pa.int64())})
 
-    links = written(members.groupBy("meet").applyInArrow(compare, "a string, b string, n long"), "vector-links")
+    links = written(members.groupBy(*group).applyInArrow(compare, "a string, b string, n long"), "vector-links")
     others = links.filter("b is null").groupBy(F.col("a").alias("name")).agg(F.sum("n").alias("others"))
     known = _named_components(links.filter("b is not null"), classes)
     of_class = classes.select("name", "copies").join(others, "name", "left").join(known, "name")
@@ -177,12 +180,42 @@ def _named_components(links: DataFrame, classes: DataFrame) -> DataFrame:
     return placed.join(least, "group").select("name", "component")
 
 
-def _half(axes: int) -> list[tuple[int, ...]]:
-    """The cell itself and one of each two opposite neighbours."""
-    steps = [()]
-    for _ in range(axes):
-        steps = [(*s, x) for s in steps for x in (-1, 0, 1)]
-    return [s for s in steps if s >= (0,) * axes]
+def _leaves(cells: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """From counts (label, dim, cell, n) of cells on all axes: the tree's nodes (label, dim, node, tiles; tiles 0 where it is split), each cell's leaf (label, dim, cell, leaf, tiles), and how deep the tree is."""
+    open_ = cells = written(cells, "cells")
+    nodes, of_cell = [], []
+    for depth in range(AXES + 1):
+        node = F.slice("cell", F.lit(1), F.lit(depth)).alias("node")
+        along = F.get("cell", F.lit(depth))
+        sizes = open_.select("label", "dim", node, "n", along.alias("along")).groupBy("label", "dim", "node").agg(F.sum("n").alias("n"), (F.max("along") - F.min("along") + 1).alias("slabs"))
+        ends = (F.col("n") <= TILE) | F.coalesce(F.col("slabs") <= 3, F.lit(True))
+        sizes = written(sizes.select("label", "dim", "node", F.when(ends, F.ceil(F.col("n") / TILE)).otherwise(0).cast("int").alias("tiles")), "nodes")
+        nodes.append(sizes)
+        placed = open_.withColumn("node", node).join(sizes, ["label", "dim", "node"])
+        of_cell.append(placed.filter("tiles > 0").select("label", "dim", "cell", F.col("node").alias("leaf"), "tiles"))
+        if sizes.filter("tiles = 0").isEmpty():
+            break
+        open_ = placed.filter("tiles = 0").select("label", "dim", "cell", "n")
+    return reduce(DataFrame.unionByName, nodes), reduce(DataFrame.unionByName, of_cell), depth
+
+
+def _neighbours(nodes: DataFrame, depths: int) -> DataFrame:
+    """(label, dim, a, b): each pair of leaves once, a leaf with itself too, whose cells are the same or next to each other on every axis that both have."""
+    pairs = nodes.filter("size(node) = 0").select("label", "dim", F.col("node").alias("a"), F.col("node").alias("b"))
+    if not depths:
+        return pairs
+    split = nodes.filter("tiles = 0").select("label", "dim", F.col("node").alias("parent"))
+    children = nodes.filter("size(node) > 0").select("label", "dim", F.slice("node", F.lit(1), F.size("node") - 1).alias("parent"), F.col("node").alias("child"))
+    # a split node gives way to its children, a leaf to itself
+    itself = nodes.filter("tiles > 0").select("label", "dim", F.col("node").alias("parent"), F.col("node").alias("child"))
+    below = written(children.join(split, ["label", "dim", "parent"]).unionByName(itself), "below")
+    for depth in range(depths):
+        side = lambda x: below.select("label", "dim", F.col("parent").alias(x), F.col("child").alias(f"{x}_"))
+        pairs = pairs.join(side("a"), ["label", "dim", "a"]).join(side("b"), ["label", "dim", "b"])
+        near = F.coalesce(F.abs(F.get("a_", F.lit(depth)) - F.get("b_", F.lit(depth))) <= 1, F.lit(True))
+        pairs = pairs.filter(near & ((F.col("a") != F.col("b")) | (F.col("a_") <= F.col("b_")))).select("label", "dim", F.col("a_").alias("a"), F.col("b_").alias("b"))
+        pairs = written(pairs, "neighbours")
+    return pairs
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
