@@ -41,12 +41,12 @@ SELECT doc_id, coalesce(size.n, 0)::BIGINT AS n_shingles, component_id FROM d JO
 
 DECONTAMINATION = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOW}, '{WORD}') AS w FROM documents),
-i AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOW}, '{WORD}') AS w FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOW}, '{WORD}') AS w FROM benchmark),
 win AS (SELECT DISTINCT item, n, array_to_string(w[s + 1 : s + n], ' ') AS k FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(0, len(w) - least(10, len(w)) + 1)) AS s FROM i WHERE len(w) > 0)),
 run AS (SELECT r, n, s, array_to_string(w[s + 1 : s + n], ' ') AS k FROM (SELECT r, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM d JOIN (SELECT DISTINCT n FROM win) ON len(w) >= n)),
 hit AS (SELECT r, s, n, item FROM run JOIN win USING (n, k)),
 word AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
-found AS (SELECT r, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM hit GROUP BY r)
+found AS (SELECT r, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item) FILTER (WHERE item IS NOT NULL)), ',') AS items FROM hit GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN word USING (r) LEFT JOIN found USING (r)"""
 
