@@ -4,16 +4,19 @@ DataFrame functions only.  A template is the set of words of a notice; a block i
 as notices are wrapped, the words after it: as many as the template has, and half as many for what stands
 between its lines.  A block carries a template's label if it has at least CONTAINED of the template's
 words.  Template words are ordered by how often the whole corpus has them.  A block that reaches the threshold must have one of the
-template's rarest words (prefix filter: as many words as may be missing, and one), must have enough
-words at all (length filter), and, from its rarest common word on, block and template must both have
-enough words left (positional filter).  Survivors are verified by intersection.
+template's rarest words, so blocks and templates are joined on those alone (prefix filter: as many words as may be
+missing, and one).  The block must have enough template words at all (length filter), and, from the word on
+which it was joined, block and template must both have enough words left (positional filter).
+Survivors are verified by intersection.  The templates are a table with a row a prefix word; only its
+size, not the plan's, grows with their number.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: share of a template's words that a block must have, in hundredths
@@ -41,6 +44,20 @@ TEMPLATES = (
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("cc-by", "this work is licensed under a creative commons attribution international license"),
+    ("cc", "licensed under cc by 4 0"),
+    ("cc", "licensed under cc by 3 0"),
+    ("cc", "this work is licensed under a creative commons license"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("bsl", "distributed under the boost software license version 1 0"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("ofl", "this font software is licensed under the sil open font license version 1 1"),
+    ("odbl", "this database is made available under the open database license"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
 )
 
@@ -62,9 +79,9 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, _BETWEEN), "")
 
 
-def word_order(docs: DataFrame, text: str = "text") -> list[str]:
-    """The templates' words, those that the corpus has least often first. At most a few hundred rows reach the driver."""
-    vocabulary = sorted({w for _, t in TEMPLATES for w in t.split()})
+def word_order(docs: DataFrame, text: str = "text", templates: tuple = TEMPLATES) -> list[str]:
+    """The templates' words, those that the corpus has least often first. A row a template word reaches the driver, however large the corpus is."""
+    vocabulary = sorted({w for _, t in templates for w in t.split()})
     found = docs.select(F.explode(F.filter(words(lowered(F.col(text))), lambda w: w.isin(vocabulary))).alias("word"))
     often = {r.word: r.n for r in found.groupBy("word").agg(F.count("*").alias("n")).collect()}
     return sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
@@ -92,9 +109,8 @@ def _after(text: str) -> int:
     return len(text.split()) * 3 // 2
 
 
-def _blocks(w: Column, ends: Column) -> Column:
-    """(n, words) of each line: its number of words, and those and the words after it, as many as any template takes. Of words with _END between lines, and the places of those."""
-    most = max(_after(t) for _, t in TEMPLATES)
+def _blocks(w: Column, ends: Column, most: int) -> Column:
+    """(n, words) of each line: its number of words, and those and the `most` words after it. Of words with _END between lines, and the places of those."""
 
     def block(start, i):
         n = F.coalesce(F.get(ends, i), F.size(w)) - start
@@ -104,32 +120,57 @@ def _blocks(w: Column, ends: Column) -> Column:
     return F.transform(F.concat(F.array(F.lit(0)), F.transform(ends, lambda e: e + 1)), block)
 
 
-def _containment(own: list[str], need: int, after: int):
-    """Of a block, the share of the words `own` that it has; 0 where a filter rules the template out."""
+def _prefixes(spark: SparkSession, order: list[str], templates: tuple) -> DataFrame:
+    """(prefix, label, own, need, after, left): a row a prefix word of each template, with how many of its words are left from there on."""
+    rank = {w: i for i, w in enumerate(order)}
+    rows = []
+    for label, text in templates:
+        own = sorted(set(text.split()), key=rank.__getitem__)
+        need = _need(own)
+        for i, w in enumerate(own[: len(own) - need + 1]):
+            values = {"prefix": F.lit(w), "label": F.lit(label), "own": F.array(*map(F.lit, own)), "need": F.lit(need), "after": F.lit(_after(text)), "left": F.lit(len(own) - i)}
+            rows.append(F.struct(*(v.alias(k) for k, v in values.items())))
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
-    def contained(block: Column) -> Column:
-        line = block["words"]
-        # by the first prefix word that the line has: how many of the template's words are left from there on
-        left = F.coalesce(*[F.when(F.array_contains(line, w), F.lit(len(own) - i)) for i, w in enumerate(own[: len(own) - need + 1])], F.lit(0))
-        common = F.size(F.array_intersect(F.slice(line, F.lit(1), block["n"] + after), F.array(*map(F.lit, own))))
-        return F.when((F.least(F.size(line), left) >= need), common / F.lit(float(len(own)))).otherwise(F.lit(0.0))
 
-    return contained
+def _need(own) -> int:
+    return math.ceil(CONTAINED * len(own) / 100)
 
 
-def _matches(blocks: Column, order: list[str]) -> Column:
-    """(label, containment) of each template that a block contains."""
+def matches(docs: DataFrame, key: str = "key", low: str = "low", templates: tuple = TEMPLATES, order: list[str] | None = None) -> DataFrame:
+    """(key, labels, score): the distinct labels of the templates that lowered texts contain, and the largest containment; keys without a match have no row."""
+    order = order or word_order(docs, low, templates)
     rank = {w: i for i, w in enumerate(order)}
-    out = []
-    for label, text in TEMPLATES:
-        own = sorted(set(text.split()), key=rank.__getitem__)
-        need = math.ceil(CONTAINED * len(own) / 100)
-        best = F.aggregate(F.transform(blocks, _containment(own, need, _after(text))), F.lit(0.0), lambda a, b: F.greatest(a, b))
-        out.append(F.struct(F.lit(label).alias("label"), best.alias("score"), F.lit(need / len(own)).alias("least")))
-    return F.filter(F.array(*out), lambda m: m["score"] >= m["least"] - 1e-9)
+    near = sorted({w for _, t in templates for own in [sorted(set(t.split()), key=rank.__getitem__)] for w in own[: len(own) - _need(own) + 1]})
+    near, known = F.array(*map(F.lit, near)), F.array(*map(F.lit, order))
+    most = max(_after(t) for _, t in templates)
+
+    def blocks(x):
+        # bound as elements, each evaluated once a text
+        cut = F.transform(F.array(x), lambda x: F.array_remove(F.split(F.regexp_replace(x, F.lit("\n" + _BETWEEN[:-1] + "*+"), F.lit(f" {_END} ")), _BETWEEN_OR_END), ""))
+        held = F.transform(cut, lambda w: F.struct(w.alias("w"), F.filter(F.transform(w, lambda x, i: F.when(x == _END, i)), lambda p: p.isNotNull()).alias("ends")))
+        return F.filter(F.flatten(F.transform(held, lambda h: _blocks(h["w"], h["ends"], most))), lambda b: F.arrays_overlap(b["words"], near))
+
+    found = docs.filter(F.arrays_overlap(words(F.col(low)), near)).select(F.col(key).alias("key"), F.explode(blocks(F.col(low))).alias("block"))
+    # the block's template words, rarest first
+    found = found.select("key", "block", F.array_intersect(known, F.col("block.words")).alias("ranked"))
+    found = found.select("key", "block", "ranked", F.explode(F.array_intersect(near, F.col("block.words"))).alias("prefix"))
+    joined = found.join(_prefixes(docs.sparkSession, order, templates), "prefix")
+    behind = F.size("ranked") - F.array_position("ranked", F.col("prefix")) + 1
+    joined = joined.filter((F.size("ranked") >= F.col("need")) & (F.least(behind, F.col("left")) >= F.col("need")))
+    common = F.size(F.array_intersect(F.slice("block.words", F.lit(1), F.col("block.n") + F.col("after")), F.col("own")))
+    verified = joined.select("key", "label", "need", common.alias("common"), F.size("own").alias("size")).filter("common >= need")
+    return verified.groupBy("key").agg(F.collect_set("label").alias("labels"), F.max(F.col("common") / F.col("size")).alias("score"))
 
 
-def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _gate(low: Column) -> Column:
+    """Whether a text may hold a phrase: for each phrase it must have one of its words, the one that most phrases share."""
+    often = lambda w: sum(w in p.split() for p, _ in PHRASES)
+    gates = sorted({max(p.split(), key=lambda w: (often(w), len(w), w)) for p, _ in PHRASES})
+    return reduce(Column.__or__, [F.contains(low, F.lit(g)) for g in gates])
+
+
+def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: tuple = TEMPLATES) -> DataFrame:
     """One row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     n_base counts the places of the phrases; first_word and last_word are their smallest and largest
@@ -138,47 +179,30 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     containment that reaches the threshold, otherwise 0.  Null text counts as empty; equal rows get equal
     results; other columns are not carried; an empty table gives an empty table.
     """
-    order = word_order(docs, text)
-    rank = {w: i for i, w in enumerate(order)}
-    prefixes = set()
-    for _, t in TEMPLATES:
-        own = sorted(set(t.split()), key=rank.__getitem__)
-        prefixes.update(own[: len(own) - math.ceil(CONTAINED * len(own) / 100) + 1])
-    rows = docs.select(F.col(doc_id).alias("doc_id"), lowered(F.col(text)).alias("low"))
-    rows = rows.withColumn("w", words(F.col("low")))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), lowered(F.col(text)).alias("low")).withColumn("key", F.md5("low"))
+    order = word_order(docs, text, templates)
+    found = matches(rows, templates=templates, order=order)
     none = F.array().cast("array<struct<start:bigint,label:string>>")
-    rows = rows.select("doc_id", "low", F.size("w").cast("long").alias("n_words"), F.when(F.contains("low", F.lit("license")), _places(F.col("w"))).otherwise(none).alias("places"), F.arrays_overlap("w", F.array(*map(F.lit, sorted(prefixes)))).alias("near"))
-    near = F.array(*map(F.lit, sorted(prefixes)))
-    nothing = F.array().cast("array<struct<n:int,words:array<string>>>")
-
-    def blocks(low):
-        # bound as elements, each evaluated once a text
-        cut = F.transform(F.array(low), lambda x: F.array_remove(F.split(F.regexp_replace(x, F.lit("\n" + _BETWEEN[:-1] + "*+"), F.lit(f" {_END} ")), _BETWEEN_OR_END), ""))
-        held = F.transform(cut, lambda w: F.struct(w.alias("w"), F.filter(F.transform(w, lambda x, i: F.when(x == _END, i)), lambda p: p.isNotNull()).alias("ends")))
-        return F.filter(F.flatten(F.transform(held, lambda h: _blocks(h["w"], h["ends"]))), lambda b: F.arrays_overlap(b["words"], near))
-
-    rows = rows.withColumn("blocks", F.when(F.coalesce("near", F.lit(False)), blocks(F.col("low"))).otherwise(nothing))
-    rows = rows.select("doc_id", "n_words", "places", F.when(F.size("blocks") > 0, _matches(F.col("blocks"), order)).otherwise(F.array().cast("array<struct<label:string,score:double,least:double>>")).alias("found"))
+    based = rows.withColumn("w", words(F.col("low"))).select("doc_id", "key", F.size("w").cast("long").alias("n_words"), F.when(_gate(F.col("low")), _places(F.col("w"))).otherwise(none).alias("places"))
     starts = F.transform("places", lambda p: p["start"])
     base = F.transform("places", lambda p: p["label"])
     named = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
-    best = F.coalesce(F.array_max(F.transform("found", lambda m: m["score"])), F.lit(0.0))
-    return rows.select(
+    return based.join(found, "key", "left").select(
         "doc_id",
         "n_words",
         F.size("places").cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"),
         F.array_max(starts).alias("last_word"),
         named(base).alias("base_labels"),
-        named(F.concat(base, F.transform("found", lambda m: m["label"]))).alias("labels"),
-        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(best).alias("score"),
+        named(F.concat(base, F.coalesce("labels", F.array().cast("array<string>")))).alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"),
     )
 
 
 def oracle() -> str:
-    """The same rows in DuckDB SQL, without any filter, where no notice is wrapped: here a block is a line alone."""
+    """The same rows in DuckDB SQL, without any filter: every line's block against every template."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    templates = ", ".join(f"{{'label': '{label}', 'own': [{', '.join(repr(w) for w in sorted(set(t.split())))}]}}" for label, t in TEMPLATES)
+    templates = ", ".join(f"{{'label': '{label}', 'own': [{', '.join(repr(w) for w in sorted(set(t.split())))}], 'after': {_after(t)}}}" for label, t in TEMPLATES)
     phrase = []
     for p, label in PHRASES:
         parts = p.split()
@@ -188,11 +212,13 @@ WITH split AS (
   SELECT row_number() OVER () AS r, doc_id, low, regexp_extract_all(low, '{WORD}') AS w
   FROM (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS low FROM documents)),
 placed AS (SELECT r, doc_id, low, w, {' || '.join(phrase)} AS places FROM split),
-lines AS (SELECT r, list_distinct(regexp_extract_all(unnest(string_split(low, chr(10))), '{WORD}')) AS line FROM placed),
+sized AS (SELECT r, w, [len(regexp_extract_all(x, '{WORD}')) for x in string_split(low, chr(10))] AS sizes FROM placed),
+numbered AS (SELECT r, w, sizes, unnest(range(1, len(sizes) + 1)) AS i FROM sized),
+lines AS (SELECT r, w, sizes[i] AS n, coalesce(list_sum(sizes[1 : i - 1]), 0)::BIGINT AS start FROM numbered WHERE sizes[i] > 0),
 templates AS (SELECT unnest([{templates}], recursive := true)),
 matched AS (
-  SELECT r, label, len(list_intersect(line, own)) / len(own)::DOUBLE AS score FROM lines, templates
-  WHERE len(list_intersect(line, own)) * 100 >= {CONTAINED} * len(own)),
+  SELECT r, label, len(list_intersect(w[start + 1 : start + n + after], own)) / len(own)::DOUBLE AS score FROM lines, templates
+  WHERE len(list_intersect(w[start + 1 : start + n + after], own)) * 100 >= {CONTAINED} * len(own)),
 best AS (SELECT r, list(label) AS labels, max(score) AS score FROM matched GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, len(places)::BIGINT AS n_base,
   list_min([p.start for p in places])::BIGINT AS first_word, list_max([p.start for p in places])::BIGINT AS last_word,
