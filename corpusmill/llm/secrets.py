@@ -29,7 +29,10 @@ _RUN = f"[{_KEY}]{{16,}}{_PADDING}"
 
 #: Words that announce a secret, fragments of ordinary words, and marks of placeholders.
 KEYWORDS = "token|secret|passw|pwd|apikey|api_key|api-key|auth|bearer|credential|private|access_key|client_key"
-FRAGMENTS = "the|and|ing|tion|ment|that|this|with|from|have|file|name|user|data|path|home|page|index|image|version|release|test|example|mail|html|http|www|com|org|net|src|lib|main|config|report|number|order|chapter|section|article|document|build|commit|session|request|line|text|table|list|value|string|object|class|date|time"
+FRAGMENTS = "the|and|ing|tion|ment|that|this|with|from|have|file|name|user|data|path|home|page|index|image|version|release|test|example|mail|html|http|www|com|org|net|src|lib|main|config|report|number|order|chapter|section|article|document|build|commit|session|request|line|text|table|list|value|string|object|class|date|time|abstract|access|account|action|active|address|admin|after|all|before|block|body|book|button|call|center|change|check|client|code|color|column|content|control|copy|count|create|current|custom|default|delete|detail|device|display|down|edit|element|email|error|event|field|filter|find|first|folder|font|for|form|format|frame|function|global|group|head|height|help|hidden|icon|info|inner|input|item|join|label|last|layout|left|level|link|load|local|lock|long|make|map|match|menu|message|method|mode|model|module|new|next|node|note|open|option|outer|output|over|package|panel|parent|part|password|point|port|post|print|process|profile|project|public|query|read|record|remove|render|reply|result|right|root|row|save|screen|script|search|select|send|server|service|set|show|side|size|sort|source|space|start|state|status|step|style|system|tag|target|task|template|theme"
+
+#: Pairs of letters that follow each other often in English.
+PAIRS = "th|he|in|er|an|re|on|at|en|nd|ti|es|or|te|of|ed|is|it|al|ar|st|to|nt|ng|se|ha|as|ou|io|le|ve|co|me|de|hi|ri|ro|ic|ne|ea|ra|ce|li|ch|ll|be|ma|si|om|ur|ca|el|ta|la|ns|di|fo|ho|pe|ec|pr|no|ct|us|ac|ot|il|tr|ly|nc|et|ut|ss|so|rs|un|lo|wa|ge|ie|wh|ee|wi|em|ad|ol|rt|po|we|na|ul|ni|ts|mo|ow|pa|im|mi|ai|sh|ir|su|id|os|iv|ia|am|fi|ci|vi|pl|ig|tu|ev|ld|ry|mp|fe|bl|ab|gh|ty|op|wo|sa|ay|ex|ke|ui|fr|oo|av|ag|if|ap|gr|od|bo|sp|rd|do|uc|bu|ei|ov|by|rm|ep|tt|oc"
 PLACEHOLDERS = "example|sample|dummy|placeholder|changeme|your|xxxx|0000|1234567|abcdef"
 
 #: Names whose assigned value is a candidate whatever it is, first characters of known makes of keys, and what stands for a value or refers to one.
@@ -46,7 +49,7 @@ _FOUND = f"(?s)(.*?)((?<={_ASSIGN}[:=]{{1,3}}>?[\"'`]?){_VALUE}|{_RUN})"
 _NEXT = f"(?s)(.*?)((?<=^[\"'`]?){_VALUE}|(?<={_ASSIGN}[:=]{{1,3}}>?[\"'`]?){_VALUE}|{_RUN})"
 _HAS = f"[{_KEY}=]{{16}}|{_ASSIGN}\\s*[:=]"
 
-FEATURES = ("length", "digits", "transitions", "distinct", "dictionary", "separators", "path", "keyword", "assigned", "placeholder", "hex", "make", "reference", "lower")
+FEATURES = ("length", "digits", "transitions", "distinct", "dictionary", "separators", "path", "keyword", "assigned", "placeholder", "hex", "make", "reference", "lower", "case", "letters", "pairs", "consonants")
 
 
 def _of_words(words: Column) -> Column:
@@ -100,6 +103,11 @@ def features(value: Column, before: Column) -> list[Column]:
         value.rlike(f"^(?:{MAKES})").cast("double"),
         low.rlike(f"^(?:{REFERENCES})").cast("double"),
         share("a-z"),
+        # single kinds of character transitions, and how many of those between letters are a language's
+        F.regexp_count(value, F.lit("(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])")) / n,
+        F.regexp_count(value, F.lit("(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")) / n,
+        F.coalesce(F.regexp_count(low, F.lit(f"(?={PAIRS})")) / F.nullif(F.regexp_count(low, F.lit("(?=[a-z]{2})")), F.lit(0)), F.lit(0.0)),
+        F.regexp_count(low, F.lit("(?=[bcdfghjklmnpqrstvwxz]{4})")) / n,
     ]
 
 
