@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 
 class Ftrl:
@@ -32,3 +34,9 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
+def bounded(sample: DataFrame, order: list[str], size: Column, rows: int, features: int) -> DataFrame:
+    """The first rows of a sample that is bounded in rows, in order, as long as their features are no more than that in all: what the driver takes is bounded in bytes too, however long the texts are."""
+    first = sample.withColumn("_size", size).orderBy(*order, "_size").limit(rows)
+    return first.withColumn("_seen", F.sum("_size").over(Window.orderBy(*order, "_size"))).filter(F.col("_seen") <= features).drop("_size", "_seen")

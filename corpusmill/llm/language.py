@@ -16,15 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.ftrl import Ftrl, softmax
+from corpusmill.llm.ftrl import Ftrl, bounded, softmax
 from corpusmill.llm.kernels import texts
 
-#: rows that weights are fitted on, and passes over them
-TRAIN_ROWS, EPOCHS = 3000, 2
+#: rows that weights are fitted on, features of all of them together, and passes over them
+TRAIN_ROWS, TRAIN_FEATURES, EPOCHS = 3000, 12_000_000, 2
 WIDTH = 1 << 16
 #: predicted where there is no letter
 NONE = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # letters, and numbers such as fractions, which are none
 _K = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646D)]
 
 
@@ -43,6 +43,11 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     return found, total[found]
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character's Unicode category is a letter's."""
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows never learnt from: crc32 of the id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -61,7 +66,7 @@ class Model:
         return self.scaled(found, counts) @ self.weights[found] + self.bias
 
     def predict(self, text: str) -> tuple[str, float]:
-        if not self.names or not _LETTER.search(text):
+        if not self.names or not has_letter(text):
             return NONE, 1.0
         p = softmax(self.logits(*grams(text)) / self.temperature)
         best = int(p.argmax())
@@ -100,7 +105,7 @@ def fit(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("lang"), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.int32()))], ["h", "lang", "at", "n"])
 
     sample = known.filter(F.pmod("h", F.lit(1_000_000)) < share).mapInArrow(features, "h long, lang string, at array<int>, n array<int>")
-    table = sample.orderBy("h", "lang", F.size("at")).limit(rows).toArrow()
+    table = bounded(sample, ["h", "lang"], F.size("at"), rows, TRAIN_FEATURES).toArrow()
     labels = table.column("lang").to_pylist()
     names = sorted(set(labels))
     model = Model(names, np.zeros((WIDTH, len(names))), np.zeros(len(names)), idf, 1.0)

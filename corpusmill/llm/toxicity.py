@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.ftrl import Ftrl, sigmoid
+from corpusmill.llm.ftrl import Ftrl, bounded, sigmoid
 from corpusmill.llm.kernels import ALNUM, Words, chunks, texts
 from corpusmill.llm.store import fresh_name
 
-#: labelled rows that weights are fitted on, passes over them, and the weight of a score change
-TRAIN_ROWS, EPOCHS, FAIRNESS = 12_000, 2, 4.0
+#: labelled rows that weights are fitted on, features of all of them together, passes over them, and the weight of a score change
+TRAIN_ROWS, TRAIN_FEATURES, EPOCHS, FAIRNESS = 12_000, 20_000_000, 2, 4.0
 WIDTH = 1 << 18
 THRESHOLD = 0.3
 
@@ -101,7 +101,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     # at most `rows` small rows are broadcast
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(marks), "id").select("h", "y", "text")
-    table = source.mapInArrow(features, "h long, y int, at array<int>, other array<int>").orderBy("h", "y", F.size("at")).limit(rows).toArrow()
+    sample = source.mapInArrow(features, "h long, y int, at array<int>, other array<int>")
+    table = bounded(sample, ["h", "y"], F.size("at") + F.size("other"), rows, TRAIN_FEATURES).toArrow()
     x = [np.array(a.values, np.int64) for a in table.column("at")]
     other = [np.array(a.values, np.int64) for a in table.column("other")]
     return learn(x, other, np.array(table.column("y").to_pylist(), np.float64))
