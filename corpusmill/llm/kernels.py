@@ -135,6 +135,11 @@ def spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
+def byte_sizes(column: pa.Array) -> list[int]:
+    """Bytes of each text of a column made by texts()."""
+    return np.diff(spans(column)[1]).tolist()
+
+
 def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets within them) of parts of about size bytes."""
     if not len(column):

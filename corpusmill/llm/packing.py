@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.kernels import texts
+from corpusmill.llm.kernels import byte_sizes, texts
 from corpusmill.llm.store import written
 from corpusmill.llm.tokens import coder
 
@@ -117,7 +117,8 @@ def pack(df: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, doc_i
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc, ids in zip(batch.column(0).to_pylist(), code.balanced(texts(batch.column(1)).to_pylist()), strict=True):
+            raw = texts(batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), code.balanced(raw.to_pylist(), byte_sizes(raw)), strict=True):
                 ids += end
                 start, total = 0, len(ids) // 4
                 for length in cuts(total, capacity):

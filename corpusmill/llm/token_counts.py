@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.kernels import texts
+from corpusmill.llm.kernels import byte_sizes, texts
 from corpusmill.llm.store import fresh_name
 from corpusmill.llm.tokens import coder
 
@@ -26,7 +26,8 @@ def token_counts(df: DataFrame, tokenizer: str, text: str = "text", limit: int =
 
     def lengths(batches):
         for batch in batches:
-            got = [len(b) // 4 for b in coder(tokenizer, True).balanced(texts(batch.columns[-1]).to_pylist())]
+            raw = texts(batch.columns[-1])
+            got = [len(b) // 4 for b in coder(tokenizer, True).balanced(raw.to_pylist(), byte_sizes(raw))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got, pa.int64())], [*kept, "n_bytes", "n_tokens"])
 
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("n_bytes")

@@ -1,10 +1,10 @@
 """Token ids by a public tokenizer, encoded part by part and remembered.
 
 A text is cut at boundaries that its pre-tokenizer never crosses, so each part's ids do not depend on its
-neighbours.  Texts within Latin-1 are cut into the pre-tokenizer's own words, which the library's model
+neighbours.  Strings of added tokens are cut out first, as the library does.  Texts within Latin-1 are cut into the pre-tokenizer's own words, which the library's model
 takes as they are; others at white space, and their parts go through the whole library in batches;
-texts with special-token strings or with white space on which Python and the library differ are
-encoded whole.  Parts that are known are looked up.
+texts with white space on which Python and the library differ are
+encoded by the whole library, long ones in pieces cut at single spaces between plain letters or digits.  Parts that are known are looked up.
 """
 
 from __future__ import annotations
@@ -21,6 +21,9 @@ REMEMBERED = 300_000
 _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b-\u200f\u2028\u2029\ufeff]")
 _SPACED = re.compile(r"\s ")
 _UNITS = re.compile(r"\s*\S+|\s+\Z")
+#: characters of a piece of a text that only the library can cut, and where it may be cut
+PIECE = 1 << 16
+_SAFE = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 _INNER = re.compile(r"\S\s|\s\s|\s\Z")
 
 #: The letters and numbers of Latin-1, and the two pre-tokenizers' patterns over them.
@@ -56,8 +59,11 @@ class Coder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.prefixed = prefixed
-        added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added))) if added else None
+        added = self.tokenizer.get_added_tokens_decoder()
+        contents = sorted((x.content for x in added.values()), key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, contents)) + ")") if added else None
+        # a token that takes no white space and has no word bounds parts a text into texts of their own
+        self.parting = {x.content: int(i).to_bytes(4, "little") for i, x in added.items()} if not any(x.lstrip or x.rstrip or x.single_word for x in added.values()) else None
         self.model = self.tokenizer.model
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.known: dict[str, bytes] = {}
@@ -71,8 +77,23 @@ class Coder:
             return None
         return _PREFIXED.findall(text) if self.prefixed else _WORDS.findall(text.lower())
 
+    def segments(self, text: str) -> list[str]:
+        """A text, parted at the added tokens' strings, which stand at odd places."""
+        return self.special.split(text) if self.parting and self.special.search(text) else [text]
+
     def whole(self, text: str) -> bool:
-        return bool(_ODD.search(text) or (self.special and self.special.search(text)))
+        return bool(_ODD.search(text) or (not self.parting and self.special and self.special.search(text)))
+
+    def pieces(self, text: str) -> list[str]:
+        """A text that only the library can cut, in pieces whose ids do not depend on each other."""
+        out, begin = [], 0
+        while len(text) - begin > PIECE and not (not self.parting and self.special):
+            at = _SAFE.search(text, begin + PIECE)
+            if not at:
+                break
+            out.append(text[begin : at.start()])
+            begin = at.start()
+        return [*out, text[begin:]]
 
     def units(self, text: str) -> list[str]:
         """A text cut at white space only."""
@@ -127,30 +148,34 @@ class Coder:
         """Little-endian 32-bit ids of each text."""
         words: set[str] = set()
         units: set[str] = set()
-        cut: list[list[str] | None] = []
+        cut: list[list] = []
         for t in texts:
-            parts = None
-            if not self.whole(t):
-                parts = self.words(t)
-                if parts is not None:
-                    words.update(parts)
+            parts: list = []
+            for k, segment in enumerate(self.segments(t)):
+                if k % 2:
+                    parts.append(self.parting[segment])
+                elif self.whole(segment):
+                    parts += [np.array(e.ids, "<u4").tobytes() for e in (self.tokenizer.encode(p, add_special_tokens=False) for p in self.pieces(segment))]
                 else:
-                    parts = self.units(t)
-                    units.update(parts)
+                    found = self.words(segment)
+                    if found is not None:
+                        words.update(found)
+                    else:
+                        found = self.units(segment)
+                        units.update(found)
+                    parts.append(found)
             cut.append(parts)
         self.learn(words, units)
         known = self.known
-        return [b"".join([known[u] for u in parts]) if parts is not None else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for parts, t in zip(cut, texts, strict=True)]
+        return [b"".join([p if isinstance(p, bytes) else b"".join([known[u] for u in p]) for p in parts]) for parts in cut]
 
-    def balanced(self, texts: list[str], size: int = 1 << 20):
-        """ids() over groups of texts of about size characters."""
-        group: list[str] = []
-        held = 0
-        for t in texts:
-            group.append(t)
-            held += len(t)
+    def balanced(self, texts: list[str], sizes: list[int], size: int = 1 << 20):
+        """ids() over groups of texts of about size bytes; sizes are the texts' own."""
+        first, held = 0, 0
+        for i, n in enumerate(sizes):
+            held += n
             if held >= size:
-                yield from self.ids(group)
-                group, held = [], 0
-        if group:
-            yield from self.ids(group)
+                yield from self.ids(texts[first : i + 1])
+                first, held = i + 1, 0
+        if first < len(texts):
+            yield from self.ids(texts[first:])
