@@ -92,7 +92,7 @@ def decontamination(docs: list[tuple], items: list[tuple], n: int = 10) -> list[
         w = ALNUM_WORDS.findall((t or "").translate(LOWER))
         size = min(n, len(w))
         for i in range(len(w) - size + 1 if size else 0):
-            windows[tuple(w[i : i + size])].add(str(item))
+            windows[tuple(w[i : i + size])] |= {str(item)} - {"None"}
     sizes = {len(k) for k in windows}
     out = []
     for doc, t in docs:
@@ -101,7 +101,7 @@ def decontamination(docs: list[tuple], items: list[tuple], n: int = 10) -> list[
         for size in sizes:
             for i in range(len(w) - size + 1):
                 got = windows.get(tuple(w[i : i + size]))
-                if got:
+                if got is not None:
                     hit.update(range(i, i + size))
                     found |= got
         out.append((doc, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))

@@ -6,7 +6,9 @@ import pytest
 
 from corpusmill.llm import embeddings, forest, language, licenses, secrets, toxicity
 from corpusmill.llm.components import components
+from corpusmill.llm.ftrl import bounded
 from tests.llm import brute
+from tests.llm.annotated import OTHERS, SECRETS
 from tests.llm.conftest import DOCUMENTS
 
 
@@ -197,3 +199,118 @@ def test_wrapped_licenses(spark):
         labels, best = _contained(t)
         assert set(filter(None, rows[i].labels.split(","))) == labels | set(filter(None, rows[i].base_labels.split(",")))
         assert rows[i].n_base or abs(rows[i].score - best) < 1e-12
+
+
+def test_annotated_secrets(spark):
+    """Recall of each kind and precision over findings annotated by hand, from which nothing was learnt."""
+    hidden = [(k, t, v) for k, t, v in SECRETS if v]
+    texts = [t for _, t, _ in hidden] + [t for _, t in OTHERS]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.doc_id, r.value_sha256) for r in secrets.secrets(df).collect() if r.is_secret}
+    right = {(i, hashlib.sha256(v.encode()).hexdigest()) for i, (_, _, v) in enumerate(hidden)}
+    for kind in {k for k, _, _ in hidden}:
+        own = {i for i, (k, _, _) in enumerate(hidden) if k == kind}
+        missed = [texts[i] for i, v in right - found if i in own]
+        assert len(missed) <= 0.1 * len(own), (kind, missed)
+    wrong = [texts[i] for i, _ in found - right]
+    assert len(wrong) <= 0.1 * len(found), wrong
+
+
+def test_group_mentions_are_not_held_against_a_text(spark, monkeypatch):
+    """Held-out neutral sentences that name a group: with the penalty fewer of them are taken for toxic, and toxic ones are still found."""
+    rng = random.Random(8)
+    plain = lambda n: [f"w{rng.randrange(150)}" for _ in range(n)]
+    rows, labels = [], []
+    for i in range(1200):
+        bad = rng.random() < 0.3
+        words = plain(25) + (["vile"] if bad and rng.random() < 0.8 else []) + (["women"] if rng.random() < (0.8 if bad else 0.1) else []) + (["men"] if rng.random() < (0.1 if bad else 0.8) else [])
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    df, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    probes = [(i, " ".join([*plain(25), "women"])) for i in range(100)] + [(100 + i, " ".join([*plain(25), "vile"])) for i in range(100)]
+    probe = spark.createDataFrame(probes, "doc_id long, text string")
+    wrong, right = {}, {}
+    for fairness in (0.0, toxicity.FAIRNESS):
+        monkeypatch.setattr(toxicity.learn, "__defaults__", (fairness,))
+        score = {r.doc_id: r.score for r in toxicity.score_texts(probe, toxicity.fit(df, marks)).collect()}
+        wrong[fairness] = np.mean([score[i] >= toxicity.THRESHOLD for i in range(100)])
+        right[fairness] = np.mean([score[100 + i] >= toxicity.THRESHOLD for i in range(100)])
+    assert wrong[toxicity.FAIRNESS] < 0.5 * wrong[0.0] and wrong[0.0] > 0.3, wrong
+    assert min(right.values()) > 0.9, right
+
+
+def test_toxicity_by_brute_force(spark):
+    """Scores are the logistic of the summed weights of a text's distinct words; repeated rows score alike, very long texts too."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(50)}" for _ in range(20)) + (" bad" if i % 3 == 0 else "")) for i in range(300)]
+    odd = [(3, rows[3][1]), (3, rows[3][1]), (900, "Bad, BAD! bad-w1 " * 30_000), (901, None), (902, "é 日本 42")]
+    df = spark.createDataFrame(rows + odd, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    weights = toxicity.fit(df, marks)
+    for r, (_, t) in zip(sorted(toxicity.toxicity(df, marks).collect(), key=lambda r: r.doc_id), sorted(rows + odd, key=lambda r: r[0]), strict=True):
+        words = set(brute.ALNUM_WORDS.findall((t or "").translate(brute.LOWER)))
+        buckets = {int(toxicity._buckets(toxicity._hash_of([w]))[0]) for w in words}
+        total = sum(weights[b] for b in buckets) + weights[toxicity.WIDTH]
+        assert abs(r.score - 1 / (1 + np.exp(-total))) < 1e-9 and r.predicted == (r.score >= 0.3)
+
+
+def test_samples_are_bounded_by_features(spark):
+    df = spark.createDataFrame([(i, [0] * (i + 1)) for i in range(20)], "h long, at array<int>")
+    from pyspark.sql import functions as F
+
+    assert [r.h for r in bounded(df, ["h"], F.size("at"), 10, 30).collect()] == list(range(7))
+    assert bounded(df, ["h"], F.size("at"), 3, 1000).count() == 3
+
+
+def test_language_by_brute_force(spark):
+    """Frequencies of character runs over all rows, and predictions, by plain loops; fractions are no letters; long texts and repeated rows."""
+    rng = random.Random(6)
+    words = {"en": "the and with that", "de": "der und schön straße", "fr": "été une où ça"}
+    rows = [(i, " ".join(rng.choice(words[n].split()) for _ in range(12)), n) for i in range(120) for n in [rng.choice(list(words))]]
+    odd = [(500, "½", "en"), (501, "² 3", "de"), (502, "ª", None), (503, "²x", None), (504, "the and " * 40_000, "en"), (505, "", "fr"), (7, rows[7][1], rows[7][2])]
+    df = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    model = language.fit(df)
+
+    def runs(t):
+        points = [ord(c) for c in t.lower()]
+        k, out = [int(x) for x in language._K], {}
+        for n, ks in ((1, k[:1]), (2, k[1:3]), (3, k[3:6])):
+            for i in range(len(points) - n + 1):
+                h = sum(p * q for p, q in zip(points[i : i + n], ks, strict=True)) & 0xFFFFFFFF
+                f = ((h ^ (h >> 15)) * k[2] & 0xFFFFFFFF) >> 16
+                out[f] = out.get(f, 0) + 1
+        return out
+
+    learnt = [t for i, t, n in rows + odd if n is not None and not language.in_test_fold(i)]
+    often = {}
+    for t in learnt:
+        for f in runs(t):
+            often[f] = often.get(f, 0) + 1
+    for f, n in often.items():
+        assert abs(model.idf[f] - (np.log((1 + len(learnt)) / (1 + n)) + 1)) < 1e-12
+    found = sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in language.identify(df, model).collect())
+    expected = []
+    for i, t, _ in rows + odd:
+        if not any(c.isalpha() for c in t):
+            expected.append((i, "und", 1.0))
+            continue
+        x = {f: (1 + np.log(n)) * model.idf[f] for f, n in runs(t).items()}
+        size = np.sqrt(sum(v * v for v in x.values()))
+        logits = np.array([sum(v / size * model.weights[f, j] for f, v in x.items()) + model.bias[j] for j in range(len(model.names))]) / model.temperature
+        p = np.exp(logits - logits.max())
+        p /= p.sum()
+        expected.append((i, model.names[int(p.argmax())], round(float(p.max()), 9)))
+    assert [f[:2] for f in found] == [e[:2] for e in sorted(expected)]
+    assert all(abs(f[2] - e[2]) < 1e-8 for f, e in zip(found, sorted(expected), strict=True))
+    by = {f[0]: f[1] for f in found}
+    assert by[500] == by[501] == by[505] == "und" and by[502] != "und" and by[503] != "und"
+
+
+def test_repeated_rows_and_null_columns_with_secrets(spark):
+    text = 'token = "1eb9c654e721b4f812088970e66a6345cee33dd6" and password: hunter2'
+    df = spark.createDataFrame([(1, text, None), (1, text, None), (None, text, "x"), (2, None, None), (3, "a " * 100_000 + text, None)], "doc_id long, text string, findings string")
+    found = [(r.doc_id, r.finding, r.length, r.is_secret) for r in secrets.secrets(df).collect()]
+    assert sorted(found, key=repr) == sorted([(i, k, n, True) for i in (1, 1, None, 3) for k, n in ((0, 40), (1, 7))], key=repr)
+    shown = secrets.redacted(df)
+    assert shown.columns == df.columns and shown.count() == 5 and shown.filter("text like '%hunter2%'").count() == 0

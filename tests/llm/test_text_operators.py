@@ -25,6 +25,13 @@ def test_substrings(docs, length):
     same(substrings.repeats(docs, length), brute.substrings(DOCUMENTS, length), "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@pytest.mark.parametrize(("share", "heads"), [(1, 4), (2, 1), (1000, 1)])
+def test_substrings_in_shares(docs, monkeypatch, share, heads):
+    monkeypatch.setattr(substrings, "SHARE", share)
+    monkeypatch.setattr(substrings, "HEADS", heads)
+    same(substrings.repeats(docs, 35), brute.substrings(DOCUMENTS, 35), "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def test_substring_ranges(docs):
     for r in substrings.repeats(docs, 35).collect():
         assert sum(b - a for a, b in r.removed) == r.n_removed and all(0 <= a < b <= r.n_words for a, b in r.removed)
@@ -132,9 +139,8 @@ def test_representatives(docs):
 @pytest.mark.parametrize("block", [250_000, 3])
 @pytest.mark.parametrize("n", [10, 3])
 def test_decontamination(docs, benchmark, n, block):
-    items = [(i, t) for i, t in BENCHMARK if i is not None]
     found = decontamination.decontaminate(docs, benchmark, n, block=block)
-    same(found, brute.decontamination(DOCUMENTS, items, n), "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    same(found, brute.decontamination(DOCUMENTS, BENCHMARK, n), "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def test_clean_of_benchmark(docs, benchmark):
