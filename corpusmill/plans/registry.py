@@ -363,7 +363,7 @@ def page_section_scope(spark, sf_dir):
     return rows.select("page_id", "host", "section", (F.col("section").isin("en", "fr", "misc") & ~settled).alias("in_scope"), F.col("host").endswith("example.com").alias("own_domain"))
 
 
-_POLICIES = (("blog.tiontion.example.com", 1, 2.0, 10.0, ""), ("example.com", 8, 0.1, 60.0, ""), ("example.net", 4, 0.25, 120.0, ""))
+_POLICIES = (("blog.tiontion.example.com", 1, 2.0, 10.0), ("example.com", 8, 0.1, 60.0), ("example.net", 4, 0.25, 120.0))
 
 
 @query(
