@@ -6,8 +6,10 @@ import io
 import re
 import subprocess
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -67,6 +69,7 @@ def kilobytes(size: Column) -> Column:
 def audit(rows: DataFrame) -> DataFrame:
     """The audit of rows (corpus, relative_path, size, status, chars, note), in order."""
     kb = kilobytes(F.col("size"))
+    rows = rows.orderBy("corpus", "relative_path")
     return rows.select("corpus", "relative_path", "status", "chars", F.bround(kb).cast("long").alias("source_kb"), F.round(F.col("chars") / kb, 2).alias("chars_per_kb"), "note")
 
 
@@ -74,6 +77,12 @@ def ocr_candidates(audited: DataFrame) -> DataFrame:
     return audited.filter(F.col("status").isin("none", "thin") & F.lower("relative_path").endswith(".pdf"))
 
 
+def ocr_sources(audited: DataFrame, documents: DataFrame, texts: DataFrame) -> DataFrame:
+    """(relative_path, content, have) of the audit's candidates: the PDF's bytes, and how many bytes of text the mirror (relative_path, text) has already."""
+    have = texts.groupBy("relative_path").agg(F.max(F.octet_length("text")).alias("have"))
+    return ocr_candidates(audited).select("relative_path").join(documents.select("relative_path", "content"), "relative_path").join(have, "relative_path", "left").select("relative_path", "content", "have")
+
+
 def up_to_date(source: DataFrame, mirror: DataFrame, key: str = "relative_path") -> DataFrame:
     """source (key, modified) with `current`: whether mirror (key, modified, size) has text no older than it."""
     m = mirror.select(key, F.col("modified").alias("_m"), F.col("size").alias("_s"))
@@ -125,6 +134,7 @@ def xlsx(content: bytes) -> tuple[str, str]:
     shared = []
     if "xl/sharedStrings.xml" in names:
         shared = ["".join(t.text or "" for t in si.iter(_S + "t")) for si in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).findall(_S + "si")]
+    dates, first = _date_styles(book, names), datetime(1904, 1, 1) if _is_1904(book) else datetime(1899, 12, 30)
     targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))}
     lines = []
     for sheet in ElementTree.fromstring(book.read("xl/workbook.xml")).find(_S + "sheets"):
@@ -136,11 +146,45 @@ def xlsx(content: bytes) -> tuple[str, str]:
             if at > SHEET_ROWS:
                 lines.append(f"[... truncated at {SHEET_ROWS} rows]")
                 break
-            lines.append(" | ".join(filter(None, (_cell(c, shared) for c in row.findall(_S + "c")))))
+            lines.append(" | ".join(filter(None, (_cell(c, shared, dates, first) for c in row.findall(_S + "c")))))
     return "", markup.tidy("\n".join(filter(None, lines)))
 
 
-def _cell(c, shared: list[str]) -> str:
+#: Numbers of the built-in formats that show a date or a time.
+_DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+
+
+def _date_styles(book: zipfile.ZipFile, names: set[str]) -> set[int]:
+    """Places of the cell styles whose number format shows a date or a time."""
+    if "xl/styles.xml" not in names:
+        return set()
+    styles = ElementTree.fromstring(book.read("xl/styles.xml"))
+    written = {int(f.get("numFmtId")): f.get("formatCode") or "" for f in styles.iter(_S + "numFmt")}
+    # what is quoted, escaped or in brackets is no part of the format
+    bare = {i: re.sub(r'"[^"]*"|\\.|_.|\[[^\]]*\]', "", code).split(";")[0].lower() for i, code in written.items()}
+    shown = {i for i, code in bare.items() if re.search("[ymdhs]", code) and "general" not in code}
+    formats = styles.find(_S + "cellXfs")
+    kinds = [int(x.get("numFmtId") or 0) for x in formats] if formats is not None else []
+    return {k for k, i in enumerate(kinds) if (i in shown if i in written else i in _DATE_FORMATS)}
+
+
+def _is_1904(book: zipfile.ZipFile) -> bool:
+    settings = ElementTree.fromstring(book.read("xl/workbook.xml")).find(_S + "workbookPr")
+    return settings is not None and settings.get("date1904") in ("1", "true")
+
+
+def _moment(serial: float, first: datetime) -> str:
+    """A day number as a date and time; below one it is a time alone."""
+    days, part = divmod(serial, 1)
+    part = timedelta(milliseconds=round(part * 86_400_000))
+    if 0 <= serial < 1 and part.days == 0:
+        return str((datetime.min + part).time())
+    if 0 < serial < 60 and first.year == 1899:
+        days += 1  # that calendar has a 29th of February 1900
+    return str(first + timedelta(days=days) + part)
+
+
+def _cell(c, shared: list[str], dates: set[int], first: datetime) -> str:
     v = c.find(_S + "v")
     if c.get("t") == "inlineStr":
         return "".join(t.text or "" for t in c.iter(_S + "t")).strip()
@@ -150,6 +194,11 @@ def _cell(c, shared: list[str]) -> str:
         return shared[int(v.text)].strip()
     if c.get("t") == "b":
         return "True" if v.text == "1" else "False"
+    if c.get("t") in (None, "n") and int(c.get("s") or 0) in dates:
+        try:
+            return _moment(float(v.text), first)
+        except (ValueError, OverflowError):
+            return v.text.strip()
     return v.text.strip()
 
 
@@ -230,6 +279,7 @@ _OCR = pa.schema([("relative_path", pa.string()), ("status", pa.string()), ("cha
 
 def tesseract(content: bytes, lang: str = "eng") -> tuple[int, str, str]:
     """An OCR provider: pages as 300 dpi images by pdftoppm, read by tesseract."""
+    ends = time.monotonic() + OCR_SECONDS
     with tempfile.TemporaryDirectory() as d:
         with open(f"{d}/in.pdf", "wb") as f:
             f.write(content)
@@ -238,7 +288,10 @@ def tesseract(content: bytes, lang: str = "eng") -> tuple[int, str, str]:
 
         texts, code, error = [], 0, ""
         for image in sorted(glob.glob(f"{d}/page*.png")):
-            r = subprocess.run(["tesseract", image, "-", "--psm", "3", "-l", lang], capture_output=True, text=True, timeout=300)
+            left = ends - time.monotonic()  # the limit is the whole file's
+            if left <= 0:
+                raise subprocess.TimeoutExpired("tesseract", OCR_SECONDS)
+            r = subprocess.run(["tesseract", image, "-", "--psm", "3", "-l", lang], capture_output=True, text=True, timeout=min(300, left))
             texts.append(r.stdout)
             code, error = code or r.returncode, error + r.stderr * bool(r.returncode)
     return code, "\n".join(texts), error

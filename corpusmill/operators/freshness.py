@@ -46,6 +46,46 @@ def harvest(current: DataFrame | None, known: DataFrame) -> DataFrame:
     return known.sparkSession.range(1).select(F.lit(None).cast("boolean").alias("stale"), F.lit(0).cast("long").alias("added"), F.lit(0).cast("long").alias("removed"), none.alias("added_sample"), none.alias("removed_sample"))
 
 
+def folded(identifiers: DataFrame, column: str) -> DataFrame:
+    """(key): identifiers in lower case, as publishers write one in several ways."""
+    return identifiers.filter(F.col(column).isNotNull()).select(F.lower(column).alias("key"))
+
+
+def new_identifiers(current: DataFrame, known: DataFrame, sample: int = 20) -> DataFrame:
+    """difference() of identifiers (key) without regard to case; only new ones make a pack stale."""
+    return difference(folded(current, "key"), folded(known, "key"), sample, only_added=True)
+
+
+#: The corpus whose manifest a pack's addresses are compared with.
+COMPARED = {"osha-publications": "EHS", "osha-interpretations": "OSHA-Interpretations", "osha-directives": "OSHA-Directives", "nfpa-public": "NFPA-Public", "epa": "EPA", "cfr-29": "CFR-29", "dot-hazmat": "CFR-49"}
+
+
+def compared(pack_id: str) -> str | None:
+    return COMPARED.get("epa" if pack_id.startswith("epa-") else pack_id)
+
+
+def checked(pack_id: str, how: str | None, detail: str, current: DataFrame | None, manifest: DataFrame | None, captured: str = "", date: str | None = None, now: Column | None = None) -> DataFrame:
+    """The report row of one pack, by its method: how and detail as plan() gives them.
+
+    current holds what the publisher lists (key: addresses, or identifiers for new_identifier), date the
+    publisher's date for api_date.  Where what a method needs is missing, the row says unchecked: stale is null.
+    """
+    spark = (manifest if manifest is not None else current).sparkSession
+    none = F.array().cast("array<string>")
+    row = lambda stale, said: spark.range(1).select(F.lit(stale).cast("boolean").alias("stale"), F.lit(0).cast("long").alias("added"), F.lit(0).cast("long").alias("removed"), none.alias("added_sample"), none.alias("removed_sample"), F.lit(said).alias("detail"))
+    if how is None:
+        found = row(None, detail)
+    elif how == "api_date":
+        found = row(None, "no date given") if date is None else row(None, f"{captured or 'never'} -> {date}").withColumn("stale", date_stale(F.lit(date), F.lit(captured)))
+    elif current is None:
+        found = row(None, "needs the publisher's current listing")
+    elif how == "new_identifier":
+        found = new_identifiers(current, manifest.select(F.col("identifier").alias("key"))).withColumn("detail", F.lit(""))
+    else:
+        found = difference(current.select(without_query(F.col("key")).alias("key")), known_urls(manifest)).withColumn("detail", F.lit(""))
+    return report(pack_id, how, found, now)
+
+
 def owners(specs: DataFrame) -> DataFrame:
     """(pack_id, owner): every spec by its own id, members by the first meta spec that lists them."""
     own = specs.select("pack_id", F.col("pack_id").alias("owner"), F.lit(0).alias("rank"))
@@ -93,7 +133,7 @@ def plan(packs: DataFrame, specs: DataFrame) -> DataFrame:
     return rows.select("pack_id", "owner", "method", detail.alias("detail"))
 
 
-def report(pack_id: str, how: str, found: DataFrame, now: Column | None = None) -> DataFrame:
+def report(pack_id: str, how: str | None, found: DataFrame, now: Column | None = None) -> DataFrame:
     """A report row of a check's row."""
     at = F.date_format(now if now is not None else F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
-    return found.select(F.lit(pack_id).alias("pack"), at.alias("checked_at"), F.lit(how).alias("method"), *found.columns)
+    return found.select(F.lit(pack_id).alias("pack"), at.alias("checked_at"), F.lit(how).cast("string").alias("method"), *found.columns)

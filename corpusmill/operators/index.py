@@ -51,6 +51,11 @@ def embed_index(rows: DataFrame, rank_after_exclusion: bool = False) -> DataFram
     return long.unionByName(short).withColumn("exclude_reason", F.when(excluded, "bulk-data-spreadsheet").otherwise(F.col("exclude_reason"))).withColumn("embed", F.when(excluded, "no").otherwise(F.col("embed")))
 
 
+def in_order(index: DataFrame) -> DataFrame:
+    """The index as it is written: by path."""
+    return index.orderBy("text_path")
+
+
 def by_corpus(index: DataFrame) -> DataFrame:
     """files, embedded files and embedded characters of each corpus."""
     yes = F.col("embed") == "yes"

@@ -73,3 +73,6 @@ def latest_wins(manifest: DataFrame, order: str) -> DataFrame:
     return manifest.groupBy("relative_path").agg(F.max_by(F.struct(*[c for c in manifest.columns if c != "relative_path"]), order).alias("_r")).select("relative_path", "_r.*")
 
 
+def by_corpus(index: DataFrame) -> DataFrame:
+    """rows of each corpus."""
+    return index.groupBy("corpus").agg(F.count("*").alias("rows"))

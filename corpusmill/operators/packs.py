@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 import json
 import tarfile
 
@@ -75,13 +76,12 @@ def sections_plan(files: DataFrame, corpus: str, template: str, excluded: tuple[
 
 
 def manifests(files: DataFrame) -> DataFrame:
-    """doc_count, text_bytes (characters) and the sorted files of each pack."""
-    entry = F.struct("path", "source_path", "source_url", "source_sha256", "title", "identifier", "language", "chars")
-    return files.groupBy("pack_id").agg(F.count("*").alias("doc_count"), F.sum("chars").alias("text_bytes"), F.array_sort(F.collect_list(entry)).alias("files"))
+    """doc_count and text_bytes of each pack; its files stay rows, however many it has."""
+    return files.groupBy("pack_id").agg(F.count("*").alias("doc_count"), F.sum("chars").alias("text_bytes"), F.min("path").alias("first_path"))
 
 
 def meta(members: DataFrame) -> DataFrame:
-    """Meta packs of members (pack_id, ord, member, captured_at, built): the newest capture, the version, the members in order, and those not built."""
+    """Meta packs of members (pack_id, ord, member, captured_at, built): the newest capture, the version, the members in order, and those not built. A bundle has as many members as its spec lists, or as a corpus has sections: tens."""
     ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.when(c, F.struct("ord", "member")))), lambda x: x["member"])
     return members.groupBy("pack_id").agg(F.max("captured_at").alias("captured_at"), ordered(F.lit(True)).alias("members"), ordered(~F.col("built")).alias("missing_members")).withColumn("version", X.version(F.col("captured_at")))
 
@@ -91,45 +91,83 @@ def captured(corpora: DataFrame, captures: DataFrame, override: str | None = Non
     return corpora.join(captures.select("corpus", F.col("captured_at").alias("_c")), "corpus", "left").withColumn("captured_at", F.coalesce(F.lit(override), X.blank_to_null(F.col("_c")), F.date_format(F.current_date(), "yyyy-MM-dd"))).drop("_c")
 
 
-def write_artifacts(texts: DataFrame, packs: DataFrame, folder: str) -> DataFrame:
+def write_artifacts(texts: DataFrame, packs: DataFrame, folder: str, entries: DataFrame | None = None) -> DataFrame:
     """(pack_id, artifact, sha256, bytes): one tar.zst a pack, streamed in path order, manifest first, with its .sha256 beside it.
 
-    texts: pack_id, path, text.  packs: pack_id, version, manifest (JSON).  A pack's rows are streamed
-    through one task, a text at a time; nothing of a pack but its compressed output is held, and the
-    archive's dates and owners are fixed, so equal inputs give equal bytes.  folder must be one that all
-    executors share.
+    texts: pack_id, path, text.  packs: pack_id, version, manifest (JSON), and, where its list of files is left out,
+    rest (what follows the list) and manifest_bytes (the whole manifest's).  entries: pack_id, path, entry, what the
+    list holds.  A pack's rows are streamed through one task, a text or an entry at a time; nothing of a pack but
+    its compressed output is held, and the archive's dates and owners are fixed, so equal inputs give equal
+    bytes.  folder must be one that all executors share.
     """
-    rows = packs.select("pack_id", "version", "manifest", F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("text")).unionByName(
-        texts.select("pack_id", F.lit(None).cast("string").alias("version"), F.lit(None).cast("string").alias("manifest"), "path", "text")
-    )
-    rows = rows.repartition("pack_id").sortWithinPartitions("pack_id", F.col("path").asc_nulls_first())
+    null = lambda kind: F.lit(None).cast(kind)
+    more = [c if c in packs.columns else null(t).alias(c) for c, t in (("rest", "string"), ("manifest_bytes", "long"))]
+    rows = packs.select("pack_id", F.lit(_HEAD).alias("kind"), null("string").alias("path"), F.col("manifest").alias("text"), "version", *more)
+    if entries is not None:
+        rows = rows.unionByName(entries.select("pack_id", F.lit(_ENTRY).alias("kind"), "path", F.col("entry").alias("text")), allowMissingColumns=True)
+    rows = rows.unionByName(texts.select("pack_id", F.lit(_TEXT).alias("kind"), "path", "text"), allowMissingColumns=True)
+    rows = rows.repartition("pack_id").sortWithinPartitions("pack_id", "kind", "path")
 
     def write(batches):
-        done, current = [], None
-        for batch in batches:
-            for r in batch.to_pylist():
-                if current is None or r["pack_id"] != current.pack_id:
-                    done += [current.close()] if current else []
-                    current = _Artifact(r["pack_id"], r["version"], folder)
-                    current.add("manifest.json", r["manifest"] or "{}")
+        rows = (r for batch in batches for r in batch.to_pylist())
+        for pack_id, own in itertools.groupby(rows, key=lambda r: r["pack_id"]):
+            made = _Artifact(pack_id, folder)
+            for kind, part in itertools.groupby(own, key=lambda r: r["kind"]):
+                if kind == _HEAD:
+                    made.begin(next(part))
+                elif kind == _ENTRY:
+                    made.listing(r["text"] for r in part)
                 else:
-                    current.add(r["path"], r["text"] or "")
-        done += [current.close()] if current else []
-        yield pa.RecordBatch.from_pylist(done, pa.schema([("pack_id", pa.string()), ("artifact", pa.string()), ("sha256", pa.string()), ("bytes", pa.int64())]))
+                    for r in part:
+                        made.add(r["path"], r["text"] or "")
+            yield pa.RecordBatch.from_pylist([made.close()], pa.schema([("pack_id", pa.string()), ("artifact", pa.string()), ("sha256", pa.string()), ("bytes", pa.int64())]))
 
     return rows.mapInArrow(write, "pack_id string, artifact string, sha256 string, bytes long")
 
 
+#: kinds of a pack's rows, in their order
+_HEAD, _ENTRY, _TEXT = 0, 1, 2
+
+
+class _Flow(io.RawIOBase):
+    """Bytes as a file to read once."""
+
+    def __init__(self, parts):
+        self.parts, self.held = iter(parts), b""
+
+    def read(self, n: int = -1) -> bytes:
+        while len(self.held) < n:
+            more = next(self.parts, None)
+            if more is None:
+                break
+            self.held += more
+        out, self.held = self.held[:n], self.held[n:]
+        return out
+
+
 class _Artifact:
-    def __init__(self, pack_id: str, version: str, folder: str):
+    def __init__(self, pack_id: str, folder: str):
+        self.pack_id, self.folder, self.head = pack_id, folder, None
+
+    def begin(self, head: dict) -> None:
         import os
 
-        self.pack_id, self.name = pack_id, f"{pack_id}-{version}.tar.zst"
-        os.makedirs(folder, exist_ok=True)
-        self.path, self.part = os.path.join(folder, self.name), os.path.join(folder, f".{self.name}.{os.getpid()}.part")
+        self.name = f"{self.pack_id}-{head['version']}.tar.zst"
+        os.makedirs(self.folder, exist_ok=True)
+        self.path, self.part = os.path.join(self.folder, self.name), os.path.join(self.folder, f".{self.name}.{os.getpid()}.part")
         self.raw = open(self.part, "wb")  # noqa: SIM115
         self.packed = zstandard.ZstdCompressor(level=LEVEL).stream_writer(self.raw, closefd=False)
         self.tar = tarfile.open(fileobj=self.packed, mode="w|")
+        self.head = head
+        if head["manifest_bytes"] is None:
+            self.add("manifest.json", head["text"] or "{}")
+
+    def listing(self, entries) -> None:
+        """The manifest with its list of files, an entry at a time."""
+        commas = (("," if i else "") + e for i, e in enumerate(entries))
+        entry = tarfile.TarInfo("manifest.json")
+        entry.size = self.head["manifest_bytes"]
+        self.tar.addfile(entry, _Flow(x.encode() for x in itertools.chain([self.head["text"]], commas, [self.head["rest"]])))
 
     def add(self, name: str, text: str) -> None:
         data = text.encode()
@@ -165,7 +203,7 @@ def manifest_of(content: bytes) -> str | None:
 
 MANIFEST = (
     "pack_id string, kind string, version string, title string, publisher string, rights_tier string, rights_note string, corpus string, section string, captured_at string, "
-    "refresh map<string,string>, doc_count long, text_bytes long, members array<string>, required_members array<string>, recommends array<string>, description string"
+    "refresh map<string,string>, query_expansion map<string,array<string>>, doc_count long, text_bytes long, members array<string>, required_members array<string>, recommends array<string>, description string"
 )
 
 

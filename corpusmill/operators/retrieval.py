@@ -47,7 +47,30 @@ def valid_map(expansion: Column) -> Column:
     return F.forall(F.map_entries(expansion), lambda e: (e["key"] == F.lower(e["key"])) & (F.size(e["value"]) > 0) & F.forall(e["value"], lambda t: F.coalesce(F.trim(t) != "", F.lit(False))))
 
 
+#: How an answer says that it has none, for cases that must be answered.
+BLANKET = r"(?i)\b(?:i (?:do not|don't|cannot|can't) (?:know|find|answer)|no (?:relevant )?(?:information|documents?|results?) (?:is |are |was |were )?(?:available|found)|not (?:available|found|covered) in (?:the|any) (?:provided |available )?(?:documents?|sources?|corpus|context))"
+
+
 def smoke(answers: DataFrame) -> DataFrame:
-    """answers (id, answer, contains, not_contains) with passed: every wanted pattern occurs, no unwanted one does, in any case."""
+    """answers with passed: every wanted pattern occurs, no unwanted one does, in any case, and what is expected of the answer as a whole holds.
+
+    answers: id, answer, contains, not_contains; and, where they are known, answered and gated (what the
+    runner saw) against expect_answered and expect_gated, and no_blanket_absence: the answer must not
+    say that there is nothing.  A null expectation asks for nothing.
+    """
     says = lambda p: F.regexp_like(F.col("answer"), F.concat(F.lit("(?i)"), p))
-    return answers.withColumn("passed", F.forall(F.coalesce("contains", F.array().cast("array<string>")), says) & F.forall(F.coalesce("not_contains", F.array().cast("array<string>")), lambda p: ~says(p)))
+    none = F.array().cast("array<string>")
+    passed = F.forall(F.coalesce("contains", none), says) & F.forall(F.coalesce("not_contains", none), lambda p: ~says(p))
+    for flag in ("answered", "gated"):
+        if {flag, f"expect_{flag}"} <= set(answers.columns):
+            passed = passed & (F.col(f"expect_{flag}").isNull() | F.col(flag).eqNullSafe(F.col(f"expect_{flag}")))
+    if "no_blanket_absence" in answers.columns:
+        passed = passed & ~(F.coalesce("no_blanket_absence", F.lit(False)) & F.coalesce(F.rlike("answer", F.lit(BLANKET)), F.lit(False)))
+    return answers.withColumn("passed", F.coalesce(passed, F.lit(False)))
+
+
+def evaluated(cases: DataFrame, answers: DataFrame) -> DataFrame:
+    """smoke() of cases (id, category, expect) joined with a runner's answers (id, answer, answered, gated); a case without an answer fails."""
+    e = lambda c: F.col(f"expect.{c}")
+    rows = cases.join(answers, "id", "left").select("id", "category", F.coalesce("answer", F.lit("")).alias("answer"), "answered", "gated", e("answered").alias("expect_answered"), e("gated").alias("expect_gated"), e("no_blanket_absence").alias("no_blanket_absence"), e("contains").alias("contains"), e("not_contains").alias("not_contains"))
+    return smoke(rows).select("id", "category", "passed")

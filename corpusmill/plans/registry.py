@@ -243,19 +243,17 @@ def pack_files(spark, sf_dir):
     return _files(spark, sf_dir)
 
 
-@query(_FILES_SQL + "SELECT 'pack-' || corpus AS pack_id, count(*) AS doc_count, sum(chars)::BIGINT AS text_bytes, min(path) AS first_path, sha256(string_agg(path, ',' ORDER BY path)) AS paths_sha256 FROM f GROUP BY corpus")
+@query(_FILES_SQL + "SELECT 'pack-' || corpus AS pack_id, count(*) AS doc_count, sum(chars)::BIGINT AS text_bytes, min(path) AS first_path FROM f GROUP BY corpus")
 def pack_manifest(spark, sf_dir):
-    rows = packs.manifests(_files(spark, sf_dir).withColumn("pack_id", F.concat(F.lit("pack-"), F.col("corpus"))))
-    paths = F.transform("files", lambda f: f["path"])
-    return rows.select("pack_id", "doc_count", "text_bytes", F.get(paths, F.lit(0)).alias("first_path"), F.sha2(F.array_join(paths, ","), 256).alias("paths_sha256"))
+    return packs.manifests(_files(spark, sf_dir).withColumn("pack_id", F.concat(F.lit("pack-"), F.col("corpus"))))
 
 
 @query(
-    """SELECT 'meta-' || o_orderstatus AS pack_id, strftime(max(o_orderdate), '%Y-%m-%d') AS captured_at, strftime(max(o_orderdate), '%Y.%m.%d') AS version, count(*) AS n_members,
-  sha256(string_agg('m' || o_orderkey, ',' ORDER BY o_orderkey)) AS members_sha256, count(*) FILTER (o_custkey % 11 = 0) AS n_missing FROM orders GROUP BY o_orderstatus"""
+    """SELECT 'meta-' || o_custkey AS pack_id, strftime(max(o_orderdate), '%Y-%m-%d') AS captured_at, strftime(max(o_orderdate), '%Y.%m.%d') AS version, count(*) AS n_members,
+  sha256(string_agg('m' || o_orderkey, ',' ORDER BY o_orderkey)) AS members_sha256, count(*) FILTER (o_orderstatus = 'P') AS n_missing FROM orders GROUP BY o_custkey"""
 )
 def meta_rollup(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("meta-"), "o_orderstatus").alias("pack_id"), F.col("o_orderkey").alias("ord"), F.concat(F.lit("m"), F.col("o_orderkey").cast("string")).alias("member"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("captured_at"), (F.col("o_custkey") % 11 != 0).alias("built"))
+    rows = table(spark, sf_dir, "orders").select(F.concat(F.lit("meta-"), F.col("o_custkey").cast("string")).alias("pack_id"), F.col("o_orderkey").alias("ord"), F.concat(F.lit("m"), F.col("o_orderkey").cast("string")).alias("member"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("captured_at"), (F.col("o_orderstatus") != "P").alias("built"))
     return packs.meta(rows).select("pack_id", "captured_at", "version", F.size("members").cast("long").alias("n_members"), F.sha2(F.array_join("members", ","), 256).alias("members_sha256"), F.size("missing_members").cast("long").alias("n_missing"))
 
 

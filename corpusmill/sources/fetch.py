@@ -10,6 +10,7 @@ import os
 import random
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,13 +56,25 @@ def fetch_one(url: str, delay: float, backoff: float, client: Callable, sleep: C
     return "failed", None
 
 
+def by_host(asked: list[tuple], ask: Callable) -> list:
+    """ask(host, ...) of rows (host, workers, ...), in order; a host is asked by as many threads at once as it allows, hosts one after the other."""
+    out: list = [None] * len(asked)
+    for host in dict.fromkeys(r[0] for r in asked):
+        at = [i for i, r in enumerate(asked) if r[0] == host]
+        with ThreadPoolExecutor(max_workers=max(1, asked[at[0]][1])) as pool:
+            for i, found in zip(at, pool.map(lambda i: ask(asked[i][0], *asked[i][2:]), at), strict=True):
+                out[i] = found
+    return out
+
+
 def fetch(urls: DataFrame, client: Callable = urllib_client, sleep: Callable = time.sleep) -> DataFrame:
     """(url, outcome, body) of urls (url), each host in one task; forbidden hosts are not asked."""
     rows = policy_of(urls.select("url").distinct()).repartition("host")
 
     def run(batches):
         for batch in batches:
-            got = [("forbidden", None) if h in FORBIDDEN_HOSTS else fetch_one(u, d, b, client, sleep) for u, h, d, b in zip(*(batch.column(c).to_pylist() for c in ("url", "host", "delay", "block_backoff")), strict=True)]
+            asked = list(zip(*(batch.column(c).to_pylist() for c in ("host", "workers", "url", "delay", "block_backoff")), strict=True))
+            got = by_host(asked, lambda h, u, d, b: ("forbidden", None) if h in FORBIDDEN_HOSTS else fetch_one(u, d, b, client, sleep))
             yield pa.RecordBatch.from_arrays([batch.column("url"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1].decode(errors="replace") if g[1] is not None else None for g in got], pa.string())], ["url", "outcome", "body"])
 
     return rows.mapInArrow(run, "url string, outcome string, body string")
@@ -95,7 +108,8 @@ def download(plan: DataFrame, folder: str, client: Callable = urllib_client, sle
 
     def run(batches):
         for batch in batches:
-            done = [one(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("url", "path", "host", "delay", "block_backoff")), strict=True)]
+            asked = list(zip(*(batch.column(c).to_pylist() for c in ("host", "workers", "url", "path", "delay", "block_backoff")), strict=True))
+            done = by_host(asked, lambda h, u, p, d, b: one(u, p, h, d, b))
             yield pa.RecordBatch.from_arrays([batch.column("url"), batch.column("path"), pa.array(done, pa.string())], ["url", "path", "outcome"])
 
     return rows.mapInArrow(run, "url string, path string, outcome string")

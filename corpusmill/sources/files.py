@@ -75,3 +75,18 @@ def artifacts(spark: SparkSession, folder: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> None:
     """A table as CSV with a header, in parts; internal tables are parquet."""
     df.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
+
+
+def write_one_csv(df: DataFrame, path: str) -> None:
+    """A table as one CSV file with a header, in the rows' order; for manifests and reports that people read. The rows stream through one task."""
+    spark = df.sparkSession
+    part = f"{path}.parts"
+    df.coalesce(1).write.mode("overwrite").csv(part, header=True, escape='"', emptyValue="")
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder, target = jvm.Path(part), jvm.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (made,) = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().endswith(".csv")]
+    if fs.exists(target):
+        fs.delete(target, False)
+    fs.rename(made, target)
+    fs.delete(folder, True)
