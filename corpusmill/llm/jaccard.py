@@ -14,11 +14,12 @@ signature that a third of all documents share sends a row a buffer, not a row a
 are dealt out by signature, sorted within partitions and streamed, so no bucket is held in memory.  Links
 through the least set of each bucket are verified first and joined into components.  In buckets that still hold
 several components, members of different ones are compared in tiles, by sketches that never reject a
-similar pair, and what passes is verified.  Nothing is capped or sampled.
+similar pair; the nearest are verified and joined first, and so on until every pair of different components
+that passes has been verified.  Nothing is capped or sampled.
 
 Sets are known by a 128-bit digest of their shingles' words, and pairs are verified on the words.
-Signature rows carry 64 bits of that digest; sets that share those are told apart, and compared, after
-the buckets.
+Signature rows carry a 64-bit name; sets that share one are told apart by their digests, and compared, after the
+buckets.
 """
 
 from __future__ import annotations
@@ -113,17 +114,20 @@ def _digest(w: Words, at: np.ndarray, n: int) -> bytes:
             for s, e in zip(w.start[words].tolist(), w.end[words].tolist(), strict=True):
                 h.update(w.data[s:e].tobytes() + b" ")
             continue
-        place = np.arange(int(ends[-1])) + np.repeat(start - (ends - size), size)
-        place[ends - 1] = 0
-        body = w.data[place]
+        # steps of one byte, and jumps from word to word; each word ends with a byte that becomes a space
+        place = np.ones(int(ends[-1]), np.int64)
+        place[0] = start[0]
+        place[ends[:-1]] = start[1:] - (start[:-1] + size[:-1] - 1)
+        place = np.cumsum(place)
+        body = w.data[np.minimum(place, len(w.data) - 1)]
         body[ends - 1] = 0x20
         h.update(body.tobytes())
     return h.digest()
 
 
-def set_id(key: bytes) -> int:
-    """64 bits of a set's digest; never 0, which stands for the empty set."""
-    return (int.from_bytes(key[:8], "little", signed=True) or 1) if key else 0
+def set_id(features: np.ndarray) -> int:
+    """64 bits of a set's features; never 0, which stands for the empty set. Sets that share them have equal signatures or are told apart by their digests."""
+    return (int.from_bytes(hashlib.blake2b(features.tobytes(), digest_size=8).digest(), "little", signed=True) or 1) if len(features) else 0
 
 
 def signatures(features: np.ndarray, band: int, scheme: Scheme) -> np.ndarray:
@@ -227,18 +231,19 @@ def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100,
     def describe(batches):
         for batch in batches:
             sets = shingle_sets(texts(batch.column("text")), n, named=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s, _ in sets], pa.int64()), pa.array([set_id(k) for _, k in sets], pa.int64()), pa.array([k for _, k in sets], pa.binary())], ["doc_id", "row", "n_shingles", "set_id", "key"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s, _ in sets], pa.int64()), pa.array([set_id(s) for s, _ in sets], pa.int64()), pa.array([k for _, k in sets], pa.binary())], ["doc_id", "row", "n_shingles", "set_id", "key"])
 
     def sign(batches):
         scheme, sigs, owns, held, seen = Scheme(num, den), [], [], 0, set()
         for batch in batches:
-            for s, key in shingle_sets(texts(batch.column("text")), n, named=True):
-                if not key or key in seen:
+            for s in shingle_sets(texts(batch.column("text")), n):
+                own = set_id(s)
+                if not own or own in seen:
                     continue
-                seen.add(key)
+                seen.add(own)
                 got = signatures(s, int(scheme.bands(np.array([len(s)]))[0]), scheme)
                 sigs.append(signed(got))
-                owns.append(np.full(len(got), set_id(key), np.int64))
+                owns.append(np.full(len(got), own, np.int64))
                 held += len(got)
                 if held >= BUFFER:
                     yield _combined(np.concatenate(sigs), np.concatenate(owns))
@@ -278,14 +283,9 @@ def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100,
 
     bodies = written(bodies.mapInArrow(confirm, "key binary, id long, text string").dropDuplicates(["key"]), "bodies")
     known = components(written(_verified(pairs, bodies, n, num, den), "verified"))
-    more = _verified(_residual(buckets, known, bodies, n, num, den), bodies, n, num, den)
-    # what is new links components, not sets
-    of = lambda side: known.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
-    more = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    wider = components(more).select(F.col("id").alias("first"), F.col("component").alias("last"))
-
-    placed = sets.select("key", "least").join(known, F.col("key") == known["id"], "left").withColumn("first", F.coalesce("component", "key"))
-    placed = placed.join(wider, "first", "left").select("key", "least", F.coalesce("last", "first").alias("component"))
+    known = _widened(buckets, known, bodies, n, num, den)
+
+    placed = sets.select("key", "least").join(known, "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     roots = placed.groupBy("component").agg(F.min("least").alias("root"))
     of_set = placed.join(roots, "component").select("key", "root")
     return base.join(of_set, "key", "left").select("doc_id", "row", "n_shingles", "set_id", F.coalesce("root", "doc_id").alias("component_id"))
@@ -348,11 +348,12 @@ def _verified(pairs: DataFrame, bodies: DataFrame, n: int, num: int, den: int) -
     return dealt.mapInArrow(check, "a binary, b binary")
 
 
-def _residual(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(a, b): pairs of 64-bit names from different components that share a bucket and that sketches don't rule out.
+def _widened(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(key, component) of all sets in bodies, from the components of some of the links (id, component), and the buckets (sig, id).
 
-    A bucket's larger components have tiles of their own, the small ones share some, and two tiles of one component
-    never meet: a bucket of one large component and a few other sets costs a row a member, not a row a member and tile.
+    Members of different components that share a bucket are compared by sketches.  Each proposes its nearest ones, which
+    are verified and joined, and so on with eight times as many, until no bucket has an unproposed pair of
+    different components: a large group of near copies is joined along its nearest links, never by all its pairs.
     """
 
     def describe(batches):
@@ -360,13 +361,40 @@ def _residual(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, n
             sets = shingle_sets(texts(batch.column("text")), n)
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())], ["key", "id", "size", "sketch"])
 
-    facts = bodies.mapInArrow(describe, "key binary, id long, size long, sketch binary")
-    facts = written(facts.join(known.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key")), "sketches")
-    members = buckets.distinct().join(facts.select("id", "key", "component"), "id")
-    mixed = members.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low <> high")
-    members = written(members.join(mixed.select("sig", "n"), "sig").select(F.col("sig").cast("string").alias("sig"), "key", "component", "n"), "members")
+    facts = written(bodies.mapInArrow(describe, "key binary, id long, size long, sketch binary"), "sketches")
+    known = written(facts.select("key", "id").join(known.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key")), "components")
+    members = buckets.distinct().join(known.select("id", "key"), "id").select(F.col("sig").cast("string").alias("sig"), "key")
+    take = 1
+    while True:
+        placed = members.join(known.select("key", "component"), "key")
+        mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low <> high")
+        members = written(placed.join(mixed.select("sig", "n"), "sig").select("sig", "key", "component", "n"), "members")
+        grouped, proposed = _proposed(members, facts, num, den, take)
+        proposed = written(proposed, "proposed")
+        pairs = proposed.filter("a is not null").select("a", "b").distinct()
+        if pairs.isEmpty():
+            return known.select("key", "component")
+        links = _verified(pairs, bodies, n, num, den)
+        of = lambda side: known.select(F.col("key").alias(side), F.col("component").alias(f"c{side}"))
+        wider = components(links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        known = known.join(wider.select(F.col("id").alias("component"), F.col("component").alias("wider")), "component", "left")
+        known = written(known.select("key", "id", F.coalesce("wider", "component").alias("component")), "components")
+        # buckets all of whose pairs have been proposed are done with
+        more = proposed.filter("a is null").select("sig").distinct()
+        if more.isEmpty():
+            return known.select("key", "component")
+        members, take = grouped.join(more, "sig", "left_semi"), take * 8
+
+
+def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: int) -> tuple[DataFrame, DataFrame]:
+    """(sig, key) of the buckets, small ones with equal members as one; and (sig, a, b): pairs of 64-bit names from different components that share a bucket and that sketches don't rule out, `take` of the nearest for each member. A row without a and b tells that the bucket has others.
+
+    members: sig, key, component, n (members of the bucket).  A bucket's larger components have tiles of their own,
+    the small ones share some, and two tiles of one component never meet: a bucket of one large component and a few
+    other sets costs a row a member, not a row a member and tile.
+    """
     # small buckets with the same members are one group
-    few = members.filter(f"n <= {TILE}").groupBy("sig").agg(F.array_sort(F.collect_set("key")).alias("m")).select(F.md5(F.concat_ws("", F.transform("m", F.hex))).alias("meet"), "m").dropDuplicates(["meet"]).select("meet", F.explode("m").alias("key")).withColumn("own", F.lit(0))
+    few = members.filter(f"n <= {TILE}").groupBy("sig").agg(F.array_sort(F.collect_set("key")).alias("m")).select(F.md5(F.concat_ws("", F.transform("m", F.hex))).alias("meet"), "m").dropDuplicates(["meet"]).select("meet", F.explode("m").alias("key")).select(F.col("meet").alias("sig"), "meet", "key", F.lit(0).alias("own"))
     many = members.filter(f"n > {TILE}")
     sized = many.groupBy("sig", "component").agg(F.count("*").alias("n")).withColumn("part", F.when(F.col("n") >= TILE, F.col("component")).otherwise(F.lit(b"")))
     parts = sized.groupBy("sig", "part").agg(F.expr(f"cast(ceil(sum(n) / {TILE}) as int)").alias("tiles"))
@@ -378,22 +406,35 @@ def _residual(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, n
     alone = (F.col("part") == F.col("to_part")) & (F.col("tile") == F.col("to_tile"))
     here = meets.select("sig", "part", "tile", "meet", F.when(alone, 0).otherwise(1).alias("own"))
     other = meets.filter(~alone).select("sig", F.col("to_part").alias("part"), F.col("to_tile").alias("tile"), "meet", F.lit(2).alias("own"))
-    tiled = placed.join(here.unionByName(other), ["sig", "part", "tile"]).select("meet", "key", "own")
+    tiled = placed.join(here.unionByName(other), ["sig", "part", "tile"]).select("sig", "meet", "key", "own")
 
     def compare(table: pa.Table) -> pa.Table:
         ids, own, size = (table.column(c).to_numpy() for c in ("id", "own", "size"))
         comp = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
         marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), SKETCH)
         right = np.flatnonzero(own != 1)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        x, y, far = [], [], []
         for i in np.flatnonzero(own != 2):
             j = right[(comp[right] != comp[i]) & (num * np.maximum(size[right], size[i]) <= den * np.minimum(size[right], size[i]))]
             if own[i] == 0:
                 j = j[j > i]
             if len(j):
-                j = j[(marks[j] != marks[i]).sum(1) <= (den - num) * (size[j] + size[i]) // (den + num)]
-                a.append(np.minimum(ids[i], ids[j]))
-                b.append(np.maximum(ids[i], ids[j]))
-        return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
-
-    return few.select("meet", "key", "own").unionByName(tiled).join(facts, "key").groupBy("meet").applyInArrow(compare, "a long, b long").distinct()
+                apart = (marks[j] != marks[i]).sum(1)
+                near = apart <= (den - num) * (size[j] + size[i]) // (den + num)
+                x.append(np.full(int(near.sum()), i))
+                y.append(j[near])
+                far.append(apart[near])
+        x, y, far = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (x, y, far))
+        # each member's pairs by nearness; a pair goes on if it is among the first of either side
+        ends, pair = np.concatenate([x, y]), np.tile(np.arange(len(x)), 2)
+        order = np.lexsort((pair, np.tile(far, 2), ends))
+        begin = np.flatnonzero(np.diff(ends[order], prepend=-1) != 0)
+        rank = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+        kept = np.unique(pair[order][rank < take])
+        a, b = ids[x[kept]], ids[y[kept]]
+        more = [None] * (len(kept) < len(x))
+        return pa.table({"sig": pa.array([table.column("sig")[0].as_py()] * (len(kept) + len(more)), pa.string()), "a": pa.array([*np.minimum(a, b).tolist(), *more], pa.int64()), "b": pa.array([*np.maximum(a, b).tolist(), *more], pa.int64())})
+
+    described = few.unionByName(tiled).join(facts, "key").join(members.select("key", "component").distinct(), "key")
+    grouped = few.select("sig", "key").unionByName(many.select("sig", "key"))
+    return grouped, described.groupBy("meet").applyInArrow(compare, "sig string, a long, b long")
