@@ -94,9 +94,10 @@ def without_query(url: Column) -> Column:
     return F.substring_index(url, "?", 1)
 
 
-def first_segment(url: Column, base: str) -> Column:
+def first_segment(url: Column, base: Column | str) -> Column:
     """The first path segment below base, misc if there is none."""
-    return F.coalesce(blank_to_null(F.get(F.split(F.replace(url, F.lit(base.rstrip("/") + "/"), F.lit("")), "/"), F.lit(0))), F.lit("misc"))
+    base = F.rtrim(base, F.lit("/")) if isinstance(base, Column) else F.lit(base.rstrip("/"))
+    return F.coalesce(blank_to_null(F.get(F.split(F.replace(url, F.concat(base, F.lit("/")), F.lit("")), "/"), F.lit(0))), F.lit("misc"))
 
 
 def last_segment(url: Column) -> Column:

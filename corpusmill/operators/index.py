@@ -93,7 +93,19 @@ def todo(known: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def suffixed(rows: DataFrame, stem: str, extension: str, order: list[Column], out: str = "path") -> DataFrame:
-    """rows with a path; the second and later of one path, ignoring case, get -1, -2 and so on before the extension."""
+    """rows with a path; the second and later of one path, ignoring case, get -1, -2 and so on before the extension, in order.
+
+    Rows are dealt out by ranges of path and order, so a path that a third of all rows have lies in many
+    partitions; each numbers its own, and adds how many the partitions before it have.
+    """
     path = F.concat(F.col(stem), F.col(extension))
-    n = F.row_number().over(Window.partitionBy(F.lower(path)).orderBy(*order))
-    return rows.withColumn(out, F.when(n == 1, path).otherwise(F.concat(F.col(stem), F.lit("-"), (n - 1).cast("string"), F.col(extension))))
+    dealt = rows.withColumn("_key", F.coalesce(F.lower(path), F.lit(""))).repartitionByRange("_key", *order).withColumn("_part", F.spark_partition_id())
+    dealt = once(dealt, "dealt")
+    before = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("_key", "_part").agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    own = F.row_number().over(Window.partitionBy("_key", "_part").orderBy(*order))
+    numbered = dealt.withColumn("_own", own).join(counts, ["_key", "_part"])
+    n = F.col("_own") + F.col("_before")
+    numbered = numbered.withColumn(out, F.when(n == 1, path).otherwise(F.concat(F.col(stem), F.lit("-"), (n - 1).cast("string"), F.col(extension))))
+    return numbered.drop("_key", "_part", "_own", "_before")

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill import schemas
 from corpusmill.functions import markup
 from corpusmill.functions import text as X
-from corpusmill.operators import collect, extract, freshness, index, master, packs, retrieval
+from corpusmill.operators import build, collect, extract, freshness, index, master, packs, retrieval
 from corpusmill.plans.tables import MIRROR_SQL, manifest, mirror, table
 
 _QUERIES: dict = {}
@@ -213,11 +214,16 @@ def master_totals(spark, sf_dir):
 
 @query(
     """SELECT count(a.k) AS listed, count(b.k) AS disk, count(*) FILTER (b.k IS NULL) AS missing, count(*) FILTER (a.k IS NULL) AS unlisted
-FROM (SELECT DISTINCT 'doc/' || doc_id AS k FROM documents WHERE doc_id % 7 <> 0) a FULL JOIN (SELECT DISTINCT 'doc/' || doc_id AS k FROM labels) b USING (k)"""
+FROM (SELECT DISTINCT 'doc/' || doc_id AS k FROM documents) a FULL JOIN (SELECT DISTINCT 'doc/' || o_custkey AS k FROM orders) b USING (k)"""
 )
 def master_reconcile(spark, sf_dir):
-    path = F.concat(F.lit("DOC/"), F.col("doc_id").cast("string")).alias("relative_path")
-    return master.reconcile(table(spark, sf_dir, "documents").filter("doc_id % 7 <> 0").select(path), table(spark, sf_dir, "labels").select(path))
+    path = lambda folder, c: F.concat(F.lit(folder), F.col(c).cast("string")).alias("relative_path")
+    return master.reconcile(table(spark, sf_dir, "documents").select(path("DOC/", "doc_id")), table(spark, sf_dir, "orders").select(path("doc/", "o_custkey")))
+
+
+@query(_MASTER_SQL + "SELECT corpus, count(*) AS rows FROM idx GROUP BY corpus")
+def master_by_corpus(spark, sf_dir):
+    return master.by_corpus(_master(spark, sf_dir))
 
 
 # packs
@@ -349,16 +355,13 @@ _BASE = "regexp_extract(url, '^[a-z]+://[^/]*', 0)"
 
 
 @query(
-    f"""WITH s AS (SELECT page_id, url, lower(split_part(url, '/', 3)) AS host, coalesce(nullif(split_part(replace(url, {_BASE} || '/', ''), '/', 1), ''), 'misc') AS section FROM pages)
+    f"""WITH s AS (SELECT page_id, url, lower(split_part(url, '/', 3)) AS host, {_BASE} AS base, coalesce(nullif(split_part(replace(url, {_BASE} || '/', ''), '/', 1), ''), 'misc') AS section FROM pages)
 SELECT page_id, host, section, section IN ('en', 'fr', 'misc') AND NOT (section = 'fr' AND regexp_matches(url, '(?i)settlement|consent-decree|-cd\\b|page=')) AS in_scope, suffix(host, 'example.com') AS own_domain FROM s"""
 )
 def page_section_scope(spark, sf_dir):
-    url = F.col("url")
-    rows = table(spark, sf_dir, "pages").select("page_id", "url", X.host(url).alias("host"), F.regexp_extract("url", r"\A[a-z]+://[^/]*", 0).alias("base"))
-    section = F.coalesce(X.blank_to_null(F.get(F.split(F.replace("url", F.concat("base", F.lit("/")), F.lit("")), "/"), F.lit(0))), F.lit("misc"))
-    rows = rows.withColumn("section", section)
-    settled = (F.col("section") == "fr") & F.col("url").rlike(r"(?i)settlement|consent-decree|-cd\b|page=")
-    return rows.select("page_id", "host", "section", (F.col("section").isin("en", "fr", "misc") & ~settled).alias("in_scope"), F.col("host").endswith("example.com").alias("own_domain"))
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", X.host(F.col("url")).alias("host"), F.regexp_extract("url", r"\A[a-z]+://[^/]*", 0).alias("base"))
+    scope = collect.in_scope(F.col("url"), F.col("base"), ("en", "fr", "misc"), "fr", collect.SETTLEMENT + "|page=")
+    return rows.select("page_id", "host", X.first_segment(F.col("url"), F.col("base")).alias("section"), scope.alias("in_scope"), F.col("host").endswith("example.com").alias("own_domain"))
 
 
 _POLICIES = (("blog.tiontion.example.com", 1, 2.0, 10.0), ("example.com", 8, 0.1, 60.0), ("example.net", 4, 0.25, 120.0))
@@ -373,20 +376,20 @@ def host_policy(spark, sf_dir):
     return collect.policy_of(table(spark, sf_dir, "pages").select("page_id", "url"), _POLICIES).drop("url")
 
 
-@query(f"SELECT page_id, regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '^{_WS}|{_WS}$', '', 'g') AS title FROM pages WHERE regexp_extract(html, '<title>([^<]*)</title>', 1) NOT LIKE '%&%'")
-def page_title(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select("page_id", X.title_markup(F.col("html")).alias("raw")).filter(~F.contains("raw", F.lit("&")))
-    return rows.select("page_id", X.without_suffix(F.col("raw"), "Example Site").alias("title"))
+_RESOLVED = "regexp_replace(replace({0}, '&quot;', chr(34)), '&amp;?', '&', 'g')"
 
 
-@query()
-def page_title_unescaped(spark, sf_dir):
-    """The titles of all pages; page_title has those that need no entities resolved, which SQL can check."""
+@query(f"SELECT page_id, regexp_replace({_RESOLVED.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")}, '^{_WS}|{_WS}$', '', 'g') AS title FROM pages")
+def page_title(spark, sf_dir):
     title = markup.html_unescape(X.title_markup(F.col("html")))
     return table(spark, sf_dir, "pages").select("page_id", X.without_suffix(title, "Example Site").alias("title"))
 
 
-@query()
+_ARTICLE = "CASE WHEN strpos(html, '<article') > 0 AND strpos(html[strpos(html, '<article'):], '</article>') > 1 THEN split_part(html[strpos(html, '<article'):], '</article>', 1) ELSE html END"
+_ARTICLE = rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace({_ARTICLE}, '(?s)<script.*?</script>|<style.*?</style>', ' ', 'g'), '<br\s*/?>|</p>|</div>|</li>|</h\d>|</tr>', chr(10), 'g'), '</td>|</th>', ' | ', 'g'), '<[^>]+>', ' ', 'g')"
+
+
+@query(f"SELECT page_id, {_CLEAN.format(_RESOLVED.format(f"replace(replace({_ARTICLE}, '&copy;', '©'), '&middot;', '·')"))} AS article FROM pages")
 def article_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", X.clean_whitespace(markup.html_unescape(X.article_markup(F.col("html")))).alias("article"))
 
@@ -397,7 +400,13 @@ def html_main_text(spark, sf_dir):
     return rows.select("page_id", "r.title", "r.body")
 
 
-@query()
+def _slug_sql(dots: str, length: int, default: str) -> str:
+    kept = f"regexp_replace(strip_accents(nfc_normalize({_NORM.replace('lower(', '(')})), '[^\\p{{L}}\\p{{N}}_\\s\\-{dots}]', '', 'g')"
+    joined = f"trim(regexp_replace({kept}, '[\\s_]+', '-', 'g'), '-')"
+    return f"coalesce(nullif(rtrim(left({joined}, {length}), '-{dots}'), ''), '{default}')"
+
+
+@query(f"SELECT doc_id, {_slug_sql('', 80, 'document')} AS slug, {_slug_sql('.', 60, 'section')} AS section_slug FROM documents")
 def slug(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", X.collapsed(F.col("text")).alias("title"))
     return docs.select("doc_id", markup.slugged(F.col("title"), 80, "document").alias("slug"), markup.slugged(F.col("title"), 60, "section", dots=True).alias("section_slug"))
@@ -405,15 +414,18 @@ def slug(spark, sf_dir):
 
 # sets
 
-_HALF = "SELECT url, 'listing' AS origin, page_id FROM pages WHERE page_id % 2 = 0"
 
 
-@query(f"WITH a AS ({_HALF}), b AS (SELECT url, 'sitemap' AS origin, NULL::BIGINT AS page_id FROM pages WHERE page_id % 3 = 0) SELECT * FROM a UNION ALL SELECT * FROM b WHERE url NOT IN (SELECT url FROM a)")
+_FOUND = "SELECT DISTINCT u AS url, 'links' AS origin FROM (SELECT CASE WHEN starts_with(h, '/') THEN 'https://www.example.org' || h ELSE h END AS u FROM (SELECT unnest(regexp_extract_all(html, '(?i)href=\"([^\"]+)\"', 1)) AS h FROM pages))"
+
+
+@query(f"WITH a AS (SELECT url, 'listing' AS origin, page_id FROM pages), b AS ({_FOUND}) SELECT * FROM a UNION ALL SELECT url, origin, NULL::BIGINT AS page_id FROM b WHERE url NOT IN (SELECT url FROM a)")
 def priority_union(spark, sf_dir):
+    """Pages as listed, and the addresses that stand in them."""
     pages = table(spark, sf_dir, "pages")
-    first = pages.filter("page_id % 2 = 0").select("url", F.lit("listing").alias("origin"), "page_id")
-    second = pages.filter("page_id % 3 = 0").select("url", F.lit("sitemap").alias("origin"))
-    return index.priority_union(first, second, "url")
+    href = F.explode(F.regexp_extract_all("html", F.lit('(?i)href="([^"]+)"'), F.lit(1))).alias("h")
+    found = pages.select(href).select(F.when(F.col("h").startswith("/"), F.concat(F.lit("https://www.example.org"), "h")).otherwise(F.col("h")).alias("url")).distinct()
+    return index.priority_union(pages.select("url", F.lit("listing").alias("origin"), "page_id"), found.withColumn("origin", F.lit("links")), "url")
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -422,31 +434,35 @@ def todo_anti_join(spark, sf_dir):
 
 
 def _keys(spark, sf_dir):
-    key = F.concat(F.lit("https://docs.example.org/"), F.lpad(F.col("doc_id").cast("string"), 12, "0"))
-    docs = table(spark, sf_dir, "documents").filter("doc_id % 5 <> 0").select(F.concat(key, F.lit("?rev=1")).alias("source_url"))
-    return table(spark, sf_dir, "labels").select(key.alias("key")), freshness.known_urls(docs)
+    """What is listed now (an address a customer with orders) and what is known (one a document)."""
+    key = lambda c: F.concat(F.lit("https://docs.example.org/"), F.lpad(F.col(c).cast("string"), 12, "0"))
+    docs = table(spark, sf_dir, "documents").select(F.concat(key("doc_id"), F.lit("?rev=1")).alias("source_url"))
+    return table(spark, sf_dir, "orders").select(key("o_custkey").alias("key")), freshness.known_urls(docs)
 
 
 _DIFF = """
-WITH k AS (SELECT DISTINCT 'https://docs.example.org/' || lpad(doc_id::VARCHAR, 12, '0') AS key FROM documents WHERE doc_id % 5 <> 0),
-c AS (SELECT DISTINCT 'https://docs.example.org/' || lpad(doc_id::VARCHAR, 12, '0') AS key FROM labels),
+WITH k AS (SELECT DISTINCT {known} AS key FROM documents),
+c AS (SELECT DISTINCT {listed} AS key FROM orders),
 a AS (SELECT key FROM c EXCEPT SELECT key FROM k), r AS (SELECT key FROM k EXCEPT SELECT key FROM c)
 SELECT {stale} AS stale, (SELECT count(*) FROM a) AS added, (SELECT count(*) FROM r) AS removed,
-  (SELECT string_agg(key, ' ' ORDER BY key) FROM (SELECT key FROM a ORDER BY key LIMIT {n})) AS added_sample, (SELECT string_agg(key, ' ' ORDER BY key) FROM (SELECT key FROM r ORDER BY key LIMIT {n})) AS removed_sample"""
+  (SELECT coalesce(string_agg(key, ' ' ORDER BY key), '') FROM (SELECT key FROM a ORDER BY key LIMIT {n})) AS added_sample, (SELECT coalesce(string_agg(key, ' ' ORDER BY key), '') FROM (SELECT key FROM r ORDER BY key LIMIT {n})) AS removed_sample"""
 
 
 def _joined(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.array_join(c, " ") for c in ("added_sample", "removed_sample")})
 
 
-@query(_DIFF.format(stale="(SELECT count(*) FROM a) + (SELECT count(*) FROM r) > 0", n=10))
+@query(_DIFF.format(stale="(SELECT count(*) FROM a) + (SELECT count(*) FROM r) > 0", n=10, known="'https://docs.example.org/' || lpad(doc_id::VARCHAR, 12, '0')", listed="'https://docs.example.org/' || lpad(o_custkey::VARCHAR, 12, '0')"))
 def url_set_diff(spark, sf_dir):
     return _joined(freshness.difference(*_keys(spark, sf_dir)))
 
 
-@query(_DIFF.format(stale="(SELECT count(*) FROM a) > 0", n=20))
+@query(_DIFF.format(stale="(SELECT count(*) FROM a) > 0", n=20, known="'cpl-' || lang || '-' || doc_id % 200", listed="'cpl-en-' || o_custkey"))
 def new_identifier_diff(spark, sf_dir):
-    return _joined(freshness.difference(*_keys(spark, sf_dir), sample=20, only_added=True))
+    """Identifiers in the two spellings that listings and manifests have."""
+    known = table(spark, sf_dir, "documents").select(F.concat(F.lit("CPL-"), "lang", F.lit("-"), (F.col("doc_id") % 200).cast("string")).alias("key"))
+    listed = table(spark, sf_dir, "orders").select(F.concat(F.when(F.col("o_orderkey") % 2 == 0, "cpl-EN-").otherwise("Cpl-en-"), F.col("o_custkey").cast("string")).alias("key"))
+    return _joined(freshness.new_identifiers(listed, known))
 
 
 @query("SELECT event_type, strftime(max(ts), '%Y-%m-%d') AS current, event_type <> 'signup' AND strftime(max(ts), '%Y-%m-%d') > '2024-01-15' AS stale FROM events GROUP BY event_type")
@@ -488,7 +504,15 @@ def query_expansion_hits(spark, sf_dir):
     return retrieval.hits(_questions(spark, sf_dir), _vocabulary(spark)).select("question_id", "ord", "phrase")
 
 
-@query()
+_TERM_SQL = ", ".join(f"({i}, '{p}', {k}, '{t}')" for i, (p, terms) in enumerate(_PHRASES) for k, t in enumerate(terms))
+
+
+@query(
+    rf"""WITH p(ord, phrase, pos, term) AS (VALUES {_TERM_SQL}), q AS (SELECT conv_id || '-' || turn AS question_id, lower(text) AS low FROM conversations WHERE role = 'user'),
+h AS (SELECT question_id, ord, phrase, pos, term FROM q, p WHERE regexp_matches(low, '(^|[^\p{{L}}\p{{N}}_])' || phrase || '([^\p{{L}}\p{{N}}_]|$)') AND NOT contains(low, lower(term))),
+n AS (SELECT *, row_number() OVER (PARTITION BY question_id, lower(term) ORDER BY length(phrase) DESC, ord, pos) AS n FROM h)
+SELECT question_id, coalesce(list(term ORDER BY length(phrase) DESC, ord, pos) FILTER (n = 1), []::VARCHAR[]) AS terms FROM q LEFT JOIN n USING (question_id) GROUP BY question_id"""
+)
 def query_expansion(spark, sf_dir):
     return retrieval.expand(_questions(spark, sf_dir), _vocabulary(spark)).select("question_id", "terms")
 
@@ -512,7 +536,11 @@ def letter_clean(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", X.clean_letter(wrapped).alias("r")).select("doc_id", "r.body", "r.archived")
 
 
-@query()
+@query(
+    r"""WITH d AS (SELECT doc_id, string_split_regex(text || CASE WHEN doc_id % 4 = 0 THEN chr(10) || 'see D:\data\x.txt' ELSE chr(10) || 'see https://docs.example.org/c:/x' END, '\r\n|[\n\r\x0B\f\x1C-\x1E\x{85}\x{2028}\x{2029}]') AS lines FROM documents),
+l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS line, unnest(lines) AS text FROM d)
+SELECT doc_id, line, text FROM l WHERE regexp_matches(text, '(^|[^A-Za-z0-9])([A-Za-z]:[\\/]{1,2}[A-Za-z0-9_.]|/mnt/[a-z]/)') AND NOT contains(text, 'C:\path\to') AND NOT contains(text, '<drive>\<parent>')"""
+)
 def path_lint(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     said = F.concat(F.col("text"), F.when(F.col("doc_id") % 4 == 0, F.lit("\nsee D:\\data\\x.txt")).otherwise(F.lit("\nsee https://docs.example.org/c:/x")))
@@ -546,11 +574,13 @@ def cfr_to_text(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.explode(markup.cfr_section_rows(xml)).alias("r")).select("p_partkey", "r.section", "r.subject", "r.text")
 
 
-@query("SELECT artifact, CASE WHEN doc_id % 9 = 0 THEN 'absent' WHEN doc_id % 5 = 0 THEN 'mismatched' ELSE 'verified' END AS status FROM (SELECT doc_id, doc_id || '.tar.zst' AS artifact FROM documents)")
+@query("SELECT doc_id || '.tar.zst' AS artifact, CASE WHEN doc_id % 5 = 0 THEN 'mismatched' ELSE 'verified' END AS status FROM documents UNION ALL SELECT 'page-' || page_id || '.tar.zst', 'absent' FROM pages")
 def verify_artifacts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(".tar.zst")).alias("artifact"), "text")
-    wanted = docs.select("artifact", F.sha2("text", 256).alias("artifact_sha256"))
-    files = docs.filter("doc_id % 9 <> 0").select("artifact", F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).cast(T.BinaryType()).alias("content"))
+    """A catalog of documents and pages, and files of the documents, a fifth of them changed."""
+    name = lambda start, c: F.concat(F.lit(start), F.col(c).cast("string"), F.lit(".tar.zst")).alias("artifact")
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    wanted = docs.select(name("", "doc_id"), F.sha2("text", 256).alias("artifact_sha256")).unionByName(pages.select(name("page-", "page_id"), F.sha2("html", 256).alias("artifact_sha256")))
+    files = docs.select(name("", "doc_id"), F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).cast(T.BinaryType()).alias("content"))
     return packs.verified(wanted, files)
 
 
@@ -607,8 +637,101 @@ def captured_at(spark, sf_dir):
     return fixed.unionByName(packs.captured(orders.filter("k % 4 <> 0").select(name), caps))
 
 
-@query("SELECT doc_id, doc_id % 2 = 0 AND doc_id % 3 <> 0 AS current FROM documents")
+@query(
+    """WITH m AS (SELECT l_orderkey, max(l_shipdate) AS t, sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity END) AS size FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, coalesce(size > 0 AND t >= o_orderdate, false) AS current FROM orders LEFT JOIN m ON l_orderkey = o_orderkey"""
+)
 def up_to_date(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.lit(10).alias("modified"))
-    mirrored = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, 10).otherwise(9).alias("modified"), F.when(F.col("doc_id") % 3 == 0, 0).otherwise(5).alias("size"))
-    return extract.up_to_date(docs, mirrored, "doc_id").select("doc_id", "current")
+    """Orders as sources, their lines as the mirror: dates and sizes as they are."""
+    source = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("modified"))
+    size = F.sum(F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("l_quantity")))
+    mirrored = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("modified"), size.alias("size"))
+    return extract.up_to_date(source, mirrored, "o_orderkey").select("o_orderkey", "current")
+
+
+# the rest of the life cycle
+
+
+def _captures(spark) -> DataFrame:
+    return spark.range(1).select(F.lit("src1").alias("corpus"), F.lit("2026-02-03").alias("captured_at"))
+
+
+def _specs(spark, sf_dir) -> DataFrame:
+    """A bundle split by its corpus's first folder, and a content pack a source."""
+    sources = table(spark, sf_dir, "documents").select("source").distinct()
+    refresh = F.from_json(F.lit('{"method": "harvest", "cadence_days": 7}'), schemas.PACK_SPEC.split("refresh ", 1)[1].split(", query_expansion")[0])
+    words = F.create_map(F.lit("lay"), F.array(F.lit("domain"), F.lit("term")))
+    given = {"pack_id": F.concat(F.lit("pack-"), "source"), "kind": F.lit("content"), "title": F.concat(F.lit('The "'), "source", F.lit('"')), "corpus": F.col("source"), "publisher": F.lit("P"), "rights_tier": F.lit("free"), "refresh": refresh, "query_expansion": words}
+    columns = spark.createDataFrame([], schemas.PACK_SPEC).schema
+    return sources.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in columns])
+
+
+@query(
+    _FILES_SQL
+    + """SELECT 'pack-' || corpus AS pack_id, CASE WHEN corpus = 'src1' THEN '2026.02.03' ELSE '2026.01.02' END AS version, count(*) AS doc_count, sum(chars)::BIGINT AS text_bytes, 'The "' || corpus || '"' AS title,
+  'domain,term' AS words, '7' AS cadence, count(*) AS listed, sum(chars)::BIGINT AS listed_chars, min(path) AS first_path FROM f GROUP BY corpus"""
+)
+def build_manifests(spark, sf_dir):
+    """Manifests as artifacts hold them, their lists put in, read back from their JSON."""
+    specs, files = _specs(spark, sf_dir), _files(spark, sf_dir)
+    known = packs.captured(specs.select("corpus"), _captures(spark)).withColumn("captured_at", F.when(F.col("corpus") == "src1", F.col("captured_at")).otherwise("2026-01-02"))
+    plan = build.contents(specs, files, known)
+    held = build.assigned(files, plan)
+    heads = build.content_manifests(specs, plan, held)
+    listed = F.from_json("entry", "path string, chars long")
+    lists = build.entries(held).withColumn("e", listed).groupBy("pack_id").agg(F.count("*").alias("listed"), F.sum("e.chars").alias("listed_chars"), F.min("e.path").alias("first_path"))
+    read = F.from_json(F.concat("manifest", "rest"), packs.MANIFEST)
+    rows = heads.select("pack_id", read.alias("m")).join(lists, "pack_id")
+    return rows.select("m.pack_id", "m.version", "m.doc_count", "m.text_bytes", "m.title", F.array_join(F.col("m.query_expansion")["lay"], ",").alias("words"), F.col("m.refresh")["cadence_days"].alias("cadence"), "listed", "listed_chars", "first_path")
+
+
+@query("SELECT 'bundle-' || p_size AS spec_id, 'cfr-' || p_partkey AS pack_id, 'bundle-' || min(p_size) OVER (PARTITION BY p_partkey) AS owner FROM part")
+def pack_owners(spark, sf_dir):
+    """Members and the bundle that answers for them."""
+    parts = table(spark, sf_dir, "part")
+    specs = parts.groupBy("p_size").agg(F.collect_list(F.concat(F.lit("cfr-"), F.col("p_partkey").cast("string"))).alias("members")).select(F.concat(F.lit("bundle-"), F.col("p_size").cast("string")).alias("pack_id"), "members")
+    found = freshness.owners(specs)
+    listed = parts.select(F.concat(F.lit("bundle-"), F.col("p_size").cast("string")).alias("spec_id"), F.concat(F.lit("cfr-"), F.col("p_partkey").cast("string")).alias("pack_id"))
+    return listed.join(found, "pack_id").select("spec_id", "pack_id", "owner")
+
+
+@query(
+    """WITH a AS (SELECT doc_id || CASE WHEN doc_id % 2 = 0 THEN '.pdf' ELSE '.txt' END AS relative_path, CASE WHEN length(text) < 100 THEN 'none' WHEN length(text) < 400 THEN 'thin' ELSE 'ok' END AS status, text, doc_id FROM documents)
+SELECT relative_path, sha256(a.text) AS content_sha256, CASE WHEN l.doc_id IS NULL THEN NULL ELSE strlen(a.text) END::INTEGER AS have FROM a LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id) WHERE status <> 'ok' AND suffix(relative_path, '.pdf')"""
+)
+def ocr_sources(spark, sf_dir):
+    """An audit of documents, joined with the files to read as images and what the mirror has of them."""
+    n = F.length("text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, ".pdf").otherwise(".txt")).alias("relative_path"), F.col("text").cast("binary").alias("content"), "text", F.when(n < 100, "none").when(n < 400, "thin").otherwise("ok").alias("status"))
+    mirrored = docs.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id")
+    return extract.ocr_sources(docs, docs, mirrored).select("relative_path", F.sha2("content", 256).alias("content_sha256"), "have")
+
+
+@query(
+    """WITH f AS (SELECT o_custkey AS stem, CASE o_orderstatus WHEN 'F' THEN '.pdf' WHEN 'O' THEN '.docx' ELSE '.csv' END AS extension FROM orders),
+b AS (SELECT stem, min(CASE extension WHEN '.pdf' THEN 1 WHEN '.docx' THEN 3 END) AS n FROM f GROUP BY stem)
+SELECT c_custkey::VARCHAR AS stem, CASE n WHEN 1 THEN '.pdf' WHEN 3 THEN '.docx' ELSE '' END AS source_format FROM customer LEFT JOIN b ON stem = c_custkey"""
+)
+def source_formats(spark, sf_dir):
+    """Customers as mirror texts, their orders as the files beside them."""
+    ext = F.when(F.col("o_orderstatus") == "F", ".pdf").when(F.col("o_orderstatus") == "O", ".docx").otherwise(".csv")
+    files = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("stem"), ext.alias("extension"))
+    return index.source_format(table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("stem")), files)
+
+
+@query("SELECT item_id, CASE item_id % 4 WHEN 0 THEN true WHEN 1 THEN item_id % 3 = 0 WHEN 2 THEN false ELSE regexp_matches(text, '(?i)the') END AS passed FROM benchmark")
+def smoke_flags(spark, sf_dir):
+    """Expectations of an answer as a whole: answered, gated, and that it doesn't say there is nothing."""
+    n, yes = F.col("item_id") % 4, F.col("item_id") % 3 == 0
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.when(n == 2, F.concat("text", F.lit(" No information is available."))).otherwise(F.col("text")).alias("answer"), F.when(n == 3, F.array(F.lit("the"))).alias("contains"), F.lit(None).cast("array<string>").alias("not_contains"), yes.alias("answered"), F.when(n == 1, True).alias("expect_answered"), F.lit(False).alias("gated"), F.when(n == 0, False).alias("expect_gated"), F.lit(True).alias("no_blanket_absence"))
+    return retrieval.smoke(rows).select("item_id", "passed")
+
+
+@query("SELECT url, identifier FROM (SELECT 'https://www.osha.gov/laws-regs/standardinterpretations/' || strftime(o_orderdate, '%Y-%m-%d') || CASE WHEN o_orderkey % 3 = 0 THEN '-' || o_orderkey ELSE '' END AS url, strftime(o_orderdate, '%Y-%m-%d') || CASE WHEN o_orderkey % 3 = 0 THEN '-' || o_orderkey ELSE '' END AS identifier FROM orders)")
+def dated_letters(spark, sf_dir):
+    """Addresses of letters among others."""
+    name = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("-"), F.col("o_orderkey").cast("string"))).otherwise(""))
+    base = "https://www.osha.gov/laws-regs/standardinterpretations/"
+    orders = table(spark, sf_dir, "orders")
+    urls = orders.select(F.concat(F.lit(base), name).alias("url")).unionByName(orders.select(F.concat(F.lit(base), F.col("o_orderkey").cast("string"), F.lit("-x")).alias("url")))
+    return urls.filter(collect.dated_letter(F.col("url"))).select("url", X.last_segment(F.col("url")).alias("identifier"))
\ No newline at end of file

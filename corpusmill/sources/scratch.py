@@ -2,19 +2,40 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def once(df: DataFrame, name: str) -> DataFrame:
-    """df, computed once, in the folder of spark.checkpoint.dir that all executors share; a temporary folder only where that is unset."""
-    spark = df.sparkSession
+def folder(spark: SparkSession) -> str:
+    """This application's part of the folder of spark.checkpoint.dir, which all executors share; a temporary folder only where that is unset and the executors are threads of this machine."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        made = tempfile.mkdtemp(prefix="corpusmill-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        where = "file://" + made
         spark.conf.set("spark.checkpoint.dir", where)
-    path = f"{where.rstrip('/')}/corpusmill/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{where.rstrip('/')}/corpusmill/{spark.sparkContext.applicationId}"
+
+
+def stored(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
+    """df, computed once and read back, and where it lies: its lineage is cut, and a lost executor costs no recomputation."""
+    spark = df.sparkSession
+    path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.options(**options).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def once(df: DataFrame, name: str) -> DataFrame:
+    return stored(df, name)[0]
+
+
+def removed(spark: SparkSession, path: str | None = None) -> None:
+    """Deletes a stored table that nothing reads any more; without a path, all of this application's, once its results are written."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path or folder(spark))
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -124,3 +124,13 @@ def test_master_index(spark):
 def test_latest_row_of_a_path(spark):
     df = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), ("b", "3", 1)], "relative_path string, title string, ord int")
     assert sorted((r.relative_path, r.title) for r in master.latest_wins(df, "ord").collect()) == [("a", "2"), ("b", "3")]
+
+
+def test_suffixes_of_one_hot_path(spark):
+    """A path that most rows have is numbered across partitions, in order."""
+    rows = [(i, "A/x" if i % 5 else f"b/{i}") for i in range(4000)] + [(5000, None)]
+    df = spark.createDataFrame(rows, "id long, stem string").withColumn("ext", F.lit(".txt")).repartition(7)
+    got = {r.id: r.path for r in index.suffixed(df, "stem", "ext", [F.col("id")]).collect()}
+    same = [i for i, s in rows if s == "A/x"]
+    assert [got[i] for i in same] == ["A/x.txt", *[f"A/x-{n}.txt" for n in range(1, len(same))]]
+    assert got[5] == "b/5.txt" and got[5000] is None and len(got) == len(rows)
