@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.store import written
+from corpusmill.sources.scratch import removed, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,7 +17,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     does no harm.  Null ends and links of an id with itself are ignored.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    edges = written(edges, "links")
+    spark = links.sparkSession
+    edges, at = stored(edges, "links", compression="zstd")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -25,9 +26,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         down = large.filter("u <> v").distinct()
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        after = written(small.filter("u <> v").distinct(), "links")
+        after, place = stored(small.filter("u <> v").distinct(), "links", compression="zstd")
         same = after.join(edges, ["u", "v"], "left_anti").isEmpty() and edges.join(after, ["u", "v"], "left_anti").isEmpty()
-        edges = after
+        removed(spark, at)  # nothing reads the round before any more
+        edges, at = after, place
         if same:
             break
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

@@ -2,27 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-
-def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary folder, set once, only where that is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+from corpusmill.sources.scratch import stored
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, computed once and read back: its lineage is cut, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{folder(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored(df, name, compression="zstd")[0]
 
 
 def fresh_name(name: str, taken: list[str]) -> str:
