@@ -282,7 +282,7 @@ def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100,
             yield batch.filter(pa.array([x == y for x, y in zip(found, batch.column("key").to_pylist(), strict=True)], pa.bool_()))
 
     bodies = written(bodies.mapInArrow(confirm, "key binary, id long, text string").dropDuplicates(["key"]), "bodies")
-    known = components(written(_verified(pairs, bodies, n, num, den), "verified"))
+    known = components(_verified(pairs, bodies, n, num, den))
     known = _widened(buckets, known, bodies, n, num, den)
 
     placed = sets.select("key", "least").join(known, "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
@@ -371,19 +371,18 @@ def _widened(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, nu
         members = written(placed.join(mixed.select("sig", "n"), "sig").select("sig", "key", "component", "n"), "members")
         grouped, proposed = _proposed(members, facts, num, den, take)
         proposed = written(proposed, "proposed")
-        pairs = proposed.filter("a is not null").select("a", "b").distinct()
-        if pairs.isEmpty():
+        if proposed.filter("a is not null").isEmpty():
             return known.select("key", "component")
-        links = _verified(pairs, bodies, n, num, den)
+        links = _verified(proposed.filter("a is not null").select("a", "b").distinct(), bodies, n, num, den)
         of = lambda side: known.select(F.col("key").alias(side), F.col("component").alias(f"c{side}"))
         wider = components(links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         known = known.join(wider.select(F.col("id").alias("component"), F.col("component").alias("wider")), "component", "left")
         known = written(known.select("key", "id", F.coalesce("wider", "component").alias("component")), "components")
         # buckets all of whose pairs have been proposed are done with
-        more = proposed.filter("a is null").select("sig").distinct()
+        more = proposed.filter("a is null").select("sig")
         if more.isEmpty():
             return known.select("key", "component")
-        members, take = grouped.join(more, "sig", "left_semi"), take * 8
+        members, take = grouped.join(more.distinct(), "sig", "left_semi"), take * 8
 
 
 def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: int) -> tuple[DataFrame, DataFrame]:
@@ -396,17 +395,7 @@ def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: in
     # small buckets with the same members are one group
     few = members.filter(f"n <= {TILE}").groupBy("sig").agg(F.array_sort(F.collect_set("key")).alias("m")).select(F.md5(F.concat_ws("", F.transform("m", F.hex))).alias("meet"), "m").dropDuplicates(["meet"]).select("meet", F.explode("m").alias("key")).select(F.col("meet").alias("sig"), "meet", "key", F.lit(0).alias("own"))
     many = members.filter(f"n > {TILE}")
-    sized = many.groupBy("sig", "component").agg(F.count("*").alias("n")).withColumn("part", F.when(F.col("n") >= TILE, F.col("component")).otherwise(F.lit(b"")))
-    parts = sized.groupBy("sig", "part").agg(F.expr(f"cast(ceil(sum(n) / {TILE}) as int)").alias("tiles"))
-    placed = many.join(sized.select("sig", "component", "part"), ["sig", "component"]).join(parts, ["sig", "part"]).select("sig", "key", "part", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int").alias("tile"))
-    tiles = parts.select("sig", "part", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
-    there = tiles.select("sig", F.col("part").alias("to_part"), F.col("tile").alias("to_tile"))
-    apart = (F.col("part") < F.col("to_part")) | ((F.col("part") == F.col("to_part")) & (F.col("part") == F.lit(b"")) & (F.col("tile") <= F.col("to_tile")))
-    meets = tiles.join(there, "sig").filter(apart).withColumn("meet", F.concat_ws("/", "sig", F.hex("part"), "tile", F.hex("to_part"), "to_tile"))
-    alone = (F.col("part") == F.col("to_part")) & (F.col("tile") == F.col("to_tile"))
-    here = meets.select("sig", "part", "tile", "meet", F.when(alone, 0).otherwise(1).alias("own"))
-    other = meets.filter(~alone).select("sig", F.col("to_part").alias("part"), F.col("to_tile").alias("tile"), "meet", F.lit(2).alias("own"))
-    tiled = placed.join(here.unionByName(other), ["sig", "part", "tile"]).select("sig", "meet", "key", "own")
+    tiled = None if many.isEmpty() else _tiled(many)
 
     def compare(table: pa.Table) -> pa.Table:
         ids, own, size = (table.column(c).to_numpy() for c in ("id", "own", "size"))
@@ -435,6 +424,21 @@ def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: in
         more = [None] * (len(kept) < len(x))
         return pa.table({"sig": pa.array([table.column("sig")[0].as_py()] * (len(kept) + len(more)), pa.string()), "a": pa.array([*np.minimum(a, b).tolist(), *more], pa.int64()), "b": pa.array([*np.maximum(a, b).tolist(), *more], pa.int64())})
 
-    described = few.unionByName(tiled).join(facts, "key").join(members.select("key", "component").distinct(), "key")
-    grouped = few.select("sig", "key").unionByName(many.select("sig", "key"))
+    described = (few if tiled is None else few.unionByName(tiled)).join(facts, "key").join(members.select("key", "component").distinct(), "key")
+    grouped = few.select("sig", "key") if tiled is None else few.select("sig", "key").unionByName(many.select("sig", "key"))
     return grouped, described.groupBy("meet").applyInArrow(compare, "sig string, a long, b long")
+
+
+def _tiled(many: DataFrame) -> DataFrame:
+    """(sig, meet, key, own): members of large buckets in each meeting of two tiles; own is 0 where a tile meets itself, else 1 or 2 by side."""
+    sized = many.groupBy("sig", "component").agg(F.count("*").alias("n")).withColumn("part", F.when(F.col("n") >= TILE, F.col("component")).otherwise(F.lit(b"")))
+    parts = sized.groupBy("sig", "part").agg(F.expr(f"cast(ceil(sum(n) / {TILE}) as int)").alias("tiles"))
+    placed = many.join(sized.select("sig", "component", "part"), ["sig", "component"]).join(parts, ["sig", "part"]).select("sig", "key", "part", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int").alias("tile"))
+    tiles = parts.select("sig", "part", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
+    there = tiles.select("sig", F.col("part").alias("to_part"), F.col("tile").alias("to_tile"))
+    apart = (F.col("part") < F.col("to_part")) | ((F.col("part") == F.col("to_part")) & (F.col("part") == F.lit(b"")) & (F.col("tile") <= F.col("to_tile")))
+    meets = tiles.join(there, "sig").filter(apart).withColumn("meet", F.concat_ws("/", "sig", F.hex("part"), "tile", F.hex("to_part"), "to_tile"))
+    alone = (F.col("part") == F.col("to_part")) & (F.col("tile") == F.col("to_tile"))
+    here = meets.select("sig", "part", "tile", "meet", F.when(alone, 0).otherwise(1).alias("own"))
+    other = meets.filter(~alone).select("sig", F.col("to_part").alias("part"), F.col("to_tile").alias("tile"), "meet", F.lit(2).alias("own"))
+    return placed.join(here.unionByName(other), ["sig", "part", "tile"]).select("sig", "meet", "key", "own")
