@@ -50,10 +50,25 @@ found AS (SELECT r, count(DISTINCT item) AS n_items, array_to_string(list_sort(l
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN word USING (r) LEFT JOIN found USING (r)"""
 
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOW}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT r, lang, source, term, count(*) AS c FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(c) AS c FROM t GROUP BY ALL HAVING count(*) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY ALL),
+x AS (SELECT g.lang, g.source, k.term, k.c AS in_lang, coalesce(o.c, 0) AS c
+  FROM g JOIN k USING (lang) LEFT JOIN (SELECT lang, source, term, sum(c) AS c FROM t GROUP BY ALL) o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+p AS (SELECT x.lang, x.source, x.term, x.c, 1 + 1000000000::HUGEINT * (x.c + 1) // (sum(x.c) OVER (PARTITION BY x.lang, x.source) + v.v) AS p, 1 + 1000000000::HUGEINT * (x.in_lang + 1) // (v.n + v.v) AS q FROM x JOIN v USING (lang)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM f QUALIFY part = 'pair' OR rank <= 200"""
+
 SQL = {
     "op1_substring_dedup": SUBSTRINGS,
     "op2_embedding_near_dedup": VECTORS,
     "op3_ngram_jaccard_join": JACCARD,
     "op7_benchmark_decontamination": DECONTAMINATION,
     "op8_license_scans": licenses(),
+    "op11_source_divergence": DIVERGENCE,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import decontamination, embeddings, jaccard, language, licenses, packing, secrets, substrings, token_counts, toxicity
+from corpusmill.llm import decontamination, divergence, embeddings, jaccard, language, licenses, packing, secrets, substrings, token_counts, token_files, toxicity
 from corpusmill.llm.oracles import SQL
 
 
@@ -58,6 +58,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(_table(spark, sf_dir, "documents"), at_least=3, top=200)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.written_and_read(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
 _QUERIES = (
     op1_substring_dedup,
     op2_embedding_near_dedup,
@@ -69,6 +77,8 @@ _QUERIES = (
     op8_license_scans,
     op9_language_id,
     op10_token_counts,
+    op11_source_divergence,
+    op12_token_files,
 )
 
 

@@ -110,3 +110,43 @@ def decontamination(docs: list[tuple], items: list[tuple], n: int = 10) -> list[
 
 def crc(doc_id) -> int:
     return zlib.crc32(str(doc_id).encode())
+
+
+TERMS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(rows: list[tuple], at_least: int = 3, top: int = 200) -> list[tuple]:
+    """rows: (text, lang, source)."""
+    rows = [tuple(x or "" for x in r) for r in rows]
+    count, texts, langs = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in rows:
+        found = TERMS.findall(text.translate(LOWER))
+        count[lang, source].update(found)
+        texts[lang].update(set(found))
+        langs[lang].add(source)
+    out = []
+    for lang, sources in langs.items():
+        kept = [t for t, n in texts[lang].items() if n >= at_least]
+
+        def shares(c, kept=kept):
+            n = sum(c[t] for t in kept)
+            return {t: 1 + 10**9 * (c[t] + 1) // (n + len(kept)) for t in kept}
+
+        whole = shares(sum((count[lang, s] for s in sources), Counter()))
+        own = {s: shares(count[lang, s]) for s in sources}
+        for s in sources:
+            pairs = [(-sum((own[s][t] - own[o][t]) ** 2 // own[o][t] for t in kept), o) for o in sources if o != s]
+            terms = [(-((own[s][t] - whole[t]) ** 2 // whole[t]), t) for t in kept if count[lang, s][t] and own[s][t] > whole[t]]
+            for part, found, most in (("pair", pairs, len(pairs)), ("term", terms, top)):
+                out += [(lang, s, part, item, -v, i + 1) for i, (v, item) in enumerate(sorted(found, key=lambda x: (x[0], x[1].encode()))[:most])]
+    return out
+
+
+def token_files(docs: list[tuple], encode, end: int) -> list[tuple]:
+    """docs: (doc_id, text), ids that repeat have the same text."""
+    out, start = [], 0
+    for doc, text in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0)):
+        ids = [*encode(text or ""), end]
+        out.append((doc, start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
+        start += len(ids)
+    return out
