@@ -5,10 +5,17 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: shuffle files go when the query that made them has ended, not when the driver's memory is next cleared
+_CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_scopes = threading.local()
+
 
 def folder(spark: SparkSession) -> str:
     """This application's part of the folder of spark.checkpoint.dir, which all executors share; a temporary folder only where that is unset and the executors are threads of this machine."""
@@ -23,14 +30,45 @@ def folder(spark: SparkSession) -> str:
     return f"{where.rstrip('/')}/corpusmill/{spark.sparkContext.applicationId}"
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for the time of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
-    """df, computed once and read back, and where it lies: its lineage is cut, and a lost executor costs no recomputation."""
+    """df, computed once and read back, and where it lies: its lineage is cut, a lost executor costs no recomputation, and what was shuffled for it takes no disk any more."""
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    with setting(spark, _CLEANED, "true"):
+        df.write.options(**options).parquet(path)
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame], **options: str) -> tuple[DataFrame, str]:
+    """stored() of what make() gives; the tables stored on the way are removed then."""
+    own: list[str] = []
+    _scopes.open = [*getattr(_scopes, "open", []), own]
+    try:
+        df = make()
+        _scopes.open.pop()
+        return stored(df, name, **options)
+    finally:
+        _scopes.open = [s for s in _scopes.open if s is not own]
+        for path in own:
+            removed(spark, path)
+
+
 def once(df: DataFrame, name: str) -> DataFrame:
     return stored(df, name)[0]
 
