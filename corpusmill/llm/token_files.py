@@ -7,8 +7,9 @@ readers divide files at stripes.
 
 A row holds at most ROW ids of a document, so no row and no batch of a reader grows with a text's length.  It also
 holds where it stands: the file's number, the document's number within it, the ids of the file before the
-document, and the piece.  A document's place in the whole is its file's base, a running sum over one row a
-file, and its place there; no second pass over the ids is needed.
+document, the document's ids before the row, and all it has.  A document's place in the whole is its file's base, a
+running sum over one row a file, and its place there; its checksum is the exclusive or of its rows', each carried
+over the bytes that follow it.  So the ids are read once, and no row has to wait for another.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,7 +34,7 @@ ROW, BATCH = 4096, 1 << 20
 #: bytes of a stripe before it is written, rows between two index entries, and the share of Bloom filter hits that are false
 STRIPE, STRIDE, FALSE_HITS = 16 << 20, 1000, 0.01
 
-ROWS = "doc_id long, part int, doc int, piece int, pieces int, at long, n int, ids array<int>"
+ROWS = "doc_id long, part int, doc int, at long, first long, total long, n int, ids array<int>"
 _NAMES = [x.split()[0] for x in ROWS.split(", ")]
 
 
@@ -46,18 +46,17 @@ def _batches(docs: Iterator[tuple[int | None, bytes]], part: int) -> Iterator[pa
 
     def batch() -> pa.RecordBatch:
         columns = list(zip(*heads, strict=True))
-        kinds = [pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int32()]
+        kinds = [pa.int64(), *[pa.int32()] * 2, *[pa.int64()] * 3, pa.int32()]
         flat = pa.Array.from_buffers(pa.int32(), size, [None, pa.py_buffer(b"".join(held))])
         ends = np.concatenate([[0], np.cumsum(columns[6])]).astype(np.int32)
         return pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], pa.ListArray.from_arrays(pa.array(ends), flat)], _NAMES)
 
     for doc, (doc_id, ids) in enumerate(docs):
         total = len(ids) // 4
-        pieces = max(1, -(-total // ROW))
-        for piece in range(pieces):
-            n = min(ROW, total - piece * ROW)
-            heads.append((doc_id, part, doc, piece, pieces, at, n))
-            held.append(ids[4 * ROW * piece : 4 * (ROW * piece + n)])
+        for first in range(0, max(1, total), ROW):
+            n = min(ROW, total - first)
+            heads.append((doc_id, part, doc, at, first, total, n))
+            held.append(ids[4 * first : 4 * (first + n)])
             size += n
             if size >= BATCH:
                 yield batch()
@@ -99,16 +98,35 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ROWS).orc(path)
 
 
-def appended(crc: int, more: int, n: int) -> int:
-    """The CRC-32 of two strings of bytes together, from theirs and the second's length: a checksum carried over n zero bytes differs from theirs by what it began with."""
-    zeros = bytes(n)
-    return zlib.crc32(zeros, crc) ^ zlib.crc32(zeros) ^ more
+#: the polynomial of CRC-32, its highest power last, and a bit for the power 0
+_POLYNOMIAL, _ONE = 0xEDB88320, 1 << 31
+
+
+def _times(a: int, b: int) -> int:
+    """The product of two polynomials over bits, by the remainder of CRC-32's."""
+    out = 0
+    while a:
+        if a & _ONE:
+            out ^= b
+        a = a << 1 & 0xFFFFFFFF
+        b = b >> 1 ^ (_POLYNOMIAL if b & 1 else 0)
+    return out
+
+
+def carried(crc: int, n: int) -> int:
+    """What a CRC-32 adds to that of its bytes and n more: its product with the polynomial of degree 8 n."""
+    step = _ONE >> 8
+    while n:
+        if n & 1:
+            crc = _times(step, crc)
+        step, n = _times(step, step), n >> 1
+    return crc
 
 
 def documents(spark: SparkSession, path: str) -> DataFrame:
     """One row a document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, all from what was read.
 
-    Ids are summed up where they are read; only a row of numbers a piece goes on, and a row a file for the files' bases.
+    Ids are summed up where they are read; only numbers of each row go on, and a row a file for the files' bases.
     """
     rows = read(spark, path)
 
@@ -116,27 +134,17 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             lists = batch.column(6)
             flat, ends = np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)), np.asarray(lists.offsets)
+            size = np.diff(ends)
+            after = (batch.column(5).to_numpy() - batch.column(4).to_numpy() - size).tolist()
             crcs = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(np.diff(ends).astype(np.int32)), pa.array(crcs, pa.int64())], ["doc_id", "part", "doc", "piece", "pieces", "at", "n", "crc"])
-
-    @F.pandas_udf("long")
-    def together(parts: pd.Series) -> pd.Series:
-        out = []
-        for own in parts:
-            crc = 0
-            for p in own:
-                crc = appended(crc, p["crc"], 4 * p["n"])
-            out.append(crc)
-        return pd.Series(out, dtype="int64")
-
-    read_back = rows.select("doc_id", "part", "doc", "piece", "pieces", "at", "ids").mapInArrow(summed, "doc_id long, part int, doc int, piece int, pieces int, at long, n int, crc long")
-    # a text's pieces are as many as its length asks for, so the list below is a small part of the text itself
-    long = read_back.filter("pieces > 1").groupBy("part", "doc").agg(F.min("doc_id").alias("doc_id"), F.min("at").alias("at"), F.sum("n").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("piece", "n", "crc"))).alias("p"))
-    long = long.select("doc_id", "part", "at", "n_tokens", together("p").alias("ids_crc32"))
-    short = read_back.filter("pieces = 1").select("doc_id", "part", "at", F.col("n").cast("long").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+            crcs = [carried(c, 4 * n) if n else c for c, n in zip(crcs, after, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(size, pa.int64()), pa.array(crcs, pa.int64())], ["doc_id", "part", "doc", "at", "n", "crc"])
+
+    found = rows.select("doc_id", "part", "doc", "at", "first", "total", "ids").mapInArrow(summed, "doc_id long, part int, doc int, at long, n long, crc long")
+    docs = found.groupBy("part", "doc").agg(F.min("doc_id").alias("doc_id"), F.min("at").alias("at"), F.sum("n").alias("n_tokens"), F.bit_xor("crc").alias("ids_crc32"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = rows.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return short.unionByName(long).join(bases, "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return docs.join(bases, "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def written_and_read(df: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

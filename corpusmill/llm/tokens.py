@@ -1,8 +1,8 @@
 """Token ids by a public tokenizer, encoded part by part and remembered.
 
 A text is cut at boundaries that its pre-tokenizer never crosses, so each part's ids do not depend on its
-neighbours.  Strings of added tokens are cut out first, as the library does.  Texts within Latin-1 are cut into the pre-tokenizer's own words, which the library's model
-takes as they are; others at white space, and their parts go through the whole library in batches;
+neighbours.  Strings of added tokens are cut out first, as the library does.  Texts within Latin-1 are cut at spaces, and parts not
+known into the pre-tokenizer's own words, which the library's model takes as they are; others at white space, and their parts go through the whole library in batches;
 texts with white space on which Python and the library differ are
 encoded by the whole library, long ones in pieces cut at single spaces between plain letters or digits.  Parts that are known are looked up.
 """
@@ -15,10 +15,13 @@ from functools import lru_cache
 import numpy as np
 import tokenizers
 
-#: parts in each of a worker's two memories (about 200 bytes each)
-REMEMBERED = 300_000
+#: parts in each of a memory's two generations (about 200 bytes each), and the longest part that is remembered
+REMEMBERED, LONGEST = 150_000, 64
 #: separators and controls that Python's white space and the library's \s treat differently
 _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b-\u200f\u2028\u2029\ufeff]")
+#: those of Latin-1, and white space of Latin-1 before a space
+_ODD_LATIN = "\x1c\x1d\x1e\x1f\x85"
+_BEFORE_SPACE = tuple(c + " " for c in " \t\n\r\x0b\x0c\xa0")
 _SPACED = re.compile(r"\s ")
 _UNITS = re.compile(r"\s*\S+|\s+\Z")
 #: characters of a piece of a text that only the library can cut, and where it may be cut
@@ -33,8 +36,6 @@ _WORDS = re.compile(rf"{_CONTRACTIONS}|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
 _PREFIXED = re.compile(rf"{_CONTRACTIONS}| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
 
 
-
-
 def _byte_letters() -> dict[int, int]:
     """The character that stands for each byte in byte-level vocabularies: printable ones for themselves, the others from 256 on, in order."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -45,12 +46,42 @@ def _byte_letters() -> dict[int, int]:
 _LETTERS = _byte_letters()
 
 
+def _within_latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @lru_cache(maxsize=4)
 def coder(path: str, prefixed: bool) -> Coder:
     """One Coder a worker process and file."""
     return Coder(path, prefixed)
 
 
+class Memory(dict):
+    """Ids of parts; what is not known is made. A full memory becomes the older generation, from which parts still in use are taken over."""
+
+    def __init__(self, make):
+        self.make, self.older = make, {}
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.make(part)
+        if len(part) <= LONGEST:
+            self[part] = ids
+        return ids
+
+    def turn(self, more: int = 0) -> None:
+        if len(self) + more > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+
+
 class Coder:
     """prefixed: parts keep the white space before them (byte-level vocabularies); otherwise it is dropped, and letters are lower-cased."""
 
@@ -61,28 +92,41 @@ class Coder:
         self.prefixed = prefixed
         added = self.tokenizer.get_added_tokens_decoder()
         contents = sorted((x.content for x in added.values()), key=len, reverse=True)
+        self.contents = contents
         self.special = re.compile("(" + "|".join(map(re.escape, contents)) + ")") if added else None
         # a token that takes no white space and has no word bounds parts a text into texts of their own
         self.parting = {x.content: int(i).to_bytes(4, "little") for i, x in added.items()} if not any(x.lstrip or x.rstrip or x.single_word for x in added.values()) else None
         self.model = self.tokenizer.model
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.of_word = Memory(self._word)
+        self.of_part = Memory(lambda part: self._words(" " + part)) if prefixed else Memory(self._words)
+        self.of_unit: Memory = Memory(lambda unit: self._encoded([unit])[0])
+
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(_LETTERS)
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(letters)])
 
-    def words(self, text: str) -> list[str] | None:
-        """The pre-tokenizer's words; None for a text beyond Latin-1."""
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return None
-        return _PREFIXED.findall(text) if self.prefixed else _WORDS.findall(text.lower())
+    def _words(self, text: str) -> bytes:
+        """A text within Latin-1 by the pre-tokenizer's words."""
+        return b"".join(map(self.of_word.__getitem__, (_PREFIXED if self.prefixed else _WORDS).findall(text)))
+
+    def latin(self, text: str) -> bytes:
+        """A text within Latin-1, part by part: what follows a single space begins with it and ends before the next."""
+        if not self.prefixed:
+            return b"".join(map(self.of_part.__getitem__, text.lower().split()))
+        if any(c in text for c in _BEFORE_SPACE):
+            return self._words(text)
+        first, *rest = text.split(" ")
+        return self._words(first) + b"".join(map(self.of_part.__getitem__, rest))
 
     def segments(self, text: str) -> list[str]:
         """A text, parted at the added tokens' strings, which stand at odd places."""
-        return self.special.split(text) if self.parting and self.special.search(text) else [text]
+        return self.special.split(text) if self.parting and any(c in text for c in self.contents) else [text]
 
     def whole(self, text: str) -> bool:
-        return bool(_ODD.search(text) or (not self.parting and self.special and self.special.search(text)))
+        if any(c in text for c in _ODD_LATIN) or (not text.isascii() and _ODD.search(text)):
+            return True
+        return not self.parting and any(c in text for c in self.contents)
 
     def pieces(self, text: str) -> list[str]:
         """A text that only the library can cut, in pieces whose ids do not depend on each other."""
@@ -104,22 +148,14 @@ class Coder:
         first, *rest = text.split(" ")
         return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
 
-    def learn(self, words: set[str], units: set[str]) -> None:
-        """Make the ids of these parts known. A full memory becomes the older one, from which parts still in use are taken over."""
-        if len(self.known) + len(words) + len(units) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        tokenize, packed = self.model.tokenize, self.packed
-        for w in words.difference(known):
-            ids = older.get(w)
-            if ids is None:
-                letters = w.encode().decode("latin-1").translate(_LETTERS)
-                ids = b"".join([packed[t.id] for t in tokenize(letters)])
-            known[w] = ids
-        order = sorted(units.difference(known))
+    def learn(self, units: set[str]) -> None:
+        """Make the ids of these units known, many at a time."""
+        for memory, more in ((self.of_word, 0), (self.of_part, 0), (self.of_unit, len(units))):
+            memory.turn(more)
+        order = sorted(u for u in units.difference(self.of_unit) if u not in self.of_unit.older)
         for at in range(0, len(order), 4096):
             part = order[at : at + 4096]
-            known.update(zip(part, self._encoded(part), strict=True))
+            self.of_unit.update((u, x) for u, x in zip(part, self._encoded(part), strict=True) if len(u) <= LONGEST)
 
     def _encoded(self, parts: list[str]) -> list[bytes]:
         """Ids of each part. Parts without inner white space are encoded as one text and cut by offsets: far fewer calls."""
@@ -146,7 +182,6 @@ class Coder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        words: set[str] = set()
         units: set[str] = set()
         cut: list[list] = []
         for t in texts:
@@ -156,18 +191,15 @@ class Coder:
                     parts.append(self.parting[segment])
                 elif self.whole(segment):
                     parts += [np.array(e.ids, "<u4").tobytes() for e in (self.tokenizer.encode(p, add_special_tokens=False) for p in self.pieces(segment))]
+                elif _within_latin(segment):
+                    parts.append(self.latin(segment))
                 else:
-                    found = self.words(segment)
-                    if found is not None:
-                        words.update(found)
-                    else:
-                        found = self.units(segment)
-                        units.update(found)
-                    parts.append(found)
+                    parts.append(self.units(segment))
+                    units.update(parts[-1])
             cut.append(parts)
-        self.learn(words, units)
-        known = self.known
-        return [b"".join([p if isinstance(p, bytes) else b"".join([known[u] for u in p]) for p in parts]) for parts in cut]
+        self.learn(units)
+        of_unit = self.of_unit
+        return [b"".join([p if isinstance(p, bytes) else b"".join([of_unit[u] for u in p]) for p in parts]) for parts in cut]
 
     def balanced(self, texts: list[str], sizes: list[int], size: int = 1 << 20):
         """ids() over groups of texts of about size bytes; sizes are the texts' own."""
