@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.components import components
 from corpusmill.llm.kernels import BASES, CHUNK, NOT_SPACE, Words, chunks, mix, run_hashes, signed, texts
-from corpusmill.llm.store import fresh_name, partitions, written
+from corpusmill.llm.store import fresh_name, partitions, settled, written
+from corpusmill.sources.scratch import removed, stored
 
 #: signature rows that a worker holds before it puts them out; sets from which on it combines a signature's rows
 BUFFER, COMBINED = 1_000_000, 64
@@ -224,7 +225,13 @@ def jaccard_components(df: DataFrame, n: int = 3, num: int = 90, den: int = 100,
     links, the document's own where there is none.  Null text counts as empty; equal rows get equal
     results; documents without doc_id link others as any do, and their ids are no smaller than any other; other columns are not carried; an empty table
     gives an empty table.
+
+    The result is written; the tables between the steps are removed then, those of a round when the next is done.
     """
+    return settled(df.sparkSession, "jaccard", lambda: _components_of(df, n, num, den, doc_id, text))
+
+
+def _components_of(df: DataFrame, n: int, num: int, den: int, doc_id: str, text: str) -> DataFrame:
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
     spark = df.sparkSession
 
@@ -364,13 +371,16 @@ def _widened(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, nu
     facts = written(bodies.mapInArrow(describe, "key binary, id long, size long, sketch binary"), "sketches")
     known = written(facts.select("key", "id").join(known.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key")), "components")
     members = buckets.distinct().join(known.select("id", "key"), "id").select(F.col("sig").cast("string").alias("sig"), "key")
-    take = 1
+    take, spent = 1, []
     while True:
         placed = members.join(known.select("key", "component"), "key")
         mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low <> high")
-        members = written(placed.join(mixed.select("sig", "n"), "sig").select("sig", "key", "component", "n"), "members")
+        members, at = stored(placed.join(mixed.select("sig", "n"), "sig").select("sig", "key", "component", "n"), "members", compression="zstd")
+        for path in spent:  # what the round before has left: this round's members were its last reader
+            removed(facts.sparkSession, path)
         grouped, proposed = _proposed(members, facts, num, den, take)
-        proposed = written(proposed, "proposed")
+        proposed, of_round = stored(proposed, "proposed", compression="zstd")
+        spent = [at, of_round]
         if proposed.filter("a is not null").isEmpty():
             return known.select("key", "component")
         links = _verified(proposed.filter("a is not null").select("a", "b").distinct(), bodies, n, num, den)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill.sources import scratch
 from corpusmill.sources.scratch import stored
 
 
@@ -12,6 +15,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return stored(df, name, compression="zstd")[0]
 
 
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What make() gives, written and read back; tables written on the way are removed."""
+    return scratch.settled(spark, name, make, compression="zstd")[0]
+
+
 def fresh_name(name: str, taken: list[str]) -> str:
     """name, with as many underscores as keep it apart from the columns of a table."""
     low = {c.lower() for c in taken}
