@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.llm import decontamination, jaccard, packing, secrets, toxicity
-from corpusmill.llm.store import written
+from corpusmill.sources.scratch import removed, settled
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each one's result written and read again."""
-    docs = _table(spark, sf_dir, "documents")
+    """The stages over documents, each one's result written and read again; what a stage wrote on the way is removed then, and its result once the next one's is written."""
+    docs, before = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        given = docs
+        docs, path = settled(spark, name.replace(" ", "-").lower(), lambda stage=stage, given=given: stage(spark, given, sf_dir), compression="zstd")
+        if before:
+            removed(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
