@@ -5,6 +5,8 @@ A query applies one operator to whole tables; its SQL restates the operator's de
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,9 @@ from corpusmill.functions import markup
 from corpusmill.functions import text as X
 from corpusmill.operators import build, collect, extract, freshness, index, master, packs, retrieval
 from corpusmill.plans.tables import MIRROR_SQL, manifest, mirror, table
+from corpusmill.sources.scratch import folder
+from jobs.corpus_build import corpus_build
+from jobs.index_updates import index_updates
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -734,4 +739,32 @@ def dated_letters(spark, sf_dir):
     base = "https://www.osha.gov/laws-regs/standardinterpretations/"
     orders = table(spark, sf_dir, "orders")
     urls = orders.select(F.concat(F.lit(base), name).alias("url")).unionByName(orders.select(F.concat(F.lit(base), F.col("o_orderkey").cast("string"), F.lit("-x")).alias("url")))
-    return urls.filter(collect.dated_letter(F.col("url"))).select("url", X.last_segment(F.col("url")).alias("identifier"))
\ No newline at end of file
+    return urls.filter(collect.dated_letter(F.col("url"))).select("url", X.last_segment(F.col("url")).alias("identifier"))
+
+# jobs, each run twice into one new folder: the second run changes nothing
+
+
+@query(
+    _index_sql(
+        "CASE WHEN source = 'src7' THEN '.xlsx' ELSE '.txt' END",
+        f""", t AS (SELECT '_TEXT/' || source || '/' || doc_id || '.txt' AS text_path, sha256({_CLEAN.format('text')}) AS text_sha256 FROM documents),
+c AS (SELECT corpus, count(*) AS corpus_files, count(*) FILTER (embed = 'yes') AS corpus_embedded, coalesce(sum(chars) FILTER (embed = 'yes'), 0)::BIGINT AS corpus_chars FROM e GROUP BY corpus)
+SELECT e.text_path, corpus, source_format, chars, content_sha256, dup_group_size, CASE WHEN embed = 'yes' THEN text_sha256 END AS text_sha256, exclude_reason, duplicate_of, corpus_files, corpus_embedded, corpus_chars
+FROM e JOIN t USING (text_path) JOIN c USING (corpus)""",
+    )
+)
+def job1_corpus_build(spark, sf_dir):
+    """The corpus built from documents; texts of one source stand for spreadsheets."""
+    output = f"{folder(spark)}/job1-{uuid.uuid4().hex}"
+    for _ in range(2):
+        found = corpus_build(spark, f"{sf_dir.rstrip('/')}/documents.parquet", output, formats={"src7": ".xlsx"})
+    return found
+
+
+@query(_index_sql("'.txt'", "SELECT * FROM e"))
+def job2_index_updates(spark, sf_dir):
+    """The index of documents after two runs of its stream; the second finds nothing new."""
+    output = f"{folder(spark)}/job2-{uuid.uuid4().hex}"
+    for _ in range(2):
+        found = index_updates(spark, f"{sf_dir.rstrip('/')}/documents.parquet", f"{output}/output", f"{output}/checkpoint")
+    return found

@@ -55,20 +55,29 @@ def stored(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame], **options: str) -> tuple[DataFrame, str]:
-    """stored() of what make() gives; the tables stored on the way are removed then."""
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[list[str]]:
+    """A block at whose end the tables stored in it are removed; gives the list of their places."""
     own: list[str] = []
     _scopes.open = [*getattr(_scopes, "open", []), own]
     try:
-        df = make()
-        _scopes.open.pop()
-        return stored(df, name, **options)
+        yield own
     finally:
         _scopes.open = [s for s in _scopes.open if s is not own]
         for path in own:
             removed(spark, path)
 
 
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame], **options: str) -> tuple[DataFrame, str]:
+    """stored() of what make() gives; the tables stored on the way are removed then."""
+    with cleared(spark) as own:
+        df, path = stored(make(), name, **options)
+        own.remove(path)
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
+    return df, path
+
+
 def once(df: DataFrame, name: str) -> DataFrame:
     return stored(df, name)[0]
 
