@@ -1,9 +1,10 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 DataFrame functions only, training included.  A candidate is a run of key characters within a white-space
-word, cut at every '=' but padding at its end.  It has at least SHORTEST characters and a digit, or is the
-value of an assignment whose name announces a secret (password: ..., token=...); then it may be of any length
-and have other marks too.  Its features are its length, its character transitions, the part of it that
+word, cut at every '=' but padding at its end.  It has at least SHORTEST characters and a digit, or is
+announced: the value of an assignment whose name says secret (password: ..., token=..., the password is: ...), what
+follows such a name and `is` if it has a digit or a mark, what follows `Bearer`, or the password in an address
+(scheme://user:...@host).  An announced one may be of any length (after Bearer, SHORTEST) and have other marks too.  Its features are its length, its character transitions, the part of it that
 dictionary fragments cover, what looks like a path, the makes of known keys, and the words beside it.  The
 forest is fitted on findings in LABELLED texts made by a rule from numbers (keys of several makes beside words
 that announce them, or bare with their make's prefix; digests, identifiers, paths, links, numbers, code and
@@ -28,7 +29,7 @@ _PADDING = f"(?:={{1,2}}(?![{_KEY}=]))?"
 _RUN = f"[{_KEY}]{{16,}}{_PADDING}"
 
 #: Words that announce a secret, fragments of ordinary words, and marks of placeholders.
-KEYWORDS = "token|secret|passw|pwd|apikey|api_key|api-key|auth|bearer|credential|private|access_key|client_key"
+KEYWORDS = "\\bkey\\b|token|secret|passw|pwd|apikey|api_key|api-key|auth|bearer|credential|private|access_key|client_key"
 FRAGMENTS = "the|and|ing|tion|ment|that|this|with|from|have|file|name|user|data|path|home|page|index|image|version|release|test|example|mail|html|http|www|com|org|net|src|lib|main|config|report|number|order|chapter|section|article|document|build|commit|session|request|line|text|table|list|value|string|object|class|date|time|abstract|access|account|action|active|address|admin|after|all|before|block|body|book|button|call|center|change|check|client|code|color|column|content|control|copy|count|create|current|custom|default|delete|detail|device|display|down|edit|element|email|error|event|field|filter|find|first|folder|font|for|form|format|frame|function|global|group|head|height|help|hidden|icon|info|inner|input|item|join|label|last|layout|left|level|link|load|local|lock|long|make|map|match|menu|message|method|mode|model|module|new|next|node|note|open|option|outer|output|over|package|panel|parent|part|password|point|port|post|print|process|profile|project|public|query|read|record|remove|render|reply|result|right|root|row|save|screen|script|search|select|send|server|service|set|show|side|size|sort|source|space|start|state|status|step|style|system|tag|target|task|template|theme"
 
 #: Pairs of letters that follow each other often in English.
@@ -40,16 +41,21 @@ NAMES = "token|secret|pass(?:word|wd|phrase)|pwd|api[_-]?key|auth|bearer|credent
 MAKES = "gh[pousr]_|github_pat_|glpat-|[sr]k_(?:live|test)_|xox[abeprs]-|A[KS]IA[A-Z0-9]{12}|AIza|npm_|pypi-|hf_|SG[.]|eyJ[A-Za-z0-9]"
 REFERENCES = "(?:true|false|yes|no|none|null|nil|undefined|required|optional|str|string|int|integer|bool|boolean|number|any|empty|enabled|disabled|missing|invalid|expired|unknown|basic|bearer|password|passwd|token|secret|auth|key|value|the|an?|is|to|in|for|see|not|and|or|if|it|this|your|new|set|get|use)[.,;:!?*-]*$|(?:os|self|this|process|config|settings|env|args|options|params|request|req|ctx)[.]|.*(?:getenv|environ)|[^A-Za-z0-9]*$"
 _ASSIGN = f"(?i:{NAMES})(?:[_-][A-Za-z0-9_-]{{0,24}})?[\"'`]?[]]?"
-_ANNOUNCED = _ASSIGN + "\\s*[:=]{1,3}>?\\s*[\"'`]?$"
+_ANNOUNCED = _ASSIGN + "(?:\\s+is)?\\s*[:=]{1,3}>?\\s*[\"'`]?$"
+#: what announces a value without a sign, a value that such prose may announce, and what stands before a password in an address
+_SAID, _BEARER, _TELLING = f"(?i:{NAMES})\\s+is\\s+[\"'`]?$", "(?i:\\bbearer)\\s+[\"'`]?$", "[0-9!@#$%^*_]"
+_USER = "://[^\\s:/@]{1,64}:"
 _LAST = f"{_KEY[:-2]}!@#$%^*~?="
 _ANY = f"(?:[{_LAST}-]|[.:](?=[{_LAST}.:-]*[{_LAST}-]))"
 _VALUE = f"(?![$]){_ANY}+"
 #: (what is skipped, value): in any word, and in one that follows an announcement
-_FOUND = f"(?s)(.*?)((?<={_ASSIGN}[:=]{{1,3}}>?[\"'`]?){_VALUE}|{_RUN})"
+_ADDRESS = f"(?<={_USER})[^\\s/@]{{1,256}}(?=@)"
+_FOUND = f"(?s)(.*?)({_ADDRESS}|(?<={_ASSIGN}[:=]{{1,3}}>?[\"'`]?){_VALUE}|{_RUN})"
 _NEXT = f"(?s)(.*?)((?<=^[\"'`]?){_VALUE}|(?<={_ASSIGN}[:=]{{1,3}}>?[\"'`]?){_VALUE}|{_RUN})"
-_HAS = f"[{_KEY}=]{{16}}|{_ASSIGN}\\s*[:=]"
+_HAS = f"[{_KEY}=]{{16}}|{_ASSIGN}(?:\\s+is)?\\s*[:=]|{_USER}[^\\s/@]{{1,256}}@"
+_SAYS = f"{_HAS}|(?i:{NAMES})\\s+is\\s"
 
-FEATURES = ("length", "digits", "transitions", "distinct", "dictionary", "separators", "path", "keyword", "assigned", "placeholder", "hex", "make", "reference", "lower", "case", "letters", "pairs", "consonants")
+FEATURES = ("length", "digits", "transitions", "distinct", "dictionary", "separators", "path", "keyword", "assigned", "placeholder", "hex", "make", "reference", "lower", "case", "letters", "pairs", "consonants", "credential", "said")
 
 
 def _of_words(words: Column) -> Column:
@@ -69,10 +75,15 @@ def _of_words(words: Column) -> Column:
             return F.struct(i.cast("long").alias("word_no"), v.alias("value"), F.concat(near, F.array_join(behind, ""), F.get(p["skipped"], k)).alias("before"))
 
         def listed(c):
-            return ((F.length(c["value"]) >= SHORTEST) & c["value"].rlike("[0-9]")) | c["before"].rlike(_ANNOUNCED)
+            long, before = F.length(c["value"]) >= SHORTEST, c["before"]
+            said = (before.rlike(_SAID) & c["value"].rlike(_TELLING)) | (long & before.rlike(_BEARER))
+            return (long & c["value"].rlike("[0-9]")) | before.rlike(_ANNOUNCED) | before.rlike(_USER + "$") | said
 
         last = F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1))
-        return F.when((i > 0) & F.get(words, i - 1).rlike("[:=]>?[\"'`]?$") & last.rlike(_ANNOUNCED), of(_NEXT)).when(((F.length(w) >= SHORTEST) | w.rlike("[:=]")) & w.rlike(_HAS), of(_FOUND)).otherwise(none)
+        signed = F.get(words, i - 1).rlike("[:=]>?[\"'`]?$") & last.rlike(_ANNOUNCED)
+        # the word before is looked at first, as few are `is` or `bearer`
+        told = F.lower(F.get(words, i - 1)).isin("is", "bearer") & F.concat(last, F.lit(" ")).rlike(f"{_SAID}|{_BEARER}")
+        return F.when((i > 0) & (signed | told), of(_NEXT)).when(((F.length(w) >= SHORTEST) | w.rlike("[:=]")) & w.rlike(_HAS), of(_FOUND)).otherwise(none)
 
     return F.flatten(F.transform(words, found))
 
@@ -108,6 +119,8 @@ def features(value: Column, before: Column) -> list[Column]:
         F.regexp_count(value, F.lit("(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")) / n,
         F.coalesce(F.regexp_count(low, F.lit(f"(?={PAIRS})")) / F.nullif(F.regexp_count(low, F.lit("(?=[a-z]{2})")), F.lit(0)), F.lit(0.0)),
         F.regexp_count(low, F.lit("(?=[bcdfghjklmnpqrstvwxz]{4})")) / n,
+        near.rlike(_USER + "$").cast("double"),
+        near.rlike(f"{_SAID}|{_BEARER}").cast("double"),
     ]
 
 
@@ -123,10 +136,10 @@ def labelled(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     keys = F.substring(key, F.lit(1), size * 8 + 24)
     upper = F.substring(F.upper(key), F.lit(1), F.lit(16))
     names = ["token", "secret", "password", "api_key", "auth_token", "client_secret", "access_key", "bearer"]
-    spaced = F.concat(pick(["the ", "set ", "use ", "", "export "], 1), pick(names, 2), pick([' = "', " = ", ": ", ' : "', " ", " = '"], 4))
+    spaced = F.concat(pick(["the ", "set ", "use ", "", "export "], 1), pick([*names, "Bearer", "key"], 2), pick([' = "', " = ", ": ", ' : "', " ", " = '", " is ", " is: "], 4))
     joined = F.concat(pick(["", "export ", "run --", "curl https://www.site.com/path/list?", "docker run -e ", "{\"", "https://api.site.org/v1/?page=2&"], 9), pick([*names, "AWS_SECRET_ACCESS_KEY", "GITHUB_TOKEN", "DB_PASSWORD", "apikey"], 10), pick(["=", "=", "=\"", ":", "\":\"", "='"], 11))
     said = F.when(number(12, 2) == 0, spaced).otherwise(joined)
-    names_value = F.when(number(12, 2) == 0, F.concat(pick(["the ", "set ", "use ", ""], 1), pick(names, 2), pick([' = "', " = ", ": ", ' : "'], 4))).otherwise(joined)
+    names_value = F.when(number(12, 2) == 0, F.concat(pick(["the ", "set ", "use ", ""], 1), pick(names, 2), pick([' = "', " = ", ": ", ' : "', " is ", " is: "], 4))).when((number(23, 3) == 0) & (F.pmod(F.col("id"), F.lit(24)) < 20), pick(["postgres://app:", "mysql://root:", "https://me:", "amqp://worker1:"], 24)).otherwise(joined)
     plain = pick(["the ", "see the ", "of a ", "in that ", "and ", "commit ", "version ", "id: ", "file = ", "sha256: ", "build=", "order ", "etag=", "--rev=", "integrity=", "https://www.site.com/list?id=", "src="], 5)
     bare = pick(["", "the ", "see ", "in that ", "and ", "key ", "id: ", "with ", "x=", "value = ", "https://www.site.com/list?k="], 13)
     kind = F.pmod(F.col("id"), F.lit(24))
@@ -164,7 +177,7 @@ def labelled(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     )
     before = F.when((kind == 6), bare).when((kind < 9), said).when((kind < 11) | ((kind >= 19) & (kind < 22)), names_value).otherwise(plain)
     secret = kind < 11
-    closing = F.when(before.endswith('"'), '"').when(before.endswith("'"), "'").otherwise("")
+    closing = F.when(before.rlike(_USER + "$"), "@db.site.org:5432/main").when(before.endswith('"'), '"').when(before.endswith("'"), "'").otherwise("")
     texts = spark.range(rows).select("id", value.alias("planted"), secret.alias("secret"), F.concat(before, value, closing).alias("text"))
     found = texts.withColumn("words", F.split("text", _SPACE)).select("id", "planted", "secret", F.explode(_candidates(F.col("words"))).alias("c"))
     return found.select("id", "c.value", "c.before", (F.col("secret") & (F.col("c.value") == F.col("planted"))).cast("double").alias("secret"))
@@ -180,7 +193,7 @@ def with_findings(df: DataFrame, trees: list, text: str = "text", out: str = "fi
     """df with an array of (word_no, value, before, score, secret) of its candidates, in order. Null and empty texts have none."""
     score = lambda c: forest.expression(trees, features(c["value"], c["before"]))
     none = F.array().cast("array<struct<word_no:bigint,value:string,before:string>>")
-    words = F.when(F.col(text).rlike(_HAS), F.split(text, _SPACE))
+    words = F.when(F.col(text).rlike(f"{_SAYS}|(?i:bearer)\\s"), F.split(text, _SPACE))
     held, cand = fresh_name(f"{out}_words", df.columns), fresh_name(f"{out}_candidates", df.columns)
     rows = df.withColumn(held, words)
     rows = rows.withColumn(cand, F.when(F.col(held).isNotNull(), _candidates(F.col(held))).otherwise(none)).drop(held)
