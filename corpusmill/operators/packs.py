@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
+from corpusmill.sources import streams
 
 #: zstd level of an artifact
 LEVEL = 10
@@ -192,15 +193,6 @@ class _Artifact:
         return {"pack_id": self.pack_id, "artifact": self.name, "sha256": digest.hexdigest(), "bytes": size}
 
 
-def manifest_of(content: bytes) -> str | None:
-    """The JSON of an artifact's manifest; only its beginning is unpacked."""
-    with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content)) as z, tarfile.open(fileobj=z, mode="r|") as tar:
-        for entry in tar:
-            if entry.name == "manifest.json":
-                return tar.extractfile(entry).read().decode()
-    return None
-
-
 MANIFEST = (
     "pack_id string, kind string, version string, title string, publisher string, rights_tier string, rights_note string, corpus string, section string, captured_at string, "
     "refresh map<string,string>, query_expansion map<string,array<string>>, doc_count long, text_bytes long, members array<string>, required_members array<string>, recommends array<string>, description string"
@@ -208,15 +200,8 @@ MANIFEST = (
 
 
 def catalog(artifacts: DataFrame, release_base: str = "", latest: bool = False) -> DataFrame:
-    """Catalog rows of artifacts (artifact, content); all versions, or each pack's latest."""
-
-    def read(batches):
-        for batch in batches:
-            found = [manifest_of(c) for c in batch.column("content").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("artifact"), pa.array(found, pa.string())], ["artifact", "manifest"])
-
-    facts = artifacts.select("artifact", F.octet_length("content").cast("long").alias("artifact_bytes"), F.sha2("content", 256).alias("artifact_sha256"))
-    rows = facts.join(artifacts.select("artifact", "content").mapInArrow(read, "artifact string, manifest string").filter("manifest is not null"), "artifact")
+    """Catalog rows of artifacts (artifact, place), which are read on the executors a block at a time; all versions, or each pack's latest."""
+    rows = streams.facts(artifacts).filter("manifest is not null").select("artifact", F.col("found_bytes").alias("artifact_bytes"), F.col("found_sha256").alias("artifact_sha256"), "manifest")
     rows = rows.withColumn("m", F.from_json("manifest", MANIFEST)).select("artifact", "artifact_bytes", "artifact_sha256", "m.*")
     rows = entries(rows, release_base)
     if latest:
@@ -243,7 +228,11 @@ def catalog_json(rows: DataFrame) -> str:
 
 
 def verified(catalog_rows: DataFrame, files: DataFrame) -> DataFrame:
-    """(artifact, status) of catalog rows against files (artifact, content): verified, mismatched or absent."""
-    have = files.select("artifact", F.sha2("content", 256).alias("found"))
+    """(artifact, status) of catalog rows against files (artifact, place), hashed where they lie, or (artifact, content): verified, mismatched or absent."""
+    if "content" in files.columns:
+        have = files.select("artifact", F.sha2("content", 256).alias("found"))
+    else:
+        listed = files.join(catalog_rows.select("artifact").distinct(), "artifact", "left_semi")
+        have = streams.facts(listed, manifests=False).select("artifact", F.col("found_sha256").alias("found"))
     status = F.when(F.col("found").isNull(), "absent").when(F.col("found") == F.col("artifact_sha256"), "verified").otherwise("mismatched")
     return catalog_rows.select("artifact", "artifact_sha256").join(have, "artifact", "left").select("artifact", status.alias("status"))

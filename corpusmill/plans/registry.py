@@ -16,7 +16,8 @@ from corpusmill.functions import markup
 from corpusmill.functions import text as X
 from corpusmill.operators import build, collect, extract, freshness, index, master, packs, retrieval
 from corpusmill.plans.tables import MIRROR_SQL, manifest, mirror, table
-from corpusmill.sources.scratch import folder
+from corpusmill.sources import files
+from corpusmill.sources.scratch import folder, once
 from jobs.corpus_build import corpus_build
 from jobs.index_updates import index_updates
 
@@ -741,6 +742,18 @@ def dated_letters(spark, sf_dir):
     urls = orders.select(F.concat(F.lit(base), name).alias("url")).unionByName(orders.select(F.concat(F.lit(base), F.col("o_orderkey").cast("string"), F.lit("-x")).alias("url")))
     return urls.filter(collect.dated_letter(F.col("url"))).select("url", X.last_segment(F.col("url")).alias("identifier"))
 
+@query("SELECT source AS pack_id, source || '-2026.01.02.tar.zst' AS artifact, 'verified' AS status, count(*) AS doc_count FROM documents GROUP BY source")
+def artifact_streams(spark, sf_dir):
+    """Documents packed by source, and the packs listed, hashed and opened where they lie: their catalog's digests hold, their manifests count their texts."""
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("pack_id"), F.concat(F.lit("text/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), "text")
+    head = F.to_json(F.struct("pack_id", F.lit("content").alias("kind"), F.lit("2026.01.02").alias("version"), F.col("n").alias("doc_count"), F.array().cast("array<string>").alias("files")))
+    heads = docs.groupBy("pack_id").agg(F.count("*").alias("n")).select("pack_id", F.lit("2026.01.02").alias("version"), head.alias("manifest"))
+    at = f"{folder(spark)}/artifacts-{uuid.uuid4().hex}"
+    made = once(packs.write_artifacts(docs, heads, at.removeprefix("file://")), "made").select("artifact", F.col("sha256").alias("artifact_sha256"))
+    found = files.artifacts(spark, at)
+    return packs.verified(made, found).join(packs.catalog(found), "artifact").select("pack_id", "artifact", "status", "doc_count")
+
+
 # jobs, each run twice into one new folder: the second run changes nothing
 
 

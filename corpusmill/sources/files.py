@@ -67,9 +67,9 @@ def smoke_cases(spark: SparkSession, path: str) -> DataFrame:
 
 
 def artifacts(spark: SparkSession, folder: str) -> DataFrame:
-    """(artifact, content) of the packs of a folder."""
+    """(artifact, place, bytes) of the packs of a folder: only their listing, whatever their sizes."""
     rows = _tree(spark, folder).filter(F.col("path").endswith(".tar.zst"))
-    return rows.select(F.element_at(F.split("path", "/"), -1).alias("artifact"), "content")
+    return rows.select(F.element_at(F.split("path", "/"), -1).alias("artifact"), F.col("path").alias("place"), F.col("length").alias("bytes"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

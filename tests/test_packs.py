@@ -1,4 +1,5 @@
 import base64
+import itertools
 import json
 import os
 import subprocess
@@ -7,10 +8,12 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusmill.operators import freshness, packs, retrieval, signing
-from corpusmill.sources import files
+from corpusmill.sources import files, streams
 
 
 def _index(spark):
@@ -191,3 +194,48 @@ def test_check_plan(spark):
     assert got == {"cfr-29": ("osha", "api_date", ""), "epa-lead": (None, "harvest", ""), "odd": ("odd", None, "no checker for this pack"), "osha": ("osha", None, "no checker for this pack"), "nothing": (None, None, "unknown pack")}
     r = freshness.report("epa", "harvest", freshness.harvest(None, spark.createDataFrame([], "key string"))).first()
     assert r.pack == "epa" and r.method == "harvest" and r.stale is None and len(r.checked_at) >= 20
+
+
+def test_facts_of_files_read_in_blocks(spark, dist, tmp_path, monkeypatch):
+    folder, written, _ = dist
+    (folder / "none.tar.zst").write_bytes(b"no archive at all")
+    found = {r.artifact: r for r in streams.facts(files.artifacts(spark, str(folder))).collect()}
+    for w in written.values():
+        assert (found[w.artifact].found_sha256, found[w.artifact].found_bytes) == (w.sha256, w.bytes)
+    assert json.loads(found["content-2026.01.02.tar.zst"].manifest)["doc_count"] == 2 and found["none.tar.zst"].manifest is None
+    gone = spark.createDataFrame([("x.tar.zst", f"{folder}/x.tar.zst")], "artifact string, place string")
+    assert streams.facts(gone).collect() == []
+    assert streams.facts(files.artifacts(spark, f"{folder}/nowhere")).collect() == []
+
+
+def test_a_file_larger_than_a_row_is_verified(spark, tmp_path):
+    """More than 2 GB, which no row can hold; its blocks are zeros that take no disk."""
+    import hashlib
+
+    size, zeros, digest = (1 << 31) + 4097, bytes(1 << 20), hashlib.sha256()
+    with open(tmp_path / "large.tar.zst", "wb") as f:
+        f.truncate(size)
+    for at in range(0, size, len(zeros)):
+        digest.update(zeros[: min(len(zeros), size - at)])
+    wanted = spark.createDataFrame([("large.tar.zst", digest.hexdigest()), ("absent.tar.zst", "")], "artifact string, artifact_sha256 string")
+    assert sorted(map(tuple, packs.verified(wanted, files.artifacts(spark, str(tmp_path))).collect())) == [("absent.tar.zst", "absent"), ("large.tar.zst", "verified")]
+
+
+_VALUES = st.recursive(st.one_of(st.none(), st.integers(), st.text(alphabet='ab"\\[]{},:é files', max_size=8)), lambda x: st.one_of(st.lists(x, max_size=3), st.dictionaries(st.sampled_from(["files", "a", 'q"', "b\\"]), x, max_size=3)), max_leaves=12)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.sampled_from(["files", "file", "x", 'fi"les', "files\\", "filesfiles"]), _VALUES, max_size=5), st.integers(1, 9), st.booleans(), st.sampled_from([None, 1]))
+def test_the_list_of_a_manifest_is_passed_over(value, step, plain, indent):
+    text = json.dumps(value, ensure_ascii=plain, indent=indent).encode()
+    parts = (text[i : i + step] for i in range(0, len(text), step))
+    assert json.loads(streams.without(parts, "files")) == {k: [] if k == "files" and isinstance(v, list) else v for k, v in value.items()}
+
+
+def test_a_manifest_is_bounded_beside_its_list(monkeypatch):
+    monkeypatch.setattr(streams, "LIMIT", 1000)
+    entries = (b'{"path":"a","chars":1},' for _ in range(10_000))
+    parts = itertools.chain([b'{"pack_id":"p","files":['], entries, [b'{}],"rest":1}'])
+    assert json.loads(streams.without(parts, "files")) == {"pack_id": "p", "files": [], "rest": 1}
+    with pytest.raises(ValueError, match="1000 bytes"):
+        streams.without(iter([b'{"note":"', b"x" * 2000, b'"}']), "files")
