@@ -15,8 +15,8 @@ from functools import lru_cache
 import numpy as np
 import tokenizers
 
-#: parts in each of a memory's two generations (about 200 bytes each), and the longest part that is remembered
-REMEMBERED, LONGEST = 150_000, 64
+#: words in each of a memory's two generations, parts in the one of theirs (about 200 bytes each), and the longest of either that is remembered
+REMEMBERED, PARTS, LONGEST = 250_000, 200_000, 64
 #: separators and controls that Python's white space and the library's \s treat differently
 _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b-\u200f\u2028\u2029\ufeff]")
 #: those of Latin-1, and white space of Latin-1 before a space
@@ -63,10 +63,10 @@ def coder(path: str, prefixed: bool) -> Coder:
 
 
 class Memory(dict):
-    """Ids of parts; what is not known is made. A full memory becomes the older generation, from which parts still in use are taken over."""
+    """Ids of parts; what is not known is made. A full memory becomes the older generation, from which parts still in use are taken over, or, where making is cheap, begins anew."""
 
-    def __init__(self, make):
-        self.make, self.older = make, {}
+    def __init__(self, make, cheap: bool = False):
+        self.make, self.cheap, self.older = make, cheap, {}
 
     def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
@@ -77,8 +77,8 @@ class Memory(dict):
         return ids
 
     def turn(self, more: int = 0) -> None:
-        if len(self) + more > REMEMBERED:
-            self.older = dict(self)
+        if len(self) + more > (PARTS if self.cheap else REMEMBERED):
+            self.older = {} if self.cheap else dict(self)
             self.clear()
 
 
@@ -99,7 +99,7 @@ class Coder:
         self.model = self.tokenizer.model
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.of_word = Memory(self._word)
-        self.of_part = Memory(lambda part: self._words(" " + part)) if prefixed else Memory(self._words)
+        self.of_part = Memory((lambda part: self._words(" " + part)) if prefixed else self._words, cheap=True)
         self.of_unit: Memory = Memory(lambda unit: self._encoded([unit])[0])
 
     def _word(self, word: str) -> bytes:
