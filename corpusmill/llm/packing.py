@@ -27,6 +27,8 @@ from corpusmill.llm.tokens import coder
 
 #: workers whose unfilled sequences one task merges
 FAN = 32
+#: words and parts that a worker remembers: workers outlive their tasks, and the next step needs the room
+REMEMBERED = 150_000
 #: pieces this short share the class of the largest fixed count
 SHORTEST = 32
 
@@ -113,7 +115,7 @@ def pack(df: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, doc_i
 
     def fill(batches):
         worker = TaskContext.get().partitionId()
-        filler, code = Filler(capacity, worker << 40), coder(tokenizer, False)
+        filler, code = Filler(capacity, worker << 40), coder(tokenizer, False, REMEMBERED)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []

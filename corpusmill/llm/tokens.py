@@ -15,8 +15,8 @@ from functools import lru_cache
 import numpy as np
 import tokenizers
 
-#: words in each of a memory's two generations, parts in the one of theirs (about 200 bytes each), and the longest of either that is remembered
-REMEMBERED, PARTS, LONGEST = 250_000, 200_000, 64
+#: parts in each of a memory's two generations (about 200 bytes each), and the longest part that is remembered
+REMEMBERED, LONGEST = 300_000, 64
 #: separators and controls that Python's white space and the library's \s treat differently
 _ODD = re.compile("[\x1c-\x1f\x85\u180e\u200b-\u200f\u2028\u2029\ufeff]")
 #: those of Latin-1, and white space of Latin-1 before a space
@@ -57,16 +57,16 @@ def _within_latin(text: str) -> bool:
 
 
 @lru_cache(maxsize=4)
-def coder(path: str, prefixed: bool) -> Coder:
+def coder(path: str, prefixed: bool, remembered: int | None = None) -> Coder:
     """One Coder a worker process and file."""
-    return Coder(path, prefixed)
+    return Coder(path, prefixed, remembered)
 
 
 class Memory(dict):
-    """Ids of parts; what is not known is made. A full memory becomes the older generation, from which parts still in use are taken over, or, where making is cheap, begins anew."""
+    """Ids of parts; what is not known is made. A full memory becomes the older generation, from which parts still in use are taken over."""
 
-    def __init__(self, make, cheap: bool = False):
-        self.make, self.cheap, self.older = make, cheap, {}
+    def __init__(self, make, most: int):
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
@@ -77,15 +77,15 @@ class Memory(dict):
         return ids
 
     def turn(self, more: int = 0) -> None:
-        if len(self) + more > (PARTS if self.cheap else REMEMBERED):
-            self.older = {} if self.cheap else dict(self)
+        if len(self) + more > self.most:
+            self.older = dict(self)
             self.clear()
 
 
 class Coder:
     """prefixed: parts keep the white space before them (byte-level vocabularies); otherwise it is dropped, and letters are lower-cased."""
 
-    def __init__(self, path: str, prefixed: bool):
+    def __init__(self, path: str, prefixed: bool, remembered: int | None = None):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -98,9 +98,10 @@ class Coder:
         self.parting = {x.content: int(i).to_bytes(4, "little") for i, x in added.items()} if not any(x.lstrip or x.rstrip or x.single_word for x in added.values()) else None
         self.model = self.tokenizer.model
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.of_word = Memory(self._word)
-        self.of_part = Memory((lambda part: self._words(" " + part)) if prefixed else self._words, cheap=True)
-        self.of_unit: Memory = Memory(lambda unit: self._encoded([unit])[0])
+        most = remembered or REMEMBERED
+        self.of_word = Memory(self._word, most)
+        self.of_part = Memory((lambda part: self._words(" " + part)) if prefixed else self._words, most)
+        self.of_unit = Memory(lambda unit: self._encoded([unit])[0], most)
 
     def _word(self, word: str) -> bytes:
         letters = word.encode().decode("latin-1").translate(_LETTERS)

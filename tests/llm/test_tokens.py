@@ -24,7 +24,6 @@ def test_ids_are_the_librarys(file, text):
 @pytest.mark.parametrize("file", [f for f, _ in FILES])
 def test_long_and_forgotten(file, monkeypatch):
     monkeypatch.setattr("corpusmill.llm.tokens.REMEMBERED", 50)
-    monkeypatch.setattr("corpusmill.llm.tokens.PARTS", 40)
     mine, library = Coder(public_tokenizers.path(file), dict(FILES)[file]), CODERS[file][1]
     texts = [" ".join(f"word{i % 97} Thing{i}." for i in range(3000)), "", "a" * 100_000]
     assert [len(b) // 4 for b in mine.balanced(texts, [len(t.encode()) for t in texts], 1000)] == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
