@@ -7,8 +7,8 @@ words.  Template words are ordered by how often the whole corpus has them.  A bl
 template's rarest words, so blocks and templates are joined on those alone (prefix filter: as many words as may be
 missing, and one).  The block must have enough template words at all (length filter), and, from the word on
 which it was joined, block and template must both have enough words left (positional filter).
-Survivors are verified by intersection.  The templates are a table with a row a prefix word; only its
-size, not the plan's, grows with their number.
+Survivors are verified by intersection.  The templates are literals of the plan, which grows with their number: some
+tens of them are meant, not hundreds.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ from tests.llm.conftest import BENCHMARK, DOCUMENTS
 
 def test_queries_are_registered():
     names = [*queries.queries()]
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 13)]
     assert queries.oracle_sql().keys() <= set(names)
 
 
