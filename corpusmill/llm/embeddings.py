@@ -173,9 +173,8 @@ def near_vectors(df: DataFrame, threshold: float = 0.98, vec_id: str = "vec_id",
 
 
 def _named_components(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """(name, component): the smallest vec_id of a class's component. Names are hashed to 64 bits for the walk."""
-    known = components(links.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b")))
-    placed = classes.select("name", "id", F.xxhash64("name").alias("h")).join(known, F.col("h") == known["id"], "left").select("name", classes["id"], F.coalesce("component", "h").alias("group"))
+    """(name, component): the smallest vec_id of a class's component. The walk is on the names themselves."""
+    placed = classes.select("name", "id").join(components(links).withColumnRenamed("id", "name"), "name", "left").select("name", "id", F.coalesce("component", "name").alias("group"))
     least = placed.groupBy("group").agg(F.min("id").alias("component"))
     return placed.join(least, "group").select("name", "component")
 
