@@ -103,7 +103,7 @@ def run_build(spark, a) -> dict:
     """Packs of the specs in --specs, or of --only one, from the index, the manifests and the extracted texts, into --dist."""
     rows = latest(spark, f"{a.root}/{STATE}/text").filter("status = 'ok'")
     texts = rows.select(F.concat(F.lit(f"{files.MIRROR}/"), X.mirror_path(F.col("relative_path"))).alias("text_path"), "text")
-    manifests = [files.manifest(spark, a.root, f, kind).withColumn("corpus", F.lit(f)) for f, kind in FOLDERS.items()]
+    manifests = [files.manifest(spark, a.root, f, kind, last=True).withColumn("corpus", F.lit(f)) for f, kind in FOLDERS.items()]
     listed = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), manifests)
     held = packs.pack_files(spark.read.parquet(f"{a.root}/{STATE}/index"), listed)
     made = build.build(files.specs(spark, a.specs), held, texts, state.captures(spark, f"{a.root}/{STATE}"), a.dist, a.only, a.version, a.captured)

@@ -69,8 +69,8 @@ def totals(index: DataFrame) -> DataFrame:
 
 
 def latest_wins(manifest: DataFrame, order: str) -> DataFrame:
-    """Of rows with one relative_path, the last by order."""
-    return manifest.groupBy("relative_path").agg(F.max_by(F.struct(*[c for c in manifest.columns if c != "relative_path"]), order).alias("_r")).select("relative_path", "_r.*")
+    """Of rows with one relative_path, the last by order, which is not kept."""
+    return manifest.groupBy("relative_path").agg(F.max_by(F.struct(*[c for c in manifest.columns if c not in ("relative_path", order)]), order).alias("_r")).select("relative_path", "_r.*")
 
 
 def by_corpus(index: DataFrame) -> DataFrame:

@@ -19,13 +19,37 @@ def exploded(maps: DataFrame) -> DataFrame:
     return maps.select("pack_id", F.posexplode(F.map_entries("query_expansion")).alias("ord", "e")).select("pack_id", "ord", F.col("e.key").alias("phrase"), F.col("e.value").alias("terms"))
 
 
+#: what an index of phrases is made of: words, and other characters one by one
+_PIECE = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]"
+
+
+def pieces(text: Column) -> Column:
+    """The distinct words of a text, and its other characters one by one."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)))
+
+
+def indexed(phrases: DataFrame) -> DataFrame:
+    """phrases with the piece by which each is found: of its words (other characters where it has none) the one in the fewest phrases, then the longest, then the first in order.
+
+    A phrase stands as whole words only where each of its words stands as a whole word, so any of them will
+    do; the rarest keeps a word that many phrases share from gathering them all.  Empty phrases and
+    nulls have no piece and are left out.
+    """
+    rows = phrases.select(F.struct(*phrases.columns).alias("_p"), F.explode(pieces(F.col("phrase"))).alias("piece"))
+    counts = phrases.select("phrase").distinct().select(F.explode(pieces(F.col("phrase"))).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(~F.rlike("piece", F.lit(r"[\p{L}\p{N}_]")), "n", -F.length("piece"), "piece")
+    best = rows.join(counts, "piece").groupBy("_p").agg(F.min_by("piece", order).alias("piece"))
+    return best.select("_p.*", "piece")
+
+
 def hits(questions: DataFrame, phrases: DataFrame) -> DataFrame:
-    """questions (question_id, question) with the phrases (ord, phrase, terms) that stand in them.
+    """questions (question_id, question) with the phrases (ord, phrase, terms) that stand in them as whole words; repeated rows of phrases count once, empty phrases stand nowhere.
 
-    Phrases are a pack's vocabulary, tens of rows: a bounded table that every question is matched with.
+    An equi-join on one piece of each phrase brings the candidates, which the pattern then verifies: work grows with
+    questions' words and with what they meet, not with questions times phrases.
     """
     low = questions.withColumn("_low", F.lower("question"))
-    return low.join(phrases, F.regexp_like("_low", boundary(F.col("phrase"))))
+    return low.withColumn("piece", F.explode(pieces(F.col("_low")))).join(indexed(phrases), "piece").filter(F.regexp_like("_low", boundary(F.col("phrase")))).drop("piece")
 
 
 def expand(questions: DataFrame, phrases: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill import schemas
+from corpusmill.operators.master import latest_wins
 
 #: Files that are not documents.
 META = ("manifest.csv", "readme.md", "readme.txt", "sources.md", "sources.txt", "master-index.csv", "_extraction_audit.csv", "_text_dedupe.csv")
@@ -45,13 +46,23 @@ def mirror(spark: SparkSession, root: str) -> DataFrame:
     return rows.select(path.alias("text_path"), F.get(F.split(path, "/"), F.lit(1)).alias("corpus"), F.col("modificationTime").alias("modified"), F.col("length").alias("size"), text.alias("text"))
 
 
-def manifest(spark: SparkSession, root: str, folder: str, kind: str) -> DataFrame:
-    """A corpus's manifest, all strings, empty for missing."""
+def manifest(spark: SparkSession, root: str, folder: str, kind: str, last: bool = False) -> DataFrame:
+    """A corpus's manifest, all strings, empty for missing; with `last`, of rows with one relative_path only the file's last."""
     ddl, path = schemas.manifest(kind), f"{root.rstrip('/')}/{folder}/manifest.csv"
     if not exists(spark, path):
         return spark.createDataFrame([], ddl)
     rows = spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"', enforceSchema=False, schema=ddl)
-    return rows.na.fill("")
+    found = latest_wins(in_order(rows, "_at"), "_at").select(*rows.columns) if last else rows
+    return found.na.fill("")
+
+
+def in_order(rows: DataFrame, name: str) -> DataFrame:
+    """rows of a reader of files with a column by which they sort as they stand in them: by file, by where the split that holds them begins, and by their order in it.
+
+    Rows of a split are read by one task, one after the other, which is the order of increasing ids; so no row is
+    moved for it, and files may be read in any number of splits. To be called on the reader's own rows.
+    """
+    return rows.withColumn(name, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row")))
 
 
 def specs(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@ import base64
 import itertools
 import json
 import os
+import re
 import subprocess
 import sys
 from datetime import datetime
@@ -180,6 +181,29 @@ def test_expansion(spark):
         assert not spark.sql(f"select cast({bad} as map<string,array<string>>) m").select(retrieval.valid_map(F.col("m"))).first()[0]
 
 
+def test_phrases_are_found_by_a_piece(spark):
+    """The same rows as matching every phrase with every question, signs and repeated words included; empty phrases and nulls stand nowhere."""
+    said = ["the pump.net failed", "c++ and the c+ are not c", "a valve, of the pump", "", None, "the the the", "d\u00e9bit no. 5 (of 7)", "x" * 5000 + " of the pump"]
+    known = ["pump", ".net", "c++", "of the", "the", "the the", "d\u00e9bit", "no. 5", "(", "5 (of", "pum", "valve,", "of the pump", " ", "", None]
+    q = spark.createDataFrame([*enumerate(said)], "question_id int, question string")
+    p = spark.createDataFrame([(i, t, [f"t{i}"]) for i, t in enumerate(known)], "ord int, phrase string, terms array<string>")
+    edge = lambda t: re.compile(rf"(?<!\w){re.escape(t)}(?!\w)")
+    want = {(i, j) for i, s in enumerate(said) if s for j, t in enumerate(known) if t and edge(t).search(s)}
+    got = [(r.question_id, r.ord) for r in retrieval.hits(q, p.unionByName(p)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 12
+    assert retrieval.hits(q.limit(0), p).count() == 0 and retrieval.hits(q, p.limit(0)).count() == 0
+
+
+def test_many_phrases(spark):
+    """A vocabulary of 100,000 phrases that all share a word: no nested loop, and each question meets its own."""
+    p = spark.range(100_000).select(F.col("id").cast("int").alias("ord"), F.concat(F.lit("the part "), F.col("id")).alias("phrase"), F.array(F.lit("t")).alias("terms"))
+    q = spark.range(200).select(F.col("id").alias("question_id"), F.concat(F.lit("Where is the part "), F.col("id") * 499, F.lit("?")).alias("question"))
+    found = retrieval.hits(q, p)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert {(r.question_id, r.ord) for r in found.collect()} == {(i, i * 499) for i in range(200)}
+
+
 def test_smoke(spark, tmp_path):
     (tmp_path / "cases.jsonl").write_text('# remark\n{"id": "a", "question": "q", "expect": {"answered": true, "contains": ["16|sixteen"], "not_contains": ["no idea"]}, "tags": ["t"]}\n\n')
     case = files.smoke_cases(spark, str(tmp_path / "cases.jsonl"))

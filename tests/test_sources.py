@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators import collect, extract
+from corpusmill.operators.master import latest_wins
 from corpusmill.sources import fetch, files
 from corpusmill.streaming import incremental
 
@@ -237,3 +238,35 @@ def test_twins(spark):
     rows = [("a.md", "# A\n"), ("a.txt", "A\n=\n"), ("b.md", "b"), ("b.txt", "old"), ("c/d.md", "d"), ("dist/e.md", "e")]
     df = spark.createDataFrame(rows, "relative_path string, text string")
     assert {r.relative_path: r.stale for r in extract.twins(df).collect()} == {"a.txt": False, "b.txt": True, "c/d.txt": True}
+
+
+def test_last_row_of_a_manifest(spark, tmp_path):
+    """Of rows with one path the file's last is taken, by the reader alone; line ends within fields and blank fields make no difference."""
+    (tmp_path / "EPA").mkdir()
+    columns = files.manifest(spark, str(tmp_path), "EPA", "epa").columns
+    at = columns.index("relative_path")
+    line = lambda path, title: ",".join(path if i == at else f'"{title}"' for i in range(len(columns)))
+    rows = [line("a.pdf", "z\nfirst"), line("b.pdf", "only"), line("a.pdf", "y, second"), line("c.pdf", "m"), line("a.pdf", "x\nlast"), line("c.pdf", "")]
+    (tmp_path / "EPA" / "manifest.csv").write_text("\n".join([",".join(columns), *rows]) + "\n")
+    title = next(c for c in columns if c != "relative_path")
+    assert files.manifest(spark, str(tmp_path), "EPA", "epa").count() == 6
+    found = files.manifest(spark, str(tmp_path), "EPA", "epa", last=True)
+    assert found.columns == columns
+    assert {r.relative_path: r[title] for r in found.collect()} == {"a.pdf": "x\nlast", "b.pdf": "only", "c.pdf": ""}
+    assert files.manifest(spark, str(tmp_path / "none"), "EPA", "epa", last=True).count() == 0
+
+
+def test_file_order_over_splits(spark, tmp_path):
+    """The last row of a path is the same however many splits a file is read in."""
+    lines = [f"p{i % 97},{i}" for i in range(20000)]
+    (tmp_path / "m.csv").write_text("relative_path,title\n" + "\n".join(lines) + "\n")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8192")
+    try:
+        rows = spark.read.csv(str(tmp_path / "m.csv"), header=True, schema="relative_path string, title string")
+        assert rows.rdd.getNumPartitions() > 5
+        found = latest_wins(files.in_order(rows, "at"), "at").collect()
+    finally:
+        spark.conf.set(name, before)
+    assert {r.relative_path: int(r.title) for r in found} == {f"p{i % 97}": i for i in range(20000)}
