@@ -15,7 +15,7 @@ from corpusmill import schemas
 from corpusmill.functions import text as X
 from corpusmill.operators import build, collect, extract, freshness, index, master, packs, signing
 from corpusmill.session import session
-from corpusmill.sources import fetch, files, state
+from corpusmill.sources import fetch, files, publishers, state
 
 STATE = "_state"
 FOLDERS = {"EHS": "publications", "OSHA-Interpretations": "interpretations", "OSHA-Directives": "directives", "CFR-29": "cfr", "CFR-49": "cfr", "EPA": "epa", "NFPA": "nfpa_ibr", "NFPA-Public": "nfpa_public"}
@@ -32,25 +32,31 @@ def latest(spark, texts: str):
 
 
 def run_collect(spark, a) -> dict:
-    """Regulations by the API. Other sources need listings that are fetched, harvested and planned by operators.collect; --source names the title."""
-    titles = {"cfr-29": 29, "cfr-49": 49}
-    done = {}
-    for name, title in titles.items():
+    """Regulations by the API, the other publishers by crawls that go on where they were stopped. --source names one; another --date begins the crawls anew."""
+    titles, done = {"cfr-29": 29, "cfr-49": 49}, {}
+    for name in (*publishers.PUBLISHERS, *titles):
         if a.source not in ("all", name):
             continue
-        corpus = collect.TITLES[title][0]
-        rows = collect.collect_title(spark, title, lambda urls: fetch.fetch(urls)).cache()
-        for r in rows.select("relative_path", "text").toLocalIterator():
-            place = Path(a.root, corpus, r.relative_path)
-            place.parent.mkdir(parents=True, exist_ok=True)
-            place.write_text(r.text, encoding="utf-8")
-        listed = rows.withColumn("publisher", F.lit(master.PRINTING)).withColumn("bytes", F.octet_length("text")).withColumn("sha256", F.sha2("text", 256))
-        files.write_one_csv(listed.select(*schemas.MANIFESTS["cfr"].split()), f"{a.root}/{corpus}/manifest.csv")
+        if name in titles:
+            corpus = collect.TITLES[titles[name]][0]
+            done[name] = regulations(spark, a.root, titles[name], corpus)
+        else:
+            corpus = publishers.PUBLISHERS[name].corpus
+            done[name] = publishers.collected(spark, name, a.root, f"{a.root}/{STATE}/crawl/{name}/{a.date or 'first'}", lambda urls: fetch.fetch(urls), lambda plan, folder: fetch.download(plan, folder))
         state.record_capture(spark, f"{a.root}/{STATE}", corpus, date.today().isoformat())
-        done[name] = {"files": rows.count()}
     return done
 
 
+def regulations(spark, root: str, title: int, corpus: str) -> dict:
+    made = collect.collect_title(spark, title, lambda urls: fetch.fetch(urls))
+    made.write.mode("overwrite").parquet(f"{root}/{STATE}/regulations/{corpus}")
+    rows = spark.read.parquet(f"{root}/{STATE}/regulations/{corpus}")
+    files.write_texts(rows.select(F.col("relative_path").alias("path"), "text"), f"{root}/{corpus}")
+    listed = rows.withColumn("publisher", F.lit(master.PRINTING)).withColumn("bytes", F.octet_length("text")).withColumn("sha256", F.sha2("text", 256))
+    files.write_one_csv(listed.orderBy(X.natural_key(F.col("section"))).select(*schemas.MANIFESTS["cfr"].split()), f"{root}/{corpus}/manifest.csv")
+    return {"files": rows.count()}
+
+
 def run_extract(spark, a) -> dict:
     docs, texts = files.documents(spark, a.root), f"{a.root}/{STATE}/text"
     if files.exists(spark, texts):

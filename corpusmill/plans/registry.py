@@ -17,6 +17,7 @@ from corpusmill.functions import text as X
 from corpusmill.operators import build, collect, extract, freshness, index, master, packs, retrieval
 from corpusmill.plans.tables import MIRROR_SQL, manifest, mirror, table
 from corpusmill.sources import files
+from corpusmill.sources.crawl import crawl
 from corpusmill.sources.scratch import folder, once
 from jobs.corpus_build import corpus_build
 from jobs.index_updates import index_updates
@@ -599,6 +600,27 @@ def sitemap_urls(spark, sf_dir):
     return collect.sitemap(table(spark, sf_dir, "pages").select(loc.alias("body")))
 
 
+_HREF = 'href="(/[^"]*)"'
+
+
+@query(
+    f"""WITH RECURSIVE p AS (SELECT page_id, html, unnest(list_distinct(regexp_extract_all(html, '{_HREF}', 1))) AS addr FROM pages),
+site AS (SELECT addr, arg_max(html, page_id) AS html FROM p GROUP BY addr HAVING count(*) > 1),
+e AS (SELECT DISTINCT addr, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS url FROM site),
+r(url) AS (SELECT DISTINCT regexp_extract(html, '{_HREF}', 1) FROM pages WHERE regexp_extract(html, '{_HREF}', 1) <> '' UNION SELECT e.url FROM r JOIN e ON e.addr = r.url)
+SELECT url, CASE WHEN addr IS NULL THEN 'gone' ELSE 'ok' END AS outcome FROM r LEFT JOIN site ON addr = url"""
+)
+def crawl_pages(spark, sf_dir):
+    """A crawl in rounds of the site that the pages make: at each address that two pages lead to the last of them answers; it begins with the first link of every page."""
+    given = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("body"), F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(_HREF), F.lit(1)))).alias("url"))
+    last = given.groupBy("url").agg(F.max("page_id").alias("page_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    site = once(last.join(given.select("page_id", "body", "url"), ["page_id", "url"]).select("url", "body"), "site")
+    home = table(spark, sf_dir, "pages").select(F.regexp_extract("html", _HREF, 1).alias("url"), F.lit("page").alias("kind")).filter("url <> ''").distinct()
+    follow = lambda pages: pages.select(F.explode(F.regexp_extract_all("body", F.lit(_HREF), F.lit(1))).alias("url"), F.lit("page").alias("kind"))
+    asked = lambda urls: urls.join(site, "url", "left").select("url", F.when(F.col("body").isNull(), "gone").otherwise("ok").alias("outcome"), "body")
+    return crawl(spark, f"{folder(spark)}/crawl-{uuid.uuid4().hex}", home, follow, asked, most=1 << 30).select("url", "outcome")
+
+
 @query(
     """SELECT page_id AS page, i AS row, 'https://www.example.org/item/' || page_id AS url, '2024-01-0' || (1 + page_id % 9) AS date, 'Item ' || page_id AS title, CASE WHEN i = 0 THEN 'N ' || page_id ELSE '' END AS number
 FROM pages, (VALUES (0), (1)) r(i)"""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +92,23 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
 
 
+def write_texts(rows: DataFrame, folder: str) -> None:
+    """Texts (path, text), each in a file of its own below folder, written by the tasks that have them: beside its place and renamed, so it is whole or absent, and a repeated task writes the same. folder must be one that all executors share."""
+
+    def put(batches):
+        for batch in batches:
+            for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                place = os.path.join(folder, path)
+                os.makedirs(os.path.dirname(place), exist_ok=True)
+                part = f"{place}.{uuid.uuid4().hex}.part"
+                with open(part, "w", encoding="utf-8") as f:
+                    f.write(text)
+                os.replace(part, place)
+            yield pa.RecordBatch.from_arrays([batch.column("path")], ["path"])
+
+    rows.select("path", "text").mapInArrow(put, "path string").write.format("noop").mode("overwrite").save()
+
+
 def write_one_csv(df: DataFrame, path: str) -> None:
     """A table as one CSV file with a header, in the rows' order; for manifests and reports that people read. The rows stream through one task."""
     spark = df.sparkSession
