@@ -4,23 +4,29 @@ DataFrame functions only.  A template is the set of words of a notice; a block i
 as notices are wrapped, the words after it: as many as the template has, and half as many for what stands
 between its lines.  A block carries a template's label if it has at least CONTAINED of the template's
 words.  Template words are ordered by how often the whole corpus has them.  A block that reaches the threshold must have one of the
-template's rarest words, so blocks and templates are joined on those alone (prefix filter: as many words as may be
-missing, and one).  The block must have enough template words at all (length filter), and, from the word on
-which it was joined, block and template must both have enough words left (positional filter).
-Survivors are verified by intersection.  The templates are literals of the plan, which grows with their number: some
-tens of them are meant, not hundreds.
+template's rarest words, so texts and templates are joined on those alone (prefix filter: as many words as may be
+missing, and one); each place of such a word leads to the blocks that hold it.  The block must have enough words
+at all (length filter), and, from the word on which it was joined, block and template must both have enough
+words left (positional filter).  Survivors are verified by intersection.
+
+Templates are a table (label, wording) of any length: the plan is the same however many they are.
+Texts are never gathered into blocks: words are streamed through the join with their places, and a block is cut
+where a rare word was met.  Templates are broadcast in portions of at most BROADCAST words, a join each.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm.store import written
+
 #: share of a template's words that a block must have, in hundredths
 CONTAINED = 90
+#: words that the templates of one portion hold, a template's counted once for each of its rarest words
+BROADCAST = 4_000_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: stands for the end of a line among the words of a lowered text, which has no such letter; \x4E is kept when cutting
@@ -79,12 +85,28 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, _BETWEEN), "")
 
 
-def word_order(docs: DataFrame, text: str = "text", templates: tuple = TEMPLATES) -> list[str]:
-    """The templates' words, those that the corpus has least often first. A row a template word reaches the driver, however large the corpus is."""
-    vocabulary = sorted({w for _, t in templates for w in t.split()})
-    found = docs.select(F.explode(F.filter(words(lowered(F.col(text))), lambda w: w.isin(vocabulary))).alias("word"))
-    often = {r.word: r.n for r in found.groupBy("word").agg(F.count("*").alias("n")).collect()}
-    return sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
+def as_table(spark: SparkSession, templates: tuple = TEMPLATES) -> DataFrame:
+    """(label, wording) of templates given in Python."""
+    return spark.createDataFrame(list(templates), "label string, wording string")
+
+
+def template_sets(templates: DataFrame) -> DataFrame:
+    """(label, own, need, after): a template's distinct words, how many of them a block must have, and how many words after a line belong to its block.
+
+    Repeated templates count once; those without a label or without words are left out.
+    """
+    cut = templates.select("label", words(lowered(F.col("wording"))).alias("w"))
+    sets = cut.select("label", F.array_sort(F.array_distinct("w")).alias("own"), F.floor(F.size("w") * 3 / 2).cast("int").alias("after"))
+    sets = sets.filter(F.col("label").isNotNull() & (F.size("own") > 0)).distinct()
+    return sets.select("label", "own", F.ceil(F.size("own") * CONTAINED / 100).cast("int").alias("need"), "after")
+
+
+def word_order(docs: DataFrame, sets: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): the templates' words and how often the corpus has them. Texts' words meet them before they are counted, in parts first."""
+    vocabulary = sets.select(F.explode("own").alias("word")).distinct()
+    found = docs.select(F.explode_outer(words(lowered(F.col(text)))).alias("word")).join(vocabulary, "word", "left_semi")
+    often = found.groupBy("word").agg(F.count("*").alias("n"))
+    return vocabulary.join(often, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _places(w: Column) -> Column:
@@ -109,58 +131,53 @@ def _after(text: str) -> int:
     return len(text.split()) * 3 // 2
 
 
-def _blocks(w: Column, ends: Column, most: int) -> Column:
-    """(n, words) of each line: its number of words, and those and the `most` words after it. Of words with _END between lines, and the places of those."""
-
-    def block(start, i):
-        n = F.coalesce(F.get(ends, i), F.size(w)) - start
-        # no two ends stand together, so that every second one at least is a word
-        return F.struct(n.alias("n"), F.slice(F.array_remove(F.slice(w, start + 1, n + 2 * most + 1), _END), F.lit(1), n + most).alias("words"))
-
-    return F.transform(F.concat(F.array(F.lit(0)), F.transform(ends, lambda e: e + 1)), block)
-
-
-def _prefixes(spark: SparkSession, order: list[str], templates: tuple) -> DataFrame:
-    """(prefix, label, own, need, after, left): a row a prefix word of each template, with how many of its words are left from there on."""
-    rank = {w: i for i, w in enumerate(order)}
-    rows = []
-    for label, text in templates:
-        own = sorted(set(text.split()), key=rank.__getitem__)
-        need = _need(own)
-        for i, w in enumerate(own[: len(own) - need + 1]):
-            values = {"prefix": F.lit(w), "label": F.lit(label), "own": F.array(*map(F.lit, own)), "need": F.lit(need), "after": F.lit(_after(text)), "left": F.lit(len(own) - i)}
-            rows.append(F.struct(*(v.alias(k) for k, v in values.items())))
-    return spark.range(1).select(F.inline(F.array(*rows)))
-
-
-def _need(own) -> int:
-    return math.ceil(CONTAINED * len(own) / 100)
-
-
-def matches(docs: DataFrame, key: str = "key", low: str = "low", templates: tuple = TEMPLATES, order: list[str] | None = None) -> DataFrame:
-    """(key, labels, score): the distinct labels of the templates that lowered texts contain, and the largest containment; keys without a match have no row."""
-    order = order or word_order(docs, low, templates)
-    rank = {w: i for i, w in enumerate(order)}
-    near = sorted({w for _, t in templates for own in [sorted(set(t.split()), key=rank.__getitem__)] for w in own[: len(own) - _need(own) + 1]})
-    near, known = F.array(*map(F.lit, near)), F.array(*map(F.lit, order))
-    most = max(_after(t) for _, t in templates)
-
-    def blocks(x):
-        # bound as elements, each evaluated once a text
-        cut = F.transform(F.array(x), lambda x: F.array_remove(F.split(F.regexp_replace(x, F.lit("\n" + _BETWEEN[:-1] + "*+"), F.lit(f" {_END} ")), _BETWEEN_OR_END), ""))
-        held = F.transform(cut, lambda w: F.struct(w.alias("w"), F.filter(F.transform(w, lambda x, i: F.when(x == _END, i)), lambda p: p.isNotNull()).alias("ends")))
-        return F.filter(F.flatten(F.transform(held, lambda h: _blocks(h["w"], h["ends"], most))), lambda b: F.arrays_overlap(b["words"], near))
-
-    found = docs.filter(F.arrays_overlap(words(F.col(low)), near)).select(F.col(key).alias("key"), F.explode(blocks(F.col(low))).alias("block"))
-    # the block's template words, rarest first
-    found = found.select("key", "block", F.array_intersect(known, F.col("block.words")).alias("ranked"))
-    found = found.select("key", "block", "ranked", F.explode(F.array_intersect(near, F.col("block.words"))).alias("prefix"))
-    joined = found.join(_prefixes(docs.sparkSession, order, templates), "prefix")
+def _prefixes(sets: DataFrame, known: Column) -> DataFrame:
+    """(prefix, label, own, need, after, left): a row a prefix word of each template, with how many of its words are left from there on. Of templates and all template words, rarest first."""
+    ranked = sets.select("label", F.array_intersect(known, F.col("own")).alias("own"), "need", "after")
+    first = F.slice("own", F.lit(1), F.size("own") - F.col("need") + 1)
+    return ranked.select("label", "own", "need", "after", F.posexplode(first).alias("i", "prefix")).withColumn("left", F.size("own") - F.col("i"))
+
+
+def _lined(rows: DataFrame) -> DataFrame:
+    """(key, v, starts, line): a lowered text's words, the places in them where lines begin (and the end), and each word's line."""
+    marked = F.regexp_replace("low", "\n" + _BETWEEN[:-1] + "*+", f" {_END} ")
+    cut = rows.select("key", F.array_remove(F.split(marked, _BETWEEN_OR_END), "").alias("w"))
+    ends = F.filter(F.transform("w", lambda x, i: F.when(x == _END, i)), lambda p: p.isNotNull())
+    parted = cut.select("key", F.array_remove("w", _END).alias("v"), ends.alias("ends"))
+    # before the i-th end stand i others, which are no words
+    starts = F.concat(F.array(F.lit(0)), F.transform("ends", lambda e, i: e - i), F.array(F.size("v")))
+    begun = parted.select("key", "v", starts.alias("starts"))
+    line = F.flatten(F.transform("starts", lambda s, i: F.array_repeat(i, F.coalesce(F.get("starts", i + 1) - s, F.lit(0)))))
+    return begun.select("key", "v", "starts", line.alias("line"))
+
+
+def matches(rows: DataFrame, sets: DataFrame, order: DataFrame) -> DataFrame:
+    """(key, labels, score) of rows (key, low): the distinct labels of the templates that lowered texts contain, and the largest containment; keys without a match have no row. sets and order are those of template_sets and word_order."""
+    by_rank = order.agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("all"))
+    known = by_rank.select(F.transform("all", lambda x: x["word"])).scalar()
+    weight = sets.agg(F.sum(F.size("own") * (F.size("own") - F.col("need") + 1))).first()[0] or 0
+    n = -(-weight // BROADCAST) or 1
+    portion = F.pmod(F.xxhash64("label", "own"), F.lit(n))
+    met = [_met(rows, _prefixes(sets.filter(portion == i), known), known) for i in range(n)]
+    found = reduce(DataFrame.unionAll, met)
+    return found.groupBy("key").agg(F.collect_set("label").alias("labels"), F.max("score").alias("score"))
+
+
+def _met(rows: DataFrame, prefixes: DataFrame, known: Column) -> DataFrame:
+    """(key, label, score) of every block that has enough of a template's words, met on one of its rarest."""
+    # outer, as the optimizer would otherwise cut each text twice, once to see whether it has words
+    spread = _lined(rows).select("key", "v", "starts", "line", F.posexplode_outer("v").alias("at", "prefix"))
+    joined = spread.join(F.broadcast(prefixes), "prefix")
+    # the lines from the first one whose block reaches the place to the one that has it
+    reach = F.sequence(F.get("line", F.greatest(F.col("at") - F.col("after"), F.lit(0))), F.get("line", F.col("at")))
+    lines = joined.select("key", "v", "starts", "label", "own", "need", "after", "left", "prefix", F.explode(reach).alias("l"))
+    start = F.get("starts", F.col("l"))
+    block = F.slice("v", start + 1, F.get("starts", F.col("l") + 1) - start + F.col("after"))
+    blocks = lines.select("key", "label", "own", "need", "left", "prefix", block.alias("block")).filter((F.size("block") >= F.col("need")) & (F.col("left") >= F.col("need")))
+    ranked = blocks.withColumn("ranked", F.array_intersect(known, F.col("block")))
     behind = F.size("ranked") - F.array_position("ranked", F.col("prefix")) + 1
-    joined = joined.filter((F.size("ranked") >= F.col("need")) & (F.least(behind, F.col("left")) >= F.col("need")))
-    common = F.size(F.array_intersect(F.slice("block.words", F.lit(1), F.col("block.n") + F.col("after")), F.col("own")))
-    verified = joined.select("key", "label", "need", common.alias("common"), F.size("own").alias("size")).filter("common >= need")
-    return verified.groupBy("key").agg(F.collect_set("label").alias("labels"), F.max(F.col("common") / F.col("size")).alias("score"))
+    common = ranked.filter(behind >= F.col("need")).select("key", "label", "need", F.size("own").alias("size"), F.size(F.array_intersect("own", "block")).alias("common"))
+    return common.filter("common >= need").select("key", "label", (F.col("common") / F.col("size")).alias("score"))
 
 
 def _gate(low: Column) -> Column:
@@ -170,9 +187,11 @@ def _gate(low: Column) -> Column:
     return reduce(Column.__or__, [F.contains(low, F.lit(g)) for g in gates])
 
 
-def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: tuple = TEMPLATES) -> DataFrame:
+def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: DataFrame | None = None) -> DataFrame:
     """One row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
+    templates is a table (label, wording); without one, TEMPLATES are taken.
+
     n_base counts the places of the phrases; first_word and last_word are their smallest and largest
     start, null without a place.  base_labels are the phrases' labels, labels those and the matched
     templates'; distinct, sorted, comma-joined.  score is 1 with a base place, otherwise the largest
@@ -180,8 +199,8 @@ def licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templa
     results; other columns are not carried; an empty table gives an empty table.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), lowered(F.col(text)).alias("low")).withColumn("key", F.md5("low"))
-    order = word_order(docs, text, templates)
-    found = matches(rows, templates=templates, order=order)
+    sets = written(template_sets(as_table(docs.sparkSession) if templates is None else templates), "templates")
+    found = matches(rows, sets, written(word_order(docs, sets, text), "order"))
     none = F.array().cast("array<struct<start:bigint,label:string>>")
     based = rows.withColumn("w", words(F.col("low"))).select("doc_id", "key", F.size("w").cast("long").alias("n_words"), F.when(_gate(F.col("low")), _places(F.col("w"))).otherwise(none).alias("places"))
     starts = F.transform("places", lambda p: p["start"])

@@ -176,11 +176,11 @@ WRAPPED = [
 ]
 
 
-def _contained(text: str) -> tuple[set, float]:
+def _contained(text: str, templates=licenses.TEMPLATES) -> tuple[set, float]:
     """Labels of the templates, and the largest share, by every line with the words after it."""
     lines = [brute.ALNUM_WORDS.findall(x) for x in text.translate(brute.LOWER).split("\n")]
     out, best = set(), 0.0
-    for label, t in licenses.TEMPLATES:
+    for label, t in templates:
         own = set(t.split())
         for i, line in enumerate(lines):
             more = [w for x in lines[i + 1 :] for w in x][: len(t.split()) * 3 // 2]
@@ -201,6 +201,33 @@ def test_wrapped_licenses(spark):
         assert rows[i].n_base or abs(rows[i].score - best) < 1e-12
 
 
+def test_many_templates(spark, monkeypatch):
+    """Hundreds of templates as a table: the rows of brute force, whatever the size of a portion, by a plan that does not grow with them."""
+    rng = random.Random(8)
+    said = lambda n: [f"{rng.choice('abcdefgh')}{int(rng.paretovariate(0.4)) % 90}" for _ in range(n)]
+    made = [(f"t{i % 300}", " ".join(said(rng.randrange(1, 50)))) for i in range(400)]
+    texts = []
+    for _, t in rng.sample(made, 90):
+        w = t.split()
+        for _ in range(rng.randrange(0, 1 + len(w) // 6)):
+            w[rng.randrange(len(w))] = rng.choice(["other", "Of", "x\nx"])
+        texts.append(" ".join(said(rng.randrange(30))) + rng.choice([" ", "\n", "\n\n * "]) + "".join(x + rng.choice([" ", " ", "\n", "\n# "]) for x in w) + " ".join(said(5)))
+    texts += ["\n".join(said(200)), "", "\n", " ".join(w for _, t in made[:40] for w in t.split())]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(-1, None)], "doc_id long, text string")
+    table = lambda n: spark.createDataFrame(made[:n] + [(None, "a1"), ("none", None), ("none", " ;"), made[0]], "label string, wording string")
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert size(licenses.licenses(docs, templates=table(400))) == size(licenses.licenses(docs, templates=table(20)))
+    want = [(i, ",".join(sorted(labels)), best) for i, (labels, best) in enumerate(_contained(t, made) for t in texts)]
+    for portion in (licenses.BROADCAST, 9_000):
+        monkeypatch.setattr(licenses, "BROADCAST", portion)
+        got = {r.doc_id: r for r in licenses.licenses(docs, templates=table(400)).collect()}
+        assert (got[-1].labels, got[-1].score) == ("", 0.0) and len(got) == len(texts) + 1
+        for i, labels, best in want:
+            assert got[i].labels == labels and abs(got[i].score - best) < 1e-12
+    none = {r.labels for r in licenses.licenses(docs, templates=table(0).filter("label = 'none'")).collect()}
+    assert none == {""}
+
+
 def test_annotated_secrets(spark):
     """Recall of each kind and precision over findings annotated by hand, from which nothing was learnt."""
     hidden = SECRETS
