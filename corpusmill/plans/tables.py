@@ -10,6 +10,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df's rows dealt out evenly over a shuffle's tasks: a file is read by few tasks if it is small, and costly functions of its rows would run in those alone."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def mirror(spark: SparkSession, sf_dir: str, formats: bool = False) -> DataFrame:
     """documents as a text mirror; with formats, every tenth comes from a spreadsheet."""
     docs = table(spark, sf_dir, "documents")
