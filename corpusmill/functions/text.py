@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 #: The white space of Python's str.split().
 SPACES = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 RUN = f"[{SPACES}]+"
+#: the same characters one by one, and as what is left of all others, ASCII first: Java's patterns test a class's ranges one after another
+_BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_RUN = r"[^!-\x{84}[\x00-\x08\x0E-\x1B\x{86}-\x{9F}\x{A1}-\x{167F}\x{1681}-\x{1FFF}\x{200B}-\x{2027}\x{202A}-\x{202E}\x{2030}-\x{205E}\x{2060}-\x{2FFF}\x{3001}-\x{10FFFF}]]+"
 RULE = "-" * 72
 SHORTEST_CONTENT = 50
 
 
 def stripped(s: Column) -> Column:
     """s without white space at its ends."""
-    return F.regexp_replace(s, rf"\A{RUN}|{RUN}\z", "")
+    return F.btrim(s, F.lit(_BLANKS))
 
 
 def blank_to_null(s: Column) -> Column:
@@ -32,15 +35,15 @@ def first_filled(*columns: Column) -> Column:
 
 def clean_whitespace(s: Column) -> Column:
     """Runs of blanks become one, blanks around line ends go, at most one empty line stays between lines, ends are stripped."""
-    s = F.regexp_replace(s, " ", " ")
-    s = F.regexp_replace(s, "[ \t]+", " ")
-    s = F.regexp_replace(s, " *\n *", "\n")
+    put = lambda s, old, new: F.replace(s, F.lit(old), F.lit(new))
+    s = F.regexp_replace(put(put(s, "\xa0", " "), "\t", " "), " {2,}", " ")
+    s = put(put(s, " \n", "\n"), "\n ", "\n")  # no blank has another beside it any more
     return stripped(F.regexp_replace(s, "\n{3,}", "\n\n"))
 
 
 def collapsed(s: Column) -> Column:
     """Words joined by single blanks."""
-    return F.trim(F.regexp_replace(s, RUN, " "))
+    return F.trim(F.regexp_replace(s, _RUN, " "))
 
 
 def normalised(s: Column) -> Column:

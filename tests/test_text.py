@@ -1,5 +1,7 @@
 """Scalar functions, against plain Python where that has an equivalent."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +107,16 @@ def test_path_lint(apply):
 def test_titles(apply):
     assert apply(X.resource_title, "Home fires. Download the free NFPA PDF. | NFPA ", " .Plain. ") == ["Home fires", "Plain"]
     assert apply(lambda t: X.without_suffix(t, "Site"), "A | Site", "A | Other") == ["A", "A | Other"]
+
+
+def test_white_space_is_pythons_at_every_code_point(spark):
+    rows = [(chr(i),) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    odd = [c for (c,) in rows if c.isspace()]
+    rows = rows[:0x400] + rows[0x1600:0x1900] + rows[0x1F00:0x3100] + rows[-16:] + [(c,) for c in odd]
+    df = spark.createDataFrame(rows, "c string")
+    edge, mid = F.concat("c", F.lit("a "), "c", "c", F.lit("b"), "c", "c"), F.concat("c", F.lit("a "), "c", "c", F.lit("\n"), "c", F.lit("b"), "c", F.lit("\n\n\n\nc"), "c")
+    for c, s, k, w in df.select("c", X.stripped(edge), X.collapsed(edge), X.clean_whitespace(mid)).collect():
+        e, m = f"{c}a {c}{c}b{c}{c}", f"{c}a {c}{c}\n{c}b{c}\n\n\n\nc{c}"
+        assert s == e.strip() and k == re.sub(r"\s+", " ", e).strip(" "), ascii(c)
+        m = re.sub(" *\n *", "\n", re.sub("[ \t]+", " ", m.replace("\xa0", " ")))
+        assert w == re.sub("\n{3,}", "\n\n", m).strip(), ascii(c)
