@@ -370,12 +370,12 @@ def _widened(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, nu
 
     facts = written(bodies.mapInArrow(describe, "key binary, id long, size long, sketch binary"), "sketches")
     known = written(facts.select("key", "id").join(known.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key")), "components")
-    members = buckets.distinct().join(known.select("id", "key"), "id").select(F.col("sig").cast("string").alias("sig"), "key")
+    # the rows of all buckets are many: they meet their sets' components at once, and repeated ones go with those of buckets of one component
+    placed = buckets.join(known, "id").select(F.col("sig").cast("string").alias("sig"), "key", "component")
     take, spent = 1, []
     while True:
-        placed = members.join(known.select("key", "component"), "key")
         mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low <> high")
-        members, at = stored(placed.join(mixed.select("sig", "n"), "sig").select("sig", "key", "component", "n"), "members", compression="zstd")
+        members, at = stored(placed.join(mixed.select("sig", "n"), "sig").select("sig", "key", "component", "n").distinct(), "members", compression="zstd")
         for path in spent:  # what the round before has left: this round's members were its last reader
             removed(facts.sparkSession, path)
         grouped, proposed = _proposed(members, facts, num, den, take)
@@ -393,12 +393,13 @@ def _widened(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, nu
         if more.isEmpty():
             return known.select("key", "component")
         members, take = grouped.join(more.distinct(), "sig", "left_semi"), take * 8
+        placed = members.join(known.select("key", "component"), "key")
 
 
 def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: int) -> tuple[DataFrame, DataFrame]:
     """(sig, key) of the buckets, small ones with equal members as one; and (sig, a, b): pairs of 64-bit names from different components that share a bucket and that sketches don't rule out, `take` of the nearest for each member. A row without a and b tells that the bucket has others.
 
-    members: sig, key, component, n (members of the bucket).  A bucket's larger components have tiles of their own,
+    members: sig, key, component, n (members of the bucket, repeated rows counted; it only tells which way the bucket goes).  A bucket's larger components have tiles of their own,
     the small ones share some, and two tiles of one component never meet: a bucket of one large component and a few
     other sets costs a row a member, not a row a member and tile.
     """
