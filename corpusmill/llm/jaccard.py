@@ -15,7 +15,8 @@ are dealt out by signature, sorted within partitions and streamed, so no bucket
 through the least set of each bucket are verified first and joined into components.  In buckets that still hold
 several components, members of different ones are compared in tiles, by sketches that never reject a
 similar pair; the nearest are verified and joined first, and so on until every pair of different components
-that passes has been verified.  Nothing is capped or sampled.
+that passes has been verified.  Nothing is capped or sampled.  Sketches come before words everywhere, so that only
+the texts of sets that are near to another one are shuffled.
 
 Sets are known by a 128-bit digest of their shingles' words, and pairs are verified on the words.
 Signature rows carry a 64-bit name; sets that share one are told apart by their digests, and compared, after the
@@ -27,6 +28,8 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+from collections.abc import Callable
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +39,17 @@ from pyspark.sql import functions as F
 from corpusmill.llm.components import components
 from corpusmill.llm.kernels import BASES, CHUNK, NOT_SPACE, Words, chunks, mix, run_hashes, signed, texts
 from corpusmill.llm.store import fresh_name, partitions, settled, written
-from corpusmill.sources.scratch import removed, stored
+from corpusmill.sources.scratch import removed, setting, stored
 
 #: signature rows that a worker holds before it puts them out; sets from which on it combines a signature's rows
 BUFFER, COMBINED = 1_000_000, 64
-#: members of a tile, bytes of a sketch, pairs that one copy of a first set's text is sent for
-TILE, SKETCH, SHARED = 512, 512, 1000
+#: members of a tile, parts of a sketch and least parts of one that goes by its set's size, pairs that one copy of a first set's text is sent for
+TILE, SKETCH, LEAST, SHARED = 512, 512, 64, 1000
+#: a join with a stored table of any size is preceded by a Bloom filter of its keys, so that few other rows are shuffled
+_BLOOM = "spark.sql.optimizer.runtime.bloomFilter."
+_FILTERED = {_BLOOM + "enabled": "true", _BLOOM + "applicationSideScanSizeThreshold": "0", _BLOOM + "creationSideThreshold": "1g"}
+#: the 48 bits of a signature that are shuffled: of billions of rows one in 100,000 meets a stranger, which sketches rule out
+COMPARED = np.uint64(0xFFFFFFFFFFFF0000)
 #: largest difference bound for which parts are divided
 DIVIDED = 8
 #: stands for a null doc_id between the steps
@@ -146,12 +154,31 @@ def signatures(features: np.ndarray, band: int, scheme: Scheme) -> np.ndarray:
     return np.concatenate(out)
 
 
-def sketch(features: np.ndarray) -> bytes:
-    """A byte for each of SKETCH parts of the domain. Parts with unlike bytes differ in a feature, so their number never exceeds the symmetric difference."""
+def sketch(features: np.ndarray, parts: int = SKETCH) -> bytes:
+    """Two bits for each of a power of two of parts of the domain, of four quarters in a byte. Unlike parts differ in a feature, so their number never exceeds the symmetric difference."""
     place = mix(features ^ np.uint64(BASES[0]))
-    part = (place % np.uint64(SKETCH)).astype(np.int64)
-    sums = np.bincount(part, (place >> np.uint64(40)).astype(np.float64), SKETCH).astype(np.uint64)
-    return (mix(sums) & np.uint64(0xFF)).astype(np.uint8).tobytes()
+    sums = np.bincount((place & np.uint64(parts - 1)).astype(np.int64), ((place >> np.uint64(40)) % np.uint64(3)).astype(np.float64) + 1, parts)
+    x = (sums.astype(np.int64) & 3).astype(np.uint8).reshape(4, -1)
+    return (x[0] | x[1] << 2 | x[2] << 4 | x[3] << 6).tobytes()
+
+
+def opened(marks: bytes) -> np.ndarray:
+    """A sketch's parts, one in a byte."""
+    x = np.frombuffer(marks, np.uint8)
+    return np.concatenate([x & 3, x >> 2 & 3, x >> 4 & 3, x >> 6])
+
+
+def sized_sketch(features: np.ndarray) -> bytes:
+    """A sketch of more than half as many parts as the set has features, and no more than those, LEAST at least: too few parts would tell no large sets apart."""
+    return sketch(features, max(LEAST, 1 << max(0, len(features).bit_length() - 1)))
+
+
+def folded(marks: np.ndarray, parts: int) -> np.ndarray:
+    """A sketch's parts as they would be with fewer of them."""
+    while len(marks) > parts:
+        half = len(marks) // 2
+        marks = marks[:half] + marks[half:] & 3
+    return marks
 
 
 _ROWS = "a long, b long, pair boolean"
@@ -238,7 +265,8 @@ def _components_of(df: DataFrame, n: int, num: int, den: int, doc_id: str, text:
     def describe(batches):
         for batch in batches:
             sets = shingle_sets(texts(batch.column("text")), n, named=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s, _ in sets], pa.int64()), pa.array([set_id(s) for s, _ in sets], pa.int64()), pa.array([k for _, k in sets], pa.binary())], ["doc_id", "row", "n_shingles", "set_id", "key"])
+            columns = [pa.array([len(s) for s, _ in sets], pa.int64()), pa.array([set_id(s) for s, _ in sets], pa.int64()), pa.array([k for _, k in sets], pa.binary()), pa.array([sized_sketch(s) for s, _ in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), *columns], ["doc_id", "row", "n_shingles", "set_id", "key", "sketch"])
 
     def sign(batches):
         scheme, sigs, owns, held, seen = Scheme(num, den), [], [], 0, set()
@@ -249,7 +277,7 @@ def _components_of(df: DataFrame, n: int, num: int, den: int, doc_id: str, text:
                     continue
                 seen.add(own)
                 got = signatures(s, int(scheme.bands(np.array([len(s)]))[0]), scheme)
-                sigs.append(signed(got))
+                sigs.append(signed(got & COMPARED))
                 owns.append(np.full(len(got), own, np.int64))
                 held += len(got)
                 if held >= BUFFER:
@@ -268,29 +296,39 @@ def _components_of(df: DataFrame, n: int, num: int, den: int, doc_id: str, text:
             if not plain.all():
                 yield pa.RecordBatch.from_arrays([pa.array(a[~plain]), pa.array(b[~plain]), pa.array(kind[~plain] == PAIR)], ["a", "b", "pair"])
 
-    base = written(docs.mapInArrow(describe, "doc_id long, row long, n_shingles long, set_id long, key binary"), "sets")
     dealt = F.when(F.col("kind") == PLAIN, F.col("a")).otherwise(F.col("b"))
     spread = docs.select("text").mapInArrow(sign, "kind byte, a long, b long").repartition(partitions(spark), dealt).sortWithinPartitions("kind", "a", "b")
     rows = written(spread.mapInArrow(gather, _ROWS), "buckets")
     buckets = rows.filter("not pair").select(F.col("a").alias("sig"), F.col("b").alias("id"))
+    base = written(docs.mapInArrow(describe, "doc_id long, row long, n_shingles long, set_id long, key binary, sketch binary"), "sets")
 
-    # each set once, with a document that has it; of those in any pair or bucket, the text
+    # each set once, with a document that has it; of those in any pair or bucket, the sketch
     known_id = F.coalesce("doc_id", F.lit(NO_ID))
     sets = written(base.filter("set_id <> 0").groupBy("key").agg(F.min("set_id").alias("id"), F.min("doc_id").alias("least"), F.min(F.struct(known_id.alias("doc"), "row")).alias("at")), "distinct-sets")
     doubtful = sets.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("id").alias("a"), F.col("id").alias("b"))
-    pairs = rows.filter("pair").select("a", "b").distinct().unionByName(doubtful)
+    pairs = written(rows.filter("pair").select("a", "b").distinct().unionByName(doubtful), "pairs")
     involved = buckets.select("id").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    chosen = sets.join(involved, "id").select("key", "id", "at.doc", F.col("at.row").alias("row"))
-    bodies = docs.select(known_id.alias("doc"), "row", "text").join(chosen, ["doc", "row"]).select("key", "id", "text")
+    sketched = base.filter("set_id <> 0").select("key", F.col("set_id").alias("id"), F.col("n_shingles").alias("size"), "sketch")
+    facts = written(sketched.join(involved, "id").select("key", "id", "size", "sketch").dropDuplicates(["key"]), "sketches")
 
     def confirm(batches):
         for batch in batches:  # a doc_id may have several texts
             found = [k for _, k in shingle_sets(texts(batch.column("text")), n, named=True)]
             yield batch.filter(pa.array([x == y for x, y in zip(found, batch.column("key").to_pylist(), strict=True)], pa.bool_()))
 
-    bodies = written(bodies.mapInArrow(confirm, "key binary, id long, text string").dropDuplicates(["key"]), "bodies")
-    known = components(_verified(pairs, bodies, n, num, den))
-    known = _widened(buckets, known, bodies, n, num, den)
+    def bodies(pairs: DataFrame) -> DataFrame:
+        """(key, id, text) of the sets of these pairs."""
+        named = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        chosen = written(sets.join(named, "id").select("key", "id", "at.doc", F.col("at.row").alias("row")), "chosen")
+        found = docs.select(known_id.alias("doc"), "row", "text").join(chosen.filter("id <> 0"), ["doc", "row"]).select("key", "id", "text")
+        with ExitStack() as held:
+            for key, value in _FILTERED.items():
+                held.enter_context(setting(spark, key, value))
+            return written(found.mapInArrow(confirm, "key binary, id long, text string").dropDuplicates(["key"]), "bodies")
+
+    near = written(_near(pairs, facts, num, den), "near")
+    known = components(_verified(near, bodies(near), n, num, den))
+    known = _widened(buckets, known, facts, bodies, n, num, den)
 
     placed = sets.select("key", "least").join(known, "key", "left").select("key", "least", F.coalesce("component", "key").alias("component"))
     roots = placed.groupBy("component").agg(F.min("least").alias("root"))
@@ -355,27 +393,40 @@ def _verified(pairs: DataFrame, bodies: DataFrame, n: int, num: int, den: int) -
     return dealt.mapInArrow(check, "a binary, b binary")
 
 
-def _widened(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(key, component) of all sets in bodies, from the components of some of the links (id, component), and the buckets (sig, id).
+def _near(pairs: DataFrame, facts: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of these pairs of 64-bit names whose sizes and sketches don't rule out that they are similar."""
+    side = lambda c: facts.select(F.col("id").alias(c), F.struct("size", "sketch").alias(f"of_{c}"))
+
+    def compare(batches):
+        for batch in batches:
+            sizes = [batch.column(c).field("size").to_numpy() for c in ("of_a", "of_b")]
+            marks = [batch.column(c).field("sketch").to_pylist() for c in ("of_a", "of_b")]
+            fits = num * np.maximum(*sizes) <= den * np.minimum(*sizes)
+            most = (den - num) * (sizes[0] + sizes[1]) // (den + num)
+            for i in np.flatnonzero(fits).tolist():
+                x, y = opened(marks[0][i]), opened(marks[1][i])
+                parts = min(len(x), len(y))
+                fits[i] = np.count_nonzero(folded(x, parts) != folded(y, parts)) <= most[i]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(fits))
+
+    return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(compare, "a long, b long").distinct()
+
+
+def _widened(buckets: DataFrame, known: DataFrame, facts: DataFrame, bodies: Callable[[DataFrame], DataFrame], n: int, num: int, den: int) -> DataFrame:
+    """(key, component) of all sets in facts (key, id, size, sketch), from the components of some of the links (id, component), and the buckets (sig, id); bodies() gives the texts of pairs.
 
     Members of different components that share a bucket are compared by sketches.  Each proposes its nearest ones, which
     are verified and joined, and so on with eight times as many, until no bucket has an unproposed pair of
     different components: a large group of near copies is joined along its nearest links, never by all its pairs.
     """
 
-    def describe(batches):
-        for batch in batches:
-            sets = shingle_sets(texts(batch.column("text")), n)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())], ["key", "id", "size", "sketch"])
-
-    facts = written(bodies.mapInArrow(describe, "key binary, id long, size long, sketch binary"), "sketches")
     known = written(facts.select("key", "id").join(known.select(F.col("id").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key")), "components")
     # the rows of all buckets are many: they meet their sets' components at once, and repeated ones go with those of buckets of one component
-    placed = buckets.join(known, "id").select(F.col("sig").cast("string").alias("sig"), "key", "component")
-    take, spent = 1, []
+    placed = buckets.join(known, "id").select("sig", "key", "component")
+    take, spent, read = 1, [], None
     while True:
         mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low <> high")
-        members, at = stored(placed.join(mixed.select("sig", "n"), "sig").select("sig", "key", "component", "n").distinct(), "members", compression="zstd")
+        members, at = stored(placed.join(mixed.select("sig", "n"), "sig").select("sig", "key", "component", "n").distinct().withColumn("sig", F.col("sig").cast("string")), "members", compression="zstd")
         for path in spent:  # what the round before has left: this round's members were its last reader
             removed(facts.sparkSession, path)
         grouped, proposed = _proposed(members, facts, num, den, take)
@@ -383,7 +434,10 @@ def _widened(buckets: DataFrame, known: DataFrame, bodies: DataFrame, n: int, nu
         spent = [at, of_round]
         if proposed.filter("a is not null").isEmpty():
             return known.select("key", "component")
-        links = _verified(proposed.filter("a is not null").select("a", "b").distinct(), bodies, n, num, den)
+        pairs = proposed.filter("a is not null").select("a", "b").distinct()
+        # whoever has a near set in another component proposes its nearest at once: later rounds name no others
+        read = bodies(pairs) if read is None else read
+        links = _verified(pairs, read, n, num, den)
         of = lambda side: known.select(F.col("key").alias(side), F.col("component").alias(f"c{side}"))
         wider = components(links.join(of("a"), "a").join(of("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         known = known.join(wider.select(F.col("id").alias("component"), F.col("component").alias("wider")), "component", "left")
@@ -411,7 +465,9 @@ def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: in
     def compare(table: pa.Table) -> pa.Table:
         ids, own, size = (table.column(c).to_numpy() for c in ("id", "own", "size"))
         comp = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
-        marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), SKETCH)
+        marks = [opened(m) for m in table.column("sketch").to_pylist()]
+        parts = np.array([len(m) for m in marks])
+        same = {p: np.stack([folded(m, p) if len(m) >= p else np.zeros(p, np.uint8) for m in marks]) for p in np.unique(parts).tolist()}
         right = np.flatnonzero(own != 1)
         x, y, far = [], [], []
         for i in np.flatnonzero(own != 2):
@@ -419,7 +475,9 @@ def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: in
             if own[i] == 0:
                 j = j[j > i]
             if len(j):
-                apart = (marks[j] != marks[i]).sum(1)
+                apart, least = np.zeros(len(j), np.int64), np.minimum(parts[j], parts[i])
+                for p in np.unique(least).tolist():
+                    apart[least == p] = (same[p][j[least == p]] != same[p][i]).sum(1)
                 near = apart <= (den - num) * (size[j] + size[i]) // (den + num)
                 x.append(np.full(int(near.sum()), i))
                 y.append(j[near])

@@ -71,6 +71,36 @@ def test_jaccard_schemes(levels):
                 assert (marks[0] != marks[1]).sum() <= len(a) + len(b) - 2 * both
 
 
+def test_only_near_texts_are_verified(spark, monkeypatch):
+    """Texts that share signatures with others, but are far from them by their sketches, are not read for the words."""
+    rng = np.random.default_rng(5)
+    body = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 1 << 40, n))
+    shared = body(200)
+    rows = [(i, f"{shared} {body(100)}") for i in range(40)] + [(100, both := body(1100)), (101, f"{both} end")]
+    read, verified = [], jaccard._verified
+
+    def seen(pairs, bodies, *more):
+        read.append(bodies.count())
+        return verified(pairs, bodies, *more)
+
+    monkeypatch.setattr(jaccard, "_verified", seen)
+    same(jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100), brute.jaccard(rows, 5, 80, 100), "doc_id", "n_shingles", "component_id")
+    assert read and max(read) == 2
+
+
+@pytest.mark.parametrize("size", [0, 1, 63, 64, 1000, 5000])
+def test_folded_sketches(size):
+    """A sketch is the same however it was folded, and never shows more differences than there are."""
+    rng = np.random.default_rng(size)
+    a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+    b = np.unique(np.concatenate([a[size // 9 :], rng.integers(0, 1 << 63, size // 3).astype(np.uint64)]))
+    marks = [jaccard.opened(jaccard.sized_sketch(s)) for s in (a, b)]
+    for parts in (4, 16, min(map(len, marks))):
+        x, y = (jaccard.folded(m, parts) for m in marks)
+        assert all((m == jaccard.opened(jaccard.sketch(s, parts))).all() for m, s in ((x, a), (y, b)))
+        assert (x != y).sum() <= len(np.setxor1d(a, b))
+
+
 @pytest.mark.parametrize("levels", LEVELS.values(), ids=LEVELS)
 def test_jaccard_links_are_the_same_by_every_subset_scheme(docs, monkeypatch, levels):
     monkeypatch.setattr(jaccard.Scheme.__init__, "__defaults__", (levels,))
