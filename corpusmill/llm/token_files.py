@@ -2,7 +2,7 @@
 
 Rows are dealt out by ranges of document id and sorted, so a file holds a range of ids and every stripe and row group
 a narrow one: their indexes of least and greatest ids, and Bloom filters for single ids, let a reader skip the
-rest.  The ids are integers in a list column, which ORC writes in runs; a stripe can be read by itself, so
+rest.  The ids are integers in a list column, which ORC writes in runs (a quick codec after them: a slow one gains little); a stripe can be read by itself, so
 readers divide files at stripes.
 
 A row holds at most ROW ids of a document, so no row and no batch of a reader grows with a text's length.  It also
@@ -89,7 +89,7 @@ def write(df: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     keys = ["doc_id", F.xxhash64("text")]
     dealt = rows.repartitionByRange(files or partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
-    options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": FALSE_HITS, "orc.create.index": "true", "orc.row.index.stride": STRIDE, "orc.stripe.size": stripe}
+    options = {"compression": "lz4", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": FALSE_HITS, "orc.create.index": "true", "orc.row.index.stride": STRIDE, "orc.stripe.size": stripe}
     dealt.mapInArrow(encoded, ROWS).write.options(**options).orc(path)
 
 

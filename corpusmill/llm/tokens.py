@@ -44,6 +44,9 @@ def _byte_letters() -> dict[int, int]:
 
 
 _LETTERS = _byte_letters()
+_LETTERS_OF_SPACE = " ".translate(_LETTERS)
+#: marks that end words
+_MARKS = frozenset(",.;:!?")
 
 
 def _within_latin(text: str) -> bool:
@@ -99,14 +102,25 @@ class Coder:
         self.model = self.tokenizer.model
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         most = remembered or REMEMBERED
-        self.of_word = Memory(self._word, most)
-        self.of_part = Memory((lambda part: self._words(" " + part)) if prefixed else self._words, most)
+        self.of_word = Memory(self._word, most // 2)
+        self.gap, self.before = (" ", _LETTERS_OF_SPACE) if prefixed else ("", "")
+        self.of_part = Memory(self._part, most + most // 2)  # it holds the plain words too
         self.of_unit = Memory(lambda unit: self._encoded([unit])[0], most)
 
     def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(_LETTERS)
+        return self._model(word.encode().decode("latin-1").translate(_LETTERS))
+
+    def _model(self, letters: str) -> bytes:
         return b"".join([self.packed[t.id] for t in self.model.tokenize(letters)])
 
+    def _part(self, part: str) -> bytes:
+        """A part of a text within Latin-1. Letters alone are one word; so are those before one mark, which is another."""
+        if part.isalpha():
+            return self._model(self.before + part) if part.isascii() else self._word(self.gap + part)
+        if part[-1:] in _MARKS and part[:-1].isalpha():
+            return self.of_part[part[:-1]] + self.of_word[part[-1]]
+        return self._words(self.gap + part)
+
     def _words(self, text: str) -> bytes:
         """A text within Latin-1 by the pre-tokenizer's words."""
         return b"".join(map(self.of_word.__getitem__, (_PREFIXED if self.prefixed else _WORDS).findall(text)))

@@ -50,3 +50,14 @@ def test_long_texts_with_odd_space_or_special_strings(file):
         text = ("Some plain words in a row, 12 of them. " * 4000) + odd + (" and more words" * 4000)
         assert np.frombuffer(mine.ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
         assert len(mine.pieces(text)) > 1
+
+
+@pytest.mark.parametrize("file", [f for f, _ in FILES])
+def test_words_of_letters_need_no_pattern(file, monkeypatch):
+    """Plain words, with or without a mark after them, go to the model without being searched for; the ids are the library's."""
+    mine, library = Coder(public_tokenizers.path(file), dict(FILES)[file]), CODERS[file][1]
+    text = "Plain words, été; Straße: THE ªµº end! x " + "Ünï? " * 3 + "last."
+    searched, words = [], mine._words
+    monkeypatch.setattr(mine, "_words", lambda t: searched.append(t) or words(t))
+    assert np.frombuffer(mine.ids([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert searched == (["Plain"] if mine.prefixed else [])
