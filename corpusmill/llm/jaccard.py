@@ -45,6 +45,8 @@ from corpusmill.sources.scratch import removed, setting, stored
 BUFFER, COMBINED = 1_000_000, 64
 #: members of a tile, parts of a sketch and least parts of one that goes by its set's size, pairs that one copy of a first set's text is sent for
 TILE, SKETCH, LEAST, SHARED = 512, 512, 64, 1000
+#: lowest names of its buckets that a member brings to each of them, so that a pair goes on from the first bucket that both are known to share
+NAMES = 16
 #: a join with a stored table of any size is preceded by a Bloom filter of its keys, so that few other rows are shuffled
 _BLOOM = "spark.sql.optimizer.runtime.bloomFilter."
 _FILTERED = {_BLOOM + "enabled": "true", _BLOOM + "applicationSideScanSizeThreshold": "0", _BLOOM + "creationSideThreshold": "1g"}
@@ -155,11 +157,16 @@ def signatures(features: np.ndarray, band: int, scheme: Scheme) -> np.ndarray:
 
 
 def sketch(features: np.ndarray, parts: int = SKETCH) -> bytes:
-    """Two bits for each of a power of two of parts of the domain, of four quarters in a byte. Unlike parts differ in a feature, so their number never exceeds the symmetric difference."""
+    """Two bits for each of a power of two of parts of the domain, of four quarters in a byte: whether either half of the part holds an odd number of features. Each unlike bit is due to a feature of its own, so their number never exceeds the symmetric difference."""
     place = mix(features ^ np.uint64(BASES[0]))
-    sums = np.bincount((place & np.uint64(parts - 1)).astype(np.int64), ((place >> np.uint64(40)) % np.uint64(3)).astype(np.float64) + 1, parts)
-    x = (sums.astype(np.int64) & 3).astype(np.uint8).reshape(4, -1)
-    return (x[0] | x[1] << 2 | x[2] << 4 | x[3] << 6).tobytes()
+    odd = np.bincount((place & np.uint64(parts - 1)).astype(np.int64) * 2 + (place >> np.uint64(40) & np.uint64(1)).astype(np.int64), minlength=2 * parts).astype(np.uint8) & 1
+    return packed(odd[::2] | odd[1::2] << 1).tobytes()
+
+
+def packed(marks: np.ndarray) -> np.ndarray:
+    """A sketch's parts, four quarters in a byte."""
+    x = marks.reshape(4, -1)
+    return x[0] | x[1] << 2 | x[2] << 4 | x[3] << 6
 
 
 def opened(marks: bytes) -> np.ndarray:
@@ -169,15 +176,15 @@ def opened(marks: bytes) -> np.ndarray:
 
 
 def sized_sketch(features: np.ndarray) -> bytes:
-    """A sketch of more than half as many parts as the set has features, and no more than those, LEAST at least: too few parts would tell no large sets apart."""
-    return sketch(features, max(LEAST, 1 << max(0, len(features).bit_length() - 1)))
+    """A sketch of more parts than the set has features, and no more than twice as many, LEAST at least: with fewer, sets a little below the similarity would pass, and in a large group of such sets these pairs grow with its square."""
+    return sketch(features, max(LEAST, 1 << len(features).bit_length()))
 
 
 def folded(marks: np.ndarray, parts: int) -> np.ndarray:
     """A sketch's parts as they would be with fewer of them."""
     while len(marks) > parts:
         half = len(marks) // 2
-        marks = marks[:half] + marks[half:] & 3
+        marks = marks[:half] ^ marks[half:]
     return marks
 
 
@@ -406,7 +413,7 @@ def _near(pairs: DataFrame, facts: DataFrame, num: int, den: int) -> DataFrame:
             for i in np.flatnonzero(fits).tolist():
                 x, y = opened(marks[0][i]), opened(marks[1][i])
                 parts = min(len(x), len(y))
-                fits[i] = np.count_nonzero(folded(x, parts) != folded(y, parts)) <= most[i]
+                fits[i] = np.bitwise_count(folded(x, parts) ^ folded(y, parts)).sum() <= most[i]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(fits))
 
     return pairs.join(side("b"), "b").join(side("a"), "a").mapInArrow(compare, "a long, b long").distinct()
@@ -452,6 +459,7 @@ def _widened(buckets: DataFrame, known: DataFrame, facts: DataFrame, bodies: Cal
 
 def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: int) -> tuple[DataFrame, DataFrame]:
     """(sig, key) of the buckets, small ones with equal members as one; and (sig, a, b): pairs of 64-bit names from different components that share a bucket and that sketches don't rule out, `take` of the nearest for each member. A row without a and b tells that the bucket has others.
+    A pair comes from the first bucket, by name, that its members are known to share (NAMES): in most cases once, not once a bucket.
 
     members: sig, key, component, n (members of the bucket, repeated rows counted; it only tells which way the bucket goes).  A bucket's larger components have tiles of their own,
     the small ones share some, and two tiles of one component never meet: a bucket of one large component and a few
@@ -465,9 +473,9 @@ def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: in
     def compare(table: pa.Table) -> pa.Table:
         ids, own, size = (table.column(c).to_numpy() for c in ("id", "own", "size"))
         comp = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
-        marks = [opened(m) for m in table.column("sketch").to_pylist()]
-        parts = np.array([len(m) for m in marks])
-        same = {p: np.stack([folded(m, p) if len(m) >= p else np.zeros(p, np.uint8) for m in marks]) for p in np.unique(parts).tolist()}
+        marks = table.column("sketch").to_pylist()
+        parts = np.array([4 * len(m) for m in marks])
+        same = {p: np.stack([packed(folded(opened(m), p)) if 4 * len(m) >= p else np.zeros(p // 4, np.uint8) for m in marks]).view(np.uint64) for p in np.unique(parts).tolist()}
         right = np.flatnonzero(own != 1)
         x, y, far = [], [], []
         for i in np.flatnonzero(own != 2):
@@ -477,7 +485,7 @@ def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: in
             if len(j):
                 apart, least = np.zeros(len(j), np.int64), np.minimum(parts[j], parts[i])
                 for p in np.unique(least).tolist():
-                    apart[least == p] = (same[p][j[least == p]] != same[p][i]).sum(1)
+                    apart[least == p] = np.bitwise_count(same[p][j[least == p]] ^ same[p][i]).sum(1, dtype=np.int64)
                 near = apart <= (den - num) * (size[j] + size[i]) // (den + num)
                 x.append(np.full(int(near.sum()), i))
                 y.append(j[near])
@@ -489,12 +497,18 @@ def _proposed(members: DataFrame, facts: DataFrame, num: int, den: int, take: in
         begin = np.flatnonzero(np.diff(ends[order], prepend=-1) != 0)
         rank = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
         kept = np.unique(pair[order][rank < take])
-        a, b = ids[x[kept]], ids[y[kept]]
         more = [None] * (len(kept) < len(x))
+        # a pair that shares a bucket of a lower name goes on from there, or that bucket has more
+        name, names = table.column("name")[0].as_py(), {i: set(table.column("names")[i].as_py()) for i in np.unique([x[kept], y[kept]]).tolist()}
+        kept = kept[[min(names[i] & names[j], default=name) >= name for i, j in zip(x[kept].tolist(), y[kept].tolist(), strict=True)]] if len(kept) else kept
+        a, b = ids[x[kept]], ids[y[kept]]
         return pa.table({"sig": pa.array([table.column("sig")[0].as_py()] * (len(kept) + len(more)), pa.string()), "a": pa.array([*np.minimum(a, b).tolist(), *more], pa.int64()), "b": pa.array([*np.maximum(a, b).tolist(), *more], pa.int64())})
 
-    described = (few if tiled is None else few.unionByName(tiled)).join(facts, "key").join(members.select("key", "component").distinct(), "key")
     grouped = few.select("sig", "key") if tiled is None else few.select("sig", "key").unionByName(many.select("sig", "key"))
+    name = F.xxhash64("sig").alias("name")
+    names = grouped.select("key", name).groupBy("key").agg(F.slice(F.array_sort(F.collect_set("name")), 1, NAMES).alias("names"))
+    of_key = members.select("key", "component").distinct().join(facts, "key").join(names, "key")
+    described = (few if tiled is None else few.unionByName(tiled)).select("meet", "key", "own", "sig", name).join(of_key, "key")
     return grouped, described.groupBy("meet").applyInArrow(compare, "sig string, a long, b long")
 
 

@@ -88,6 +88,32 @@ def test_only_near_texts_are_verified(spark, monkeypatch):
     assert read and max(read) == 2
 
 
+@pytest.mark.parametrize("names", [1, 16])
+def test_pairs_of_a_family_are_proposed_once(spark, monkeypatch, names):
+    """Texts a little below the similarity share many buckets: few of their pairs are proposed, and not once a bucket."""
+    rng = np.random.default_rng(7)
+    base, rows = [f"w{x}" for x in rng.integers(0, 1 << 40, 300)], []
+    for i in range(40):
+        words = list(base)
+        for at in rng.choice(300, 4, replace=False).tolist():
+            words[at] = f"v{i}x{at}"
+        rows.append((i, " ".join(words)))
+    proposed, stored = [], jaccard.stored
+
+    def seen(df, name, **options):
+        out = stored(df, name, **options)
+        if name == "proposed":
+            proposed.append([(r.a, r.b) for r in out[0].collect() if r.a is not None])
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", seen)
+    monkeypatch.setattr(jaccard, "NAMES", names, raising=False)
+    same(jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100), brute.jaccard(rows, 5, 80, 100), "doc_id", "n_shingles", "component_id")
+    found = [len(p) for p in proposed]
+    assert names < 16 or all(len(p) <= 2 * len(set(p)) for p in proposed), found
+    assert names < 16 or sum(found) < 780, found
+
+
 @pytest.mark.parametrize("size", [0, 1, 63, 64, 1000, 5000])
 def test_folded_sketches(size):
     """A sketch is the same however it was folded, and never shows more differences than there are."""
